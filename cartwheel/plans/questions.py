@@ -14,9 +14,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cartwheel.functions.calendar import calendar_days, day_name, month_key
-from cartwheel.functions.numeric import as_double, pct_of, ratio, round_half_up
+from cartwheel.functions.calendar import day_name, month_key
+from cartwheel.functions.numeric import ratio, round_half_up
 from cartwheel.operators.cohort import cohort_retention
+from cartwheel.operators.gaps import customer_gap_stats
+from cartwheel.operators.ranking import global_row_number, ntile
 from cartwheel.operators.shares import rank_small, top_k_with_rank, with_share_of_total
 from cartwheel.plans.common import finalize, valid_lines
 
@@ -40,6 +42,28 @@ def q01_monthly_revenue(fact: DataFrame) -> DataFrame:
     )).orderBy("month")
 
 
+def q02_segment_revenue(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
+    """Q2: customers, revenue, mean/max customer revenue and shares per segment.
+
+    Revenue is aggregated to the customer first and then joined to the
+    segment table (customer grain on both sides, N:1), instead of joining
+    every line to the segment table.
+    """
+    cust = valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias("customer_revenue"))
+    joined = cust.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
+    seg = joined.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("num_customers"),  # one row per customer after the pre-aggregation
+        F.sum("customer_revenue").alias("segment_revenue"),
+        F.max("customer_revenue").alias("top_customer_revenue"))
+    seg = with_share_of_total(seg, "segment_revenue", "pct_of_total_revenue")
+    seg = with_share_of_total(seg, "num_customers", "pct_of_total_customers")
+    return finalize(seg.select(
+        "rfm_segment", "num_customers", "segment_revenue",
+        round_half_up(ratio("segment_revenue", "num_customers")).alias("avg_revenue_per_customer"),
+        "top_customer_revenue", "pct_of_total_revenue", "pct_of_total_customers",
+    )).orderBy(F.col("segment_revenue").desc(), "rfm_segment")
+
+
 def q05_country_revenue(fact: DataFrame) -> DataFrame:
     """Q5: revenue contribution and rank per country."""
     countries = (valid_lines(fact, require_customer=True)
@@ -78,6 +102,42 @@ def q08_cohort_retention(fact: DataFrame) -> DataFrame:
     return finalize(cohort_retention(valid_lines(fact))).orderBy("cohort_month")
 
 
+def q07_purchase_gaps(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
+    """Q7: customers with a repeat purchase and mean/min/max days between purchases per segment."""
+    per = customer_gap_stats(valid_lines(fact))
+    joined = per.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
+    seg = joined.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("num_customers"),
+        F.sum("sum_gaps").alias("sum_gaps"),
+        F.sum("n_gaps").alias("n_gaps"),
+        F.min("min_gap").alias("min_gap"),
+        F.max("max_gap").alias("max_gap"))
+    return finalize(seg.select(
+        "rfm_segment", "num_customers",
+        round_half_up(ratio("sum_gaps", "n_gaps"), 1).alias("avg_days_between_purchases"),
+        round_half_up(F.col("min_gap"), 1).alias("min_days"),
+        round_half_up(F.col("max_gap"), 1).alias("max_days"),
+    )).orderBy("avg_days_between_purchases", "rfm_segment")
+
+
+def q09_revenue_deciles(fact: DataFrame) -> DataFrame:
+    """Q9: NTILE(10) of customer revenue and the size/range/share of each decile."""
+    cust = valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias("total_revenue"))
+    ranked = global_row_number(cust, [F.col("total_revenue").asc(), F.col("customer_id").asc()])
+    dec = ranked.withColumn("revenue_decile", ntile(F.col("rn"), F.col("n"), 10))
+    agg = dec.groupBy("revenue_decile").agg(
+        F.count("customer_id").alias("num_customers"),
+        F.min("total_revenue").alias("min_revenue"),
+        F.max("total_revenue").alias("max_revenue"),
+        F.sum("total_revenue").alias("decile_total_revenue"))
+    agg = with_share_of_total(agg, "decile_total_revenue", "pct_of_total_revenue")
+    return finalize(agg.select(
+        "revenue_decile", "num_customers", "min_revenue", "max_revenue",
+        round_half_up(ratio("decile_total_revenue", "num_customers")).alias("avg_revenue"),
+        "decile_total_revenue", "pct_of_total_revenue",
+    )).orderBy("revenue_decile")
+
+
 def q10_day_hour(fact: DataFrame, k: int = 20) -> DataFrame:
     """Q10: best weekday x hour slots by revenue (168 groups at most)."""
     slots = (valid_lines(fact)
@@ -113,7 +173,3 @@ def q12_kpi(fact: DataFrame) -> DataFrame:
     ))
 
 
-__all__ = [
-    "q01_monthly_revenue", "q05_country_revenue", "q06_top_products", "q08_cohort_retention",
-    "q10_day_hour", "q12_kpi", "as_double", "pct_of", "calendar_days",
-]

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators.clean import quality_counts
+from cartwheel.operators import rfm
 from cartwheel.plans import questions as q
 from cartwheel.plans.common import fact_from_testdata, finalize
 from cartwheel.sources import testdata
@@ -22,9 +23,14 @@ QUERIES: dict[str, Query] = {
     "clean_transactions": lambda s, d: finalize(_fact(s, d)),
     "etl_quality_counts": lambda s, d: quality_counts(testdata.raw_transactions(s, d)),
     "q01_monthly_revenue": lambda s, d: q.q01_monthly_revenue(_fact(s, d)),
+    "rfm_scores": lambda s, d: finalize(rfm.rfm_scores(_fact(s, d))),
+    "customer_rfm": lambda s, d: finalize(rfm.customer_rfm(_fact(s, d))),
+    "q02_segment_revenue": lambda s, d: q.q02_segment_revenue(_fact(s, d), rfm.customer_rfm(_fact(s, d))),
     "q05_country_revenue": lambda s, d: q.q05_country_revenue(_fact(s, d)),
     "q06_top_products": lambda s, d: q.q06_top_products(_fact(s, d)),
     "q08_cohort_retention": lambda s, d: q.q08_cohort_retention(_fact(s, d)),
+    "q07_purchase_gaps": lambda s, d: q.q07_purchase_gaps(_fact(s, d), rfm.customer_rfm(_fact(s, d))),
+    "q09_revenue_deciles": lambda s, d: q.q09_revenue_deciles(_fact(s, d)),
     "q10_day_hour": lambda s, d: q.q10_day_hour(_fact(s, d)),
     "q12_kpi": lambda s, d: q.q12_kpi(_fact(s, d)),
 }
