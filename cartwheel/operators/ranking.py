@@ -35,10 +35,11 @@ def global_row_number(df: DataFrame, order: list[Column], rn: str = "rn", n: str
     ``order`` must be a total order (end it with a unique key) for the
     numbering to be deterministic.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    indexed = (df.repartitionByRange(parts, *order)
+    ensure_checkpoint_dir(df.sparkSession)
+    # Without an explicit count AQE sizes the range partitions from the map
+    # output (coalescing keeps them contiguous and sorted, so numbering holds).
+    shuffled = df.repartitionByRange(partitions, *order) if partitions else df.repartitionByRange(*order)
+    indexed = (shuffled
                  .sortWithinPartitions(*order)
                  .withColumn("__gr_pid", F.spark_partition_id())
                  .withColumn("__gr_local", F.monotonically_increasing_id()

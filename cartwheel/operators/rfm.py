@@ -102,7 +102,7 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
         F.sum(REV).alias("monetary"),
         F.count(F.lit(1)).alias("__lines"))
     overall = per.agg(F.max("__last").alias("__max_all"), F.min("__first").alias("__min_all"))
-    span_days = elapsed_days("__min_all", "__max_all").cast("double")
+    span_days = elapsed_days("__max_all", "__min_all").cast("double")
     overall = overall.select(
         "__max_all",
         (F.lit(12.0) / F.greatest(F.lit(1.0), span_days / F.lit(30.0))).alias("__factor"))
@@ -114,16 +114,18 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
                        ratio("monetary", "__lines").alias("avg_order_value"),
                        "__factor"))
 
-    # R: qcut on the recency values (edges are exact quantiles), labels reversed.
-    edges = exact_quantiles(base, "recency", "customer_id", QUINTILES, [f"__e{i}" for i in range(6)])
-    scored = base.crossJoin(F.broadcast(edges))
-    scored = scored.withColumn(
-        "r_score", qcut_values(F.col("recency"), [F.col(f"__e{i}") for i in range(6)], [5, 4, 3, 2, 1])
-    ).drop(*[f"__e{i}" for i in range(6)])
     # F and M: qcut on first-ranks (ties by customer_id, the frame's order in the original).
+    # Each ranking reads the previous one's checkpoint, so the fact table is aggregated once.
+    scored = base
     for value, out in (("frequency", "f_score"), ("monetary", "m_score")):
         ranked = global_row_number(scored, [F.col(value).asc(), F.col("customer_id").asc()], "__rn", "__n")
         scored = ranked.withColumn(out, qcut_first(F.col("__rn"), F.col("__n"), 5)).drop("__rn", "__n")
+    # R: qcut on the recency values (edges are exact quantiles), labels reversed.
+    edges = exact_quantiles(scored, "recency", "customer_id", QUINTILES, [f"__e{i}" for i in range(6)])
+    scored = scored.crossJoin(F.broadcast(edges))
+    scored = scored.withColumn(
+        "r_score", qcut_values(F.col("recency"), [F.col(f"__e{i}") for i in range(6)], [5, 4, 3, 2, 1])
+    ).drop(*[f"__e{i}" for i in range(6)])
 
     rfm_score = (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("bigint")
     scored = scored.withColumn("rfm_score", rfm_score) \

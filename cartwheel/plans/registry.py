@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators.clean import quality_counts
 from cartwheel.operators import rfm
+from cartwheel.plans import dashboard as app
 from cartwheel.plans import questions as q
 from cartwheel.plans.common import fact_from_testdata, finalize
 from cartwheel.sources import testdata
@@ -19,6 +20,14 @@ def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fact_from_testdata(spark, sf_dir)
 
 
+def _app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_from_testdata(spark, sf_dir, trim_description=False)
+
+
+def _app_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rfm.app_rfm(_app_fact(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": lambda s, d: finalize(_fact(s, d)),
     "etl_quality_counts": lambda s, d: quality_counts(testdata.raw_transactions(s, d)),
@@ -33,4 +42,20 @@ QUERIES: dict[str, Query] = {
     "q09_revenue_deciles": lambda s, d: q.q09_revenue_deciles(_fact(s, d)),
     "q10_day_hour": lambda s, d: q.q10_day_hour(_fact(s, d)),
     "q12_kpi": lambda s, d: q.q12_kpi(_fact(s, d)),
+    "app_rfm": lambda s, d: finalize(_app_rfm(s, d)),
+    "app_kpis": lambda s, d: app.app_kpis(_app_rfm(s, d)),
+    "app_segment_counts": lambda s, d: app.app_segment_counts(_app_rfm(s, d)),
+    "app_segment_revenue": lambda s, d: app.app_segment_revenue(_app_rfm(s, d)),
+    "app_recency_hist": lambda s, d: app.app_recency_hist(_app_rfm(s, d)),
+    "app_frequency_hist": lambda s, d: app.app_frequency_hist(_app_rfm(s, d)),
+    "app_clv_by_segment": lambda s, d: app.app_clv_by_segment(_app_rfm(s, d)),
+    "app_frequency_vs_clv": lambda s, d: app.app_frequency_vs_clv(_app_rfm(s, d)),
+    "app_top20_clv": lambda s, d: app.app_top20_clv(_app_rfm(s, d)),
+    "app_reactivation": lambda s, d: app.app_reactivation(_app_rfm(s, d)),
+    "app_segment_options": lambda s, d: app.app_segment_options(_app_rfm(s, d)),
+    "app_explorer": lambda s, d: app.app_explorer(_app_rfm(s, d)),
+    "app_explorer_kpis": lambda s, d: app.app_explorer_kpis(_app_rfm(s, d)),
+    "app_monthly_revenue": lambda s, d: app.app_monthly_revenue(_app_fact(s, d)),
+    "app_top_countries": lambda s, d: app.app_top_countries(_app_fact(s, d)),
+    "app_top_products": lambda s, d: app.app_top_products(_app_fact(s, d)),
 }
