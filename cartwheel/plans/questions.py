@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.calendar import day_name, month_key
-from cartwheel.functions.numeric import ratio, round_half_up
+from cartwheel.functions.numeric import pct_of, ratio, round_half_up
 from cartwheel.operators.cohort import cohort_retention
 from cartwheel.operators.gaps import customer_gap_stats
 from cartwheel.operators.ranking import global_row_number, ntile
@@ -64,6 +64,57 @@ def q02_segment_revenue(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
     )).orderBy(F.col("segment_revenue").desc(), "rfm_segment")
 
 
+def q03_top_customers(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, k: int = 10) -> DataFrame:
+    """Q3: top-k customers by revenue with segment, RFM figures and predicted CLV.
+
+    Customer totals first, then two customer-grain joins on the same key;
+    customers without a prediction drop out, as with the original inner join.
+    """
+    cust = valid_lines(fact).groupBy("customer_id").agg(
+        F.sum(REV).alias("total_revenue"), F.count_distinct("invoice_no").alias("total_orders"))
+    j = (cust.join(customer_rfm, "customer_id")
+             .join(pred.select("customer_id", "predicted_clv_12m"), "customer_id"))
+    top = top_k_with_rank(j, k, "total_revenue", ["customer_id"], "revenue_rank")
+    return finalize(top.select(
+        "customer_id", "rfm_segment", "recency_days", "frequency",
+        F.col("monetary").alias("historical_spend"),
+        round_half_up(F.col("predicted_clv_12m")).alias("predicted_clv_12m"),
+        "total_revenue", "total_orders", "revenue_rank",
+    )).orderBy(F.col("total_revenue").desc(), "customer_id")
+
+
+def q04_churn_risk(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, as_of: str | None = None,
+                   min_orders: int = 3, silent_days: int = 90) -> DataFrame:
+    """Q4: customers with >= min_orders invoices silent for more than silent_days.
+
+    ``as_of`` is the reference date: None = today, 'data_max' = the last
+    invoice date in the data (a one-row aggregate, broadcast), or a literal
+    date.  Predicted CLV is reported to the cent.
+    """
+    lines = valid_lines(fact)
+    stats = (lines.groupBy("customer_id")
+                  .agg(F.max("invoice_date").alias("last_purchase_date"),
+                       F.count_distinct("invoice_no").alias("total_orders"),
+                       F.sum(REV).alias("total_spend"))
+                  .filter(F.col("total_orders") >= min_orders))
+    if as_of == "data_max":
+        ref = lines.agg(F.to_date(F.max("invoice_date")).alias("__as_of"))
+    elif as_of is None:
+        ref = stats.sparkSession.range(1).select(F.current_date().alias("__as_of"))
+    else:
+        ref = stats.sparkSession.range(1).select(F.to_date(F.lit(as_of)).alias("__as_of"))
+    days = F.datediff(F.col("__as_of"), F.col("last_purchase_date")).cast("bigint")
+    silent = (stats.crossJoin(F.broadcast(ref))
+                   .withColumn("days_since_last_purchase", days)
+                   .filter(F.col("days_since_last_purchase") > silent_days))
+    j = (silent.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
+               .join(pred.select("customer_id", "predicted_clv_12m"), "customer_id"))
+    return finalize(j.select(
+        "customer_id", "last_purchase_date", "days_since_last_purchase", "total_orders", "total_spend",
+        "rfm_segment", round_half_up(F.col("predicted_clv_12m")).alias("predicted_clv_12m"),
+    )).orderBy(F.col("total_spend").desc(), "customer_id")
+
+
 def q05_country_revenue(fact: DataFrame) -> DataFrame:
     """Q5: revenue contribution and rank per country."""
     countries = (valid_lines(fact, require_customer=True)
@@ -154,6 +205,28 @@ def q10_day_hour(fact: DataFrame, k: int = 20) -> DataFrame:
     )).orderBy(F.col("total_revenue").desc(), "day_of_week", "hour_of_day")
 
 
+def q11_clv_by_segment(customer_rfm: DataFrame, pred: DataFrame) -> DataFrame:
+    """Q11: predicted 12-month CLV and RFM averages per segment, with CLV share."""
+    j = customer_rfm.join(pred.select("customer_id", "predicted_clv_12m"), "customer_id")
+    seg = j.groupBy("rfm_segment").agg(
+        F.count(F.lit(1)).alias("num_customers"),
+        F.sum("predicted_clv_12m").alias("clv"),
+        F.sum("recency_days").alias("rec"),
+        F.sum("frequency").alias("freq"),
+        F.sum("monetary").alias("mon"))
+    total = seg.agg(F.sum("clv").alias("__clv_all"))
+    seg = seg.crossJoin(F.broadcast(total))
+    return finalize(seg.select(
+        "rfm_segment", "num_customers",
+        round_half_up(ratio("clv", "num_customers")).alias("avg_predicted_clv"),
+        round_half_up(F.col("clv")).alias("total_clv_opportunity"),
+        round_half_up(ratio("rec", "num_customers"), 1).alias("avg_recency_days"),
+        round_half_up(ratio("freq", "num_customers"), 1).alias("avg_purchase_frequency"),
+        round_half_up(ratio("mon", "num_customers")).alias("avg_historical_spend"),
+        pct_of(F.col("clv"), F.col("__clv_all")).alias("clv_share_pct"),
+    )).orderBy(F.col("total_clv_opportunity").desc(), "rfm_segment")
+
+
 def q12_kpi(fact: DataFrame) -> DataFrame:
     """Q12: one-row executive summary."""
     f = valid_lines(fact, require_customer=True)
