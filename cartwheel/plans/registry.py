@@ -12,30 +12,42 @@ from cartwheel.plans import dashboard as app
 from cartwheel.plans import models
 from cartwheel.plans import questions as q
 from cartwheel.plans.common import fact_from_testdata, finalize
+from cartwheel.plans.tables import materialize
 from cartwheel.sources import testdata
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+# Shared tables: written once per session and input folder (see plans.tables).
+
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_from_testdata(spark, sf_dir)
+    """fact_transactions: the ETL output."""
+    return materialize(spark, "fact_transactions", sf_dir, lambda: fact_from_testdata(spark, sf_dir))
 
 
-def _pred_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return models.pred_customer_clv_fixed(_fact(spark, sf_dir))
+def _app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dashboard loader's frame (descriptions not trimmed)."""
+    return materialize(spark, "app_fact_transactions", sf_dir,
+                       lambda: fact_from_testdata(spark, sf_dir, trim_description=False))
 
 
-def _clv_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred, _, _ = models.fit_and_predict(_fact(spark, sf_dir))
-    return models.to_cents(pred)
+def _customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(spark, "customer_rfm", sf_dir, lambda: rfm.customer_rfm(_fact(spark, sf_dir)))
 
 
-def _app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fact_from_testdata(spark, sf_dir, trim_description=False)
+def _pred_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """pred_customer_clv from the published CDNOW parameters."""
+    return materialize(spark, "pred_customer_clv", sf_dir,
+                       lambda: models.pred_customer_clv_fixed(_fact(spark, sf_dir)))
 
 
 def _app_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rfm.app_rfm(_app_fact(spark, sf_dir))
+    return materialize(spark, "app_rfm", sf_dir, lambda: rfm.app_rfm(_app_fact(spark, sf_dir)))
+
+
+def _clv_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pred, _, _ = models.fit_and_predict(_fact(spark, sf_dir))
+    return models.to_cents(pred)
 
 
 QUERIES: dict[str, Query] = {
@@ -43,19 +55,19 @@ QUERIES: dict[str, Query] = {
     "etl_quality_counts": lambda s, d: quality_counts(testdata.raw_transactions(s, d)),
     "q01_monthly_revenue": lambda s, d: q.q01_monthly_revenue(_fact(s, d)),
     "rfm_scores": lambda s, d: finalize(rfm.rfm_scores(_fact(s, d))),
-    "customer_rfm": lambda s, d: finalize(rfm.customer_rfm(_fact(s, d))),
-    "q02_segment_revenue": lambda s, d: q.q02_segment_revenue(_fact(s, d), rfm.customer_rfm(_fact(s, d))),
-    "q03_top_customers": lambda s, d: q.q03_top_customers(_fact(s, d), rfm.customer_rfm(_fact(s, d)),
+    "customer_rfm": lambda s, d: finalize(_customer_rfm(s, d)),
+    "q02_segment_revenue": lambda s, d: q.q02_segment_revenue(_fact(s, d), _customer_rfm(s, d)),
+    "q03_top_customers": lambda s, d: q.q03_top_customers(_fact(s, d), _customer_rfm(s, d),
                                                           _pred_fixed(s, d)),
-    "q04_churn_risk": lambda s, d: q.q04_churn_risk(_fact(s, d), rfm.customer_rfm(_fact(s, d)),
+    "q04_churn_risk": lambda s, d: q.q04_churn_risk(_fact(s, d), _customer_rfm(s, d),
                                                     _pred_fixed(s, d), as_of="data_max"),
     "q05_country_revenue": lambda s, d: q.q05_country_revenue(_fact(s, d)),
     "q06_top_products": lambda s, d: q.q06_top_products(_fact(s, d)),
     "q08_cohort_retention": lambda s, d: q.q08_cohort_retention(_fact(s, d)),
-    "q07_purchase_gaps": lambda s, d: q.q07_purchase_gaps(_fact(s, d), rfm.customer_rfm(_fact(s, d))),
+    "q07_purchase_gaps": lambda s, d: q.q07_purchase_gaps(_fact(s, d), _customer_rfm(s, d)),
     "q09_revenue_deciles": lambda s, d: q.q09_revenue_deciles(_fact(s, d)),
     "q10_day_hour": lambda s, d: q.q10_day_hour(_fact(s, d)),
-    "q11_clv_by_segment": lambda s, d: q.q11_clv_by_segment(rfm.customer_rfm(_fact(s, d)), _pred_fixed(s, d)),
+    "q11_clv_by_segment": lambda s, d: q.q11_clv_by_segment(_customer_rfm(s, d), _pred_fixed(s, d)),
     "q12_kpi": lambda s, d: q.q12_kpi(_fact(s, d)),
     "clv_summary": lambda s, d: models.clv_summary_table(_fact(s, d)),
     "clv_predict_fixed": lambda s, d: models.to_cents(_pred_fixed(s, d)),
