@@ -91,8 +91,8 @@ def _grad_hess(fs: list[float], d: int, h: float) -> tuple[np.ndarray, np.ndarra
     return g, hess
 
 
-def minimize(evaluate: Evaluate, theta0, max_iter: int = 40, h: float = 1e-4, tol: float = 1e-9,
-             max_step: float = 5.0, bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
+def minimize(evaluate: Evaluate, theta0, max_iter: int = 40, h: float = 1e-4, tol: float = 1e-8,
+             max_step: float = 10.0, bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
     """Damped Newton with a finite-difference Hessian.
 
     Eigenvalues of the Hessian are made positive so every step goes downhill;

@@ -9,21 +9,33 @@ from cartwheel.functions.numeric import pct_of
 
 
 def with_share_of_total(df: DataFrame, value: str, out: str, digits: int = 2,
-                        total_of: DataFrame | None = None) -> DataFrame:
-    """Add ROUND(value / SUM(value) OVER () * 100, digits).
+                        total_of: DataFrame | None = None, total_value: str | None = None) -> DataFrame:
+    """Add ROUND(value / total * 100, digits) for a frame of any size.
 
     ``SUM(..) OVER ()`` would move every row to one partition; instead the
-    total is a separate global aggregate (exactly one row, partial+final
-    aggregation) joined back as a broadcast.  ``total_of`` lets the total come
-    from a different (e.g. un-limited) frame.
+    total is a global aggregate (exactly one row, partial sums per input
+    partition) joined back as a broadcast.  ``total_of``/``total_value`` let
+    the total come from another frame, e.g. the input lines themselves,
+    which costs one partial-sum pass instead of re-aggregating the grain.
     """
     src = df if total_of is None else total_of
-    total = src.agg(F.sum(value).alias("__share_total"))
+    total = src.agg(F.sum(total_value or value).alias("__share_total"))
     return (df.crossJoin(F.broadcast(total))
               .withColumn(out, pct_of(F.col(value), F.col("__share_total"), digits))
               .drop("__share_total"))
 
 
+def with_share_small(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:
+    """ROUND(value / SUM(value) OVER () * 100, digits) for a frame whose size is
+    bounded by a code list or a calendar (segments, countries, deciles, months).
+
+    The window moves those few aggregated rows to one partition, and the
+    frame is computed once, so nothing upstream is re-derived for the total.
+    """
+    total = F.sum(F.col(value)).over(Window.partitionBy())
+    return df.withColumn(out, pct_of(F.col(value), total, digits))
+
+
 def top_k_with_rank(df: DataFrame, k: int, value: str, tiebreak: list[str],
                     rank_col: str, dense: bool = False) -> DataFrame:
     """ORDER BY value DESC LIMIT k plus RANK()/DENSE_RANK() OVER (ORDER BY value DESC).

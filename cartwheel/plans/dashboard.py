@@ -13,8 +13,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.calendar import month_key
-from cartwheel.functions.numeric import pct_of, ratio, round_half_up
+from cartwheel.functions.numeric import ratio, round_half_up
 from cartwheel.operators.histogram import equal_width_histogram
+from cartwheel.operators.shares import with_share_small
 from cartwheel.plans.common import finalize
 
 CHURNED = ["At Risk", "Hibernating", "Lost"]
@@ -42,10 +43,7 @@ def app_kpis(rfm: DataFrame) -> DataFrame:
 def app_segment_counts(rfm: DataFrame) -> DataFrame:
     """Segment mix with the pie chart's one-decimal percentages."""
     seg = rfm.groupBy("segment").agg(F.count(F.lit(1)).alias("n"))
-    total = seg.agg(F.sum("n").alias("__t"))
-    return (seg.crossJoin(F.broadcast(total))
-               .select("segment", "n", pct_of(F.col("n"), F.col("__t"), 1).alias("pct"))
-               .orderBy(F.col("n").desc(), "segment"))
+    return with_share_small(seg, "n", "pct", 1).orderBy(F.col("n").desc(), "segment")
 
 
 def app_segment_revenue(rfm: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from cartwheel.functions.numeric import pct_of, ratio, round_half_up
 from cartwheel.operators.cohort import cohort_retention
 from cartwheel.operators.gaps import customer_gap_stats
 from cartwheel.operators.ranking import global_row_number, ntile
-from cartwheel.operators.shares import rank_small, top_k_with_rank, with_share_of_total
+from cartwheel.operators.shares import rank_small, top_k_with_rank, with_share_of_total, with_share_small
 from cartwheel.plans.common import finalize, valid_lines
 
 REV = "total_line_revenue"
@@ -55,8 +55,8 @@ def q02_segment_revenue(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("num_customers"),  # one row per customer after the pre-aggregation
         F.sum("customer_revenue").alias("segment_revenue"),
         F.max("customer_revenue").alias("top_customer_revenue"))
-    seg = with_share_of_total(seg, "segment_revenue", "pct_of_total_revenue")
-    seg = with_share_of_total(seg, "num_customers", "pct_of_total_customers")
+    seg = with_share_small(seg, "segment_revenue", "pct_of_total_revenue")
+    seg = with_share_small(seg, "num_customers", "pct_of_total_customers")
     return finalize(seg.select(
         "rfm_segment", "num_customers", "segment_revenue",
         round_half_up(ratio("segment_revenue", "num_customers")).alias("avg_revenue_per_customer"),
@@ -123,7 +123,7 @@ def q05_country_revenue(fact: DataFrame) -> DataFrame:
                       F.count_distinct("invoice_no").alias("total_orders"),
                       F.sum(REV).alias("total_revenue"),
                       F.count(F.lit(1)).alias("n_lines")))
-    out = with_share_of_total(countries, "total_revenue", "revenue_share_pct")
+    out = with_share_small(countries, "total_revenue", "revenue_share_pct")
     out = rank_small(out, "total_revenue", "revenue_rank")
     return finalize(out.select(
         "country", "unique_customers", "total_orders", "total_revenue",
@@ -134,14 +134,15 @@ def q05_country_revenue(fact: DataFrame) -> DataFrame:
 
 def q06_top_products(fact: DataFrame, k: int = 10) -> DataFrame:
     """Q6: top-k products by revenue; the share is of all products' revenue."""
-    products = (valid_lines(fact)
+    lines = valid_lines(fact)
+    products = (lines
                 .groupBy("stock_code", "description")
                 .agg(F.sum("quantity").cast("bigint").alias("units_sold"),
                      F.count_distinct("invoice_no").alias("times_ordered"),
                      F.sum(REV).alias("product_revenue")))
     top = top_k_with_rank(products, k, "product_revenue", ["stock_code", "description"],
                           "revenue_rank", dense=True)
-    top = with_share_of_total(top, "product_revenue", "pct_of_total_revenue", total_of=products)
+    top = with_share_of_total(top, "product_revenue", "pct_of_total_revenue", total_of=lines, total_value=REV)
     return finalize(top.select(
         "stock_code", "description", "units_sold", "times_ordered", "product_revenue",
         "pct_of_total_revenue", "revenue_rank",
@@ -181,7 +182,7 @@ def q09_revenue_deciles(fact: DataFrame) -> DataFrame:
         F.min("total_revenue").alias("min_revenue"),
         F.max("total_revenue").alias("max_revenue"),
         F.sum("total_revenue").alias("decile_total_revenue"))
-    agg = with_share_of_total(agg, "decile_total_revenue", "pct_of_total_revenue")
+    agg = with_share_small(agg, "decile_total_revenue", "pct_of_total_revenue")
     return finalize(agg.select(
         "revenue_decile", "num_customers", "min_revenue", "max_revenue",
         round_half_up(ratio("decile_total_revenue", "num_customers")).alias("avg_revenue"),
@@ -214,8 +215,7 @@ def q11_clv_by_segment(customer_rfm: DataFrame, pred: DataFrame) -> DataFrame:
         F.sum("recency_days").alias("rec"),
         F.sum("frequency").alias("freq"),
         F.sum("monetary").alias("mon"))
-    total = seg.agg(F.sum("clv").alias("__clv_all"))
-    seg = seg.crossJoin(F.broadcast(total))
+    seg = seg.withColumn("__clv_all", F.sum("clv").over(Window.partitionBy()))  # seven segments
     return finalize(seg.select(
         "rfm_segment", "num_customers",
         round_half_up(ratio("clv", "num_customers")).alias("avg_predicted_clv"),
