@@ -45,7 +45,9 @@ def clv_summary(fact: DataFrame, observation_end: str | None = None, repeat_only
     if observation_end is not None:
         end = per.sparkSession.range(1).select(F.to_date(F.lit(observation_end)).alias("end_d"))
     else:
-        end = per.agg(F.max("last_d").alias("end_d"))
+        # One-column partial aggregate over the lines (no shuffle), rather than
+        # a second pass of the per-customer aggregation.
+        end = f.agg(F.to_date(F.max("invoice_date")).alias("end_d"))
     freq = F.col("n_days") - F.lit(1)
     out = per.crossJoin(F.broadcast(end)).select(
         "customer_id",

@@ -41,14 +41,15 @@ def rfm_base(fact: DataFrame) -> DataFrame:
     """Per customer: recency (calendar days from the customer's last invoice to the
     last invoice in the data), distinct invoices, DECIMAL revenue.
 
-    The dataset maximum is the max of the per-customer maxima (one row,
-    broadcast), so the fact table is aggregated once.
+    The dataset maximum (the original's scalar subquery) is a one-column
+    global aggregate over the lines: partial maxima per partition, one row,
+    broadcast; no second pass of the per-customer aggregation.
     """
     per = fact.groupBy("customer_id").agg(
         F.max("invoice_date").alias("__last"),
         F.count_distinct("invoice_no").alias("frequency"),
         F.sum(REV).alias("monetary"))
-    overall = per.agg(F.max("__last").alias("__max_all"))
+    overall = fact.agg(F.max("invoice_date").alias("__max_all"))
     return (per.crossJoin(F.broadcast(overall))
                .select("customer_id", calendar_days("__max_all", "__last").alias("recency"),
                        "frequency", "monetary"))
@@ -101,7 +102,7 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
         F.count_distinct("invoice_no").alias("frequency"),
         F.sum(REV).alias("monetary"),
         F.count(F.lit(1)).alias("__lines"))
-    overall = per.agg(F.max("__last").alias("__max_all"), F.min("__first").alias("__min_all"))
+    overall = app_fact.agg(F.max("invoice_date").alias("__max_all"), F.min("invoice_date").alias("__min_all"))
     span_days = elapsed_days("__max_all", "__min_all").cast("double")
     overall = overall.select(
         "__max_all",
