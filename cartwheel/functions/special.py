@@ -40,6 +40,22 @@ def lgamma(z: Column) -> Column:
     return F.when(small, stirling - F.log(prod)).otherwise(stirling)
 
 
+def digamma(z: Column) -> Column:
+    """psi(z) = d/dz ln Gamma(z) for z > 0: asymptotic series at w = z (or z + 8,
+    undoing the shift with sum 1/(z+i)).  Absolute error below 1e-12."""
+    small = z < F.lit(float(_SHIFT))
+    w = F.when(small, z + F.lit(float(_SHIFT))).otherwise(z)
+    inv = F.lit(1.0) / w
+    inv2 = inv * inv
+    series = inv2 * (F.lit(1.0 / 12) - inv2 * (F.lit(1.0 / 120) - inv2 * (
+        F.lit(1.0 / 252) - inv2 * (F.lit(1.0 / 240) - inv2 * F.lit(1.0 / 132)))))
+    asym = F.log(w) - F.lit(0.5) * inv - series
+    shift = F.lit(1.0) / z
+    for i in range(1, _SHIFT):
+        shift = shift + F.lit(1.0) / (z + F.lit(float(i)))
+    return F.when(small, asym - shift).otherwise(asym)
+
+
 def hyp2f1_series(a: Column, b: Column, c: Column, z: Column, terms: int = 200) -> Column:
     """Gauss 2F1(a, b; c; z) = sum_j (a)_j (b)_j / ((c)_j j!) z^j, |z| < 1, first ``terms`` terms.
 

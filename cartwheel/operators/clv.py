@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.numeric import ratio
-from cartwheel.functions.special import hyp2f1, lgamma
+from cartwheel.functions.special import digamma, hyp2f1, lgamma
 
 # Published CDNOW estimates (BG/NBD in weeks, converted to days
 # for alpha; Gamma-Gamma in dollars), used as literal parameters.
@@ -97,6 +97,56 @@ def bgnbd_loglik_stages(x: str, t_x: str, t_obs: str, r: Column, alpha: Column,
     return [first, [ll.alias(out)]]
 
 
+def bgnbd_score_stages(x: str, t_x: str, t_obs: str, r: Column, alpha: Column, a: Column,
+                       b: Column) -> list[list[Column]]:
+    """Log-likelihood ``__ll`` and its gradient with respect to the log-parameters
+    (``__g0..__g3`` for log r, log alpha, log a, log b), per customer."""
+    xd = F.col(x).cast("double")
+    first = [(r + xd).alias("__g_rx"), (a + b).alias("__g_ab"), (b + xd).alias("__g_bx"),
+             (a + b + xd).alias("__g_abx"),
+             (-(r + xd) * F.log(alpha + F.col(t_obs))).alias("__a3"),
+             (F.log(a) - F.log(b + F.greatest(xd, F.lit(1.0)) - F.lit(1.0))
+              - (r + xd) * F.log(F.col(t_x) + alpha)).alias("__a4")]
+    a3, a4 = F.col("__a3"), F.col("__a4")
+    mx = F.greatest(a3, a4)
+    repeat = F.when(F.col(x) > 0, F.lit(1.0)).otherwise(F.lit(0.0))
+    e3, e4 = F.exp(a3 - mx), F.exp(a4 - mx) * repeat
+    second = [(e3 / (e3 + e4)).alias("__w3"),
+              (lgamma(F.col("__g_rx")) - lgamma(r) + r * F.log(alpha)
+               + lgamma(F.col("__g_ab")) + lgamma(F.col("__g_bx")) - lgamma(b) - lgamma(F.col("__g_abx"))
+               + F.log(e3 + e4) + mx).alias("__ll"),
+              digamma(F.col("__g_rx")).alias("__d_rx"), digamma(r).alias("__d_r"),
+              digamma(F.col("__g_ab")).alias("__d_ab"), digamma(F.col("__g_bx")).alias("__d_bx"),
+              digamma(b).alias("__d_b"), digamma(F.col("__g_abx")).alias("__d_abx")]
+    w3 = F.col("__w3")
+    w4 = F.lit(1.0) - w3
+    d_r = F.col("__d_rx") - F.col("__d_r") + F.log(alpha) - w3 * F.log(alpha + F.col(t_obs)) \
+        - w4 * F.log(alpha + F.col(t_x))
+    d_alpha = r / alpha - w3 * (r + xd) / (alpha + F.col(t_obs)) - w4 * (r + xd) / (alpha + F.col(t_x))
+    d_a = F.col("__d_ab") - F.col("__d_abx") + w4 / a
+    d_b = F.col("__d_ab") + F.col("__d_bx") - F.col("__d_b") - F.col("__d_abx") \
+        - w4 / (b + F.greatest(xd, F.lit(1.0)) - F.lit(1.0))
+    third = [(r * d_r).alias("__g0"), (alpha * d_alpha).alias("__g1"), (a * d_a).alias("__g2"),
+             (b * d_b).alias("__g3")]
+    return [first, second, third]
+
+
+def gamma_gamma_score_stages(x: str, m: str, p: Column, q: Column, v: Column) -> list[list[Column]]:
+    """Gamma-Gamma ``__ll`` and its gradient w.r.t. log p, log q, log v (``__g0..__g2``)."""
+    xd = F.col(x).cast("double")
+    first = [(p * xd).alias("__g_px"), (p * xd + q).alias("__g_pxq")]
+    px, pxq = F.col("__g_px"), F.col("__g_pxq")
+    lxmv = F.log(xd * F.col(m) + v)
+    second = [(lgamma(pxq) - lgamma(px) - lgamma(q) + q * F.log(v) + (px - F.lit(1.0)) * F.log(F.col(m))
+               + px * F.log(xd) - (px + q) * lxmv).alias("__ll"),
+              digamma(pxq).alias("__d_pxq"), digamma(px).alias("__d_px"), digamma(q).alias("__d_q")]
+    d_p = xd * (F.col("__d_pxq") - F.col("__d_px") + F.log(F.col(m)) + F.log(xd) - lxmv)
+    d_q = F.col("__d_pxq") - F.col("__d_q") + F.log(v) - lxmv
+    d_v = q / v - (px + q) / (xd * F.col(m) + v)
+    third = [(p * d_p).alias("__g0"), (q * d_q).alias("__g1"), (v * d_v).alias("__g2")]
+    return [first, second, third]
+
+
 def gamma_gamma_loglik_stages(x: str, m: str, p: Column, q: Column, v: Column,
                               out: str = "__ll") -> list[list[Column]]:
     """``gamma_gamma_loglik`` as two projections (log-gamma arguments first)."""
