@@ -22,13 +22,14 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def _fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """fact_transactions: the ETL output."""
-    return materialize(spark, "fact_transactions", sf_dir, lambda: fact_from_testdata(spark, sf_dir))
+    return materialize(spark, "fact_transactions", sf_dir, lambda: fact_from_testdata(spark, sf_dir),
+                       bucket_by="customer_id")
 
 
 def _app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The dashboard loader's frame (descriptions not trimmed)."""
     return materialize(spark, "app_fact_transactions", sf_dir,
-                       lambda: fact_from_testdata(spark, sf_dir, trim_description=False))
+                       lambda: fact_from_testdata(spark, sf_dir, trim_description=False), bucket_by="customer_id")
 
 
 def _customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
