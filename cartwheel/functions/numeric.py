@@ -20,7 +20,9 @@ def round_half_up(c, digits: int = 2) -> Column:
 
     Built-in ROUND rounds the decimal representation in one engine and the
     binary value in another, so results drift apart on ties such as 1.005;
-    this form gives the same bits everywhere.
+    this form is plain IEEE arithmetic and gives the same bits everywhere.
+    It rounds the binary value half toward +infinity (1.005 is stored as
+    1.00499999... and gives 1.0; 0.125 gives 0.13; -0.125 gives -0.12).
     """
     scale = float(10 ** digits)
     return F.floor(as_double(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
