@@ -18,6 +18,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from cartwheel.session import ensure_checkpoint_dir
 
 _MEMO: dict[tuple, str] = {}
+_LOCK = threading.RLock()  # one build per table even if queries run from several threads
 
 
 def _input_signature(sf_dir: str) -> tuple:
@@ -47,25 +49,31 @@ def materialize(spark: SparkSession, name: str, sf_dir: str, build: Callable[[],
     defaults to ``spark.sql.shuffle.partitions``.
     """
     key = (spark.sparkContext.applicationId, name, _input_signature(sf_dir), bucket_by)
-    target = _MEMO.get(key)
-    if target is None:
-        root = ensure_checkpoint_dir(spark).rstrip("/")
-        digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-        path = f"{root}/cartwheel-tables/{name}-{digest}"
-        if bucket_by:
-            n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-            target = f"cartwheel_{name}_{digest}"
-            (build().write.mode("overwrite").format("parquet").option("path", path)
-                    .bucketBy(n, bucket_by).saveAsTable(target))
-        else:
-            build().write.mode("overwrite").parquet(path)
-            target = path
-        _MEMO[key] = target
+    with _LOCK:
+        target = _MEMO.get(key) or _build(spark, key, name, build, bucket_by, buckets)
     return spark.table(target) if bucket_by else spark.read.parquet(target)
 
 
+def _build(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame],
+           bucket_by: str | None, buckets: int | None) -> str:
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
+    path = f"{root}/cartwheel-tables/{name}-{digest}"
+    if bucket_by:
+        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        target = f"cartwheel_{name}_{digest}"
+        (build().write.mode("overwrite").format("parquet").option("path", path)
+                .bucketBy(n, bucket_by).saveAsTable(target))
+    else:
+        build().write.mode("overwrite").parquet(path)
+        target = path
+    _MEMO[key] = target
+    return target
+
+
 def forget(spark: SparkSession | None = None) -> None:
     """Drop memo entries (all, or one application's)."""
-    for k in list(_MEMO):
-        if spark is None or k[0] == spark.sparkContext.applicationId:
-            del _MEMO[k]
+    with _LOCK:
+        for k in list(_MEMO):
+            if spark is None or k[0] == spark.sparkContext.applicationId:
+                del _MEMO[k]
