@@ -145,45 +145,61 @@ def minimize_bhhh(evaluate: EvaluateMoments, theta0, max_iter: int = 100, tol: f
 
 
 def minimize_newton(evaluate: EvaluateMoments, theta0, max_iter: int = 60, h: float = 1e-5,
-                    tol: float = 1e-8, max_step: float = 10.0,
+                    tol: float = 1e-8, gtol: float = 1e-7, max_step: float = 10.0,
                     bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
     """Damped Newton with analytic gradients and a Hessian from forward differences
-    of the gradient (d extra candidates).  Each job evaluates the line search plus
-    the Hessian points around the full step, so an accepted full step is one job."""
-    theta = np.clip(np.asarray(theta0, dtype=float), *bounds)
+    of the gradient (d extra candidates).
+
+    Each job evaluates the line search plus the Hessian points around the full
+    and the half step, so accepting either costs one job.  Log-parameters stay
+    in ``bounds``; a coordinate at a bound whose gradient pushes outwards is
+    held there (active set) and the Newton step is solved on the others.
+    """
+    lo, hi = bounds
+    theta = np.clip(np.asarray(theta0, dtype=float), lo, hi)
     d = len(theta)
 
     def fwd(t):
         pts = []
         for i in range(d):
             p = t.copy()
-            p[i] += h
+            p[i] += h if p[i] + h <= hi else -h
             pts.append(p)
         return pts
 
-    def hessian(g0, gs):
-        hm = np.column_stack([(gi - g0) / h for gi in gs])
+    def hessian(t, g0, gs):
+        steps = [(p - t)[i] for i, p in enumerate(fwd(t))]
+        hm = np.column_stack([(gi - g0) / st for gi, st in zip(gs, steps)])
         return 0.5 * (hm + hm.T)
 
+    def free_mask(t, g):
+        return ~(((t <= lo + 1e-12) & (g > 0)) | ((t >= hi - 1e-12) & (g < 0)))
+
     res = evaluate([theta] + fwd(theta))
     f, g = res[0][0], res[0][1]
-    hm = hessian(g, [r[1] for r in res[1:]])
+    hm = hessian(theta, g, [r[1] for r in res[1:]])
     it = 0
     alphas = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
     for it in range(1, max_iter + 1):
         if not math.isfinite(f) or not np.all(np.isfinite(hm)):
             break
-        w, vecs = np.linalg.eigh(hm)
+        free = free_mask(theta, g)
+        if not free.any() or float(np.abs(g[free]).max()) < gtol:
+            break
+        hf = hm[np.ix_(free, free)]
+        w, vecs = np.linalg.eigh(hf)
         w = np.maximum(np.abs(w), 1e-8 * max(1.0, float(np.abs(w).max())))
-        step = -(vecs @ ((vecs.T @ g) / w))
+        step = np.zeros(d)
+        step[free] = -(vecs @ ((vecs.T @ g[free]) / w))
         big = float(np.abs(step).max())
         if big == 0.0 or not math.isfinite(big):
             break
         if big > max_step:
             step *= max_step / big
-        cands = [np.clip(theta + a * step, *bounds) for a in alphas]
-        res = evaluate(cands + fwd(cands[0]))
-        b = int(np.argmin([r[0] for r in res[:len(alphas)]]))
+        cands = [np.clip(theta + a * step, lo, hi) for a in alphas]
+        k = len(alphas)
+        res = evaluate(cands + fwd(cands[0]) + fwd(cands[1]))
+        b = int(np.argmin([r[0] for r in res[:k]]))
         if not res[b][0] < f:
             break
         gain = f - res[b][0]
@@ -191,9 +207,11 @@ def minimize_newton(evaluate: EvaluateMoments, theta0, max_iter: int = 60, h: fl
         if gain < tol * (1.0 + abs(f)):
             break
         if b == 0:
-            hm = hessian(g, [r[1] for r in res[len(alphas):]])
+            hm = hessian(theta, g, [r[1] for r in res[k:k + d]])
+        elif b == 1:
+            hm = hessian(theta, g, [r[1] for r in res[k + d:k + 2 * d]])
         else:
-            hm = hessian(g, [r[1] for r in evaluate(fwd(theta))])
+            hm = hessian(theta, g, [r[1] for r in evaluate(fwd(theta))])
     return {"theta": theta, "objective": f, "iterations": it}
 
 
