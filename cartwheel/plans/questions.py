@@ -246,3 +246,31 @@ def q12_kpi(fact: DataFrame) -> DataFrame:
     ))
 
 
+
+
+def pareto_share(fact: DataFrame, parts: int = 5) -> DataFrame:
+    """Share of revenue from the top 1/parts of customers (top quintile by default):
+    the customers in NTILE(parts) bucket 1 when ordered by revenue descending
+    (ties by customer_id), i.e. the first ceil(n/parts) customers."""
+    cust = valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias("rev"))
+    ranked = global_row_number(cust, [F.col("rev").desc(), F.col("customer_id").asc()])
+    top = ntile(F.col("rn"), F.col("n"), parts) == 1
+    k = ranked.agg(F.count(F.lit(1)).alias("total_customers"),
+                   F.count_if(top).alias("top_customers"),
+                   F.sum("rev").alias("total_revenue"),
+                   F.sum(F.when(top, F.col("rev"))).alias("top_revenue"))
+    return finalize(k.select("total_customers", "top_customers", "total_revenue", "top_revenue",
+                             pct_of(F.col("top_revenue"), F.col("total_revenue")).alias("top_revenue_share_pct")))
+
+
+def country_yoy_growth(fact: DataFrame) -> DataFrame:
+    """Revenue per country and calendar year with growth over the country's previous
+    active year (a window per country over its years: bounded by the calendar)."""
+    yearly = (valid_lines(fact, require_customer=True)
+              .groupBy("country", F.year("invoice_date").cast("bigint").alias("year"))
+              .agg(F.sum(REV).alias("revenue")))
+    prev = F.lag("revenue").over(Window.partitionBy("country").orderBy("year"))
+    return finalize(yearly.select(
+        "country", "year", "revenue",
+        round_half_up(ratio(F.col("revenue") - prev, prev) * F.lit(100.0)).alias("yoy_growth_pct"),
+    )).orderBy("country", "year")

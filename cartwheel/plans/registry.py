@@ -70,6 +70,8 @@ QUERIES: dict[str, Query] = {
     "q10_day_hour": lambda s, d: q.q10_day_hour(_fact(s, d)),
     "q11_clv_by_segment": lambda s, d: q.q11_clv_by_segment(_customer_rfm(s, d), _pred_fixed(s, d)),
     "q12_kpi": lambda s, d: q.q12_kpi(_fact(s, d)),
+    "pareto_share": lambda s, d: q.pareto_share(_fact(s, d)),
+    "country_yoy_growth": lambda s, d: q.country_yoy_growth(_fact(s, d)),
     "clv_summary": lambda s, d: models.clv_summary_table(_fact(s, d)),
     "clv_predict_fixed": lambda s, d: models.to_cents(_pred_fixed(s, d)),
     "clv_fit_predict": _clv_fit_predict,
