@@ -91,3 +91,19 @@ def test_qcut_values_matches_pandas_and_rejects_duplicate_edges(spark):
     bad = dup.crossJoin(e2).select(qcut_values(F.col("v"), [F.col(f"e{i}") for i in range(6)], [5, 4, 3, 2, 1]))
     with pytest.raises(Exception, match="unique"):
         bad.collect()
+
+
+def test_ntile_and_qcut_formulas_exhaustive(spark):
+    """Every (rn, n) with n <= 300: NTILE against Spark's window, qcut-first against pandas."""
+    pairs = spark.range(1, 301).select(F.col("id").alias("n")) \
+        .select("n", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("rn"))
+    w = Window.partitionBy("n").orderBy("rn")
+    got = pairs.select("n", "rn", ntile(F.col("rn"), F.col("n"), 5).alias("a5"), F.ntile(5).over(w).alias("b5"),
+                       ntile(F.col("rn"), F.col("n"), 10).alias("a10"), F.ntile(10).over(w).alias("b10"),
+                       qcut_first(F.col("rn"), F.col("n"), 5).alias("q")).toPandas()
+    assert (got.a5 == got.b5).all() and (got.a10 == got.b10).all()
+    for n, grp in got.groupby("n"):
+        if n < 2:
+            continue
+        want = pd.qcut(pd.Series(range(1, n + 1), dtype=float), 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
+        assert grp.sort_values("rn").q.tolist() == want, n
