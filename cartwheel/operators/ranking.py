@@ -116,6 +116,40 @@ def exact_quantiles(df: DataFrame, value: str, key: str, probs: list[tuple[int,
         for name, *_ in parts])
 
 
+def exact_quantiles_bounded(df: DataFrame, value: str, probs: list[tuple[int, int]],
+                            names: list[str]) -> DataFrame:
+    """``exact_quantiles`` for a column whose number of distinct values is bounded
+    by the calendar or a code list (e.g. whole days since an event).
+
+    Value counts (partial aggregation, so a value held by a third of the rows is
+    one row per partition before the shuffle), then running counts over the
+    distinct values in one small window, and the values covering the needed
+    positions.  No ranking of the rows and no checkpoint.
+    """
+    counts = df.groupBy(value).agg(F.count(F.lit(1)).alias("__c"))
+    upto = Window.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    spans = counts.select(value, F.sum("__c").over(upto).alias("__end"),
+                          F.sum("__c").over(Window.partitionBy()).alias("__n"))
+    prev = Window.orderBy(value)
+    spans = spans.withColumn("__start", F.coalesce(F.lag("__end").over(prev), F.lit(0)) + F.lit(1))
+    nm1 = F.col("__n") - F.lit(1)
+    v = F.col(value).cast("double")
+    aggs = []
+    for (num, den), name in zip(probs, names):
+        scaled = nm1 * F.lit(num)
+        lo = F.floor(scaled / F.lit(den)).cast("bigint") + F.lit(1)
+        hi = F.least(lo + F.lit(1), F.col("__n"))
+        frac = (scaled - (lo - F.lit(1)) * F.lit(den)).cast("double") / F.lit(float(den))
+        covers = lambda pos: (F.col("__start") <= pos) & (pos <= F.col("__end"))
+        aggs += [F.max(F.when(covers(lo), v)).alias(f"__{name}_lo"),
+                 F.max(F.when(covers(hi), v)).alias(f"__{name}_hi"),
+                 F.max(frac).alias(f"__{name}_f")]
+    one = spans.agg(*aggs)
+    return one.select(*[
+        (F.col(f"__{name}_lo") + (F.col(f"__{name}_hi") - F.col(f"__{name}_lo")) * F.col(f"__{name}_f")).alias(name)
+        for name in names])
+
+
 def qcut_values(x: Column, edges: list[Column], labels: list[int]) -> Column:
     """pandas ``qcut`` given its edges e0..ek: bin i holds (e[i-1], e[i]], the first bin
     also e0.  Duplicate edges raise, as pandas does ('Bin edges must be unique')."""

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from cartwheel.functions.calendar import calendar_days, elapsed_days
 from cartwheel.functions.numeric import ratio
 from cartwheel.operators.ranking import (
-    exact_quantiles, global_row_number, ntile, qcut_first, qcut_values,
+    exact_quantiles, exact_quantiles_bounded, global_row_number, ntile, qcut_first, qcut_values,
 )
 
 REV = "total_line_revenue"
@@ -121,8 +121,9 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
     for value, out in (("frequency", "f_score"), ("monetary", "m_score")):
         ranked = global_row_number(scored, [F.col(value).asc(), F.col("customer_id").asc()], "__rn", "__n")
         scored = ranked.withColumn(out, qcut_first(F.col("__rn"), F.col("__n"), 5)).drop("__rn", "__n")
-    # R: qcut on the recency values (edges are exact quantiles), labels reversed.
-    edges = exact_quantiles(scored, "recency", "customer_id", QUINTILES, [f"__e{i}" for i in range(6)])
+    # R: qcut on the recency values (edges are exact quantiles), labels reversed.  Recency is
+    # whole days inside the data's span, so its distinct values are bounded by the calendar.
+    edges = exact_quantiles_bounded(scored, "recency", QUINTILES, [f"__e{i}" for i in range(6)])
     scored = scored.crossJoin(F.broadcast(edges))
     scored = scored.withColumn(
         "r_score", qcut_values(F.col("recency"), [F.col(f"__e{i}") for i in range(6)], [5, 4, 3, 2, 1])

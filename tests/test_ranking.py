@@ -107,3 +107,15 @@ def test_ntile_and_qcut_formulas_exhaustive(spark):
             continue
         want = pd.qcut(pd.Series(range(1, n + 1), dtype=float), 5, labels=[1, 2, 3, 4, 5]).astype(int).tolist()
         assert grp.sort_values("rn").q.tolist() == want, n
+
+
+@pytest.mark.parametrize("n,distinct", [(1, 1), (2, 2), (50, 3), (777, 400)])
+def test_bounded_quantiles_match_numpy(spark, n, distinct):
+    from cartwheel.operators.ranking import exact_quantiles_bounded
+    rnd = random.Random(n + distinct)
+    vals = [rnd.randrange(distinct) for _ in range(n)]
+    df = spark.createDataFrame([(v,) for v in vals], "v long")
+    probs = [(0, 5), (1, 5), (2, 5), (3, 5), (4, 5), (5, 5), (97, 100)]
+    got = exact_quantiles_bounded(df, "v", probs, [f"e{i}" for i in range(len(probs))]).first()
+    want = np.percentile(vals, [0, 20, 40, 60, 80, 100, 97])
+    assert np.allclose(list(got), want, rtol=1e-12, atol=1e-9)
