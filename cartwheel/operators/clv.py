@@ -43,17 +43,17 @@ def clv_summary(fact: DataFrame, observation_end: str | None = None, repeat_only
         F.sum("spend").alias("total"),
         F.min_by("spend", "d").alias("first_spend"))
     if observation_end is not None:
-        end = per.sparkSession.range(1).select(F.to_date(F.lit(observation_end)).alias("end_d"))
+        end = F.to_date(F.lit(observation_end))
     else:
-        # One-column partial aggregate over the lines (no shuffle), rather than
-        # a second pass of the per-customer aggregation.
-        end = f.agg(F.to_date(F.max("invoice_date")).alias("end_d"))
+        # Scalar subquery: a one-column partial aggregate over the lines (no
+        # shuffle), not a second pass of the per-customer aggregation.
+        end = f.agg(F.to_date(F.max("invoice_date"))).scalar()
     freq = F.col("n_days") - F.lit(1)
-    out = per.crossJoin(F.broadcast(end)).select(
+    out = per.select(
         "customer_id",
         freq.cast("bigint").alias("frequency"),
         F.datediff("last_d", "first_d").cast("double").alias("recency"),
-        F.datediff("end_d", "first_d").cast("double").alias("T"),
+        F.datediff(end, F.col("first_d")).cast("double").alias("T"),
         F.when(freq > 0, ratio(F.col("total") - F.col("first_spend"), freq)).otherwise(F.lit(0.0))
          .alias("monetary_value"))
     return out.filter(F.col("frequency") > 0) if repeat_only else out

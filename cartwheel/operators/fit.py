@@ -54,6 +54,7 @@ def batch_objective(data: DataFrame, loglik_stages: Callable[[dict[str, Column]]
     def evaluate(thetas: list[np.ndarray]) -> list[float]:
         rows = [(i, *[float(math.exp(v)) for v in t]) for i, t in enumerate(thetas)]
         cand = spark.createDataFrame(rows, schema)  # a few dozen rows
+        # every customer row is scored under every candidate of the bounded batch
         scored = with_stages(data.crossJoin(F.broadcast(cand)), stages)
         sums = (scored.groupBy("__cid")
                       .agg(F.sum(F.col(weight) * F.col("__ll")).alias("s"), F.sum(weight).alias("w"))
@@ -314,10 +315,10 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100,
     on that scale); alpha is scaled back afterwards.
     """
     tmax_df = summary.agg(F.max("T").alias("tmax"))
+    tmax_c = tmax_df.scalar()
     comp = (summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
-                   .crossJoin(F.broadcast(tmax_df))
-                   .select(F.col("frequency").alias("x"), (F.col("recency") / F.col("tmax")).alias("tx"),
-                           (F.col("T") / F.col("tmax")).alias("tt"), F.col("w").cast("double").alias("w")))
+                   .select(F.col("frequency").alias("x"), (F.col("recency") / tmax_c).alias("tx"),
+                           (F.col("T") / tmax_c).alias("tt"), F.col("w").cast("double").alias("w")))
     data = _stable(comp)
     tmax = float(tmax_df.first()["tmax"])  # one scalar
     names = ["r", "alpha", "a", "b"]

@@ -41,18 +41,16 @@ def rfm_base(fact: DataFrame) -> DataFrame:
     """Per customer: recency (calendar days from the customer's last invoice to the
     last invoice in the data), distinct invoices, DECIMAL revenue.
 
-    The dataset maximum (the original's scalar subquery) is a one-column
-    global aggregate over the lines: partial maxima per partition, one row,
-    broadcast; no second pass of the per-customer aggregation.
+    The dataset maximum is, as in the original, an uncorrelated scalar
+    subquery: a one-column global aggregate over the lines (partial maxima per
+    partition), evaluated once; no second pass of the per-customer aggregation.
     """
     per = fact.groupBy("customer_id").agg(
         F.max("invoice_date").alias("__last"),
         F.count_distinct("invoice_no").alias("frequency"),
         F.sum(REV).alias("monetary"))
-    overall = fact.agg(F.max("invoice_date").alias("__max_all"))
-    return (per.crossJoin(F.broadcast(overall))
-               .select("customer_id", calendar_days("__max_all", "__last").alias("recency"),
-                       "frequency", "monetary"))
+    max_all = fact.agg(F.max("invoice_date")).scalar()
+    return per.select("customer_id", calendar_days(max_all, "__last").alias("recency"), "frequency", "monetary")
 
 
 def add_ntile(df: DataFrame, order: list[Column], k: int, out: str) -> DataFrame:
@@ -102,18 +100,16 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
         F.count_distinct("invoice_no").alias("frequency"),
         F.sum(REV).alias("monetary"),
         F.count(F.lit(1)).alias("__lines"))
-    overall = app_fact.agg(F.max("invoice_date").alias("__max_all"), F.min("invoice_date").alias("__min_all"))
-    span_days = elapsed_days("__max_all", "__min_all").cast("double")
-    overall = overall.select(
-        "__max_all",
-        (F.lit(12.0) / F.greatest(F.lit(1.0), span_days / F.lit(30.0))).alias("__factor"))
-    snapshot = F.col("__max_all") + F.expr("INTERVAL 1 DAY")
-    base = (per.crossJoin(F.broadcast(overall))
-               .select("customer_id",
-                       elapsed_days(snapshot, F.col("__last")).alias("recency"),
-                       "frequency", "monetary",
-                       ratio("monetary", "__lines").alias("avg_order_value"),
-                       "__factor"))
+    # Dataset-wide scalars: one scalar subquery (a one-row global aggregate), evaluated once.
+    span = app_fact.agg(F.struct(F.max("invoice_date").alias("hi"), F.min("invoice_date").alias("lo"))).scalar()
+    span_days = elapsed_days(span["hi"], span["lo"]).cast("double")
+    factor = F.lit(12.0) / F.greatest(F.lit(1.0), span_days / F.lit(30.0))
+    snapshot = span["hi"] + F.expr("INTERVAL 1 DAY")
+    base = per.select("customer_id",
+                      elapsed_days(snapshot, F.col("__last")).alias("recency"),
+                      "frequency", "monetary",
+                      ratio("monetary", "__lines").alias("avg_order_value"),
+                      factor.alias("__factor"))
 
     # F and M: qcut on first-ranks (ties by customer_id, the frame's order in the original).
     # Each ranking reads the previous one's checkpoint, so the fact table is aggregated once.
@@ -123,19 +119,17 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
         scored = ranked.withColumn(out, qcut_first(F.col("__rn"), F.col("__n"), 5)).drop("__rn", "__n")
     # R: qcut on the recency values (edges are exact quantiles), labels reversed.  Recency is
     # whole days inside the data's span, so its distinct values are bounded by the calendar.
-    edges = exact_quantiles_bounded(scored, "recency", QUINTILES, [f"__e{i}" for i in range(6)])
-    scored = scored.crossJoin(F.broadcast(edges))
-    scored = scored.withColumn(
-        "r_score", qcut_values(F.col("recency"), [F.col(f"__e{i}") for i in range(6)], [5, 4, 3, 2, 1])
-    ).drop(*[f"__e{i}" for i in range(6)])
+    names = [f"e{i}" for i in range(6)]
+    edges = exact_quantiles_bounded(scored, "recency", QUINTILES, names)
+    e = edges.select(F.struct(*names)).scalar()
+    scored = scored.withColumn("r_score", qcut_values(F.col("recency"), [e[n] for n in names], [5, 4, 3, 2, 1]))
 
     rfm_score = (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("bigint")
     scored = scored.withColumn("rfm_score", rfm_score) \
                    .withColumn("segment", segment_expr(F.col("rfm_score"), F.col("r_score")))
     clv_raw = (F.col("avg_order_value") * F.col("frequency").cast("double")) * F.col("__factor")
     scored = scored.withColumn("__clv", clv_raw).drop("__factor")
-    cap = exact_quantiles(scored, "__clv", "customer_id", [clv_cap_quantile], ["__cap"])
-    return (scored.crossJoin(F.broadcast(cap))
-                  .select("customer_id", "recency", "frequency", "monetary", "r_score", "f_score",
-                          "m_score", "rfm_score", "segment", "avg_order_value",
-                          F.least(F.col("__clv"), F.col("__cap")).alias("clv_12month")))
+    cap = exact_quantiles(scored, "__clv", "customer_id", [clv_cap_quantile], ["cap"]).scalar()
+    return scored.select("customer_id", "recency", "frequency", "monetary", "r_score", "f_score",
+                         "m_score", "rfm_score", "segment", "avg_order_value",
+                         F.least(F.col("__clv"), cap).alias("clv_12month"))

@@ -13,16 +13,14 @@ def with_share_of_total(df: DataFrame, value: str, out: str, digits: int = 2,
     """Add ROUND(value / total * 100, digits) for a frame of any size.
 
     ``SUM(..) OVER ()`` would move every row to one partition; instead the
-    total is a global aggregate (exactly one row, partial sums per input
-    partition) joined back as a broadcast.  ``total_of``/``total_value`` let
-    the total come from another frame, e.g. the input lines themselves,
-    which costs one partial-sum pass instead of re-aggregating the grain.
+    total is a scalar subquery over a global aggregate (partial sums per input
+    partition, evaluated once).  ``total_of``/``total_value`` let the total
+    come from another frame, e.g. the input lines themselves, which costs one
+    partial-sum pass instead of re-aggregating the grain.
     """
     src = df if total_of is None else total_of
-    total = src.agg(F.sum(total_value or value).alias("__share_total"))
-    return (df.crossJoin(F.broadcast(total))
-              .withColumn(out, pct_of(F.col(value), F.col("__share_total"), digits))
-              .drop("__share_total"))
+    total = src.agg(F.sum(total_value or value)).scalar()
+    return df.withColumn(out, pct_of(F.col(value), total, digits))
 
 
 def with_share_small(df: DataFrame, value: str, out: str, digits: int = 2) -> DataFrame:

@@ -88,8 +88,8 @@ def q04_churn_risk(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, as
     """Q4: customers with >= min_orders invoices silent for more than silent_days.
 
     ``as_of`` is the reference date: None = today, 'data_max' = the last
-    invoice date in the data (a one-row aggregate, broadcast), or a literal
-    date.  Predicted CLV is reported to the cent.
+    invoice date in the data (a scalar subquery), or a literal date.
+    Predicted CLV is reported to the cent.
     """
     lines = valid_lines(fact)
     stats = (lines.groupBy("customer_id")
@@ -98,14 +98,13 @@ def q04_churn_risk(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, as
                        F.sum(REV).alias("total_spend"))
                   .filter(F.col("total_orders") >= min_orders))
     if as_of == "data_max":
-        ref = lines.agg(F.to_date(F.max("invoice_date")).alias("__as_of"))
+        ref = lines.agg(F.to_date(F.max("invoice_date"))).scalar()
     elif as_of is None:
-        ref = stats.sparkSession.range(1).select(F.current_date().alias("__as_of"))
+        ref = F.current_date()
     else:
-        ref = stats.sparkSession.range(1).select(F.to_date(F.lit(as_of)).alias("__as_of"))
-    days = F.datediff(F.col("__as_of"), F.col("last_purchase_date")).cast("bigint")
-    silent = (stats.crossJoin(F.broadcast(ref))
-                   .withColumn("days_since_last_purchase", days)
+        ref = F.to_date(F.lit(as_of))
+    days = F.datediff(ref, F.col("last_purchase_date")).cast("bigint")
+    silent = (stats.withColumn("days_since_last_purchase", days)
                    .filter(F.col("days_since_last_purchase") > silent_days))
     j = (silent.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
                .join(pred.select("customer_id", "predicted_clv_12m"), "customer_id"))
