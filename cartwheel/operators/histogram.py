@@ -21,20 +21,23 @@ def equal_width_histogram(df: DataFrame, value: str, bins: int = 40) -> DataFram
     stats = mm.select(F.struct(
         F.when(F.col("a") == F.col("b"), F.col("a") - F.lit(0.5)).otherwise(F.col("a")).alias("lo"),
         F.when(F.col("a") == F.col("b"), F.col("b") + F.lit(0.5)).otherwise(F.col("b")).alias("hi"))).scalar()
-    lo_c, hi_c = stats["lo"], stats["hi"]
+    lo_c, hi_c = F.col("__lo"), F.col("__hi")
     step = (hi_c - lo_c) / F.lit(float(bins))
 
     def edge(i):
         return F.when(i >= F.lit(bins), hi_c).otherwise(i.cast("double") * step + lo_c)
 
-    j = df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
+    # the bounds are projected once per side, so each side references the subquery once
+    j = (df.select(x.alias("__x")).filter(F.col("__x").isNotNull())
+           .select("__x", stats["lo"].alias("__lo"), stats["hi"].alias("__hi")))
     est = F.floor((F.col("__x") - lo_c) / (hi_c - lo_c) * F.lit(float(bins))).cast("bigint")
     j = j.withColumn("__i", F.least(est, F.lit(bins - 1).cast("bigint")))
     j = j.withColumn("__i", F.when(F.col("__x") < edge(F.col("__i")), F.col("__i") - F.lit(1)).otherwise(F.col("__i")))
     j = j.withColumn("__i", F.when((F.col("__x") >= edge(F.col("__i") + F.lit(1))) & (F.col("__i") != F.lit(bins - 1)),
                                    F.col("__i") + F.lit(1)).otherwise(F.col("__i")))
     counts = j.groupBy(F.col("__i").alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    all_bins = df.sparkSession.range(bins).select(F.col("id").alias("bin"))
+    all_bins = df.sparkSession.range(bins).select(F.col("id").alias("bin"), stats["lo"].alias("__lo"),
+                                                  stats["hi"].alias("__hi"))
     b = F.col("bin")
     return (all_bins.join(counts, "bin", "left")
                     .select(b.alias("bin"), edge(b).alias("lo"), edge(b + F.lit(1)).alias("hi"),

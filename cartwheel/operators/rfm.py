@@ -122,7 +122,10 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
     names = [f"e{i}" for i in range(6)]
     edges = exact_quantiles_bounded(scored, "recency", QUINTILES, names)
     e = edges.select(F.struct(*names)).scalar()
-    scored = scored.withColumn("r_score", qcut_values(F.col("recency"), [e[n] for n in names], [5, 4, 3, 2, 1]))
+    scored = scored.withColumn("__edges", e)  # one reference to the subquery
+    scored = scored.withColumn(
+        "r_score", qcut_values(F.col("recency"), [F.col("__edges")[n] for n in names], [5, 4, 3, 2, 1])
+    ).drop("__edges")
 
     rfm_score = (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("bigint")
     scored = scored.withColumn("rfm_score", rfm_score) \
