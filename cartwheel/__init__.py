@@ -4,7 +4,7 @@ Layers:
   sources/    reading raw invoice lines, writing/reading stored tables, test-table adapter
   functions/  column-expression helpers (rounding, calendar arithmetic, special functions)
   operators/  reusable DataFrame -> DataFrame operators (cleaning, ranking, RFM, CLV, ...)
-  plans/      the user-visible queries (business questions, dashboard datasets, CLV pipeline)
+  plans/      the user-visible queries (business questions, dashboard datasets, CLV model plans)
   streaming/  the cleaning operator applied to a stream of raw invoice files
 """
 

@@ -1,4 +1,4 @@
-"""The CLV pipeline: summary -> (fit) -> predictions."""
+"""CLV model plans: summary -> (fit) -> predictions."""
 
 from __future__ import annotations
 

@@ -1,6 +1,6 @@
 """Shared tables, written once per session and input, then read by the questions.
 
-The original pipeline stores ``fact_transactions`` (ETL), ``customer_rfm`` and
+The original work stores ``fact_transactions`` (ETL), ``customer_rfm`` and
 ``pred_customer_clv`` as tables and the dashboard memoises its customer
 frame; the questions only read them.  ``materialize`` does the same on
 Spark: the first use writes the table as parquet into the shared checkpoint
