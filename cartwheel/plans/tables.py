@@ -10,8 +10,14 @@ statistics-carrying table instead of replaying joins and rankings.
 
 The memo is keyed by the Spark application, the table name and the input
 folder with its files' sizes and modification times, so different inputs
-or a changed input never share an entry.  The fact table is bucketed by
-customer_id, the key of every customer-grain aggregation.
+or a changed input never share an entry.
+
+Bucketing by customer_id is available but off for the fact tables: a
+bucketed scan reads each bucket in one task, so a customer holding a third
+of all lines would put a third of the data through one task in every
+customer-grain aggregation.  Unbucketed, map-side partial aggregation
+spreads that customer over all map tasks and the shuffle carries one
+pre-summed row per task for it.
 """
 
 from __future__ import annotations
@@ -45,7 +51,8 @@ def materialize(spark: SparkSession, name: str, sf_dir: str, build: Callable[[],
 
     ``bucket_by`` stores the table hash-bucketed on that column (an external
     catalog table in the same folder): aggregations and joins keyed by it
-    then read co-partitioned data and skip the shuffle.  The bucket count
+    then read co-partitioned data and skip the shuffle.  Use it only for a
+    key without heavy hitters (see the module note).  The bucket count
     defaults to ``spark.sql.shuffle.partitions``.
     """
     key = (spark.sparkContext.applicationId, name, _input_signature(sf_dir), bucket_by)
