@@ -22,13 +22,17 @@ def _reasons() -> dict[str, Column]:
     }
 
 
-def clean_transactions(raw: DataFrame, trim_description: bool = True) -> DataFrame:
+def clean_transactions(raw: DataFrame, trim_description: bool = True,
+                       keep_raw_description: bool = False) -> DataFrame:
     """Valid purchases with derived revenue.
 
     Keeps rows with a customer, ``unit_price > 0``, ``quantity > 0`` and an
     invoice number not starting with 'C'.  The predicates are on base columns
     so they reach the file scan (PushedFilters).  ``trim_description=False``
-    reproduces the dashboard's loader, which does not strip descriptions.
+    reproduces the dashboard's loader, which does not strip descriptions;
+    ``keep_raw_description=True`` adds the unstripped text as
+    ``description_raw`` so one stored table serves both (scans that do not
+    reference it prune it).
     """
     kept = raw.filter(
         F.col("customer_id").isNotNull()
@@ -47,6 +51,7 @@ def clean_transactions(raw: DataFrame, trim_description: bool = True) -> DataFra
         F.col("country"),
         (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("total_line_revenue"),
         F.col("invoice_no").startswith("C").alias("is_cancelled"),
+        *([F.col("description").alias("description_raw")] if keep_raw_description else []),
     )
 
 

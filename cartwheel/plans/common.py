@@ -38,5 +38,16 @@ def valid_lines(fact: DataFrame, require_customer: bool = False) -> DataFrame:
     return fact.filter(cond)
 
 
-def fact_from_testdata(spark: SparkSession, sf_dir: str, trim_description: bool = True) -> DataFrame:
-    return clean_transactions(testdata.raw_transactions(spark, sf_dir), trim_description)
+def fact_from_testdata(spark: SparkSession, sf_dir: str, trim_description: bool = True,
+                       keep_raw_description: bool = False) -> DataFrame:
+    return clean_transactions(testdata.raw_transactions(spark, sf_dir), trim_description, keep_raw_description)
+
+
+def dashboard_view(fact: DataFrame) -> DataFrame:
+    """The dashboard loader's frame from a fact table stored with ``description_raw``."""
+    return fact.withColumn("description", F.col("description_raw")).drop("description_raw")
+
+
+def fact_view(fact: DataFrame) -> DataFrame:
+    """The ETL's fact columns only."""
+    return fact.drop("description_raw")
