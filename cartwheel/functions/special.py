@@ -24,8 +24,9 @@ def lgamma(z: Column) -> Column:
     """ln Gamma(z) for z > 0.
 
     Stirling's series with terms up to z^-9 at w = z (or w = z + 8 for
-    z < 8, undoing the shift with ln(z (z+1) ... (z+7))).  Absolute error
-    below 1e-12 for all z > 0.
+    z < 8, undoing the shift with ln(z (z+1) ... (z+7))).  Truncation error
+    of the series at w >= 8 is about 2e-13; tests compare with math.lgamma
+    to 1e-10 relative from z = 1e-6 to 1e6.
     """
     small = z < F.lit(float(_SHIFT))
     w = F.when(small, z + F.lit(float(_SHIFT))).otherwise(z)
@@ -42,7 +43,8 @@ def lgamma(z: Column) -> Column:
 
 def digamma(z: Column) -> Column:
     """psi(z) = d/dz ln Gamma(z) for z > 0: asymptotic series at w = z (or z + 8,
-    undoing the shift with sum 1/(z+i)).  Absolute error below 1e-12."""
+    undoing the shift with sum 1/(z+i)).  Series truncation error at w >= 8 is
+    about 3e-13; tests compare with a finite difference of math.lgamma."""
     small = z < F.lit(float(_SHIFT))
     w = F.when(small, z + F.lit(float(_SHIFT))).otherwise(z)
     inv = F.lit(1.0) / w
@@ -94,8 +96,8 @@ def hyp2f1(a: Column, b: Column, c: Column, z: Column, terms: int = 200, vectori
     ``vectorized=True`` runs the fold as an Arrow-batched pandas UDF (numpy
     over whole batches, identical operation order).  Higher-order functions
     are not compiled by whole-stage codegen, and the interpreted fold costs
-    about 5 microseconds per term: 22.6 s for 15k customers x 12 horizons at
-    sf0.1 on 8 cores, versus well under a second batched.  An unrolled
+    about 5 microseconds per term: predicting 15k customers x 12 horizons at
+    sf0.1 on 8 cores took 22.6 s that way and 1.8 s with this batched fold.  An unrolled
     (Horner) expression overflows the code generator.  ``vectorized=False``
     keeps everything inside the JVM.
     """

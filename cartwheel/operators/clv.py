@@ -187,7 +187,8 @@ def expected_purchases(t, x: Column, t_x: Column, t_obs: Column, r, alpha, a, b,
     The paper's 2F1(r+x, b+x; a+b+x-1; z) with z = t/(alpha+T+t) converges
     slowly for z near 1; with Euler's transformation the bracket becomes
     1 - (1-z)^(a-1) 2F1(a+b-1-r, a-1; a+b+x-1; z), whose series converges
-    fast (200 terms: relative error ~1e-12 for z up to 0.92).
+    fast; with 200 terms the result agrees with the untransformed formula
+    (summed to convergence) to 1e-9 relative in the tests, z up to 0.92.
     """
     t, r, alpha, a, b = _lit(t), _lit(r), _lit(alpha), _lit(a), _lit(b)
     xd = x.cast("double")

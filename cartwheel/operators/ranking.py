@@ -15,7 +15,11 @@ same row numbers with a range-partitioned sort instead:
 4. row number = offset of the partition + local number + 1.
 
 NTILE, pandas ``qcut`` on first-ranks and exact linear-interpolated
-quantiles are then plain column arithmetic on (row number, n).
+quantiles are then plain column arithmetic on (row number, n).  Integer
+quotients are taken as the floor of a DOUBLE quotient, which is exact for
+row counts below 2^52.  The local numbering relies on the documented layout
+of ``monotonically_increasing_id`` (partition id in the upper 31 bits, record
+number within the partition in the lower 33).
 """
 
 from __future__ import annotations
@@ -73,8 +77,9 @@ def qcut_first(rn: Column, n: Column, k: int) -> Column:
     """pandas ``qcut(x.rank(method='first'), k, labels=1..k)``.
 
     Edges of the ranks are 1 + (n-1)i/k; a rank goes to the first bin whose
-    edge it does not exceed: max(1, ceil(k(rn-1)/(n-1))), in integer math.
-    A single row (all edges equal) gets label 1.
+    edge it does not exceed: max(1, ceil(k(rn-1)/(n-1))), an exact rational
+    formula (checked against pandas for every n <= 300).  A single row (all
+    edges equal, where pandas raises) gets label 1.
     """
     a = F.lit(k).cast("bigint") * (rn - F.lit(1))
     b = n - F.lit(1)
