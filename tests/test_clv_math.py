@@ -146,3 +146,21 @@ def test_fitters_recover_known_parameters(spark):
                                "customer_id long, frequency long, monetary_value double")
     fit = fit_gamma_gamma(df, penalizer=0.0)
     assert abs(fit["p"] - p) / p < 0.15 and abs(fit["q"] - q) / q < 0.25 and abs(fit["v"] - v) / v < 0.3, fit
+
+
+def test_fit_methods_agree_on_model_draws(spark):
+    """On a well-specified model all three optimisers reach the same optimum."""
+    import numpy as np
+    from cartwheel.operators.fit import fit_gamma_gamma
+    rng = np.random.default_rng(11)
+    n = 2000
+    x = rng.integers(1, 12, n)
+    nu = rng.gamma(4.0, 1.0 / 15.0, n)
+    m = np.array([rng.gamma(6.0 * xi, 1.0 / (nui * xi)) for xi, nui in zip(x, nu)])
+    df = spark.createDataFrame([(int(i), int(a), float(b)) for i, (a, b) in enumerate(zip(x, m))],
+                               "customer_id long, frequency long, monetary_value double")
+    fits = {meth: fit_gamma_gamma(df, penalizer=0.0, method=meth) for meth in ("newton", "newton-fd", "bhhh")}
+    for meth in ("newton-fd", "bhhh"):
+        assert abs(fits[meth]["objective"] - fits["newton"]["objective"]) < 1e-6, (meth, fits)
+        for k in ("p", "q", "v"):
+            assert abs(fits[meth][k] / fits["newton"][k] - 1) < 2e-2, (meth, k, fits)
