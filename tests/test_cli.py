@@ -28,6 +28,12 @@ def test_cli_end_to_end(spark, capsys):
     main(["question", "q03_top_customers", "--fact", fact, "--rfm", rfm, "--pred", pred, "--output", out])
     q3 = spark.read.parquet(out)
     assert q3.count() == 10 and q3.agg(F.min("revenue_rank")).first()[0] == 1
+    for name, extra in (("q11_clv_by_segment", ["--rfm", rfm, "--pred", pred]),
+                        ("q04_churn_risk", ["--rfm", rfm, "--pred", pred, "--as-of", "2001-12-31"]),
+                        ("q07_purchase_gaps", ["--rfm", rfm])):
+        dest = os.path.join(work, name)
+        main(["question", name, "--fact", fact, *extra, "--output", dest])
+        assert spark.read.parquet(dest).count() > 0, name
     main(["question", "q01_monthly_revenue", "--fact", fact, "--show", "3"])
     assert "mom_revenue_growth_pct" in capsys.readouterr().out
     dash = os.path.join(work, "dash")
