@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, orc_tokens
+from cartwheel.llm import bpe, orc_tokens, sharding
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,8 +26,13 @@ def op5_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_vector_bin_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(table(spark, sf_dir, "documents"), 24)
+
+
 QUERIES: dict[str, Query] = {
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
+    "op6_vector_bin_shards": op6_vector_bin_shards,
 }
 SQL: dict[str, str] = {}
