@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, orc_tokens, sharding
+from cartwheel.llm import bpe, orc_tokens, pii, sharding
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,9 +30,14 @@ def op6_vector_bin_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), 24)
 
 
+def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.detect(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
     "op6_vector_bin_shards": op6_vector_bin_shards,
+    "op7_pii_boosting": op7_pii_boosting,
 }
 SQL: dict[str, str] = {}
