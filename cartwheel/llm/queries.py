@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, orc_tokens, pii, sharding
+from cartwheel.llm import bpe, orc_tokens, pii, sharding, topk
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +34,25 @@ def op7_pii_boosting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.detect(table(spark, sf_dir, "documents"))
 
 
+def op8_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
+
+
 QUERIES: dict[str, Query] = {
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
     "op6_vector_bin_shards": op6_vector_bin_shards,
     "op7_pii_boosting": op7_pii_boosting,
+    "op8_pivot_top_k": op8_pivot_top_k,
+}
+SQL: dict[str, str] = {
+    "op8_pivot_top_k": """
+        WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
+                   FROM embeddings
+                   WHERE embedding IS NOT NULL
+                     AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+             s AS (SELECT a.vec_id AS query_id, b.vec_id AS vec_id, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+                   FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+             r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
+        SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5""",
 }
-SQL: dict[str, str] = {}
