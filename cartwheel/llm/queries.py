@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, orc_tokens, pii, sharding, topk
+from cartwheel.llm import bpe, minhash, orc_tokens, pii, sharding, topk
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,12 +38,17 @@ def op8_pivot_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings"), every=50, k=5)
 
 
+def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), 85).drop("row_key")
+
+
 QUERIES: dict[str, Query] = {
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
     "op6_vector_bin_shards": op6_vector_bin_shards,
     "op7_pii_boosting": op7_pii_boosting,
     "op8_pivot_top_k": op8_pivot_top_k,
+    "op9_bbit_minhash": op9_bbit_minhash,
 }
 SQL: dict[str, str] = {
     "op8_pivot_top_k": """
@@ -55,4 +60,21 @@ SQL: dict[str, str] = {
                    FROM v AS a JOIN v AS b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
              r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM s)
         SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM r WHERE place <= 5""",
+    "op9_bbit_minhash": """
+        WITH RECURSIVE d AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''),
+                       'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                  ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g FROM d),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s AS x JOIN s AS y USING (g)
+                 WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+        link AS (SELECT a, b FROM pairs JOIN n AS p ON p.doc_id = a JOIN n AS q ON q.doc_id = b
+                 WHERE 100 * c >= 85 * (p.n + q.n - c)),
+        reach(doc_id, root) AS (
+            SELECT doc_id, doc_id FROM d UNION SELECT link.b, reach.root FROM reach JOIN link ON link.a = reach.doc_id),
+        least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
+        FROM least LEFT JOIN n USING (doc_id)""",
 }
