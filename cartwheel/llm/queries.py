@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, minhash, orc_tokens, pii, sharding, topk
+from cartwheel.llm import bpe, decontam, minhash, orc_tokens, pii, sharding, topk
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,6 +42,10 @@ def op9_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), 85).drop("row_key")
 
 
+def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key").distinct()
+
+
 QUERIES: dict[str, Query] = {
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
@@ -49,6 +53,7 @@ QUERIES: dict[str, Query] = {
     "op7_pii_boosting": op7_pii_boosting,
     "op8_pivot_top_k": op8_pivot_top_k,
     "op9_bbit_minhash": op9_bbit_minhash,
+    "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
 }
 SQL: dict[str, str] = {
     "op8_pivot_top_k": """
