@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from cartwheel.session import ensure_checkpoint_dir
 
 
+ROW_KEY = "_cartwheel_row_key"  # hash of a row's text beside its doc_id; no input column is called so
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

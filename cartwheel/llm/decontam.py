@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import stored, text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import ROW_KEY, stored, text_column, whitespace_pieces, worker_state
 from cartwheel.llm.minhash import WordHashes, mix
 
 MASKS = ("111111", "110110011", "1101001011", "10110100011")
@@ -223,5 +223,6 @@ def leaks(docs: DataFrame, bench: DataFrame, broadcast_words: int = BROADCAST_WO
 def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item."""
     hit = stored(leaks(docs, bench).select("doc_id", "row_key").distinct(), "leaks")
-    rows = docs.withColumn("row_key", F.xxhash64("text"))
-    return rows.join(hit, ["doc_id", "row_key"], "left_anti").select(docs.columns)
+    hit = hit.withColumnRenamed("row_key", ROW_KEY)
+    rows = docs.withColumn(ROW_KEY, F.xxhash64("text"))
+    return rows.join(hit, ["doc_id", ROW_KEY], "left_anti").select(docs.columns)

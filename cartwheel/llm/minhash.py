@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import stored, text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import ROW_KEY, stored, text_column, whitespace_pieces, worker_state
 from cartwheel.llm.components import components
 
 SHINGLE = 5
@@ -352,5 +352,6 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each group of near-duplicates does."""
     found = near_duplicates(docs, percent).where("kept").select("doc_id", "row_key").distinct()
-    rows = docs.withColumn("row_key", F.xxhash64("text"))
-    return rows.join(found, ["doc_id", "row_key"]).drop("row_key").dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    found = found.withColumnRenamed("row_key", ROW_KEY)
+    rows = docs.withColumn(ROW_KEY, F.xxhash64("text"))
+    return rows.join(found, ["doc_id", ROW_KEY]).dropDuplicates(["doc_id", "text"]).select(docs.columns)

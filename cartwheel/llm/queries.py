@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, decontam, minhash, orc_tokens, pii, sharding, topk
+from cartwheel.llm import bpe, decontam, minhash, orc_tokens, pii, quality, sharding, topk
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,12 @@ TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
 
 
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return (quality.score(docs, table(spark, sf_dir, "labels"))
+            .select("doc_id", "held_out", "score", "predicted"))
+
+
 def op4_orc_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "orc-tokens")
     orc_tokens.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
@@ -47,6 +53,7 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_pu_quality": op1_pu_quality,
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
     "op6_vector_bin_shards": op6_vector_bin_shards,
