@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, decontam, minhash, orc_tokens, pii, quality, sharding, suffix_dedup, topk
+from cartwheel.llm import bpe, decontam, lm, minhash, orc_tokens, pii, quality, sharding, suffix_dedup, topk
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -26,6 +26,10 @@ def op2_bwt_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op3_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(table(spark, sf_dir, "documents"))
+
+
 def op4_orc_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "orc-tokens")
     orc_tokens.write(table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), END_ID)
@@ -59,6 +63,7 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_bwt_suffix_dedup": op2_bwt_suffix_dedup,
+    "op3_recurrent_lm": op3_recurrent_lm,
     "op4_orc_token_output": op4_orc_token_output,
     "op5_bpe_backtracking": op5_bpe_backtracking,
     "op6_vector_bin_shards": op6_vector_bin_shards,
