@@ -274,15 +274,16 @@ def decode(rows: DataFrame, spec_path: str, id_col: str = "doc_id") -> DataFrame
                        f"{id_col} {rows.schema[id_col].dataType.simpleString()}, text string")
 
 
-def round_trip(docs: DataFrame, spec_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Encode each text, decode the ids again, and digest both without keeping either whole:
-    ``id_col``, ``n_tokens long``, ``ids_sha256`` (decimal ids joined by a space),
-    ``decoded_sha256`` (UTF-8 of the decoded text).  One row per input row, repeated rows
-    and null or empty texts (0 tokens, digests of the empty string) included."""
+def round_trip(docs: DataFrame, spec_path: str, id_col: str = "doc_id", text_col: str = "text",
+               keep_ids: bool = False) -> DataFrame:
+    """Encode each text, decode the ids again, and digest both: ``id_col``, ``n_tokens long``, ``ids_sha256``
+    (decimal ids joined by a space), ``decoded_sha256`` (UTF-8 of the decoded text) and, if ``keep_ids``, the
+    ids themselves.  One row per input row, repeated rows and null or empty texts (0 tokens, digests of
+    the empty string) included."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(spec_path))
 
     def digest(k: Codec, text: str):
-        n, a, b = 0, hashlib.sha256(), hashlib.sha256()
+        n, a, b, kept = 0, hashlib.sha256(), hashlib.sha256(), []
         for ids in k.encode_pieces(text):
             if not len(ids):
                 continue
@@ -291,14 +292,16 @@ def round_trip(docs: DataFrame, spec_path: str, id_col: str = "doc_id", text_col
             a.update(b" " + shown if n else shown)
             b.update(back if n else back[1:])
             n += len(ids)
-        return n, a.hexdigest(), b.hexdigest()
+            if keep_ids:
+                kept.append(ids.astype(np.int32))
+        return n, a.hexdigest(), b.hexdigest(), np.concatenate([np.empty(0, np.int32), *kept])
 
     def run(c):
         k = codec(spec.value)
         out = [digest(k, t) for t in c["text"]]
         return {id_col: c["id"], "n_tokens": [o[0] for o in out], "ids_sha256": [o[1] for o in out],
-                "decoded_sha256": [o[2] for o in out]}
+                "decoded_sha256": [o[2] for o in out], "ids": [o[3] for o in out]}
 
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     return map_batches(rows, run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_tokens long, "
-                                  "ids_sha256 string, decoded_sha256 string")
+                                  "ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * keep_ids)
