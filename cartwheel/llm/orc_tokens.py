@@ -7,8 +7,8 @@ Bloom filter on ``doc_id``, and stripes are read in parallel.  Integer run-lengt
 own for the id lists.
 
 The encoder is the public tokenizers library.  A tokenizer that drops white space never looks across
-it, so each distinct run of other characters is encoded once by the library and remembered (a bounded
-cache), and a document's ids are those of its runs in order.
+it, so each distinct run of other characters is encoded once by the library and remembered (bounded
+caches), and a document's ids are those of its runs in order.
 
 Null and empty texts hold the end id alone; repeated rows are all kept (ties of ``doc_id`` are ordered
 by a hash); an empty table gives an empty result; other columns of the input are not read.
@@ -19,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import re
 import zlib
+from array import array
 
 import numpy as np
 import pyarrow as pa
@@ -28,45 +29,70 @@ from tokenizers import Tokenizer
 
 from cartwheel.llm.common import text_column, whitespace_pieces, worker_state
 
-CACHE_RUNS = 1_000_000  # runs a Python worker remembers (about 200 MB); only speed depends on it
+CACHED = 500_000  # runs, and words, that a Python worker remembers (about 200 MB); only speed depends on it
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 10_000
 FILE_SCHEMA = "part int, doc_id long, n_tokens long, ids array<int>"
 
 
+class Remembered(dict):
+    """A bounded cache: once full it keeps what it has, and starts afresh after four times as many misses."""
+
+    missed = 0
+
+    def add(self, key, value) -> None:
+        if len(self) < CACHED:
+            self[key] = value
+        else:
+            self.missed += 1
+            if self.missed > 4 * CACHED:
+                self.clear()
+                self.missed = 0
+
+
 class RunEncoder:
     """The library's encoder for a tokenizer that ignores white space, run by run.
 
-    Where a text has only characters up to U+024F (and not U+0130, which lower-cases to two), runs are
-    further cut into words, an apostrophe with the letters after it, and other signs, as the tokenizer
-    itself cuts them, so fewer distinct runs reach the library.  Special-token strings stay whole."""
+    A run of other characters that is not remembered is first cut into words, an apostrophe with the
+    letters after it, and other signs, as the tokenizer itself cuts it, if it has only characters up to
+    U+024F (and not U+0130, which lower-cases to two) and no special-token string.  Parts that are
+    remembered need no further work; plain small letters, which the normaliser and the pre-tokenizer
+    leave as they are, go straight to the library's model, all others through its whole pipeline."""
 
     def __init__(self, spec: str):
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
-        self.runs = re.compile(r"[^ \t\n\r\x0b\x0c]+").findall
-        self.words = re.compile(r"'[^\W_]+|[^\W_]+|(?:[^\w\s]|[_\x1c-\x1f])+").findall
+        self.parts = re.compile(r"'[^\W_]+|[^\W_]+|(?:[^\w\s]|[_\x1c-\x1f])+").findall
+        self.plain = re.compile("[a-z]+").fullmatch
         self.beyond = re.compile("[\u0130\u0250-\U0010ffff]|<\\|").search
-        self.known: dict[str, bytes] = {}
+        self.runs, self.words = Remembered(), Remembered()
+
+    def _part(self, part: str) -> bytes:
+        if self.plain(part):
+            ids = [t.id for t in self.library.model.tokenize(part)]
+        else:
+            ids = self.library.encode(part, add_special_tokens=False).ids
+        out = array("I", ids).tobytes()
+        self.words.add(part, out)
+        return out
+
+    def _run(self, raw: bytes) -> bytes:
+        run = raw.decode()
+        if self.beyond(run):
+            out = self._part(run)
+        else:
+            get, make = self.words.get, self._part
+            out = b"".join([get(w) or make(w) for w in self.parts(run.lower() if run.isascii() else run)])
+        self.runs.add(raw, out)
+        return out
 
     def encode(self, text: str, end_id: int) -> np.ndarray:
+        get, make = self.runs.get, self._run
         found: list[bytes] = []
         for piece in whitespace_pieces(text):
-            if self.beyond(piece):
-                runs = self.runs(piece)
-            else:
-                runs = self.words(piece.lower() if piece.isascii() else piece)
-            known = self.known
-            new = [r for r in dict.fromkeys(runs) if r not in known]
-            if len(known) + len(new) > CACHE_RUNS:
-                known.clear()
-                new = list(dict.fromkeys(runs))
-            if new:
-                for r, e in zip(new, self.library.encode_batch(new, add_special_tokens=False)):
-                    known[r] = np.array(e.ids, "<u4").tobytes()
-            found += [known[r] for r in runs]
-        found.append(int(end_id).to_bytes(4, "little"))
+            found += [get(r) or make(r) for r in piece.encode().split()]  # bytes: ASCII white space only
+        found.append(array("I", [end_id]).tobytes())
         return np.frombuffer(b"".join(found), "<i4")
 
 
