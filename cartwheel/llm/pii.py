@@ -206,7 +206,8 @@ def threshold(model: tuple[float, list], cells, precision: float = PRECISION) ->
     start, trees = model
     scored: dict[float, list[float]] = {}
     for x, n, y in cells:
-        s = scored.setdefault(start + sum(_leaf(t, x) for t in trees), [0.0, 0.0])
+        score = reduce(lambda a, t: a + _leaf(t, x), trees, start)  # in the order of the SQL expression
+        s = scored.setdefault(score, [0.0, 0.0])
         s[0] += n
         s[1] += y
     blocks: list[list[float]] = []  # least score, candidates, positives; rates rise
