@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import text_column
 
 POSITIVES, UNLABELLED = 20_000, 40_000
-HIDDEN, EPOCHS, BATCH, RATE, DECAY = 16, 40, 512, 0.01, 1e-4
+HIDDEN, STEPS, BATCH, RATE, DECAY = 16, 3000, 512, 0.01, 1e-3
 SIGNS = [c for c in range(33, 127) if not chr(c).isalnum()]
 N_FEATURES = 7 + len(SIGNS) + 9
 
@@ -92,7 +92,7 @@ def fit(positive: np.ndarray, unlabelled: np.ndarray, prior: float) -> Network:
     p_in, u_in = (positive - net.mean) / net.scale, (unlabelled - net.mean) / net.scale
     state = [[np.zeros_like(q), np.zeros_like(q)] for q in (net.w, net.b, net.v, net.c)]
     steps, t = max(1, -(-len(u_in) // BATCH)), 0
-    for _ in range(EPOCHS):
+    for _ in range(-(-STEPS // steps)):
         p_order, u_order = rng.permutation(len(p_in)), rng.permutation(len(u_in))
         for s in range(steps):
             xp = p_in[p_order[np.arange(s, len(p_order) + steps, steps) % len(p_order)]]
