@@ -16,13 +16,40 @@ from cartwheel.session import ensure_checkpoint_dir
 ROW_KEY = "_cartwheel_row_key"  # hash of a row's text beside its doc_id; no input column is called so
 
 
+BATCH_BYTES = 8 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch that goes to Python, unless the session sets a bound: texts vary from words to
+    megabytes, and the default bounds rows only."""
+    now = spark.conf.get(_BATCH_CONF, None)
+    if now is None or int(now if now.isdigit() else -1) > 1 << 40:
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
+def gathered(batches, size: int):
+    """Batches joined until they hold ``size`` bytes."""
+    held, total = [], 0
+    for b in batches:
+        held.append(b)
+        total += b.nbytes
+        if total >= size:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, total = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the given Parquet tables."""
+    bounded_batches(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the application's shared checkpoint folder."""
+    bounded_batches(spark)
     return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
