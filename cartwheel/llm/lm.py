@@ -12,8 +12,8 @@ at the logarithms of the counted shares, so training starts from a unigram model
 
 Training reads every training document once, in ``ROUNDS`` rounds of growing share (by a hash of the
 row).  In a round each task runs truncated back-propagation over windows of ``WINDOW`` steps on its documents,
-starting from the shared parameters, with the state carried from window to window; the tasks' parameters are
-averaged, weighted by tokens, in a tree.  Counts cover all training documents.  Scoring carries the state
+starting from the shared parameters, with the state carried from window to window (very long documents are
+cut into parts of ``SEGMENT`` tokens for training only); the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover all training documents.  Scoring carries the state
 through the whole document.  Only a bounded vocabulary (``HEAD``, and at most ``KNOWN`` counts) goes to the tasks;
 counts of all rarer words are joined.
 
@@ -33,14 +33,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from cartwheel.llm.common import stored, text_column, whitespace_pieces
 
-HEAD, MEMBERS, TAIL, HIDDEN = 2048, 64, 32, 16
+HEAD, MEMBERS, TAIL, HIDDEN = 1024, 64, 32, 16
 KNOWN = 200_000
 CLASSES = HEAD // MEMBERS + TAIL
-ROUNDS = (0.03, 0.12, 0.35, 0.5)
+ROUNDS = (0.05, 0.25, 0.7)
 LANES, WINDOW, SCORE_LANES = 256, 32, 1024
+TOGETHER = 4_000_000  # tokens of the documents that are laid out in lanes at a time
+SEGMENT = 1024  # training cuts longer documents into parts that start with an empty state
 RATE, CLIP = 0.01, 1.0
 FAN_IN = 64
 END = b"\n"  # no word holds white space, so the end sign has a name of its own
@@ -107,9 +110,12 @@ def _gates(p, before, h):
     return g + z * (h - g), (h, z, r, c, g)
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """exp(x) and its row sums; rows are shifted only where that is needed to keep them finite."""
+    if x.size and x.max() > 60:
+        x -= x.max(axis=1, keepdims=True)
+    e = np.exp(x)
+    return e, e @ np.ones(x.shape[1], x.dtype)
 
 
 def _class_of(ids: np.ndarray) -> np.ndarray:
@@ -119,37 +125,40 @@ def _class_of(ids: np.ndarray) -> np.ndarray:
 def output(p, h: np.ndarray, target: np.ndarray, grads=None):
     """Natural log-probabilities of ``target`` given the states; with ``grads``, adds the gradients of
     their sum and returns also that of the states."""
-    n = np.arange(len(target))
     cls = _class_of(target)
-    lp = _log_softmax(h @ p["cw"] + p["cb"])
-    out = lp[n, cls]
-    dh = None
-    if grads is not None:
-        d = -np.exp(lp)
-        d[n, cls] += 1
-        grads["cw"] += h.T @ d
-        grads["cb"] += d.sum(0)
-        dh = d @ p["cw"].T
+    out, dh = _one_of(h, p["cw"], p["cb"], cls, grads and (grads["cw"], grads["cb"]))
     head = np.flatnonzero(target < HEAD)
-    order = head[np.argsort(cls[head], kind="stable")]
+    order = head[np.argsort(cls[head].astype(np.int16), kind="stable")]
     edge = np.searchsorted(cls[order], np.arange(HEAD // MEMBERS + 1))
-    for c in range(HEAD // MEMBERS):
-        rows = order[edge[c]:edge[c + 1]]
-        if not len(rows):
-            continue
-        hc, m = h[rows], target[rows] % MEMBERS
-        lp = _log_softmax(hc @ p["mw"][c] + p["mb"][c])
-        at = np.arange(len(rows))
-        out[rows] += lp[at, m]
+    hs, member = h[order], target[order] % MEMBERS
+    for c in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
+        a, z = edge[c], edge[c + 1]
+        lp, d = _one_of(hs[a:z], p["mw"][c], p["mb"][c], member[a:z], grads and (grads["mw"][c], grads["mb"][c]))
+        out[order[a:z]] += lp
         if grads is not None:
-            d = -np.exp(lp)
-            d[at, m] += 1
-            grads["mw"][c] += hc.T @ d
-            grads["mb"][c] += d.sum(0)
-            dh[rows] += d @ p["mw"][c].T
+            dh[order[a:z]] += d
     return out, dh
 
 
+def _one_of(h, w, b, which, grads):
+    """Log-softmax of h @ w + b at ``which``; with ``grads`` (of w and b) also the gradient of its sum by h."""
+    x = h @ w
+    x += b
+    at = np.arange(len(which))
+    chosen = x[at, which]
+    if x.size and x.max() > 60:
+        chosen = chosen - x.max(axis=1)
+    e, total = _exp(x)
+    lp = chosen - np.log(total)
+    if grads is None:
+        return lp, None
+    e /= -total[:, None]
+    e[at, which] += 1
+    grads[0][...] += h.T @ e
+    grads[1][...] += np.ones(len(e), e.dtype) @ e
+    return lp, e @ w.T
+
+
 def _inputs(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
     """The token before each token; the end sign (0) before a document's first."""
     before = np.zeros_like(ids)
@@ -189,6 +198,7 @@ def _scatter(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
 
 def train_batch(p, docs: list[np.ndarray], state) -> int:
     """One pass of truncated back-propagation over the documents, by Adam; changes ``p`` in place."""
+    docs = [d[s:s + SEGMENT] for d in docs for s in range(0, len(d), SEGMENT)]
     ids, owner, start = lanes(docs, LANES)
     before = _inputs(ids, start)
     h = np.zeros((ids.shape[1], HIDDEN), np.float32)
@@ -275,16 +285,32 @@ class Vocabulary:
         self.tail_n = np.zeros(TAIL)
         self.tail_v = np.zeros(TAIL)
 
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        head = self.head
-        return np.fromiter([head.get(w, -1) if w in head else tail_class(w) for w in words], np.int32, len(words))
-
-    def base(self, c):
-        return np.log10((c + SMOOTH) / (self.n + SMOOTH * (self.v + 1)))
-
-    def tail(self, word: bytes, c: int) -> float:
-        k = word[-1] % TAIL
-        return math.log10((c + SMOOTH) / (self.tail_n[k] + SMOOTH * (self.tail_v[k] + 1)))
+    def finish(self) -> None:
+        """Tables by a known word's number: input row, base and tail log-probabilities (base 10)."""
+        names = list(self.known)
+        self.number = {w: i for i, w in enumerate(names)}
+        count = np.fromiter(self.known.values(), np.float64, len(names))
+        last = np.array([w[-1] % TAIL for w in names], np.int64).reshape(-1)
+        self.row = np.array([self.head.get(w, HEAD + k) for w, k in zip(names, last.tolist())], np.int32).reshape(-1)
+        self.base_log = np.log10((count + SMOOTH) / (self.n + SMOOTH * (self.v + 1)))
+        self.tail_log = np.where(self.row < HEAD, 0.0,
+                                 np.log10((count + SMOOTH) / (self.tail_n[last] + SMOOTH * (self.tail_v[last] + 1))))
+
+    def numbers(self, words: list[bytes]) -> np.ndarray:
+        """Number of each word, -1 where it isn't known."""
+        get = self.number.get
+        return np.fromiter([get(w, -1) for w in words], np.int32, len(words))
+
+    def rows(self, words: list[bytes], numbers: np.ndarray) -> np.ndarray:
+        """Input row of each word: its rank, or its tail class."""
+        out = np.empty(len(words), np.int32)
+        seen = numbers >= 0
+        out[seen] = self.row[numbers[seen]]
+        rare = np.flatnonzero(~seen)
+        out[rare] = [HEAD + words[k][-1] % TAIL for k in rare.tolist()]
+        if len(out) and numbers[-1] < 0 and words[-1] == END:
+            out[-1] = 0
+        return out
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -306,6 +332,7 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if w in known:
             out.tail_n[w[-1] % TAIL] -= known[w]
             out.tail_v[w[-1] % TAIL] -= 1
+    out.finish()
     return out
 
 
@@ -345,11 +372,15 @@ def _train_round(rows: DataFrame, p, vocab) -> dict[str, np.ndarray]:
         q, words = held.value
         q = {k: v.copy() for k, v in q.items()}
         state = {"t": 0, "m": {k: np.zeros_like(v) for k, v in q.items()}, "v": {k: np.zeros_like(v) for k, v in q.items()}}
-        n = 0
+        n, docs, size = 0, [], 0
         for b in batches:
-            docs = [words.ids(tokens(t)) for t in b.column(0).to_pylist()]
-            if docs:
+            docs += [words.rows(s, words.numbers(s)) for s in map(tokens, b.column(0).to_pylist())]
+            size += sum(map(len, docs[len(docs) - len(b):]))
+            if size > TOGETHER:
                 n += train_batch(q, docs, state)
+                docs, size = [], 0
+        if docs:
+            n += train_batch(q, docs, state)
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((n, q), 5)], pa.binary())], ["model"])
 
@@ -360,6 +391,10 @@ def _train_round(rows: DataFrame, p, vocab) -> dict[str, np.ndarray]:
     return pickle.loads(_average(got))[1] if got else p
 
 
+def _blank() -> dict[str, list]:
+    return {k: [] for k in ("doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n")}
+
+
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
@@ -374,31 +409,38 @@ def score(docs: DataFrame) -> DataFrame:
         p = _train_round(learn.where((place >= done) & (place < done + share)), p, vocab)
         done += share
     held = docs.sparkSession.sparkContext.broadcast((p, vocab))
-    ten = 1 / math.log(10)
+    ten, id_type = 1 / math.log(10), to_arrow_type(docs.schema["doc_id"].dataType)
 
     def run(batches):
         q, words = held.value
-        known = words.known
+        out, ids, size = _blank(), [], 0
         for b in batches:
-            split = [tokens(t) for t in b.column(1).to_pylist()]
-            model = score_batch(q, [words.ids(s) for s in split]) * ten
-            n_known, base, rare_n, rare = [], [], [], []
-            for i, s in enumerate(split):
-                count = np.fromiter([known.get(w, 0) for w in s], np.int64, len(s))
-                seen = count > 0
-                n_known.append(int(seen.sum()))
-                base.append(float(words.base(count[seen]).sum()))
-                for k in np.flatnonzero(seen):
-                    if s[k] not in words.head:
-                        model[i] += words.tail(s[k], int(count[k]))
-                left = Counter(s[k] for k in np.flatnonzero(~seen))
-                rare.append(list(left))
-                rare_n.append(list(left.values()))
-            yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array([len(s) for s in split], pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(model, pa.float64()), pa.array(rare, pa.list_(pa.binary())),
-                 pa.array(rare_n, pa.list_(pa.int64()))],
-                ["doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n"])
+            out["doc_id"] += b.column(0).to_pylist()
+            for s in map(tokens, b.column(1).to_pylist()):
+                k = words.numbers(s)
+                seen = k[k >= 0]
+                out["n_tokens"].append(len(s))
+                out["n_known"].append(len(seen))
+                out["base"].append(float(words.base_log[seen].sum()))
+                out["model"].append(float(words.tail_log[seen].sum()))
+                left = Counter([s[j] for j in np.flatnonzero(k < 0).tolist()])
+                out["rare"].append(list(left))
+                out["rare_n"].append(list(left.values()))
+                ids.append(words.rows(s, k))
+                size += len(s)
+            if size > TOGETHER:
+                yield scored(q, out, ids)
+                out, ids, size = _blank(), [], 0
+        if ids:
+            yield scored(q, out, ids)
+
+    def scored(q, out, ids):
+        model = np.array(out.pop("model")) + score_batch(q, ids) * ten
+        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "rare": pa.list_(pa.binary()),
+                 "rare_n": pa.list_(pa.int64())}
+        cols = {k: pa.array(v, kinds.get(k, id_type)) for k, v in out.items()} | {"model": pa.array(model)}
+        names = ["doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n"]
+        return pa.RecordBatch.from_arrays([cols[k] for k in names], names)
 
     part = stored(rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, model double, "
                                        "rare array<binary>, rare_n array<long>")
