@@ -30,7 +30,7 @@ from tokenizers.pre_tokenizers import Split
 
 from cartwheel.llm.common import map_batches, text_column, whitespace_pieces, worker_state
 
-CACHE_WORDS = 400_000  # words a Python worker remembers; only speed depends on it
+CACHE_WORDS = 300_000  # words, and pairs, that a Python worker remembers; only speed depends on it
 
 
 def _byte_alphabet() -> list[str]:
@@ -101,7 +101,7 @@ class Codec:
             self.scan.add_word(s, i)
         self.scan.make_automaton()
         self.shorter = self._shorter(symbols)
-        self.compatible_cache: dict[tuple[int, int], bool] = {}
+        self.compatible_cache: dict[int, bool] = {}
         pattern = d["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"]
         # The library's \s is Unicode white space; write it out so that both agree on U+001C..U+001F.
         pattern = pattern.replace(r"\s", r"\p{White_Space}")
@@ -135,7 +135,7 @@ class Codec:
 
         Undo the merges of both, latest first, looking at the two tokens that touch the seam:
         a rule that joins them before the later of the two was made would have crossed it."""
-        key = (a, b)
+        key = a << 20 | b
         known = self.compatible_cache.get(key)
         if known is not None:
             return known
@@ -155,7 +155,7 @@ class Codec:
             else:
                 limit = b + 1
                 b = parts[b][0]
-        if len(self.compatible_cache) > 2_000_000:
+        if len(self.compatible_cache) >= CACHE_WORDS:
             self.compatible_cache.clear()
         self.compatible_cache[key] = ok
         return ok

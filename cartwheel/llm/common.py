@@ -64,11 +64,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 
 def worker_state(key: str, make):
     """Value kept by a Python worker between tasks (``make()`` on first use).  It holds only
-    read-only tables and bounded caches, so results never depend on it."""
+    read-only tables and bounded caches, so results never depend on it.  The two values used last are
+    kept; those of earlier stages go."""
     home = sys.modules.setdefault("_cartwheel_worker_state", types.ModuleType("_cartwheel_worker_state"))
-    if key not in home.__dict__:
-        home.__dict__[key] = make()
-    return home.__dict__[key]
+    kept = home.__dict__.setdefault("kept", {})
+    if key not in kept:
+        for old in list(kept)[:-1]:
+            del kept[old]
+        kept[key] = make()
+    return kept[key]
 
 
 def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
