@@ -5,29 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from cartwheel.schema import MONEY
+from cartwheel.schema import MONEY, NO_INVOICE
 
 
 def strip_whitespace(c: Column) -> Column:
-    """Python ``str.strip()``: remove leading/trailing whitespace (tabs too), not only spaces."""
-    return F.regexp_replace(c, r"^\s+|\s+$", "")
+    """Python ``str.strip()``: remove leading/trailing Unicode whitespace and U+001C..U+001F."""
+    return F.regexp_replace(c, r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
 
 
 def _reasons() -> dict[str, Column]:
+    """Why a row is rejected.  The cleaner keeps exactly the rows that have none of these."""
     return {
         "null_customer": F.col("customer_id").isNull(),
         "bad_price": ~F.coalesce(F.col("unit_price") > 0, F.lit(False)),
         "bad_qty": ~F.coalesce(F.col("quantity") > 0, F.lit(False)),
+        "bad_date": F.col("invoice_date").isNull(),
         "cancelled": F.coalesce(F.col("invoice_no").startswith("C"), F.lit(False)),
     }
 
 
+def _kept() -> Column:
+    r = _reasons()
+    return ~(r["null_customer"] | r["bad_price"] | r["bad_qty"] | r["bad_date"] | r["cancelled"])
+
+
 def clean_transactions(raw: DataFrame, trim_description: bool = True,
                        keep_raw_description: bool = False) -> DataFrame:
     """Valid purchases with derived revenue.
 
-    Keeps rows with a customer, ``unit_price > 0``, ``quantity > 0`` and an
-    invoice number not starting with 'C'.  The predicates are on base columns
+    Keeps rows with a customer, a date, ``unit_price > 0``, ``quantity > 0``
+    and an invoice number not starting with 'C'; a missing invoice number is
+    kept under the name ``NO_INVOICE``.  The predicates are on base columns
     so they reach the file scan (PushedFilters).  ``trim_description=False``
     reproduces the dashboard's loader, which does not strip descriptions;
     ``keep_raw_description=True`` adds the unstripped text as
@@ -38,10 +46,11 @@ def clean_transactions(raw: DataFrame, trim_description: bool = True,
         F.col("customer_id").isNotNull()
         & (F.col("unit_price") > 0)
         & (F.col("quantity") > 0)
-        & ~F.col("invoice_no").startswith("C"))
+        & F.col("invoice_date").isNotNull()
+        & (F.col("invoice_no").isNull() | ~F.col("invoice_no").startswith("C")))
     desc = strip_whitespace(F.col("description")) if trim_description else F.col("description")
     return kept.select(
-        F.col("invoice_no").cast("string").alias("invoice_no"),
+        F.coalesce(F.col("invoice_no").cast("string"), F.lit(NO_INVOICE)).alias("invoice_no"),
         F.col("stock_code"),
         desc.alias("description"),
         F.col("quantity").cast("bigint").alias("quantity"),
@@ -50,7 +59,7 @@ def clean_transactions(raw: DataFrame, trim_description: bool = True,
         F.col("customer_id").cast("bigint").alias("customer_id"),
         F.col("country"),
         (F.col("quantity") * F.col("unit_price")).cast(MONEY).alias("total_line_revenue"),
-        F.col("invoice_no").startswith("C").alias("is_cancelled"),
+        F.coalesce(F.col("invoice_no").startswith("C"), F.lit(False)).alias("is_cancelled"),
         *([F.col("description").alias("description_raw")] if keep_raw_description else []),
     )
 
@@ -62,11 +71,10 @@ def quality_counts(raw: DataFrame) -> DataFrame:
     is counted under both.  One aggregate pass with partial aggregation.
     """
     r = _reasons()
-    ok = ~(r["null_customer"] | r["bad_price"] | r["bad_qty"] | r["cancelled"])
     return raw.agg(
         F.count(F.lit(1)).alias("rows_in"),
         *[F.count_if(cond).alias(name) for name, cond in r.items()],
-        F.count_if(ok).alias("rows_kept"),
+        F.count_if(_kept()).alias("rows_kept"),
     )
 
 
@@ -78,11 +86,10 @@ def clean_with_metrics(raw: DataFrame, trim_description: bool = True) -> tuple[D
     """
     obs = Observation("etl_quality")
     r = _reasons()
-    ok = ~(r["null_customer"] | r["bad_price"] | r["bad_qty"] | r["cancelled"])
     observed = raw.observe(
         obs,
         F.count(F.lit(1)).alias("rows_in"),
         *[F.count_if(cond).alias(name) for name, cond in r.items()],
-        F.count_if(ok).alias("rows_kept"),
+        F.count_if(_kept()).alias("rows_kept"),
     )
     return clean_transactions(observed, trim_description), obs

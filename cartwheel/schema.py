@@ -4,19 +4,24 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Prices keep eight decimals; with a 64-bit quantity the line revenue is exact in DECIMAL(38,8).
+PRICE = T.DecimalType(17, 8)
+MONEY = T.DecimalType(38, 8)
+
+# Fixed value: the text that the original ETL's string conversion gives a missing invoice number.
+NO_INVOICE = "nan"
+
 RAW_SCHEMA = T.StructType([
-    T.StructField("invoice_no", T.StringType(), False),
-    T.StructField("stock_code", T.StringType(), False),
+    T.StructField("invoice_no", T.StringType(), True),
+    T.StructField("stock_code", T.StringType(), True),
     T.StructField("description", T.StringType(), True),
-    T.StructField("quantity", T.LongType(), False),
-    T.StructField("invoice_date", T.TimestampNTZType(), False),
-    T.StructField("unit_price", T.DecimalType(12, 2), False),
+    T.StructField("quantity", T.LongType(), True),
+    T.StructField("invoice_date", T.TimestampNTZType(), True),
+    T.StructField("unit_price", PRICE, True),
     T.StructField("customer_id", T.LongType(), True),
-    T.StructField("country", T.StringType(), False),
+    T.StructField("country", T.StringType(), True),
 ])
 
-MONEY = T.DecimalType(38, 2)
-
 FACT_COLUMNS = [f.name for f in RAW_SCHEMA.fields] + ["total_line_revenue", "is_cancelled"]
 
 # The spreadsheet header names used by the original ETL and

@@ -19,27 +19,35 @@ def to_canonical_names(df: DataFrame) -> DataFrame:
 def conform_raw(df: DataFrame) -> DataFrame:
     """Project a raw frame onto ``RAW_SCHEMA`` (names, order, types).
 
-    Text inputs are converted with ``try_cast`` so a malformed cell becomes
-    NULL and is then rejected by the cleaning rules instead of failing the job.
-    ``customer_id`` arrives as a float in spreadsheets ('17850.0'), hence the
-    detour through DOUBLE (P02).
+    Whole numbers may come as '6', '6.0', '1e3' or a DOUBLE column, as
+    spreadsheets write them.  A cell that is no such number, price or date
+    becomes NULL, and the cleaning rules reject and count the row
+    (``bad_qty``, ``null_customer``, ``bad_price``, ``bad_date``) instead of
+    failing the job or losing it.
     """
     df = to_canonical_names(df)
+    types = dict(df.dtypes)
     out = []
     for f in RAW_SCHEMA.fields:
         c = F.col(f.name)
-        if f.name == "customer_id":
-            c = F.when(c.cast("string").rlike(r"^\s*-?\d+\s*$"), c.cast("string").try_cast("bigint")) \
-                 .otherwise(c.cast("string").try_cast("double").try_cast("bigint"))
-        elif f.name == "invoice_date":
-            c = c.cast("string").try_cast("timestamp_ntz") if dict(df.dtypes)[f.name] == "string" \
-                else c.cast("timestamp_ntz")
+        if f.dataType.typeName() == "long":
+            c = c if types[f.name] in ("bigint", "int", "smallint", "tinyint") else _whole(c)
+        elif types[f.name] == "string":
+            c = F.trim(c).try_cast(f.dataType) if f.dataType.typeName() != "string" else c
         else:
-            c = c.try_cast(f.dataType) if dict(df.dtypes)[f.name] == "string" else c.cast(f.dataType)
-        out.append(c.alias(f.name))
+            c = c.try_cast(f.dataType)
+        out.append(c.cast(f.dataType).alias(f.name))
     return df.select(*out)
 
 
+def _whole(c):
+    """A number without a fraction as BIGINT, else NULL."""
+    text = F.trim(c.cast("string"))
+    exact = text.try_cast("decimal(38,10)")
+    exact = F.coalesce(exact, text.try_cast("double").try_cast("decimal(38,10)"))
+    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+
+
 def read_raw_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
                           **options) -> DataFrame:
     """Scan raw invoice lines (S01); parquet/orc keep their types, CSV is read as text.

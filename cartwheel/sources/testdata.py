@@ -19,6 +19,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lines as a spreadsheet export might hold them: PascalCase headers, every cell text, with
+    sub-cent prices, whole numbers written '6.0', padded descriptions, missing invoice numbers and
+    malformed dates."""
+    r = raw_transactions(spark, sf_dir)
+    order = F.regexp_replace("invoice_no", "C", "").cast("bigint")
+    return r.select(
+        F.when(order % 97 != 0, F.col("invoice_no")).alias("InvoiceNo"),
+        F.col("stock_code").alias("StockCode"),
+        F.concat(F.lit("\u00a0\t"), F.col("description"), F.lit("\u3000")).alias("Description"),
+        F.concat(F.col("quantity").cast("string"), F.when(order % 2 == 0, F.lit(".0")).otherwise("")).alias("Quantity"),
+        F.when(order % 83 == 0, F.lit("no date")).otherwise(F.col("invoice_date").cast("string")).alias("InvoiceDate"),
+        F.concat(F.col("unit_price").cast("string"), F.when(order % 5 == 0, F.lit("125")).otherwise("")).alias("UnitPrice"),
+        F.concat(F.col("customer_id").cast("string"), F.lit(".0")).alias("CustomerID"),
+        F.col("country").alias("Country"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

@@ -43,7 +43,7 @@ def test_dashboard_loader_keeps_padding(spark):
 
 def test_quality_counts_overlap(spark):
     r = quality_counts(_raw(spark)).first().asDict()
-    assert r == {"rows_in": 8, "null_customer": 2, "bad_price": 2, "bad_qty": 3, "cancelled": 1, "rows_kept": 2}
+    assert r == {"rows_in": 8, "null_customer": 2, "bad_price": 2, "bad_qty": 3, "bad_date": 0, "cancelled": 1, "rows_kept": 2}
 
 
 def test_observed_metrics_match_one_pass(spark):
@@ -71,3 +71,40 @@ def test_adapter_golden_numbers_sf0001(spark):
     k = fact.agg(F.count_distinct("customer_id").alias("c"), F.count_distinct("invoice_no").alias("i"),
                  F.sum("total_line_revenue").alias("rev")).first()
     assert (k.c, k.i, k.rev) == (150, 1437, Decimal("7298876454.36"))
+
+
+def test_no_cell_is_lost_or_rounded(spark):
+    """Sub-cent prices, whole numbers with a fraction, missing invoices and malformed cells: kept exactly, or counted."""
+    good = ("1", "A", "\u00a0x\u3000", "6.0", "2010-12-01 08:26:00", "0.001", "17850.0", "UK")
+    rows = [good, (None, *good[1:]), (*good[:5], "0.125", *good[6:]), (*good[:3], "1e1", *good[4:]), (*good[:3], "2.5", *good[4:]),
+            (*good[:4], "soon", *good[5:]), (*good[:5], "x", *good[6:]), (*good[:6], "n/a", "UK")]
+    cols = ["InvoiceNo", "StockCode", "Description", "Quantity", "InvoiceDate", "UnitPrice", "CustomerID", "Country"]
+    raw = conform_raw(spark.createDataFrame(rows, cols))
+    kept = clean_transactions(raw).collect()
+    assert sorted((r.invoice_no, r.quantity, r.unit_price, r.total_line_revenue) for r in kept) == sorted([
+        ("1", 6, Decimal("0.001"), Decimal("0.006")), ("nan", 6, Decimal("0.001"), Decimal("0.006")),
+        ("1", 6, Decimal("0.125"), Decimal("0.75")), ("1", 10, Decimal("0.001"), Decimal("0.01"))])
+    assert all(r.description == "x" for r in kept)
+    assert quality_counts(raw).first().asDict() == {"rows_in": 8, "null_customer": 1, "bad_price": 1, "bad_qty": 1, "bad_date": 1,
+                                                    "cancelled": 0, "rows_kept": 4}
+    numbers = spark.createDataFrame([(6.0, 2.55, 17850.0), (2.5, 1.0, 1.0)], "quantity double, unit_price double, customer_id double")
+    other = numbers.selectExpr("'1' invoice_no", "'A' stock_code", "'x' description", "quantity", "timestamp_ntz'2010-12-01' invoice_date",
+                               "unit_price", "customer_id", "'UK' country")
+    assert [(r.quantity, r.unit_price, r.customer_id) for r in conform_raw(other).collect()] == [
+        (6, Decimal("2.55"), 17850), (None, Decimal("1"), 1)]
+
+
+def test_strip_is_pythons(spark):
+    from cartwheel.operators.clean import strip_whitespace
+    chars = [chr(c) for c in range(0x3100)] + [chr(c) for c in (0xFEFF, 0x180E)]
+    df = spark.createDataFrame([(i, f"{c}x{c}") for i, c in enumerate(chars)], "i int, s string")
+    got = {r.i: r.t for r in df.select("i", strip_whitespace(F.col("s")).alias("t")).collect()}
+    assert [got[i] for i in range(len(chars))] == [f"{c}x{c}".strip() for c in chars]
+
+
+def test_round_of_large_values(spark):
+    from cartwheel.functions.numeric import round_half_up
+    values = [1e17, 5e18, 9.3e250, 0.125, -0.125, 4503599627370497.5, 123456789012.345]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
+    got = [r[0] for r in df.orderBy("i").select(round_half_up("v")).collect()]
+    assert got[:6] == [1e17, 5e18, 9.3e250, 0.13, -0.12, 4503599627370497.5] and abs(got[6] - 123456789012.35) < 1e-4
