@@ -23,9 +23,13 @@ def round_half_up(c, digits: int = 2) -> Column:
     this form is plain IEEE arithmetic and gives the same bits everywhere.
     It rounds the binary value half toward +infinity (1.005 is stored as
     1.00499999... and gives 1.0; 0.125 gives 0.13; -0.125 gives -0.12).
+    From 2^52 on a DOUBLE scaled this way has no fraction left, and the value
+    is returned as it is: FLOOR gives a BIGINT, which such values may exceed.
     """
     scale = float(10 ** digits)
-    return F.floor(as_double(c) * F.lit(scale) + F.lit(0.5)) / F.lit(scale)
+    x = as_double(c)
+    return F.when(F.abs(x * F.lit(scale)) >= F.lit(2.0 ** 52), x).otherwise(
+        F.floor(x * F.lit(scale) + F.lit(0.5)) / F.lit(scale))
 
 
 def ratio(num, den) -> Column:

@@ -1,315 +1,145 @@
 """Maximum-likelihood fitting of the CLV models as Spark jobs.
 
 The objective is mean(-loglik) over customers plus an L2 penalty on the
-parameters, minimised over log-parameters.  The customer summary is first
-compressed to distinct model inputs with a count (customers sharing
-(x, t_x, T) contribute identically), written to the reliable checkpoint
-folder, and then every optimiser step is ONE Spark job: a batch of
-candidate parameter vectors is broadcast, crossed with the compressed data,
-and reduced to a few sums per candidate.  Only parameter vectors and those
-sums cross the driver.
-
-Methods.  "newton" (default): every row also yields its analytic score
-(gradient of its log-likelihood, via a digamma expression); one job returns
-objective and gradient for the line-search points plus d points around the
-full step, whose gradient differences give the Hessian (11 candidates for 4
-parameters).  "newton-fd": log-likelihoods only, gradient and Hessian from a
-finite-difference stencil (39 candidates).  "bhhh": outer-product curvature,
-one job per iteration over 6 candidates; cheapest per step, but the
-curvature is poor when the model fits badly (it stalls on the synthetic test
-tables), hence not the default.  On sf0.1 "newton" and "newton-fd" reach the
-same optimum; per-job cost there is dominated by fixed planning/scheduling,
-at scale by rows x candidates.
+parameters, minimised over log-parameters by a damped Newton method.  The
+customer summary is first compressed to distinct model inputs with a count
+(customers sharing (x, t_x, T) contribute identically) and checkpointed.
+Every optimiser step is ONE Spark job: the next point and one point beside it
+per parameter (5 for BG/NBD, 4 for Gamma-Gamma) are attached to every row as a
+literal array, and the job returns the objective and its analytic gradient at
+each; gradient differences give the Hessian.  Only parameters and those sums
+cross the driver.
+
+The result says how the search ended (``converged``, ``gradient_norm``,
+``at_bound``); a search that did not converge, stopped at a bound or gave an
+infinite population mean (q <= 1) also warns.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.clv import (
-    bgnbd_loglik_stages, bgnbd_score_stages, gamma_gamma_loglik_stages, gamma_gamma_score_stages,
-    with_stages,
-)
+from cartwheel.operators.clv import bgnbd_score_stages, gamma_gamma_score_stages, with_stages
 from cartwheel.session import ensure_checkpoint_dir
 
-Evaluate = Callable[[list[np.ndarray]], list[float]]
-
-
-def batch_objective(data: DataFrame, loglik_stages: Callable[[dict[str, Column]], list[list[Column]]],
-                    names: list[str], weight: str = "w", penalizer: float = 0.0) -> Evaluate:
-    """Objective(theta) for a batch of log-parameter vectors, one job per batch.
+Stages = Callable[[dict[str, Column]], list[list[Column]]]
+Evaluate = Callable[[list[np.ndarray]], list[tuple[float, np.ndarray]]]
 
-    ``loglik_stages(params)`` returns projection stages ending in ``__ll``;
-    they are built once and reused by every job.
-    """
-    spark = data.sparkSession
-    schema = "__cid int, " + ", ".join(f"__p_{n} double" for n in names)
-    stages = loglik_stages({n: F.col(f"__p_{n}") for n in names})
+LOG_BOUND = 30.0  # parameters stay within exp(+-30)
+ROWS_PER_PARTITION = 20_000
 
-    def evaluate(thetas: list[np.ndarray]) -> list[float]:
-        rows = [(i, *[float(math.exp(v)) for v in t]) for i, t in enumerate(thetas)]
-        cand = spark.createDataFrame(rows, schema)  # a few dozen rows
-        # every customer row is scored under every candidate of the bounded batch
-        scored = with_stages(data.crossJoin(F.broadcast(cand)), stages)
-        sums = (scored.groupBy("__cid")
-                      .agg(F.sum(F.col(weight) * F.col("__ll")).alias("s"), F.sum(weight).alias("w"))
-                      .collect())  # one row per candidate
-        out = [math.inf] * len(thetas)
-        for r in sums:
-            pv = np.exp(thetas[r["__cid"]])
-            val = (-(r["s"] / r["w"]) if r["s"] is not None else math.inf) + penalizer * float(np.sum(pv ** 2))
-            out[r["__cid"]] = val if math.isfinite(val) else math.inf
-        return out
 
-    return evaluate
-
-
-Moments = tuple[float, np.ndarray, np.ndarray]
-EvaluateMoments = Callable[[list[np.ndarray]], list[Moments]]
-
-
-def batch_moments(data: DataFrame, score_stages: Callable[[dict[str, Column]], list[list[Column]]],
-                  names: list[str], weight: str = "w", penalizer: float = 0.0) -> EvaluateMoments:
-    """(objective, gradient, BHHH matrix) in log-parameters for a batch of candidates, one job.
+def batch_gradients(data: DataFrame, score_stages: Stages, names: list[str], penalizer: float = 0.0) -> Evaluate:
+    """(objective, gradient) in log-parameters for a few points, one job.
 
     ``score_stages(params)`` must add ``__ll`` and ``__g0..__g{d-1}`` (the
-    per-row score with respect to the log-parameters).
+    per-row score with respect to the log-parameters); ``w`` is a row's count.
     """
-    spark = data.sparkSession
     d = len(names)
-    schema = "__cid int, " + ", ".join(f"__p_{n} double" for n in names)
-    stages = score_stages({n: F.col(f"__p_{n}") for n in names})
-    w = F.col(weight)
-    pairs = [(i, j) for i in range(d) for j in range(i, d)]
-    aggs = ([F.sum(w).alias("W"), F.sum(w * F.col("__ll")).alias("S")]
-            + [F.sum(w * F.col(f"__g{i}")).alias(f"G{i}") for i in range(d)]
-            + [F.sum(w * F.col(f"__g{i}") * F.col(f"__g{j}")).alias(f"H{i}_{j}") for i, j in pairs])
-
-    def evaluate(thetas: list[np.ndarray]) -> list[Moments]:
-        rows = [(k, *[float(math.exp(v)) for v in t]) for k, t in enumerate(thetas)]
-        cand = spark.createDataFrame(rows, schema)  # a handful of rows
-        res = with_stages(data.crossJoin(F.broadcast(cand)), stages).groupBy("__cid").agg(*aggs).collect()
-        out: list[Moments] = [(math.inf, np.zeros(d), np.eye(d))] * len(thetas)
-        for r in res:
-            pv = np.exp(thetas[r["__cid"]])
-            vals = [r["S"]] + [r[f"G{i}"] for i in range(d)] + [r[f"H{i}_{j}"] for i, j in pairs]
-            if any(v is None or not math.isfinite(v) for v in vals):
+    stages = score_stages({n: F.col(f"__c.{n}") for n in names})
+    w = F.col("w")
+    sums = [F.sum(w).alias("W"), F.sum(w * F.col("__ll")).alias("S"),
+            *[F.sum(w * F.col(f"__g{i}")).alias(f"G{i}") for i in range(d)]]
+
+    def evaluate(thetas: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
+        points = F.array(*[F.struct(F.lit(k).alias("id"), *[F.lit(float(math.exp(v))).alias(n) for n, v in zip(names, t)])
+                           for k, t in enumerate(thetas)])
+        spread = data.select("*", F.explode(points).alias("__c"))
+        rows = with_stages(spread, stages).groupBy(F.col("__c.id").alias("id")).agg(*sums).collect()  # one per point
+        out = [(math.inf, np.zeros(d))] * len(thetas)
+        for r in rows:
+            values = [r["S"], *[r[f"G{i}"] for i in range(d)]]
+            if any(v is None or not math.isfinite(v) for v in values):
                 continue
-            big_w = r["W"]
-            f = -r["S"] / big_w + penalizer * float(np.sum(pv ** 2))
-            g = -np.array([r[f"G{i}"] for i in range(d)]) / big_w + 2.0 * penalizer * pv ** 2
-            h = np.zeros((d, d))
-            for i, j in pairs:
-                h[i, j] = h[j, i] = r[f"H{i}_{j}"] / big_w
-            h += np.diag(4.0 * penalizer * pv ** 2)
-            out[r["__cid"]] = (f, g, h)
+            p = np.exp(thetas[r["id"]])
+            out[r["id"]] = (-r["S"] / r["W"] + penalizer * float(np.sum(p ** 2)),
+                            -np.array(values[1:]) / r["W"] + 2.0 * penalizer * p ** 2)
         return out
 
     return evaluate
 
 
-def minimize_bhhh(evaluate: EvaluateMoments, theta0, max_iter: int = 100, tol: float = 1e-9,
-                  gtol: float = 1e-7, max_step: float = 10.0,
-                  bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
-    """Quasi-Newton with the BHHH curvature; one job per iteration (line search batched)."""
-    theta = np.clip(np.asarray(theta0, dtype=float), *bounds)
-    f, g, h = evaluate([theta])[0]
-    it = 0
-    alphas = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
-    for it in range(1, max_iter + 1):
-        if not math.isfinite(f) or float(np.abs(g).max()) < gtol:
-            break
-        w, vecs = np.linalg.eigh(h)
-        w = np.maximum(np.abs(w), 1e-10 * max(1.0, float(np.abs(w).max())))
-        step = -(vecs @ ((vecs.T @ g) / w))
-        big = float(np.abs(step).max())
-        if big == 0.0 or not math.isfinite(big):
-            break
-        if big > max_step:
-            step *= max_step / big
-        cands = [np.clip(theta + a * step, *bounds) for a in alphas]
-        res = evaluate(cands)
-        b = int(np.argmin([m[0] for m in res]))
-        fb = res[b][0]
-        if not fb < f:
-            break
-        gain = f - fb
-        theta, (f, g, h) = cands[b], res[b]
-        if gain < tol * (1.0 + abs(f)):
-            break
-    return {"theta": theta, "objective": f, "iterations": it}
-
+def minimize_newton(evaluate: Evaluate, theta0, max_iter: int = 100, h: float = 1e-5, tol: float = 1e-9,
+                    gtol: float = 1e-6, max_step: float = 10.0, lower=None, upper=None) -> dict:
+    """Damped Newton with analytic gradients; the Hessian is their forward differences.
 
-def minimize_newton(evaluate: EvaluateMoments, theta0, max_iter: int = 60, h: float = 1e-5,
-                    tol: float = 1e-8, gtol: float = 1e-7, max_step: float = 10.0,
-                    bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
-    """Damped Newton with analytic gradients and a Hessian from forward differences
-    of the gradient (d extra candidates).
-
-    Each job evaluates the line search plus the Hessian points around the full
-    and the half step, so accepting either costs one job.  Log-parameters stay
-    in ``bounds``; a coordinate at a bound whose gradient pushes outwards is
-    held there (active set) and the Newton step is solved on the others.
+    A job evaluates the trial point and the d points beside it, so an accepted step costs one job
+    and a refused one (the step is then cut) another.  A coordinate at a bound whose gradient
+    pushes outwards is held there, and the step is solved on the others.  ``converged`` means that the
+    free gradient is below ``gtol`` or a full step gained less than ``tol``.
     """
-    lo, hi = bounds
-    theta = np.clip(np.asarray(theta0, dtype=float), lo, hi)
-    d = len(theta)
-
-    def fwd(t):
-        pts = []
-        for i in range(d):
-            p = t.copy()
-            p[i] += h if p[i] + h <= hi else -h
-            pts.append(p)
-        return pts
-
-    def hessian(t, g0, gs):
-        steps = [(p - t)[i] for i, p in enumerate(fwd(t))]
-        hm = np.column_stack([(gi - g0) / st for gi, st in zip(gs, steps)])
-        return 0.5 * (hm + hm.T)
-
-    def free_mask(t, g):
-        return ~(((t <= lo + 1e-12) & (g > 0)) | ((t >= hi - 1e-12) & (g < 0)))
-
-    res = evaluate([theta] + fwd(theta))
-    f, g = res[0][0], res[0][1]
-    hm = hessian(theta, g, [r[1] for r in res[1:]])
-    it = 0
-    alphas = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
+    d = len(theta0)
+    lo = np.full(d, -LOG_BOUND) if lower is None else np.asarray(lower, float)
+    hi = np.full(d, LOG_BOUND) if upper is None else np.asarray(upper, float)
+
+    def around(t):
+        return [t + np.where(np.arange(d) == i, h if t[i] + h <= hi[i] else -h, 0.0) for i in range(d)]
+
+    def look(t):
+        points = around(t)
+        (f, g), *beside = evaluate([t, *points])
+        hess = np.column_stack([(gi - g) / (p - t)[i] for i, (p, (_, gi)) in enumerate(zip(points, beside))])
+        return f, g, 0.5 * (hess + hess.T)
+
+    theta = np.clip(np.asarray(theta0, float), lo, hi)
+    f, g, hess = look(theta)
+    converged, it, scale = False, 0, 1.0
     for it in range(1, max_iter + 1):
-        if not math.isfinite(f) or not np.all(np.isfinite(hm)):
+        free = ~(((theta <= lo + 1e-9) & (g > 0)) | ((theta >= hi - 1e-9) & (g < 0)))
+        if not math.isfinite(f) or not np.isfinite(hess).all():
             break
-        free = free_mask(theta, g)
         if not free.any() or float(np.abs(g[free]).max()) < gtol:
+            converged = True
             break
-        hf = hm[np.ix_(free, free)]
-        w, vecs = np.linalg.eigh(hf)
+        w, vecs = np.linalg.eigh(hess[np.ix_(free, free)])
         w = np.maximum(np.abs(w), 1e-8 * max(1.0, float(np.abs(w).max())))
         step = np.zeros(d)
         step[free] = -(vecs @ ((vecs.T @ g[free]) / w))
-        big = float(np.abs(step).max())
-        if big == 0.0 or not math.isfinite(big):
-            break
-        if big > max_step:
-            step *= max_step / big
-        cands = [np.clip(theta + a * step, lo, hi) for a in alphas]
-        k = len(alphas)
-        res = evaluate(cands + fwd(cands[0]) + fwd(cands[1]))
-        b = int(np.argmin([r[0] for r in res[:k]]))
-        if not res[b][0] < f:
-            break
-        gain = f - res[b][0]
-        theta, f, g = cands[b], res[b][0], res[b][1]
-        if gain < tol * (1.0 + abs(f)):
-            break
-        if b == 0:
-            hm = hessian(theta, g, [r[1] for r in res[k:k + d]])
-        elif b == 1:
-            hm = hessian(theta, g, [r[1] for r in res[k + d:k + 2 * d]])
+        step *= scale * min(1.0, max_step / float(np.abs(step).max()))
+        trial = np.clip(theta + step, lo, hi)
+        new = look(trial)
+        if new[0] < f:
+            gain, full = f - new[0], scale == 1.0
+            theta, (f, g, hess), scale = trial, new, 1.0
+            if full and gain < tol * (1.0 + abs(f)):
+                converged = True
+                break
         else:
-            hm = hessian(theta, g, [r[1] for r in evaluate(fwd(theta))])
-    return {"theta": theta, "objective": f, "iterations": it}
-
-
-def _stencil(theta: np.ndarray, h: float) -> list[np.ndarray]:
-    d = len(theta)
-    pts = [theta.copy()]
-    for i in range(d):
-        for s in (1.0, -1.0):
-            p = theta.copy()
-            p[i] += s * h
-            pts.append(p)
-    for i in range(d):
-        for j in range(i + 1, d):
-            for si, sj in ((1.0, 1.0), (1.0, -1.0), (-1.0, 1.0), (-1.0, -1.0)):
-                p = theta.copy()
-                p[i] += si * h
-                p[j] += sj * h
-                pts.append(p)
-    return pts
-
-
-def _grad_hess(fs: list[float], d: int, h: float) -> tuple[np.ndarray, np.ndarray]:
-    f0 = fs[0]
-    g = np.zeros(d)
-    hess = np.zeros((d, d))
-    k = 1
-    for i in range(d):
-        fp, fm = fs[k], fs[k + 1]
-        k += 2
-        g[i] = (fp - fm) / (2 * h)
-        hess[i, i] = (fp - 2 * f0 + fm) / (h * h)
-    for i in range(d):
-        for j in range(i + 1, d):
-            fpp, fpm, fmp, fmm = fs[k:k + 4]
-            k += 4
-            hess[i, j] = hess[j, i] = (fpp - fpm - fmp + fmm) / (4 * h * h)
-    return g, hess
-
-
-def minimize(evaluate: Evaluate, theta0, max_iter: int = 60, h: float = 1e-4, tol: float = 1e-8,
-             max_step: float = 3.0, bounds: tuple[float, float] = (-30.0, 30.0)) -> dict:
-    """Damped Newton with a finite-difference Hessian.
-
-    Eigenvalues of the Hessian are made positive so every step goes downhill;
-    steps are capped at ``max_step`` in log space (a factor e^3 per step: the
-    stencil's early curvature is rough, and longer first steps can land on a
-    different ridge of the likelihood) and log-parameters kept in ``bounds``.
-    Each job evaluates the line-search points together with the stencil
-    around the full step, so an accepted full step costs one job.
-    """
-    theta = np.asarray(theta0, dtype=float)
-    d = len(theta)
-    n_st = len(_stencil(theta, h))
-    fs = evaluate(_stencil(theta, h))
-    f = fs[0]
-    it = 0
-    alphas = [1.0, 0.5, 0.25, 0.1, 0.03, 0.01]
-    for it in range(1, max_iter + 1):
-        if all(math.isfinite(v) for v in fs):
-            g, hess = _grad_hess(fs, d, h)
-        else:
-            g, hess = np.zeros(d), np.eye(d)
-        w, vecs = np.linalg.eigh(hess)
-        w = np.maximum(np.abs(w), 1e-8 * max(1.0, float(np.abs(w).max())))
-        step = -(vecs @ ((vecs.T @ g) / w))
-        big = float(np.abs(step).max()) if step.size else 0.0
-        if big == 0.0 or not math.isfinite(big):
-            break
-        if big > max_step:
-            step *= max_step / big
-        cands = [np.clip(theta + a * step, *bounds) for a in alphas]
-        out = evaluate(cands + _stencil(cands[0], h))
-        fl = out[:len(alphas)]
-        pre = {0: out[len(alphas):]}
-        b = int(np.argmin(fl))
-        if not fl[b] < f:
-            break
-        gain = f - fl[b]
-        theta, f = cands[b], fl[b]
-        if gain < tol * (1.0 + abs(f)):
-            break
-        fs = pre[b] if b in pre else evaluate(_stencil(theta, h))
-        assert len(fs) == n_st
-    return {"theta": theta, "objective": f, "iterations": it}
+            scale *= 0.25
+            if scale < 1e-6:  # no descent within rounding
+                converged = float(np.abs(g[free]).max()) < 1e3 * gtol
+                break
+    free = ~(((theta <= lo + 1e-9) & (g > 0)) | ((theta >= hi - 1e-9) & (g < 0)))
+    return {"theta": theta, "objective": f, "iterations": it, "converged": converged,
+            "gradient_norm": float(np.abs(g[free]).max(initial=0.0)), "at_bound": (~free).tolist()}
 
 
 def _stable(df: DataFrame) -> DataFrame:
-    """Spread the (compressed, CPU-bound) model inputs over every core and
-    write them to the reliable checkpoint folder: each optimiser pass then
-    reads a fixed, short lineage."""
+    """The compressed model inputs, spread by their number and written to the reliable checkpoint
+    folder: each optimiser pass then reads a fixed, short lineage."""
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    return df.repartition(spark.sparkContext.defaultParallelism).checkpoint(eager=True)
+    df = df.checkpoint(eager=True)
+    parts = max(1, min(df.count() // ROWS_PER_PARTITION + 1, 100_000))
+    return df.repartition(parts).checkpoint(eager=True)
+
+
+def _report(model: str, names: list[str], res: dict, params: dict) -> dict:
+    at_bound = [n for n, b in zip(names, res["at_bound"]) if b]
+    if not res["converged"]:
+        warnings.warn(f"{model}: not converged after {res['iterations']} steps, gradient {res['gradient_norm']:.3g}", stacklevel=3)
+    if at_bound:
+        warnings.warn(f"{model}: at the bound of {', '.join(at_bound)}", stacklevel=3)
+    return {**params, "at_bound": at_bound, **{k: res[k] for k in ("objective", "iterations", "converged", "gradient_norm")}}
 
 
-def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100,
-              method: str = "newton") -> dict:
+def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100) -> dict:
     """BG/NBD (r, alpha, a, b) by penalised maximum likelihood; alpha in days.
 
     Time is scaled so the longest T is 1 while fitting (the penalty applies
@@ -317,53 +147,34 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100,
     """
     tmax_df = summary.agg(F.max("T").alias("tmax"))
     tmax_c = tmax_df.scalar()
-    comp = (summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
+    data = _stable(summary.groupBy("frequency", "recency", "T").agg(F.count(F.lit(1)).alias("w"))
                    .select(F.col("frequency").alias("x"), (F.col("recency") / tmax_c).alias("tx"),
                            (F.col("T") / tmax_c).alias("tt"), F.col("w").cast("double").alias("w")))
-    data = _stable(comp)
-    tmax = float(tmax_df.first()["tmax"])  # one scalar
     names = ["r", "alpha", "a", "b"]
-    if method == "bhhh":
-        ev = batch_moments(
-            data, lambda p: bgnbd_score_stages("x", "tx", "tt", p["r"], p["alpha"], p["a"], p["b"]),
-            names, "w", penalizer)
-        res = minimize_bhhh(ev, np.zeros(4), max_iter=max_iter)
-    elif method == "newton":
-        ev = batch_moments(
-            data, lambda p: bgnbd_score_stages("x", "tx", "tt", p["r"], p["alpha"], p["a"], p["b"]),
-            names, "w", penalizer)
-        res = minimize_newton(ev, np.zeros(4), max_iter=max_iter)
-    else:
-        ev = batch_objective(
-            data, lambda p: bgnbd_loglik_stages("x", "tx", "tt", p["r"], p["alpha"], p["a"], p["b"]),
-            names, "w", penalizer)
-        res = minimize(ev, np.zeros(4), max_iter=max_iter)
+    res = minimize_newton(batch_gradients(
+        data, lambda p: bgnbd_score_stages("x", "tx", "tt", p["r"], p["alpha"], p["a"], p["b"]), names, penalizer),
+        np.zeros(4), max_iter)
     r, alpha, a, b = (float(v) for v in np.exp(res["theta"]))
-    return {"r": r, "alpha": alpha * tmax, "a": a, "b": b,
-            "objective": res["objective"], "iterations": res["iterations"]}
+    return _report("BG/NBD", names, res, {"r": r, "alpha": alpha * float(tmax_df.first()["tmax"]), "a": a, "b": b})
 
 
-def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100,
-                    method: str = "newton") -> dict:
-    """Gamma-Gamma (p, q, v) by penalised maximum likelihood on repeat customers."""
-    comp = (summary.filter(F.col("frequency") > 0)
-                   .groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).cast("double").alias("w")))
-    data = _stable(comp)
+def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100, q_min: float | None = None,
+                    monetary_scale: float = 1.0) -> dict:
+    """Gamma-Gamma (p, q, v) by penalised maximum likelihood on repeat customers.
+
+    ``q_min`` bounds q from below (above 1 the population mean v p / (q - 1) is
+    finite).  Spend is divided by ``monetary_scale`` while fitting, and the
+    penalty applies on that scale; v is scaled back.
+    """
+    data = _stable(summary.filter(F.col("frequency") > 0)
+                   .groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).cast("double").alias("w"))
+                   .withColumn("monetary_value", F.col("monetary_value") / F.lit(float(monetary_scale))))
     names = ["p", "q", "v"]
-    if method == "bhhh":
-        ev = batch_moments(
-            data, lambda p: gamma_gamma_score_stages("frequency", "monetary_value", p["p"], p["q"], p["v"]),
-            names, "w", penalizer)
-        res = minimize_bhhh(ev, np.zeros(3), max_iter=max_iter)
-    elif method == "newton":
-        ev = batch_moments(
-            data, lambda p: gamma_gamma_score_stages("frequency", "monetary_value", p["p"], p["q"], p["v"]),
-            names, "w", penalizer)
-        res = minimize_newton(ev, np.zeros(3), max_iter=max_iter)
-    else:
-        ev = batch_objective(
-            data, lambda p: gamma_gamma_loglik_stages("frequency", "monetary_value", p["p"], p["q"], p["v"]),
-            names, "w", penalizer)
-        res = minimize(ev, np.zeros(3), max_iter=max_iter)
+    lower = np.array([-LOG_BOUND, -LOG_BOUND if q_min is None else math.log(q_min), -LOG_BOUND])
+    res = minimize_newton(batch_gradients(
+        data, lambda p: gamma_gamma_score_stages("frequency", "monetary_value", p["p"], p["q"], p["v"]), names, penalizer),
+        np.zeros(3), max_iter, lower=lower)
     p, q, v = (float(x) for x in np.exp(res["theta"]))
-    return {"p": p, "q": q, "v": v, "objective": res["objective"], "iterations": res["iterations"]}
+    if q <= 1:
+        warnings.warn(f"Gamma-Gamma: q = {q:.4g} <= 1, the population mean is not finite; set q_min", stacklevel=2)
+    return _report("Gamma-Gamma", names, res, {"p": p, "q": q, "v": v * monetary_scale})

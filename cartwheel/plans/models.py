@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.numeric import round_half_up
-from cartwheel.operators.clv import BGNBD_CDNOW, GAMMA_GAMMA_CDNOW, clv_summary, predict_clv
+from cartwheel.operators.clv import BGNBD_CDNOW, GAMMA_GAMMA_CDNOW, clv_summary, mean_loglik, predict_clv
 from cartwheel.operators.fit import fit_bgnbd, fit_gamma_gamma
 from cartwheel.plans.common import finalize
+from cartwheel.session import ensure_checkpoint_dir
 
 
 def clv_summary_table(fact: DataFrame) -> DataFrame:
@@ -33,7 +34,16 @@ def fit_and_predict(fact: DataFrame, penalizer: float = 0.01) -> tuple[DataFrame
     The summary is checkpointed once; each fitter compresses and
     checkpoints its own inputs, so every optimiser pass reads short lineage.
     """
+    ensure_checkpoint_dir(fact.sparkSession)
     summary = clv_summary(fact).checkpoint(eager=True)
     bg = fit_bgnbd(summary, penalizer)
     gg = fit_gamma_gamma(summary, penalizer)
     return predict_clv(summary, bg, gg), bg, gg
+
+
+def loglik_fixed(fact: DataFrame) -> DataFrame:
+    """Mean log-likelihood and gradient of both models at the published parameters, to six digits
+    after the point (the engines' logarithms differ in the last bits)."""
+    out = mean_loglik(clv_summary(fact), BGNBD_CDNOW, GAMMA_GAMMA_CDNOW)
+    return out.select("model", "customers", *[round_half_up(F.col(c), 6).alias(c)
+                                              for c in ("loglik", "grad_0", "grad_1", "grad_2", "grad_3")])
