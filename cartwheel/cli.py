@@ -26,11 +26,17 @@ from cartwheel.sources import read_raw_transactions, read_table, write_table
 
 FACT_ONLY = {"q01_monthly_revenue", "q05_country_revenue", "q06_top_products", "q08_cohort_retention",
              "q09_revenue_deciles", "q10_day_hour", "q12_kpi", "pareto_share", "country_yoy_growth"}
-WITH_RFM = {"q02_segment_revenue", "q07_purchase_gaps"}
+WITH_RFM = {"q02_segment_revenue", "q07_purchase_gaps", "orders_per_year_by_segment"}
+RFM_ONLY = {"segment_action"}
 WITH_RFM_PRED = {"q03_top_customers", "q04_churn_risk"}
+WITH_PRED = WITH_RFM_PRED | {"q11_clv_by_segment"}
 
 
 def _question(name: str, spark: SparkSession, a) -> DataFrame:
+    if name not in FACT_ONLY | WITH_RFM | RFM_ONLY | WITH_PRED:
+        raise SystemExit(f"unknown question {name}")
+    if name in WITH_PRED and not a.pred:
+        raise SystemExit(f"{name} needs --pred, a table written by the predict command")
     fact = read_table(spark, a.fact)
     fn = getattr(questions, name)
     if name in FACT_ONLY:
@@ -38,12 +44,12 @@ def _question(name: str, spark: SparkSession, a) -> DataFrame:
     rfm = read_table(spark, a.rfm) if a.rfm else rfm_ops.customer_rfm(fact)
     if name in WITH_RFM:
         return fn(fact, rfm)
+    if name in RFM_ONLY:
+        return fn(rfm)
     pred = read_table(spark, a.pred)
     if name in WITH_RFM_PRED:
         return fn(fact, rfm, pred, as_of=a.as_of) if name == "q04_churn_risk" else fn(fact, rfm, pred)
-    if name == "q11_clv_by_segment":
-        return fn(rfm, pred)
-    raise SystemExit(f"unknown question {name}")
+    return fn(rfm, pred)
 
 
 def _emit(df: DataFrame, a) -> None:

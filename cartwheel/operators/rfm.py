@@ -73,7 +73,11 @@ def rfm_scores(fact: DataFrame) -> DataFrame:
 def customer_rfm(fact: DataFrame) -> DataFrame:
     """``customer_rfm`` (customer_id, rfm_segment, recency_days, frequency, monetary):
     the view's NTILE scores run through the segment rule."""
-    s = rfm_scores(fact)
+    return segments(rfm_scores(fact))
+
+
+def segments(s: DataFrame) -> DataFrame:
+    """``customer_rfm`` from stored ``rfm_scores``."""
     score = F.col("r_score") + F.col("f_score") + F.col("m_score")
     return s.select("customer_id", segment_expr(score, F.col("r_score")).alias("rfm_segment"),
                     F.col("recency").alias("recency_days"), "frequency", "monetary")

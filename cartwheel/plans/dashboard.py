@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwheel.functions.calendar import month_key
-from cartwheel.functions.numeric import ratio, round_half_up
+from cartwheel.functions.numeric import money_text, ratio, round_half_up
 from cartwheel.operators.histogram import equal_width_histogram
 from cartwheel.operators.shares import with_share_small
 from cartwheel.plans.common import finalize
@@ -85,6 +85,16 @@ def app_reactivation(rfm: DataFrame, k: int = 15) -> DataFrame:
     return finalize(_nlargest(rfm.filter(F.col("segment").isin(REACTIVATE)), k, "monetary").select(*DETAIL_COLS))
 
 
+def with_money_text(table: DataFrame) -> DataFrame:
+    """A detail table as displayed: money columns as '$1,234.56' text."""
+    return table.withColumns({c: money_text(c) for c in ("monetary", "clv_12month")})
+
+
+def clv_bound(rfm: DataFrame) -> DataFrame:
+    """Upper end of the explorer's slider: the largest CLV without its fraction."""
+    return rfm.agg(F.max("clv_12month").cast("decimal(38,6)").cast("bigint").alias("max_clv"))
+
+
 def _explore(rfm: DataFrame, segments: list[str] | None, min_clv: float) -> DataFrame:
     cond = F.col("clv_12month") >= F.lit(float(min_clv))
     if segments is not None:

@@ -11,7 +11,7 @@ windows; windows over customer or product grains never do.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cartwheel.functions.calendar import day_name, month_key
@@ -25,14 +25,25 @@ from cartwheel.plans.common import finalize, valid_lines
 REV = "total_line_revenue"
 
 
+def _by_invoice(lines: DataFrame, **keys: Column) -> DataFrame:
+    """Lines reduced to (keys, invoice, customer) with revenue and line count.
+
+    Several COUNT(DISTINCT ..) in one aggregate make Spark write every input row once per distinct
+    column (Expand).  Taken at this grain they cost that on invoices, not on lines.
+    """
+    return (lines.groupBy(*[c.alias(k) for k, c in keys.items()], "invoice_no", "customer_id")
+            .agg(F.sum(REV).alias("rev"), F.count(F.lit(1)).alias("n_lines"),
+                 F.min("invoice_date").alias("first_date"), F.max("invoice_date").alias("last_date")))
+
+
 def q01_monthly_revenue(fact: DataFrame) -> DataFrame:
     """Q1: orders, customers, revenue, mean line value and month-over-month growth per month."""
-    months = (valid_lines(fact, require_customer=True)
-              .groupBy(month_key("invoice_date").alias("month"))
+    months = (_by_invoice(valid_lines(fact, require_customer=True), month=month_key("invoice_date"))
+              .groupBy("month")
               .agg(F.count_distinct("invoice_no").alias("total_orders"),
                    F.count_distinct("customer_id").alias("unique_customers"),
-                   F.sum(REV).alias("rev"),
-                   F.count(F.lit(1)).alias("n_lines")))
+                   F.sum("rev").alias("rev"),
+                   F.sum("n_lines").alias("n_lines")))
     prev = F.lag("rev").over(Window.orderBy("month"))  # month grain: bounded by the calendar
     return finalize(months.select(
         "month", "total_orders", "unique_customers",
@@ -89,7 +100,7 @@ def q04_churn_risk(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, as
 
     ``as_of`` is the reference date: None = today, 'data_max' = the last
     invoice date in the data (a scalar subquery), or a literal date.
-    Predicted CLV is reported to the cent.
+    Predicted CLV is returned as predicted.
     """
     lines = valid_lines(fact)
     stats = (lines.groupBy("customer_id")
@@ -110,18 +121,18 @@ def q04_churn_risk(fact: DataFrame, customer_rfm: DataFrame, pred: DataFrame, as
                .join(pred.select("customer_id", "predicted_clv_12m"), "customer_id"))
     return finalize(j.select(
         "customer_id", "last_purchase_date", "days_since_last_purchase", "total_orders", "total_spend",
-        "rfm_segment", round_half_up(F.col("predicted_clv_12m")).alias("predicted_clv_12m"),
+        "rfm_segment", "predicted_clv_12m",
     )).orderBy(F.col("total_spend").desc(), "customer_id")
 
 
 def q05_country_revenue(fact: DataFrame) -> DataFrame:
     """Q5: revenue contribution and rank per country."""
-    countries = (valid_lines(fact, require_customer=True)
+    countries = (_by_invoice(valid_lines(fact, require_customer=True), country=F.col("country"))
                  .groupBy("country")
                  .agg(F.count_distinct("customer_id").alias("unique_customers"),
                       F.count_distinct("invoice_no").alias("total_orders"),
-                      F.sum(REV).alias("total_revenue"),
-                      F.count(F.lit(1)).alias("n_lines")))
+                      F.sum("rev").alias("total_revenue"),
+                      F.sum("n_lines").alias("n_lines")))
     out = with_share_small(countries, "total_revenue", "revenue_share_pct")
     out = rank_small(out, "total_revenue", "revenue_rank")
     return finalize(out.select(
@@ -229,14 +240,15 @@ def q11_clv_by_segment(customer_rfm: DataFrame, pred: DataFrame) -> DataFrame:
 def q12_kpi(fact: DataFrame) -> DataFrame:
     """Q12: one-row executive summary."""
     f = valid_lines(fact, require_customer=True)
-    k = f.agg(F.count_distinct("customer_id").alias("total_customers"),
-              F.count_distinct("invoice_no").alias("total_orders"),
-              F.sum(REV).alias("total_gross_revenue"),
-              F.count(F.lit(1)).alias("n_lines"),
-              F.count_distinct("stock_code").alias("unique_products"),
-              F.count_distinct("country").alias("countries_served"),
-              F.min("invoice_date").alias("data_from"),
-              F.max("invoice_date").alias("data_to"))
+    products = f.agg(F.count_distinct("stock_code")).scalar()  # one distinct column: no Expand
+    k = _by_invoice(f, country=F.col("country")).agg(
+        F.count_distinct("customer_id").alias("total_customers"),
+        F.count_distinct("invoice_no").alias("total_orders"),
+        F.sum("rev").alias("total_gross_revenue"),
+        F.sum("n_lines").alias("n_lines"),
+        F.count_distinct("country").alias("countries_served"),
+        F.min("first_date").alias("data_from"),
+        F.max("last_date").alias("data_to")).withColumn("unique_products", products)
     return finalize(k.select(
         "total_customers", "total_orders", "total_gross_revenue",
         round_half_up(ratio("total_gross_revenue", "n_lines")).alias("avg_order_value"),
@@ -246,7 +258,6 @@ def q12_kpi(fact: DataFrame) -> DataFrame:
 
 
 
-
 def pareto_share(fact: DataFrame, parts: int = 5) -> DataFrame:
     """Share of revenue from the top 1/parts of customers (top quintile by default):
     the customers in NTILE(parts) bucket 1 when ordered by revenue descending
@@ -273,3 +284,29 @@ def country_yoy_growth(fact: DataFrame) -> DataFrame:
         "country", "year", "revenue",
         round_half_up(ratio(F.col("revenue") - prev, prev) * F.lit(100.0)).alias("yoy_growth_pct"),
     )).orderBy("country", "year")
+
+
+# The business action proposed for each segment.
+SEGMENT_ACTIONS = {
+    "Champions": "Reward & upsell",
+    "Loyal Customers": "Loyalty programme",
+    "At Risk": "Win-back campaign",
+    "Lost": "Re-engagement or drop",
+    "New Customers": "Onboarding sequence",
+}
+
+
+def segment_action(customer_rfm: DataFrame) -> DataFrame:
+    """Customers per segment with the proposed business action (NULL for segments without one)."""
+    action = F.create_map(*[F.lit(x) for kv in SEGMENT_ACTIONS.items() for x in kv])
+    return (customer_rfm.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("num_customers"))
+            .withColumn("business_action", F.try_element_at(action, F.col("rfm_segment"))).orderBy("rfm_segment"))
+
+
+def orders_per_year_by_segment(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
+    """Mean invoices per customer and year in each segment; the year count is the span of the data
+    in days over 365.25."""
+    span = valid_lines(fact).agg(F.datediff(F.max("invoice_date"), F.min("invoice_date"))).scalar()
+    seg = customer_rfm.groupBy("rfm_segment").agg(F.count(F.lit(1)).alias("num_customers"), F.sum("frequency").alias("orders"))
+    per_year = ratio(ratio("orders", "num_customers") * F.lit(365.25), span)
+    return finalize(seg.select("rfm_segment", "num_customers", round_half_up(per_year).alias("orders_per_year"))).orderBy("rfm_segment")

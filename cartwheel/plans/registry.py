@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.operators.clean import quality_counts
+from cartwheel.functions.numeric import round_half_up
+from cartwheel.operators.clean import clean_transactions, quality_counts
 from cartwheel.operators import rfm
 from cartwheel.plans import dashboard as app
 from cartwheel.plans import models
@@ -14,6 +15,7 @@ from cartwheel.plans import questions as q
 from cartwheel.plans.common import dashboard_view, fact_from_testdata, fact_view, finalize
 from cartwheel.plans.tables import materialize
 from cartwheel.sources import testdata
+from cartwheel.sources.retail import conform_raw
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -37,8 +39,13 @@ def _app_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dashboard_view(_stored_fact(spark, sf_dir))
 
 
+def _rfm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialize(spark, "rfm_scores", sf_dir, lambda: rfm.rfm_scores(_fact(spark, sf_dir)))
+
+
 def _customer_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return materialize(spark, "customer_rfm", sf_dir, lambda: rfm.customer_rfm(_fact(spark, sf_dir)))
+    """customer_rfm is a projection of the stored scores."""
+    return rfm.segments(_rfm_scores(spark, sf_dir))
 
 
 def _pred_fixed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -56,17 +63,23 @@ def _clv_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.to_cents(pred)
 
 
+# The explorer with a real filter: some segments, and a CLV that part of their customers reach.
+EXPLORED, EXPLORED_CLV = ["Champions", "At Risk", "Lost"], 1_000_000.0
+
 QUERIES: dict[str, Query] = {
     "clean_transactions": lambda s, d: finalize(_fact(s, d)),
+    "clean_raw_text": lambda s, d: finalize(clean_transactions(conform_raw(testdata.raw_text(s, d)))),
     "etl_quality_counts": lambda s, d: quality_counts(testdata.raw_transactions(s, d)),
+    "etl_quality_counts_text": lambda s, d: quality_counts(conform_raw(testdata.raw_text(s, d))),
     "q01_monthly_revenue": lambda s, d: q.q01_monthly_revenue(_fact(s, d)),
-    "rfm_scores": lambda s, d: finalize(rfm.rfm_scores(_fact(s, d))),
+    "rfm_scores": lambda s, d: finalize(_rfm_scores(s, d)),
     "customer_rfm": lambda s, d: finalize(_customer_rfm(s, d)),
     "q02_segment_revenue": lambda s, d: q.q02_segment_revenue(_fact(s, d), _customer_rfm(s, d)),
     "q03_top_customers": lambda s, d: q.q03_top_customers(_fact(s, d), _customer_rfm(s, d),
                                                           _pred_fixed(s, d)),
-    "q04_churn_risk": lambda s, d: q.q04_churn_risk(_fact(s, d), _customer_rfm(s, d),
-                                                    _pred_fixed(s, d), as_of="data_max"),
+    # reported to the cent here: engines differ in the last bits of the prediction
+    "q04_churn_risk": lambda s, d: q.q04_churn_risk(_fact(s, d), _customer_rfm(s, d), _pred_fixed(s, d), as_of="data_max")
+    .withColumn("predicted_clv_12m", round_half_up("predicted_clv_12m")),
     "q05_country_revenue": lambda s, d: q.q05_country_revenue(_fact(s, d)),
     "q06_top_products": lambda s, d: q.q06_top_products(_fact(s, d)),
     "q08_cohort_retention": lambda s, d: q.q08_cohort_retention(_fact(s, d)),
@@ -77,8 +90,11 @@ QUERIES: dict[str, Query] = {
     "q12_kpi": lambda s, d: q.q12_kpi(_fact(s, d)),
     "pareto_share": lambda s, d: q.pareto_share(_fact(s, d)),
     "country_yoy_growth": lambda s, d: q.country_yoy_growth(_fact(s, d)),
+    "segment_action": lambda s, d: q.segment_action(_customer_rfm(s, d)),
+    "orders_per_year_by_segment": lambda s, d: q.orders_per_year_by_segment(_fact(s, d), _customer_rfm(s, d)),
     "clv_summary": lambda s, d: models.clv_summary_table(_fact(s, d)),
     "clv_predict_fixed": lambda s, d: models.to_cents(_pred_fixed(s, d)),
+    "clv_loglik_fixed": lambda s, d: models.loglik_fixed(_fact(s, d)),
     "clv_fit_predict": _clv_fit_predict,
     "app_rfm": lambda s, d: finalize(_app_rfm(s, d)),
     "app_kpis": lambda s, d: app.app_kpis(_app_rfm(s, d)),
@@ -90,9 +106,14 @@ QUERIES: dict[str, Query] = {
     "app_frequency_vs_clv": lambda s, d: app.app_frequency_vs_clv(_app_rfm(s, d)),
     "app_top20_clv": lambda s, d: app.app_top20_clv(_app_rfm(s, d)),
     "app_reactivation": lambda s, d: app.app_reactivation(_app_rfm(s, d)),
+    "app_top20_clv_text": lambda s, d: app.with_money_text(app.app_top20_clv(_app_rfm(s, d))),
+    "app_reactivation_text": lambda s, d: app.with_money_text(app.app_reactivation(_app_rfm(s, d))),
     "app_segment_options": lambda s, d: app.app_segment_options(_app_rfm(s, d)),
     "app_explorer": lambda s, d: app.app_explorer(_app_rfm(s, d)),
     "app_explorer_kpis": lambda s, d: app.app_explorer_kpis(_app_rfm(s, d)),
+    "app_clv_bound": lambda s, d: app.clv_bound(_app_rfm(s, d)),
+    "app_explorer_filtered": lambda s, d: app.app_explorer(_app_rfm(s, d), EXPLORED, EXPLORED_CLV),
+    "app_explorer_filtered_kpis": lambda s, d: app.app_explorer_kpis(_app_rfm(s, d), EXPLORED, EXPLORED_CLV),
     "app_monthly_revenue": lambda s, d: app.app_monthly_revenue(_app_fact(s, d)),
     "app_top_countries": lambda s, d: app.app_top_countries(_app_fact(s, d)),
     "app_top_products": lambda s, d: app.app_top_products(_app_fact(s, d)),

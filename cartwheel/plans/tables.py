@@ -1,86 +1,79 @@
-"""Shared tables, written once per session and input, then read by the questions.
+"""Shared tables, written once per input, then read by the questions.
 
 The original work stores ``fact_transactions`` (ETL), ``customer_rfm`` and
 ``pred_customer_clv`` as tables and the dashboard memoises its customer
 frame; the questions only read them.  ``materialize`` does the same on
-Spark: the first use writes the table as parquet into the shared checkpoint
-folder (``spark.checkpoint.dir``, reliable storage that survives executor
-loss) and every use reads it back, so later questions scan a short, pruned,
-statistics-carrying table instead of replaying joins and rankings.
-
-The memo is keyed by the Spark application, the table name and the input
-folder with its files' sizes and modification times, so different inputs
-or a changed input never share an entry.
-
-Bucketing by customer_id is available but off for the fact tables: a
-bucketed scan reads each bucket in one task, so a customer holding a third
-of all lines would put a third of the data through one task in every
-customer-grain aggregation.  Unbucketed, map-side partial aggregation
-spreads that customer over all map tasks and the shuffle carries one
-pre-summed row per task for it.
+Spark: the first use writes the table as parquet below the shared folder
+``spark.checkpoint.dir`` (reliable storage that survives executor loss) and
+every use, by this or a later application, reads it back.
+
+A table's path holds a digest of the library's table version, the table's
+name and the input's files with their sizes and modification times, taken
+from the file system that Spark reads them with.  Changed input therefore
+means another path; ``forget`` removes tables.  A table is written beside its
+path and renamed when it is complete, so a half-written one is never read.
+
+Tables are not bucketed by customer: a bucketed scan reads each bucket in
+one task, so a customer holding a third of all lines would put a third of
+the data through one task in every customer-grain aggregation.
 """
 
 from __future__ import annotations
 
 import hashlib
-import os
 import threading
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.session import ensure_checkpoint_dir
 
-_MEMO: dict[tuple, str] = {}
+TABLE_VERSION = 2  # raise when a stored table's definition changes
 _LOCK = threading.RLock()  # one build per table even if queries run from several threads
 
 
-def _input_signature(sf_dir: str) -> tuple:
-    if "://" in sf_dir or not os.path.isdir(sf_dir):
-        return (sf_dir,)
-    sig = []
-    for name in sorted(os.listdir(sf_dir)):
-        st = os.stat(os.path.join(sf_dir, name))
-        sig.append((name, st.st_size, int(st.st_mtime)))
-    return (os.path.abspath(sf_dir), tuple(sig))
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
-def materialize(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame],
-                bucket_by: str | None = None, buckets: int | None = None) -> DataFrame:
-    """Write ``build()`` once (per application, name and input) and return a scan of it.
+def input_signature(spark: SparkSession, path: str) -> list[tuple[str, int, int]]:
+    """(name, bytes, modification time) of every file below ``path``, on any file system."""
+    fs, p = _fs(spark, path)
+    top, out = fs.getFileStatus(p).getPath().toString(), []
+    files = fs.listFiles(p, True)
+    while files.hasNext():
+        st = files.next()
+        out.append((st.getPath().toString(), st.getLen(), st.getModificationTime()))
+    return [(top, 0, 0), *sorted(out)]
 
-    ``bucket_by`` stores the table hash-bucketed on that column (an external
-    catalog table in the same folder): aggregations and joins keyed by it
-    then read co-partitioned data and skip the shuffle.  Use it only for a
-    key without heavy hitters (see the module note).  The bucket count
-    defaults to ``spark.sql.shuffle.partitions``.
-    """
-    key = (spark.sparkContext.applicationId, name, _input_signature(sf_dir), bucket_by)
+
+def tables_root(spark: SparkSession) -> str:
+    """The folder of the shared tables: stable if ``spark.checkpoint.dir`` is set, else (local
+    mode) inside the application's own temporary checkpoint folder."""
+    own = ensure_checkpoint_dir(spark)
+    root = spark.conf.get("spark.checkpoint.dir", None) or own
+    return f"{root.rstrip('/')}/cartwheel-tables"
+
+
+def materialize(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Write ``build()`` once per name and input, and return a scan of it."""
+    key = repr((TABLE_VERSION, name, input_signature(spark, sf_dir)))
+    path = f"{tables_root(spark)}/{name}-{hashlib.sha256(key.encode()).hexdigest()[:24]}"
     with _LOCK:
-        target = _MEMO.get(key) or _build(spark, key, name, build, bucket_by, buckets)
-    return spark.table(target) if bucket_by else spark.read.parquet(target)
-
-
-def _build(spark: SparkSession, key: tuple, name: str, build: Callable[[], DataFrame],
-           bucket_by: str | None, buckets: int | None) -> str:
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    digest = hashlib.sha1(repr(key).encode()).hexdigest()[:16]
-    path = f"{root}/cartwheel-tables/{name}-{digest}"
-    if bucket_by:
-        n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        target = f"cartwheel_{name}_{digest}"
-        (build().write.mode("overwrite").format("parquet").option("path", path)
-                .bucketBy(n, bucket_by).saveAsTable(target))
-    else:
-        build().write.mode("overwrite").parquet(path)
-        target = path
-    _MEMO[key] = target
-    return target
-
-
-def forget(spark: SparkSession | None = None) -> None:
-    """Drop memo entries (all, or one application's)."""
+        fs, done = _fs(spark, path)
+        if not fs.exists(done):
+            part = f"{path}.{uuid.uuid4().hex}"
+            build().write.parquet(part)
+            # Another application may have finished first: its table holds the same rows.
+            if not fs.exists(done) and not fs.rename(_fs(spark, part)[1], done) and not fs.exists(done):
+                raise OSError(f"could not put the table in place: {path}")
+    return spark.read.parquet(path)
+
+
+def forget(spark: SparkSession) -> None:
+    """Remove all shared tables."""
     with _LOCK:
-        for k in list(_MEMO):
-            if spark is None or k[0] == spark.sparkContext.applicationId:
-                del _MEMO[k]
+        fs, root = _fs(spark, tables_root(spark))
+        fs.delete(root, True)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -13,6 +15,7 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -56,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
     if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="cartwheel-ckpt-"))
+        own = tempfile.mkdtemp(prefix="cartwheel-ckpt-")
+        atexit.register(shutil.rmtree, own, ignore_errors=True)
+        sc.setCheckpointDir(own)
         return sc.getCheckpointDir()
     raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/S3/...) for this cluster")

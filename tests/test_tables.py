@@ -1,9 +1,13 @@
-"""Shared-table memo: one build per (application, name, input); inputs never share."""
+"""Shared tables: one build per name and input, also across applications."""
 
 import os
+import subprocess
+import sys
 import tempfile
 
-from cartwheel.plans.tables import forget, materialize
+from cartwheel.plans.tables import forget, input_signature, materialize, tables_root
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
 def test_materialize_builds_once_per_input(spark):
@@ -20,11 +24,29 @@ def test_materialize_builds_once_per_input(spark):
         return f
 
     a = materialize(spark, "memo_test", d1, build(3))
-    b = materialize(spark, "memo_test", d1, build(99))   # same input: no rebuild
+    b = materialize(spark, "memo_test", f"file://{d1}", build(99))  # same input: no rebuild
     c = materialize(spark, "memo_test", d2, build(5))    # other input: own table
     assert builds == [3, 5] and a.count() == b.count() == 3 and c.count() == 5
-    with open(os.path.join(d1, "y.txt"), "w") as fh:     # changed input: rebuilt
+    with open(os.path.join(d1, "y.txt"), "w") as fh:     # changed input: rebuilt, remote spelling too
         fh.write("y")
-    assert materialize(spark, "memo_test", d1, build(7)).count() == 7
+    assert materialize(spark, "memo_test", f"file://{d1}", build(7)).count() == 7
+    assert len(input_signature(spark, d1)) == 3
+    root = tables_root(spark)
     forget(spark)
+    assert not os.path.exists(root.removeprefix("file:"))
     assert materialize(spark, "memo_test", d2, build(4)).count() == 4 and builds == [3, 5, 7, 4]
+
+
+def test_second_application_reads_the_table():
+    shared, data = tempfile.mkdtemp(prefix="shared-"), tempfile.mkdtemp(prefix="in-")
+    code = f"""
+from cartwheel.plans.tables import materialize
+from cartwheel.session import build_session
+s = build_session("local[1]", extra={{"spark.checkpoint.dir": "file://{shared}"}})
+def build():
+    print("BUILT")
+    return s.range(4)
+print("ROWS", materialize(s, "t", "{data}", build).count())
+"""
+    runs = [subprocess.run([sys.executable, "-c", code], cwd=ROOT, capture_output=True, text=True, timeout=120).stdout for _ in range(2)]
+    assert "BUILT" in runs[0] and "BUILT" not in runs[1] and all("ROWS 4" in r for r in runs)
