@@ -174,11 +174,12 @@ def score_batch(p, docs: list[np.ndarray]) -> np.ndarray:
         return total
     ids, owner, start = lanes(docs, SCORE_LANES)
     before = _inputs(ids, start)
+    begins = start.any(axis=1)
     h = np.zeros((ids.shape[1], HIDDEN), np.float32)
     for s in range(0, len(ids), WINDOW):
         states = []
         for t in range(s, min(s + WINDOW, len(ids))):
-            if start[t].any():
+            if begins[t]:
                 h = np.where(start[t][:, None], np.float32(0), h)
             h, _ = _gates(p, before[t], h)
             states.append(h)
@@ -201,11 +202,13 @@ def train_batch(p, docs: list[np.ndarray], state) -> int:
     docs = [d[s:s + SEGMENT] for d in docs for s in range(0, len(d), SEGMENT)]
     ids, owner, start = lanes(docs, LANES)
     before = _inputs(ids, start)
+    begins = start.any(axis=1)
     h = np.zeros((ids.shape[1], HIDDEN), np.float32)
     for s in range(0, len(ids), WINDOW):
         steps, states, kept = range(s, min(s + WINDOW, len(ids))), [], []
         for t in steps:
-            h = np.where(start[t][:, None], np.float32(0), h)
+            if begins[t]:
+                h = np.where(start[t][:, None], np.float32(0), h)
             h, k = _gates(p, before[t], h)
             states.append(h)
             kept.append(k)
@@ -219,18 +222,26 @@ def train_batch(p, docs: list[np.ndarray], state) -> int:
         d_out[real] = d_real
         d_out = d_out.reshape(len(states), -1, HIDDEN)
         dx = np.empty((len(states), ids.shape[1], 3 * HIDDEN), np.float32)
+        du = np.empty_like(dx)  # as dx, with the reset gate on the candidate's part
         dh = np.zeros_like(h)
         for i in range(len(states) - 1, -1, -1):
             was, z, r, c, g = kept[i]
             dh = dh + d_out[i]
-            dg = dh * (1 - z) * (1 - g * g)
-            dz = dh * (was - g) * z * (1 - z)
-            dr = dg * c * r * (1 - r)
-            dx[i, :, :HIDDEN], dx[i, :, HIDDEN:2 * HIDDEN], dx[i, :, 2 * HIDDEN:] = dz, dr, dg
-            db = np.concatenate([dz, dr, dg * r], axis=1)
-            grads["u"] += was.T @ db
-            dh = dh * z + db @ p["u"].T
-            dh[start[s + i]] = 0
+            rest = 1 - z
+            dg = dh * rest
+            dg *= 1 - g * g
+            dx[i, :, 2 * HIDDEN:] = dg
+            rest *= z
+            dx[i, :, :HIDDEN] = dh * (was - g) * rest
+            dr = dg * r
+            du[i, :, 2 * HIDDEN:] = dr
+            dr *= c
+            dx[i, :, HIDDEN:2 * HIDDEN] = dr * (1 - r)
+            du[i, :, :2 * HIDDEN] = dx[i, :, :2 * HIDDEN]
+            dh = dh * z + du[i] @ p["u"].T
+            if begins[s + i]:
+                dh[start[s + i]] = 0
+        grads["u"] += np.concatenate([k[0] for k in kept]).T @ du.reshape(-1, 3 * HIDDEN)
         _scatter(before[s:s + WINDOW].ravel(), dx.reshape(-1, 3 * HIDDEN), grads["x"])
         _step(p, grads, n, state)
     return sum(map(len, docs))
