@@ -13,20 +13,11 @@ from cartwheel.operators.histogram import equal_width_histogram
 from cartwheel.operators.rfm import segment_expr
 
 
-def _segment_py(score, r):
-    if score >= 13:
-        return "Champions"
-    if score >= 10:
-        return "Loyal Customers"
-    if r >= 4 and score >= 8:
-        return "Potential Loyalists"
-    if r >= 4 and score < 8:
-        return "New Customers"
-    if r == 3:
-        return "At Risk"
-    if r == 2:
-        return "Hibernating"
-    return "Lost"
+# Expected segments by R score (rows 1..5) and R+F+M total (columns 3..15), from the rule's two thresholds on the
+# total and the cases of R below them.
+_LOW = {1: "Lost", 2: "Hibernating", 3: "At Risk"}
+EXPECTED = {r: ([_LOW[r]] * 7 if r <= 3 else ["New Customers"] * 5 + ["Potential Loyalists"] * 2)
+            + ["Loyal Customers"] * 3 + ["Champions"] * 3 for r in range(1, 6)}
 
 
 def test_segment_rule_all_125_triples(spark):
@@ -34,7 +25,7 @@ def test_segment_rule_all_125_triples(spark):
     df = spark.createDataFrame(triples, "r long, f long, m long")
     out = df.select("r", "f", "m", segment_expr(F.col("r") + F.col("f") + F.col("m"), F.col("r")).alias("s"))
     got = {(x.r, x.f, x.m): x.s for x in out.collect()}
-    assert got == {(r, f, m): _segment_py(r + f + m, r) for r, f, m in triples}
+    assert got == {(r, f, m): EXPECTED[r][r + f + m - 3] for r, f, m in triples}
 
 
 def _gaps_brute(rows):
