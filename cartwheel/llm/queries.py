@@ -73,6 +73,22 @@ QUERIES: dict[str, Query] = {
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
 }
 SQL: dict[str, str] = {
+    "op2_bwt_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        w AS (SELECT doc_id, i, substr(h, 2 * i + 1, 100) AS s
+              FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2 - 49)) AS i FROM d)),
+        first AS (SELECT s, min(doc_id) AS doc FROM w GROUP BY s),
+        gone AS (SELECT w.doc_id, w.i, lag(w.i) OVER (PARTITION BY w.doc_id ORDER BY w.i) AS before
+                 FROM w JOIN first USING (s) WHERE first.doc < w.doc_id),
+        run AS (SELECT *, count(*) FILTER (before IS NULL OR i - before > 50) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM gone),
+        span AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS z FROM run GROUP BY doc_id, k),
+        cut AS (SELECT doc_id, list(a ORDER BY a) AS a, list(z ORDER BY a) AS z, sum(z - a) AS n FROM span GROUP BY doc_id)
+        SELECT doc_id, len(h) // 2 AS n_bytes, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, coalesce(len(a), 0) AS n_spans,
+               sha256(unhex(CASE WHEN a IS NULL THEN h ELSE array_to_string(list_transform(range(0, len(a) + 1),
+                   lambda j: substr(h, 2 * CASE j WHEN 0 THEN 0 ELSE z[j] END + 1,
+                                    2 * (CASE j WHEN len(a) THEN len(h) // 2 ELSE a[j + 1] END - CASE j WHEN 0 THEN 0 ELSE z[j] END))),
+                   '') END)) AS kept_sha256
+        FROM d LEFT JOIN cut USING (doc_id)""",
     "op8_pivot_top_k": """
         WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE)) AS q
                    FROM embeddings
