@@ -40,7 +40,7 @@ SHINGLE = 5
 BANDS, ROWS, BITS = 25, 5, 4
 MINIMA = BANDS * ROWS
 WORDS = 2  # 64-bit words of a bit plane
-BLOCK_MEMBERS = 512        # members of a bucket in one block
+BLOCK_MEMBERS = 256        # members of a bucket in one block
 BLOCK_SHINGLES = 400_000   # shingles of a component in one block
 CACHE_WORDS = 250_000
 
