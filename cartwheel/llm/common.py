@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import sys
 import types
 import uuid
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 from cartwheel.session import ensure_checkpoint_dir
 
 
-ROW_KEY = "_cartwheel_row_key"  # hash of a row's text beside its doc_id; no input column is called so
+# Names that no input column has: a row's id and the hash of its text, as the other side of a join.
+ROW_ID, ROW_KEY = "_cartwheel_row_id", "_cartwheel_row_key"
 
 
 BATCH_BYTES = 8 << 20
@@ -50,7 +53,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the application's shared checkpoint folder."""
     bounded_batches(spark)
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    if not _MADE:
+        atexit.register(_remove_made, spark._jvm)
+    _MADE.append(path)
+    return path
+
+
+_MADE: list[str] = []
+
+
+def _remove_made(jvm) -> None:
+    """Remove this application's intermediate tables when the driver ends."""
+    with contextlib.suppress(Exception):  # the JVM may have gone first; results never depend on this
+        conf = jvm.org.apache.hadoop.conf.Configuration()
+        for path in _MADE:
+            p = jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(conf).delete(p, True)
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -100,6 +119,21 @@ def text_column(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_id():
+    """``doc_id`` as a join key that is never null."""
+    return F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+
+
+def with_row_name(docs: DataFrame) -> DataFrame:
+    """``docs`` with the name of each row: its id and the hash of its text."""
+    return docs.withColumns({ROW_ID: row_id(), ROW_KEY: F.xxhash64("text")})
+
+
+def row_names(rows: DataFrame) -> DataFrame:
+    """The names of rows given by ``doc_id`` and ``row_key``."""
+    return rows.select(row_id().alias(ROW_ID), F.col("row_key").alias(ROW_KEY))
+
+
 def whitespace_pieces(text: str, size: int = 1 << 20):
     """Cut ``text`` just before ASCII white space into pieces of about ``size`` characters.
     A run without white space stays whole, so no token is cut."""

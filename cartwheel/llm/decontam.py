@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ROW_KEY, stored, text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import ROW_ID, ROW_KEY, row_id, row_names, stored, text_column, whitespace_pieces, with_row_name, worker_state
 from cartwheel.llm.minhash import WordHashes, mix
 
 MASKS = ("111111", "110110011", "1101001011", "10110100011")
@@ -184,13 +184,15 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame) -> DataFrame:
                 w = words(t)
                 for h in [*all_seeds(w), *[short_seed(w, n) for n in short]]:
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(h), i)), pa.array(np.full(len(h), r)), pa.array(h.view(np.int64)),
+                        [pa.array([i] * len(h), pa.int64()), pa.array(np.full(len(h), r)), pa.array(h.view(np.int64)),
                          pa.array(np.arange(len(h), dtype=np.int32))], ["doc_id", "row_key", "h", "p"])
 
-    doc_side = _rows(docs).where("doc_id is not null").mapInArrow(of_docs, "doc_id long, row_key long, h long, p int")
+    doc_side = _rows(docs).mapInArrow(of_docs, "doc_id long, row_key long, h long, p int")
     shifts = (doc_side.join(item_side, "h")
               .select("doc_id", "row_key", "item_id", (F.col("p") - F.col("q")).alias("shift")).distinct())
-    aligned = shifts.join(bench, "item_id").join(_rows(docs), ["doc_id", "row_key"])
+    texts = with_row_name(docs.select(text_column().alias("text"), "doc_id")).drop("doc_id")
+    named = shifts.join(bench, "item_id").withColumns({ROW_ID: row_id(), ROW_KEY: F.col("row_key")})
+    aligned = named.join(texts, [ROW_ID, ROW_KEY])
 
     def check(batches):
         for b in batches:
@@ -223,6 +225,4 @@ def leaks(docs: DataFrame, bench: DataFrame, broadcast_words: int = BROADCAST_WO
 def clean(docs: DataFrame, bench: DataFrame) -> DataFrame:
     """The rows of ``docs`` that overlap no benchmark item."""
     hit = stored(leaks(docs, bench).select("doc_id", "row_key").distinct(), "leaks")
-    hit = hit.withColumnRenamed("row_key", ROW_KEY)
-    rows = docs.withColumn(ROW_KEY, F.xxhash64("text"))
-    return rows.join(hit, ["doc_id", ROW_KEY], "left_anti").select(docs.columns)
+    return with_row_name(docs).join(row_names(hit), [ROW_ID, ROW_KEY], "left_anti").select(docs.columns)

@@ -19,7 +19,8 @@ cell of bounded memory, so no link between different texts is lost however large
 
 A band set of 25 x 5 misses a link of similarity 0.85 with probability 4e-7.  Documents without words
 (null or empty texts) have an empty set and are linked with nothing; those with fewer words than a shingle
-have one shingle, the whole sequence.  Repeated rows are copies of each other.  Texts are handled
+have one shingle, the whole sequence.  Repeated rows are copies of each other; a row without ``doc_id`` stays unless a
+document with one is near it.  Texts are handled
 piecewise.  An empty table gives an empty result; only ``doc_id`` and ``text`` are read.
 """
 
@@ -33,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ROW_KEY, stored, text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import ROW_ID, ROW_KEY, row_names, stored, text_column, whitespace_pieces, with_row_name, worker_state
 from cartwheel.llm.components import components
 
 SHINGLE = 5
@@ -346,12 +347,12 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     out = rows.select("doc_id", "row_key", "n_shingles", "node").join(names, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "row_key", "n_shingles", component.alias("component_id"),
-                      (F.col("doc_id") == component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"))
 
 
 def keep_one(docs: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of ``docs`` that stay when one document of each group of near-duplicates does."""
     found = near_duplicates(docs, percent).where("kept").select("doc_id", "row_key").distinct()
-    found = found.withColumnRenamed("row_key", ROW_KEY)
-    rows = docs.withColumn(ROW_KEY, F.xxhash64("text"))
-    return rows.join(found, ["doc_id", ROW_KEY]).dropDuplicates(["doc_id", "text"]).select(docs.columns)
+    # Repeated rows meet in the join's own partitioning, so dropping them moves no text again.
+    return (with_row_name(docs).join(row_names(found), [ROW_ID, ROW_KEY]).dropDuplicates([ROW_ID, ROW_KEY])
+            .select(docs.columns))

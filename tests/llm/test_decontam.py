@@ -53,6 +53,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert sorted((r.doc_id, r.item_id, r.n_matched) for r in got.collect()) == [(0, 1, 13), (1, 1, 13)]
     kept = decontam.clean(odd_docs, items)
     assert kept.columns == odd_docs.columns and kept.count() == len(ODD) - 3
+    own = spark.createDataFrame([(1, "a row without an id, mail me at a.b@c.de or call")], "item_id long, text string")
+    for held in (decontam.BROADCAST_WORDS, 0):
+        assert [tuple(r)[::2] for r in decontam.leaks(odd_docs, own, held).collect()] == [(None, 1, 14)]
+    assert decontam.clean(odd_docs, own).count() == len(ODD) - 1
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontam.clean(odd_docs, none).count() == len(ODD)
     assert decontam.leaks(no_docs, items).count() == 0 and decontam.leaks(no_docs, items, 0).count() == 0
