@@ -67,6 +67,8 @@ class RunEncoder:
         self.plain = re.compile("[a-z]+").fullmatch
         self.beyond = re.compile("[\u0130\u0250-\U0010ffff]|<\\|").search
         self.runs, self.words = Remembered(), Remembered()
+        self.stops = {}
+        self.stops = {s.encode(): self._part(s) for s in ".,;:!?"}
 
     def _part(self, part: str) -> bytes:
         if self.plain(part):
@@ -78,6 +80,9 @@ class RunEncoder:
         return out
 
     def _run(self, raw: bytes) -> bytes:
+        if raw[-1:] in self.stops and raw[-2:-1].isalpha():  # a sign after a letter is a part of its own
+            word = raw[:-1]
+            return (self.runs.get(word) or self._run(word)) + self.stops[raw[-1:]]
         run = raw.decode()
         if self.beyond(run):
             out = self._part(run)
@@ -91,7 +96,12 @@ class RunEncoder:
         get, make = self.runs.get, self._run
         found: list[bytes] = []
         for piece in whitespace_pieces(text):
-            found += [get(r) or make(r) for r in piece.encode().split()]  # bytes: ASCII white space only
+            raw = piece.encode()
+            # The tokenizer lower-cases all but special-token strings.  Done beforehand it saves runs; not where a
+            # combining mark (U+0300 on, first byte 0xCC) could join a small letter but not its capital.
+            if b"<|" not in raw and np.frombuffer(raw or b" ", np.uint8).max() < 0xCC:
+                raw = raw.lower()
+            found += [get(r) or make(r) for r in raw.split()]  # bytes: ASCII white space only
         found.append(array("I", [end_id]).tobytes())
         return np.frombuffer(b"".join(found), "<i4")
 
