@@ -1,13 +1,18 @@
 """Probabilistic customer-lifetime value: BG/NBD purchase counts with
 Gamma-Gamma spend (Fader, Hardie & Lee 2005; Fader & Hardie 2013).
 
-Everything is a column expression over the customer summary; the fitters
-(operators/fit.py) only move parameter vectors and scalar sums.
+Summary and prediction are column expressions over the customer summary; the
+likelihoods are numpy over Arrow batches, of which only sums leave a task; the
+fitters (operators/fit.py) move parameter vectors and those sums.
 Time is measured in days.
 """
 
 from __future__ import annotations
 
+import math
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -60,63 +65,62 @@ def clv_summary(fact: DataFrame, observation_end: str | None = None, repeat_only
     return out.filter(F.col("frequency") > 0) if repeat_only else out
 
 
-def with_stages(df: DataFrame, stages: list[list[Column]]) -> DataFrame:
-    """Apply projection stages in order (each adds its columns)."""
-    for st in stages:
-        df = df.select("*", *st)
-    return df
-
-
-def bgnbd_score_stages(x: str, t_x: str, t_obs: str, r: Column, alpha: Column, a: Column,
-                       b: Column) -> list[list[Column]]:
-    """BG/NBD log-likelihood ``__ll`` per customer (eq. 6 of the 2005 paper, log-sum-exp
-    form) and its gradient with respect to the log-parameters (``__g0..__g3``
-    for log r, log alpha, log a, log b).  Projections in order: each log-gamma
-    expands a column reference instead of a compound expression."""
-    xd = F.col(x).cast("double")
-    first = [(r + xd).alias("__g_rx"), (a + b).alias("__g_ab"), (b + xd).alias("__g_bx"),
-             (a + b + xd).alias("__g_abx"),
-             (-(r + xd) * F.log(alpha + F.col(t_obs))).alias("__a3"),
-             (F.log(a) - F.log(b + F.greatest(xd, F.lit(1.0)) - F.lit(1.0))
-              - (r + xd) * F.log(F.col(t_x) + alpha)).alias("__a4")]
-    a3, a4 = F.col("__a3"), F.col("__a4")
+def bgnbd_terms(rows: dict[str, np.ndarray], r: float, alpha: float, a: float, b: float):
+    """BG/NBD log-likelihood per customer (eq. 6 of the 2005 paper, log-sum-exp form) and its
+    gradient by (log r, log alpha, log a, log b); ``rows`` has x, tx, tt."""
+    x, tx, tt = rows["x"], rows["tx"], rows["tt"]
+    one = np.ones_like(x)
+    a3 = -(r + x) * np.log(alpha + tt)
+    past = b + np.maximum(x, 1.0) - 1.0
+    a4 = math.log(a) - np.log(past) - (r + x) * np.log(alpha + tx)
     # Without a repeat purchase only the first term counts, so it alone sets the scale.
-    mx = F.when(F.col(x) > 0, F.greatest(a3, a4)).otherwise(a3)
-    e3, e4 = F.exp(a3 - mx), F.when(F.col(x) > 0, F.exp(a4 - mx)).otherwise(F.lit(0.0))
-    second = [(e3 / (e3 + e4)).alias("__w3"),
-              (lgamma(F.col("__g_rx")) - lgamma(r) + r * F.log(alpha)
-               + lgamma(F.col("__g_ab")) + lgamma(F.col("__g_bx")) - lgamma(b) - lgamma(F.col("__g_abx"))
-               + F.log(e3 + e4) + mx).alias("__ll"),
-              digamma(F.col("__g_rx")).alias("__d_rx"), digamma(r).alias("__d_r"),
-              digamma(F.col("__g_ab")).alias("__d_ab"), digamma(F.col("__g_bx")).alias("__d_bx"),
-              digamma(b).alias("__d_b"), digamma(F.col("__g_abx")).alias("__d_abx")]
-    w3 = F.col("__w3")
-    w4 = F.lit(1.0) - w3
-    d_r = F.col("__d_rx") - F.col("__d_r") + F.log(alpha) - w3 * F.log(alpha + F.col(t_obs)) \
-        - w4 * F.log(alpha + F.col(t_x))
-    d_alpha = r / alpha - w3 * (r + xd) / (alpha + F.col(t_obs)) - w4 * (r + xd) / (alpha + F.col(t_x))
-    d_a = F.col("__d_ab") - F.col("__d_abx") + w4 / a
-    d_b = F.col("__d_ab") + F.col("__d_bx") - F.col("__d_b") - F.col("__d_abx") \
-        - w4 / (b + F.greatest(xd, F.lit(1.0)) - F.lit(1.0))
-    third = [(r * d_r).alias("__g0"), (alpha * d_alpha).alias("__g1"), (a * d_a).alias("__g2"),
-             (b * d_b).alias("__g3")]
-    return [first, second, third]
-
-
-def gamma_gamma_score_stages(x: str, m: str, p: Column, q: Column, v: Column) -> list[list[Column]]:
-    """Gamma-Gamma ``__ll`` and its gradient w.r.t. log p, log q, log v (``__g0..__g2``)."""
-    xd = F.col(x).cast("double")
-    first = [(p * xd).alias("__g_px"), (p * xd + q).alias("__g_pxq")]
-    px, pxq = F.col("__g_px"), F.col("__g_pxq")
-    lxmv = F.log(xd * F.col(m) + v)
-    second = [(lgamma(pxq) - lgamma(px) - lgamma(q) + q * F.log(v) + (px - F.lit(1.0)) * F.log(F.col(m))
-               + px * F.log(xd) - (px + q) * lxmv).alias("__ll"),
-              digamma(pxq).alias("__d_pxq"), digamma(px).alias("__d_px"), digamma(q).alias("__d_q")]
-    d_p = xd * (F.col("__d_pxq") - F.col("__d_px") + F.log(F.col(m)) + F.log(xd) - lxmv)
-    d_q = F.col("__d_pxq") - F.col("__d_q") + F.log(v) - lxmv
-    d_v = q / v - (px + q) / (xd * F.col(m) + v)
-    third = [(p * d_p).alias("__g0"), (q * d_q).alias("__g1"), (v * d_v).alias("__g2")]
-    return [first, second, third]
+    top = np.where(x > 0, np.maximum(a3, a4), a3)
+    e3, e4 = np.exp(a3 - top), np.where(x > 0, np.exp(np.minimum(a4 - top, 0.0)), 0.0)
+    ll = (lgamma(r + x) - lgamma(r * one) + r * math.log(alpha) + lgamma((a + b) * one) + lgamma(b + x)
+          - lgamma(b * one) - lgamma(a + b + x) + np.log(e3 + e4) + top)
+    w3 = e3 / (e3 + e4)
+    w4 = 1.0 - w3
+    d_ab, d_abx = digamma((a + b) * one), digamma(a + b + x)
+    d_r = digamma(r + x) - digamma(r * one) + math.log(alpha) - w3 * np.log(alpha + tt) - w4 * np.log(alpha + tx)
+    d_alpha = r / alpha - (r + x) * (w3 / (alpha + tt) + w4 / (alpha + tx))
+    d_a = d_ab - d_abx + w4 / a
+    d_b = d_ab + digamma(b + x) - digamma(b * one) - d_abx - w4 / past
+    return ll, [r * d_r, alpha * d_alpha, a * d_a, b * d_b]
+
+
+def gamma_gamma_terms(rows: dict[str, np.ndarray], p: float, q: float, v: float):
+    """Gamma-Gamma log-likelihood of the mean spend m over x transactions, and its gradient by
+    (log p, log q, log v); ``rows`` has x, m."""
+    x, m = rows["x"], rows["m"]
+    one = np.ones_like(x)
+    px, lx = p * x, np.log(x * m + v)
+    ll = (lgamma(px + q) - lgamma(px) - lgamma(q * one) + q * math.log(v) + (px - 1.0) * np.log(m) + px * np.log(x)
+          - (px + q) * lx)
+    d_pxq = digamma(px + q)
+    d_p = x * (d_pxq - digamma(px) + np.log(m) + np.log(x) - lx)
+    d_q = d_pxq - digamma(q * one) + math.log(v) - lx
+    d_v = q / v - (px + q) / (x * m + v)
+    return ll, [p * d_p, q * d_q, v * d_v]
+
+
+def likelihood_sums(data: DataFrame, terms, points: list[dict[str, float]], d: int) -> DataFrame:
+    """``id, W, S, G0..``: per point, the summed weights (column ``w``), weighted log-likelihoods and gradients
+    over ``data``.  Tasks sum their rows; only one row per task and point is shuffled."""
+    names = ["id", "W", "S", *[f"G{i}" for i in range(d)]]
+
+    def run(batches):
+        total = np.zeros((len(points), 2 + d))
+        for batch in batches:
+            rows = {n: batch.column(i).to_numpy(zero_copy_only=False).astype(float) for i, n in enumerate(batch.schema.names)}
+            for k, point in enumerate(points):
+                with np.errstate(all="ignore"):  # a point far off gives infinities, which the search refuses
+                    ll, grads = terms(rows, **point)
+                    total[k] += [rows["w"].sum(), (rows["w"] * ll).sum(), *[(rows["w"] * g).sum() for g in grads]]
+        cols = [pa.array(np.arange(len(points)), pa.int32()), *[pa.array(c) for c in total.T]]
+        yield pa.RecordBatch.from_arrays(cols, names)
+
+    sums = data.mapInArrow(run, "id int, " + ", ".join(f"{n} double" for n in names[1:]))
+    return sums.groupBy("id").agg(*[F.sum(n).alias(n) for n in names[1:]])
 
 
 def _lit(v) -> Column:
@@ -181,12 +185,12 @@ def predict_clv(summary: DataFrame, bg: dict, gg: dict, months: int = 12,
 
 def mean_loglik(summary: DataFrame, bg: dict, gg: dict) -> DataFrame:
     """Per model: mean log-likelihood of the repeat customers at given parameters, and its gradient with
-    respect to the log-parameters (NULL for the fourth of Gamma-Gamma's three), by the fitter's stages."""
-    def one(name: str, stages: list[list[Column]], d: int) -> DataFrame:
-        return with_stages(summary, stages).agg(
-            F.lit(name).alias("model"), F.count(F.lit(1)).alias("customers"), F.avg("__ll").alias("loglik"),
-            *[(F.avg(f"__g{i}") if i < d else F.lit(None).cast("double")).alias(f"grad_{i}") for i in range(4)])
-
-    lit = {k: F.lit(float(v)) for k, v in {**bg, **gg}.items()}
-    return one("bg_nbd", bgnbd_score_stages("frequency", "recency", "T", lit["r"], lit["alpha"], lit["a"], lit["b"]), 4) \
-        .unionByName(one("gamma_gamma", gamma_gamma_score_stages("frequency", "monetary_value", lit["p"], lit["q"], lit["v"]), 3))
+    respect to the log-parameters (NULL for the fourth of Gamma-Gamma's three), by the fitter's terms."""
+    def one(name: str, data: DataFrame, terms, point: dict, d: int) -> DataFrame:
+        return likelihood_sums(data, terms, [point], d).select(
+            F.lit(name).alias("model"), F.col("W").cast("bigint").alias("customers"), (F.col("S") / F.col("W")).alias("loglik"),
+            *[(F.col(f"G{i}") / F.col("W") if i < d else F.lit(None).cast("double")).alias(f"grad_{i}") for i in range(4)])
+
+    x, w = F.col("frequency").cast("double").alias("x"), F.lit(1.0).alias("w")
+    return one("bg_nbd", summary.select(x, F.col("recency").alias("tx"), F.col("T").alias("tt"), w), bgnbd_terms, bg, 4).unionByName(
+        one("gamma_gamma", summary.select(x, F.col("monetary_value").alias("m"), w), gamma_gamma_terms, gg, 3))

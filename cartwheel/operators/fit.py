@@ -5,10 +5,9 @@ parameters, minimised over log-parameters by a damped Newton method.  The
 customer summary is first compressed to distinct model inputs with a count
 (customers sharing (x, t_x, T) contribute identically) and checkpointed.
 Every optimiser step is ONE Spark job: the next point and one point beside it
-per parameter (5 for BG/NBD, 4 for Gamma-Gamma) are attached to every row as a
-literal array, and the job returns the objective and its analytic gradient at
-each; gradient differences give the Hessian.  Only parameters and those sums
-cross the driver.
+per parameter (5 for BG/NBD, 4 for Gamma-Gamma) go to the tasks, which return
+the summed objective and its analytic gradient at each; gradient differences
+give the Hessian.  Only parameters and those sums cross the driver.
 
 The result says how the search ended (``converged``, ``gradient_norm``,
 ``at_bound``); a search that did not converge, stopped at a bound or gave an
@@ -22,40 +21,32 @@ import warnings
 from collections.abc import Callable
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.operators.clv import bgnbd_score_stages, gamma_gamma_score_stages, with_stages
+from cartwheel.operators.clv import bgnbd_terms, gamma_gamma_terms, likelihood_sums
 from cartwheel.session import ensure_checkpoint_dir
 
-Stages = Callable[[dict[str, Column]], list[list[Column]]]
 Evaluate = Callable[[list[np.ndarray]], list[tuple[float, np.ndarray]]]
 
 LOG_BOUND = 30.0  # parameters stay within exp(+-30)
 ROWS_PER_PARTITION = 20_000
 
 
-def batch_gradients(data: DataFrame, score_stages: Stages, names: list[str], penalizer: float = 0.0) -> Evaluate:
+def batch_gradients(data: DataFrame, terms, names: list[str], penalizer: float = 0.0) -> Evaluate:
     """(objective, gradient) in log-parameters for a few points, one job.
 
-    ``score_stages(params)`` must add ``__ll`` and ``__g0..__g{d-1}`` (the
-    per-row score with respect to the log-parameters); ``w`` is a row's count.
+    ``terms(rows, **params)`` gives the per-row log-likelihood and its score with respect
+    to the log-parameters; ``w`` is a row's count.
     """
     d = len(names)
-    stages = score_stages({n: F.col(f"__c.{n}") for n in names})
-    w = F.col("w")
-    sums = [F.sum(w).alias("W"), F.sum(w * F.col("__ll")).alias("S"),
-            *[F.sum(w * F.col(f"__g{i}")).alias(f"G{i}") for i in range(d)]]
 
     def evaluate(thetas: list[np.ndarray]) -> list[tuple[float, np.ndarray]]:
-        points = F.array(*[F.struct(F.lit(k).alias("id"), *[F.lit(float(math.exp(v))).alias(n) for n, v in zip(names, t)])
-                           for k, t in enumerate(thetas)])
-        spread = data.select("*", F.explode(points).alias("__c"))
-        rows = with_stages(spread, stages).groupBy(F.col("__c.id").alias("id")).agg(*sums).collect()  # one per point
+        points = [{n: float(math.exp(v)) for n, v in zip(names, t)} for t in thetas]
         out = [(math.inf, np.zeros(d))] * len(thetas)
-        for r in rows:
+        for r in likelihood_sums(data, terms, points, d).collect():  # one row per point
             values = [r["S"], *[r[f"G{i}"] for i in range(d)]]
-            if any(v is None or not math.isfinite(v) for v in values):
+            if not r["W"] or any(v is None or not math.isfinite(v) for v in values):
                 continue
             p = np.exp(thetas[r["id"]])
             out[r["id"]] = (-r["S"] / r["W"] + penalizer * float(np.sum(p ** 2)),
@@ -151,9 +142,7 @@ def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100)
                    .select(F.col("frequency").alias("x"), (F.col("recency") / tmax_c).alias("tx"),
                            (F.col("T") / tmax_c).alias("tt"), F.col("w").cast("double").alias("w")))
     names = ["r", "alpha", "a", "b"]
-    res = minimize_newton(batch_gradients(
-        data, lambda p: bgnbd_score_stages("x", "tx", "tt", p["r"], p["alpha"], p["a"], p["b"]), names, penalizer),
-        np.zeros(4), max_iter)
+    res = minimize_newton(batch_gradients(data, bgnbd_terms, names, penalizer), np.zeros(4), max_iter)
     r, alpha, a, b = (float(v) for v in np.exp(res["theta"]))
     return _report("BG/NBD", names, res, {"r": r, "alpha": alpha * float(tmax_df.first()["tmax"]), "a": a, "b": b})
 
@@ -168,12 +157,10 @@ def fit_gamma_gamma(summary: DataFrame, penalizer: float = 0.01, max_iter: int =
     """
     data = _stable(summary.filter(F.col("frequency") > 0)
                    .groupBy("frequency", "monetary_value").agg(F.count(F.lit(1)).cast("double").alias("w"))
-                   .withColumn("monetary_value", F.col("monetary_value") / F.lit(float(monetary_scale))))
+                   .select(F.col("frequency").alias("x"), (F.col("monetary_value") / F.lit(float(monetary_scale))).alias("m"), "w"))
     names = ["p", "q", "v"]
     lower = np.array([-LOG_BOUND, -LOG_BOUND if q_min is None else math.log(q_min), -LOG_BOUND])
-    res = minimize_newton(batch_gradients(
-        data, lambda p: gamma_gamma_score_stages("frequency", "monetary_value", p["p"], p["q"], p["v"]), names, penalizer),
-        np.zeros(3), max_iter, lower=lower)
+    res = minimize_newton(batch_gradients(data, gamma_gamma_terms, names, penalizer), np.zeros(3), max_iter, lower=lower)
     p, q, v = (float(x) for x in np.exp(res["theta"]))
     if q <= 1:
         warnings.warn(f"Gamma-Gamma: q = {q:.4g} <= 1, the population mean is not finite; set q_min", stacklevel=2)

@@ -2,12 +2,13 @@
 
 import math
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from cartwheel.functions.special import lgamma
 from cartwheel.operators.clv import (
-    BGNBD_CDNOW, GAMMA_GAMMA_CDNOW, bgnbd_score_stages, clv_summary, expected_avg_spend, expected_purchases,
-    gamma_gamma_score_stages, with_stages,
+    BGNBD_CDNOW, GAMMA_GAMMA_CDNOW, bgnbd_terms, clv_summary, expected_avg_spend, expected_purchases,
+    gamma_gamma_terms,
 )
 
 
@@ -34,8 +35,7 @@ def _expected_direct(t, x, tx, T, r, alpha, a, b):
 
 def test_lgamma_matches_math(spark):
     zs = [1e-6, 0.01, 0.243, 0.5, 1.0, 1.5, 2.426, 7.99, 8.0, 8.01, 30.0, 1234.5, 1e6]
-    df = spark.createDataFrame([(z,) for z in zs], "z double")
-    got = [r[0] for r in df.select(lgamma(F.col("z"))).collect()]
+    got = lgamma(zs)
     for z, g in zip(zs, got):
         assert abs(g - math.lgamma(z)) < 1e-10 * max(1.0, abs(math.lgamma(z))), (z, g, math.lgamma(z))
 
@@ -74,7 +74,6 @@ def test_expected_purchases_at_a_equal_one(spark):
 
 
 def test_series_says_when_it_does_not_converge(monkeypatch):
-    import numpy as np
     import pytest
     from cartwheel.functions import special
     monkeypatch.setattr(special, "MAX_TERMS", 50)
@@ -98,9 +97,7 @@ def test_spend_at_q_equal_one(spark):
 def test_bgnbd_loglik_matches_lgamma_form(spark):
     r, al, a, b = 0.5, 3.0, 0.8, 2.0
     rows = [(0, 0.0, 5.0), (1, 2.0, 5.0), (7, 4.5, 6.0)]
-    df = spark.createDataFrame(rows, "x long, tx double, T double")
-    lit = F.lit
-    got = [v["__ll"] for v in with_stages(df, bgnbd_score_stages("x", "tx", "T", lit(r), lit(al), lit(a), lit(b))).collect()]
+    got, _ = bgnbd_terms(dict(zip(("x", "tx", "tt"), np.array(rows, float).T)), r, al, a, b)
     lg = math.lgamma
     for (x, tx, T), g in zip(rows, got):
         a1 = lg(r + x) - lg(r) + r * math.log(al)
@@ -118,8 +115,7 @@ def test_gamma_gamma_pieces(spark):
     assert math.isclose(spend[0], p * (v + 1 * 20.0) / (p * 1 + q - 1), rel_tol=1e-12)
     assert math.isclose(spend[1], p * (v + 4 * 35.5) / (p * 4 + q - 1), rel_tol=1e-12)
     assert abs(spend[2] - 12.0) < 1e-3  # many transactions: the customer's own mean dominates
-    lit = F.lit
-    ll = [r["__ll"] for r in with_stages(df, gamma_gamma_score_stages("x", "m", lit(p), lit(q), lit(v))).collect()]
+    ll, _ = gamma_gamma_terms({"x": np.array([1.0, 4.0]), "m": np.array([20.0, 35.5])}, p, q, v)
     lg = math.lgamma
     for (x, m), g in zip([(1, 20.0), (4, 35.5)], ll[:2]):
         want = (lg(p * x + q) - lg(p * x) - lg(q) + q * math.log(v) + (p * x - 1) * math.log(m)
@@ -130,52 +126,28 @@ def test_gamma_gamma_pieces(spark):
 def test_digamma_matches_lgamma_derivative(spark):
     from cartwheel.functions.special import digamma
     zs = [1e-3, 0.2, 0.9, 3.0, 7.99, 8.0, 25.0, 1e4]
-    df = spark.createDataFrame([(z,) for z in zs], "z double")
-    got = [r[0] for r in df.select(digamma(F.col("z"))).collect()]
+    got = digamma(zs)
     for z, g in zip(zs, got):
         h = 1e-5 * z
         want = (math.lgamma(z + h) - math.lgamma(z - h)) / (2 * h)
         assert abs(g - want) < 1e-6 * max(1.0, abs(want)), (z, g, want)
 
 
-def test_scores_match_finite_differences(spark):
-    rows = [(0, 0.0, 0.7), (1, 0.2, 0.9), (6, 0.55, 1.0), (15, 0.9, 0.95)]
-    data = spark.createDataFrame(rows, "x long, tx double, tt double")
-    base = {"r": 0.6, "alpha": 0.3, "a": 0.8, "b": 2.2}
-
-    def ll_and_scores(params):
-        cols = {k: F.lit(v) for k, v in params.items()}
-        df = with_stages(data, bgnbd_score_stages("x", "tx", "tt", cols["r"], cols["alpha"], cols["a"], cols["b"]))
-        return [(r["__ll"], [r[f"__g{i}"] for i in range(4)]) for r in df.orderBy("x").collect()]
-
-    got = ll_and_scores(base)
-    for i, name in enumerate(["r", "alpha", "a", "b"]):
-        h = 1e-6
-        up = ll_and_scores({**base, name: base[name] * math.exp(h)})
-        dn = ll_and_scores({**base, name: base[name] * math.exp(-h)})
-        for (_, g), (lu, _), (ld, _) in zip(got, up, dn):
-            assert math.isclose(g[i], (lu - ld) / (2 * h), rel_tol=1e-5, abs_tol=1e-7), (name, g[i])
-
-    gdata = spark.createDataFrame([(1, 20.0), (3, 55.5), (12, 9.0)], "x long, m double")
-    gb = {"p": 2.0, "q": 3.5, "v": 12.0}
-
-    def gg(params):
-        cols = {k: F.lit(v) for k, v in params.items()}
-        df = with_stages(gdata, gamma_gamma_score_stages("x", "m", cols["p"], cols["q"], cols["v"]))
-        return [(r["__ll"], [r[f"__g{i}"] for i in range(3)]) for r in df.orderBy("x").collect()]
-
-    got = gg(gb)
-    for i, name in enumerate(["p", "q", "v"]):
-        h = 1e-6
-        up = gg({**gb, name: gb[name] * math.exp(h)})
-        dn = gg({**gb, name: gb[name] * math.exp(-h)})
-        for (_, g), (lu, _), (ld, _) in zip(got, up, dn):
-            assert math.isclose(g[i], (lu - ld) / (2 * h), rel_tol=1e-5, abs_tol=1e-7), (name, g[i])
+def test_scores_match_finite_differences():
+    rows = dict(zip(("x", "tx", "tt"), np.array([(0, 0.0, 0.7), (1, 0.2, 0.9), (6, 0.55, 1.0), (15, 0.9, 0.95)]).T))
+    spend = {"x": np.array([1.0, 3.0, 12.0]), "m": np.array([20.0, 55.5, 9.0])}
+    for terms, data, base in ((bgnbd_terms, rows, {"r": 0.6, "alpha": 0.3, "a": 0.8, "b": 2.2}),
+                              (gamma_gamma_terms, spend, {"p": 2.0, "q": 3.5, "v": 12.0})):
+        _, grads = terms(data, **base)
+        for name, g in zip(base, grads):
+            h = 1e-6
+            up, _ = terms(data, **{**base, name: base[name] * math.exp(h)})
+            down, _ = terms(data, **{**base, name: base[name] * math.exp(-h)})
+            assert np.allclose(g, (up - down) / (2 * h), rtol=1e-5, atol=1e-7), name
 
 
 def test_fitters_recover_known_parameters(spark):
     """Gamma-Gamma parameter recovery on seeded draws from the model itself."""
-    import numpy as np
     from cartwheel.operators.fit import fit_gamma_gamma
     rng = np.random.default_rng(5)
     p, q, v = 6.0, 4.0, 15.0
@@ -191,7 +163,6 @@ def test_fitters_recover_known_parameters(spark):
 
 def test_bgnbd_recovery_on_model_draws(spark):
     """BG/NBD parameters from seeded draws of the model; the gradient at the result is zero."""
-    import numpy as np
     from cartwheel.operators.fit import fit_bgnbd
     rng = np.random.default_rng(3)
     r, alpha, a, b, n, end = 0.8, 30.0, 0.8, 2.4, 6000, 700.0
