@@ -41,7 +41,7 @@ HEAD, MEMBERS, TAIL, HIDDEN = 1024, 64, 32, 16
 KNOWN = 200_000
 CLASSES = HEAD // MEMBERS + TAIL
 ROUNDS = (0.05, 0.25, 0.7)
-LANES, WINDOW, SCORE_LANES = 256, 32, 1024
+LANES, WINDOW, STEPS, SCORE_LANES = 256, 32, 128, 1024
 TOGETHER = 4_000_000  # tokens of the documents that are laid out in lanes at a time
 SEGMENT = 1024  # training cuts longer documents into parts that start with an empty state
 RATE, CLIP = 0.01, 1.0
@@ -200,7 +200,8 @@ def _scatter(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
 def train_batch(p, docs: list[np.ndarray], state) -> int:
     """One pass of truncated back-propagation over the documents, by Adam; changes ``p`` in place."""
     docs = [d[s:s + SEGMENT] for d in docs for s in range(0, len(d), SEGMENT)]
-    ids, owner, start = lanes(docs, LANES)
+    # Few tokens are laid in fewer lanes, so that they still make some hundred steps.
+    ids, owner, start = lanes(docs, max(16, min(LANES, sum(map(len, docs)) // (WINDOW * STEPS))))
     before = _inputs(ids, start)
     begins = start.any(axis=1)
     h = np.zeros((ids.shape[1], HIDDEN), np.float32)
