@@ -63,7 +63,7 @@ def seeds(w: np.ndarray, mask: str, number: int) -> np.ndarray:
 
 
 def all_seeds(w: np.ndarray):
-    """(hashes, places) under every mask, and under the whole of an item shorter than the first."""
+    """The seeds of every mask."""
     for k, mask in enumerate(MASKS):
         yield seeds(w, mask, k)
 

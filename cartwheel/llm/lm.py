@@ -13,8 +13,8 @@ at the logarithms of the counted shares, so training starts from a unigram model
 Training reads every training document once, in ``ROUNDS`` rounds of growing share (by a hash of the
 row).  In a round each task runs truncated back-propagation over windows of ``WINDOW`` steps on its documents,
 starting from the shared parameters, with the state carried from window to window (very long documents are
-cut into parts of ``SEGMENT`` tokens for training only); the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover all training documents.  Scoring carries the state
-through the whole document.  Only a bounded vocabulary (``HEAD``, and at most ``KNOWN`` counts) goes to the tasks;
+cut into parts of ``SEGMENT`` tokens for training only); the tasks' parameters are averaged, weighted by
+tokens, in a tree.  Counts cover all training documents.  Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most ``KNOWN`` counts) goes to the tasks;
 counts of all rarer words are joined.
 
 Null and empty texts are the end sign alone.  Repeated rows get equal results; an empty table gives an
@@ -59,10 +59,6 @@ def tokens(text: str) -> list[bytes]:
     return out
 
 
-def tail_class(word: bytes) -> int:
-    return HEAD + word[-1] % TAIL
-
-
 def held_out() -> Column:
     """Rows that the model and the counts never learn from."""
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))

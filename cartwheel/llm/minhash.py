@@ -218,8 +218,8 @@ def grouped(batches, n_key: int):
         yield pa.concat_tables(held)
 
 
-def _cells(members: DataFrame, group: str, blocks: str) -> DataFrame:
-    """Rows of ``members`` once for every pair of blocks that theirs is in: ``group, i, j, mine``."""
+def _cells(members: DataFrame, blocks: str) -> DataFrame:
+    """Rows of ``members`` once for every pair of blocks that theirs is in: own block ``mine``, pair ``i, j``."""
     own = members.withColumn("mine", F.pmod(F.xxhash64("node", F.lit(7)), F.col(blocks)).cast("int"))
     other = own.withColumn("other", F.explode(F.sequence(F.lit(0), F.col(blocks).cast("int") - 1)))
     return (other.withColumn("i", F.least("mine", "other")).withColumn("j", F.greatest("mine", "other"))
@@ -326,7 +326,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     banded = classes.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
     members = banded.join(shared, "band").join(classes.select("node", "n_shingles", "sig"), "node")
-    cells = _cells(members.withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).drop("m"), "band", "blocks")
+    cells = _cells(members.withColumn("blocks", F.ceil(F.col("m") / BLOCK_MEMBERS)).drop("m"), "blocks")
     cells = _sorted_cells(cells, "band").select("band", "i", "j", "mine", "node", "n_shingles", "sig")
     candidates = components(_candidate_edges(cells, percent))
     # Confirmation on full sets, brought together by candidate component.
@@ -337,7 +337,7 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
                       F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
     texts = docs.select(F.col("doc_id").alias("rep"), text_column().alias("text"))
     sets = _full_sets(texts.join(placed, "rep").drop("rep"))
-    cells = _sorted_cells(_cells(sets, "part", "blocks"), "part")
+    cells = _sorted_cells(_cells(sets, "blocks"), "part")
     cells = cells.select("part", "i", "j", "mine", "node", "n_shingles", "sig", "members")
     linked_nodes = components(_confirmed_edges(cells, percent))
     # Name components by their smallest document.

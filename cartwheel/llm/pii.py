@@ -305,7 +305,8 @@ def redact(docs: DataFrame) -> DataFrame:
     model, least = train(spans(docs.select("doc_id", "text")))
     names = docs.columns
     inner = select(spans(docs.select("doc_id", "text", F.struct(*names).alias("row"))), model, least)
-    every = F.array_sort(F.concat(*[_kinded(k, i) for i, k in enumerate(KINDS)], F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))))
+    added = F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
+    every = F.array_sort(F.concat(*[_kinded(k, i) for i, k in enumerate(KINDS)], added))
     begin = F.struct(F.lit(0).alias("p"), F.lit("").alias("t"))
 
     def step(a: Column, x: Column) -> Column:

@@ -8,7 +8,6 @@ from tokenizers import Tokenizer
 import __spark_entry__
 import corpus_pipeline
 from cartwheel.llm.queries import QUERIES, SQL
-from tests.llm.test_decontam import decontam
 from tests.llm.test_minhash import shingle_set
 from tests.llm.test_pii import base
 

@@ -1,8 +1,6 @@
 import zlib
 
 import numpy as np
-import pytest
-
 from cartwheel.llm import quality
 from tests.llm.conftest import ODD
 
