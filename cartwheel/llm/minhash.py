@@ -42,7 +42,7 @@ BANDS, ROWS, BITS = 25, 5, 4
 MINIMA = BANDS * ROWS
 WORDS = 2  # 64-bit words of a bit plane
 BLOCK_MEMBERS = 256        # members of a bucket in one block
-BLOCK_SHINGLES = 400_000   # shingles of a component in one block
+BLOCK_SHINGLES = 100_000   # shingles of a component in one block
 CACHE_WORDS = 250_000
 
 _M1, _M2, _STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
