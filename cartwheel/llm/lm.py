@@ -12,10 +12,10 @@ at the logarithms of the counted shares, so training starts from a unigram model
 
 Training reads every training document once, in ``ROUNDS`` rounds of growing share (by a hash of the
 row).  In a round each task runs truncated back-propagation over windows of ``WINDOW`` steps on its documents,
-starting from the shared parameters, with the state carried from window to window (very long documents are
-cut into parts of ``SEGMENT`` tokens for training only); the tasks' parameters are averaged, weighted by
-tokens, in a tree.  Counts cover all training documents.  Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most ``KNOWN`` counts) goes to the tasks;
-counts of all rarer words are joined.
+starting from the shared parameters, with the state carried from window to window through the whole document;
+the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover all training documents.
+Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most
+``KNOWN`` counts) goes to the tasks; counts of all rarer words are joined.
 
 Null and empty texts are the end sign alone.  Repeated rows get equal results; an empty table gives an
 empty result; without training documents all counts are zero.  Texts are tokenized piecewise; only
@@ -37,13 +37,12 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from cartwheel.llm.common import stored, text_column, whitespace_pieces
 
-HEAD, MEMBERS, TAIL, HIDDEN = 1024, 64, 32, 16
+HEAD, MEMBERS, TAIL, HIDDEN = 2048, 64, 32, 16
 KNOWN = 200_000
 CLASSES = HEAD // MEMBERS + TAIL
-ROUNDS = (0.05, 0.25, 0.7)
+ROUNDS = (0.03, 0.12, 0.35, 0.5)
 LANES, WINDOW, STEPS, SCORE_LANES = 256, 32, 128, 1024
 TOGETHER = 4_000_000  # tokens of the documents that are laid out in lanes at a time
-SEGMENT = 1024  # training cuts longer documents into parts that start with an empty state
 RATE, CLIP = 0.01, 1.0
 FAN_IN = 64
 END = b"\n"  # no word holds white space, so the end sign has a name of its own
@@ -195,7 +194,6 @@ def _scatter(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
 
 def train_batch(p, docs: list[np.ndarray], state) -> int:
     """One pass of truncated back-propagation over the documents, by Adam; changes ``p`` in place."""
-    docs = [d[s:s + SEGMENT] for d in docs for s in range(0, len(d), SEGMENT)]
     # Few tokens are laid in fewer lanes, so that they still make some hundred steps.
     ids, owner, start = lanes(docs, max(16, min(LANES, sum(map(len, docs)) // (WINDOW * STEPS))))
     before = _inputs(ids, start)

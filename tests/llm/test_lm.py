@@ -109,3 +109,19 @@ def test_averaging_is_weighted():
     import pickle
     a, b = (pickle.dumps((n, {"x": np.full(2, v, np.float32)})) for n, v in ((1, 0.0), (3, 4.0)))
     assert pickle.loads(lm._average([a, b]))[1]["x"].tolist() == [3.0, 3.0]
+
+
+def test_training_carries_the_state_through_long_documents(monkeypatch):
+    p, _ = small(monkeypatch)
+    empty, gates = [], lm._gates
+    monkeypatch.setattr(lm, "_gates", lambda p, before, h: (empty.append(not h.any()), gates(p, before, h))[1])
+    monkeypatch.setattr(lm, "_step", lambda *_: None)
+    lm.train_batch(p, [np.random.default_rng(3).integers(0, 15, 2500).astype(np.int32)], None)
+    assert empty == [True] + [False] * 2499
+
+
+def test_words_to_rank_2047_have_a_head_row_and_training_takes_four_rounds():
+    known = {lm.END: 10_000} | {b"w%d" % i: 9000 - i for i in range(3000)}
+    head = lm.Vocabulary(known, sum(known.values()), len(known)).head
+    assert [head.get(b"w%d" % i) for i in (0, 1023, 2046, 2047)] == [1, 1024, 2047, None]
+    assert len(lm.ROUNDS) == 4 and sum(lm.ROUNDS) == pytest.approx(1)
