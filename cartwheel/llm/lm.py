@@ -15,7 +15,7 @@ row).  In a round each task runs truncated back-propagation over windows of ``WI
 starting from the shared parameters, with the state carried from window to window through the whole document;
 the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover all training documents.
 Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most
-``KNOWN`` counts) goes to the tasks; counts of all rarer words are joined.
+``KNOWN`` counts besides) goes to the tasks; counts of all rarer words are joined.
 
 Null and empty texts are the end sign alone.  Repeated rows get equal results; an empty table gives an
 empty result; without training documents all counts are zero.  Texts are tokenized piecewise; only
@@ -299,6 +299,7 @@ class Vocabulary:
         last = np.array([w[-1] % TAIL for w in names], np.int64).reshape(-1)
         self.row = np.array([self.head.get(w, HEAD + k) for w, k in zip(names, last.tolist())], np.int32).reshape(-1)
         self.base_log = np.log10((count + SMOOTH) / (self.n + SMOOTH * (self.v + 1)))
+        self.seen = count > 0
         self.tail_log = np.where(self.row < HEAD, 0.0,
                                  np.log10((count + SMOOTH) / (self.tail_n[last] + SMOOTH * (self.tail_v[last] + 1))))
 
@@ -314,14 +315,12 @@ class Vocabulary:
         out[seen] = self.row[numbers[seen]]
         rare = np.flatnonzero(~seen)
         out[rare] = [HEAD + words[k][-1] % TAIL for k in rare.tolist()]
-        if len(out) and numbers[-1] < 0 and words[-1] == END:
-            out[-1] = 0
         return out
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
-    """From the stored counts.  The words that every task knows are those with at least the least count
-    that at most ``KNOWN`` words reach."""
+    """From the stored counts.  The words that every task knows are the head's, the end sign (even if its count
+    is zero) and those with at least the least count that at most ``KNOWN`` words reach."""
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("c"))
     total = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     held, least = 0, None
@@ -329,13 +328,16 @@ def vocabulary(counts: DataFrame) -> Vocabulary:
         if held + r.n > KNOWN:
             break
         held, least = held + r.n, r.c
-    known = {} if least is None else {bytes(r.word): r.c for r in counts.where(F.col("c") >= least).collect()}
+    common = [] if least is None else counts.where(F.col("c") >= least).collect()
+    end = counts.where(F.col("word") == F.lit(END)).collect()
+    known = {END: 0} | {bytes(r.word): r.c for r in
+                        [*counts.orderBy(F.desc("c"), "word").limit(HEAD).collect(), *end, *common]}
     out = Vocabulary(known, int(total[0]), int(total[1]))
     last = F.conv(F.hex(F.substring("word", -1, 1)), 16, 10).cast("int") % TAIL
     for r in counts.groupBy(last.alias("k")).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect():
         out.tail_n[r.k], out.tail_v[r.k] = r.n, r.v
     for w in out.head:
-        if w in known:
+        if known[w]:
             out.tail_n[w[-1] % TAIL] -= known[w]
             out.tail_v[w[-1] % TAIL] -= 1
     out.finish()
@@ -426,7 +428,7 @@ def score(docs: DataFrame) -> DataFrame:
                 k = words.numbers(s)
                 seen = k[k >= 0]
                 out["n_tokens"].append(len(s))
-                out["n_known"].append(len(seen))
+                out["n_known"].append(int(words.seen[seen].sum()))
                 out["base"].append(float(words.base_log[seen].sum()))
                 out["model"].append(float(words.tail_log[seen].sum()))
                 left = Counter([s[j] for j in np.flatnonzero(k < 0).tolist()])

@@ -125,3 +125,28 @@ def test_words_to_rank_2047_have_a_head_row_and_training_takes_four_rounds():
     head = lm.Vocabulary(known, sum(known.values()), len(known)).head
     assert [head.get(b"w%d" % i) for i in (0, 1023, 2046, 2047)] == [1, 1024, 2047, None]
     assert len(lm.ROUNDS) == 4 and sum(lm.ROUNDS) == pytest.approx(1)
+
+
+def test_scores_do_not_depend_on_how_many_words_the_tasks_know(spark, monkeypatch):
+    """Few documents of many words that are all more frequent than the end sign."""
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{k}" for k in rng.permutation(np.repeat(np.arange(60), 1 + np.arange(60) % 7)))) for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(lm, "HEAD", 64)
+    monkeypatch.setattr(lm, "CLASSES", 1 + lm.TAIL)
+
+    def scores(known):
+        monkeypatch.setattr(lm, "KNOWN", known)
+        return {r.doc_id: (r.n_known, r.base_score, r.score) for r in lm.score(docs).collect()}
+
+    want = scores(200_000)
+    for known in (20, 0):
+        got = scores(known)
+        assert all(got[i] == pytest.approx(want[i], rel=1e-6) for i in want)
+
+
+def test_without_training_documents_the_end_sign_is_scored_once(spark):
+    held_out = next(i for i in range(1000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows = lm.score(spark.createDataFrame([(held_out, "")], "doc_id long, text string")).collect()
+    assert [(r.n_tokens, r.n_known, r.base_score) for r in rows] == [(1, 0, 0.0)]
+    assert rows[0].score == pytest.approx(-math.log10(lm.HEAD + lm.TAIL), rel=1e-5)
