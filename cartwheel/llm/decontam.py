@@ -3,9 +3,9 @@
 A text is a sequence of words (letters and digits, lower-cased).  Each mask of ``MASKS`` selects some of
 the next few words and ignores the others, so a hash of the selected words survives a substitution at an
 ignored place.  Hashes of the benchmark's items are joined with those of the documents; every hit gives
-an alignment of an item with a document, on which the best stretch is found (a match counts 1, a
-substitution costs ``COST``).  An overlap counts if it has ``LEAST_MATCHES`` equal words (or, for shorter items, four
-fifths of them) and four fifths of its words are equal.  Items of 5 to 7 words must occur whole and
+an alignment of an item with a document, on which the best stretch is found: the one with the most equal
+words among those of which at least four fifths are equal (then the shortest, then the first).  An overlap counts
+if it has ``LEAST_MATCHES`` equal words (or, for shorter items, four fifths of them).  Items of 5 to 7 words must occur whole and
 unchanged; shorter ones are no evidence and never match.
 
 The seed table of a benchmark of at most ``BROADCAST_WORDS`` words (its size is counted first) goes to every
@@ -31,7 +31,7 @@ from cartwheel.llm.common import ROW_ID, ROW_KEY, row_id, row_names, stored, tex
 from cartwheel.llm.minhash import WordHashes, mix
 
 MASKS = ("111111", "110110011", "1101001011", "10110100011")
-LEAST_WORDS, EXACT_BELOW, LEAST_MATCHES, LEAST_SHARE, COST = 5, 8, 12, 0.8, 3
+LEAST_WORDS, EXACT_BELOW, LEAST_MATCHES = 5, 8, 12
 BROADCAST_WORDS = 500_000  # about 30 MB of seeds; larger benchmarks are joined by shuffle
 BITMAP = 22
 
@@ -84,13 +84,16 @@ def overlap(w: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int]
     equal = w[a + shift:z + shift] == item[a:z]
     if len(item) < EXACT_BELOW:
         return (len(item), len(item), shift) if z - a == len(item) and equal.all() else None
-    total = np.concatenate([[0], np.cumsum(np.where(equal, 1, -COST))])
-    gain = total - np.minimum.accumulate(total)
-    end = int(gain.argmax())
-    begin = int(total[:end + 1].argmin()) if end else 0
-    matched, size = int(equal[begin:end].sum()), end - begin
-    if matched >= min(LEAST_MATCHES, -(-len(item) * 4 // 5)) and matched >= LEAST_SHARE * size:
-        return matched, size, a + begin + shift
+    at = np.flatnonzero(equal)  # the stretch begins and ends with an equal word
+    if not len(at):
+        return None
+    # From the i-th to the j-th equal word four fifths are equal if level[i] <= level[j] + 1.
+    level = 5 * np.arange(len(at)) - 4 * at
+    begin = np.searchsorted(-np.minimum.accumulate(level), -(level + 1))
+    matched, size = np.arange(len(at)) - begin + 1, at - at[begin] + 1
+    end = int(np.lexsort((size, -matched))[0])
+    if matched[end] >= min(LEAST_MATCHES, -(-len(item) * 4 // 5)):
+        return int(matched[end]), int(size[end]), int(a + at[begin[end]] + shift)
     return None
 
 

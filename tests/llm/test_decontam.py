@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 import pytest
 
@@ -67,3 +69,33 @@ def test_masks_ignore_their_gaps():
     v = decontam.words("a b X d e Y Z h i j k l")
     assert decontam.seeds(w, "110110011", 1)[0] == decontam.seeds(v, "110110011", 1)[0]
     assert decontam.seeds(w, "111111111", 1)[0] != decontam.seeds(v, "111111111", 1)[0]
+
+
+def best_stretch(equal, least):
+    """By the rule itself: the most equal words, four fifths of the stretch equal; the shortest, the first."""
+    found = [(-sum(equal[a:z]), z - a, a) for a in range(len(equal)) for z in range(a + 1, len(equal) + 1)
+             if 5 * sum(equal[a:z]) >= 4 * (z - a) and sum(equal[a:z]) >= least]
+    return (-min(found)[0], *min(found)[1:]) if found else None
+
+
+def test_overlap_is_the_best_stretch_of_the_rule():
+    for n in (8, 10, 12, 14, 15, 16, 18, 20):
+        item = np.arange(n, dtype=np.uint64)
+        for k in (0, 1, 2, 3) if n < 20 else (3,):
+            for places in combinations(range(n), k):
+                w = item.copy()
+                w[list(places)] = 99
+                want = best_stretch((w == item).tolist(), min(12, -(-4 * n // 5)))
+                assert decontam.overlap(w, item, 0) == want, (n, places)
+    rng = np.random.default_rng(6)
+    for _ in range(300):
+        item = np.arange(60, dtype=np.uint64)
+        w = np.where(rng.random(60) < rng.choice([0.1, 0.2, 0.3]), np.uint64(99), item)
+        assert decontam.overlap(w, item, 0) == best_stretch((w == item).tolist(), 12)
+
+
+def test_one_changed_word_of_fifteen_is_found(spark):
+    docs = spark.createDataFrame([(1, "x a b c d e f g h i j k Z m n o y")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "a b c d e f g h i j k l m n o")], "item_id long, text string")
+    for held in (decontam.BROADCAST_WORDS, 0):
+        assert [tuple(r)[2:] for r in decontam.leaks(docs, items, held).collect()] == [(5, 14, 15, 1)]
