@@ -2,7 +2,9 @@
 
 A text is a sequence of words (letters and digits, lower-cased).  Each mask of ``MASKS`` selects some of
 the next few words and ignores the others, so a hash of the selected words survives a substitution at an
-ignored place.  Hashes of the benchmark's items are joined with those of the documents; every hit gives
+ignored place.  The masks fit somewhere in every stretch of ``LEAST_MATCHES`` equal words with four fifths equal, and
+with ``SHORT_MASKS``, used for items of less than ``FEW_BELOW`` words, in every shorter item of which four
+fifths are equal.  Hashes of the benchmark's items are joined with those of the documents; every hit gives
 an alignment of an item with a document, on which the best stretch is found: the one with the most equal
 words among those of which at least four fifths are equal (then the shortest, then the first).  An overlap counts
 if it has ``LEAST_MATCHES`` equal words (or, for shorter items, four fifths of them).  Items of 5 to 7 words must occur whole and
@@ -30,8 +32,9 @@ from pyspark.sql import functions as F
 from cartwheel.llm.common import ROW_ID, ROW_KEY, row_id, row_names, stored, text_column, whitespace_pieces, with_row_name, worker_state
 from cartwheel.llm.minhash import WordHashes, mix
 
-MASKS = ("111111", "110110011", "1101001011", "10110100011")
-LEAST_WORDS, EXACT_BELOW, LEAST_MATCHES = 5, 8, 12
+MASKS = ("111111", "110110011", "1101001011", "10110100011", "1110111")
+SHORT_MASKS = ("11111", "1101011")
+LEAST_WORDS, EXACT_BELOW, FEW_BELOW, LEAST_MATCHES = 5, 8, 12, 12
 BROADCAST_WORDS = 500_000  # about 30 MB of seeds; larger benchmarks are joined by shuffle
 BITMAP = 22
 
@@ -72,10 +75,28 @@ def short_seed(w: np.ndarray, size: int) -> np.ndarray:
     return seeds(w, "1" * size, len(MASKS) + size)
 
 
+def few_seeds(w: np.ndarray):
+    """The seeds of the masks for items of few words."""
+    for k, mask in enumerate(SHORT_MASKS):
+        yield seeds(w, mask, 100 + k)
+
+
 def item_seeds(w: np.ndarray) -> list[np.ndarray]:
     if len(w) < LEAST_WORDS:
         return []
-    return [short_seed(w, len(w))] if len(w) < len(MASKS[0]) else list(all_seeds(w))
+    if len(w) < len(MASKS[0]):
+        return [short_seed(w, len(w))]
+    return [*all_seeds(w), *(few_seeds(w) if EXACT_BELOW <= len(w) < FEW_BELOW else [])]
+
+
+def doc_seeds(w: np.ndarray, sizes: list[int]):
+    """The seeds of a document that items need whose numbers of words below ``FEW_BELOW`` are ``sizes``."""
+    yield from all_seeds(w)
+    for n in sizes:
+        if n < len(MASKS[0]):
+            yield short_seed(w, n)
+    if any(n >= EXACT_BELOW for n in sizes):
+        yield from few_seeds(w)
 
 
 def overlap(w: np.ndarray, item: np.ndarray, shift: int) -> tuple[int, int, int] | None:
@@ -113,14 +134,14 @@ class SeedTable:
         h = cat(hashes, np.uint64)
         order = np.argsort(h, kind="stable")
         self.hash, self.which, self.place = h[order], cat(which, np.int64)[order], cat(place, np.int64)[order]
-        self.short = sorted({len(w) for w in self.items if LEAST_WORDS <= len(w) < len(MASKS[0])})
+        self.short = sorted({len(w) for w in self.items if LEAST_WORDS <= len(w) < FEW_BELOW})
         self.seen = np.zeros(1 << BITMAP, bool)
         self.seen[self.hash >> np.uint64(64 - BITMAP)] = True
 
     def hits(self, w: np.ndarray) -> set[tuple[int, int]]:
         """(item, shift) of every seed that a document shares with the benchmark."""
         found: set[tuple[int, int]] = set()
-        for h in [*all_seeds(w), *[short_seed(w, n) for n in self.short]]:
+        for h in doc_seeds(w, self.short):
             at = np.flatnonzero(self.seen[h >> np.uint64(64 - BITMAP)])
             if not len(at):
                 continue
@@ -179,13 +200,13 @@ def _by_shuffle(docs: DataFrame, bench: DataFrame) -> DataFrame:
                                                   pa.array(np.full(len(h), n, np.int32))], ["item_id", "h", "q", "n"])
 
     item_side = stored(bench.mapInArrow(of_items, "item_id long, h long, q int, n int"), "item-seeds")
-    short = [r.n for r in item_side.where(F.col("n") < len(MASKS[0])).select("n").distinct().collect()]  # at most two
+    short = [r.n for r in item_side.where(F.col("n") < FEW_BELOW).select("n").distinct().collect()]  # at most seven
 
     def of_docs(batches):
         for b in batches:
             for i, r, t in zip(*[c.to_pylist() for c in b.columns]):
                 w = words(t)
-                for h in [*all_seeds(w), *[short_seed(w, n) for n in short]]:
+                for h in doc_seeds(w, short):
                     yield pa.RecordBatch.from_arrays(
                         [pa.array([i] * len(h), pa.int64()), pa.array(np.full(len(h), r)), pa.array(h.view(np.int64)),
                          pa.array(np.arange(len(h), dtype=np.int32))], ["doc_id", "row_key", "h", "p"])

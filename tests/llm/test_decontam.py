@@ -99,3 +99,23 @@ def test_one_changed_word_of_fifteen_is_found(spark):
     items = spark.createDataFrame([(5, "a b c d e f g h i j k l m n o")], "item_id long, text string")
     for held in (decontam.BROADCAST_WORDS, 0):
         assert [tuple(r)[2:] for r in decontam.leaks(docs, items, held).collect()] == [(5, 14, 15, 1)]
+
+
+def test_every_placement_of_substitutions_is_found():
+    for n in range(8, 19):
+        item = [f"w{i}" for i in range(n)]
+        found = decontam.SeedTable([(1, " ".join(item))])
+        for k in range(4):
+            for places in combinations(range(n), k):
+                equal = [i not in places for i in range(n)]
+                want = best_stretch(equal, min(12, -(-4 * n // 5)))
+                text = " ".join(["a", *(x if e else "other" for x, e in zip(item, equal)), "b"])
+                got = found.overlaps(decontam.words(text)).get(0)
+                assert got == (want and (want[0], want[1], want[2] + 1)), (n, places)
+
+
+@pytest.mark.parametrize("held", [decontam.BROADCAST_WORDS, 0])
+def test_short_items_with_a_changed_word_are_found_either_way(spark, held):
+    docs = spark.createDataFrame([(1, "x a b c Z e f g h y")], "doc_id long, text string")
+    items = spark.createDataFrame([(5, "a b c d e f g h")], "item_id long, text string")
+    assert [tuple(r)[2:] for r in decontam.leaks(docs, items, held).collect()] == [(5, 7, 8, 1)]
