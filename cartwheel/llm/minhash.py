@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import ROW_ID, ROW_KEY, row_names, stored, text_column, whitespace_pieces, with_row_name, worker_state
+from cartwheel.llm.common import ROW_ID, ROW_KEY, row_id, row_names, stored, text_column, whitespace_pieces, with_row_name, worker_state
 from cartwheel.llm.components import components
 
 SHINGLE = 5
@@ -321,7 +321,9 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     ``100 * |intersection| >= percent * |union|``; a component is named by its smallest ``doc_id``."""
     rows = stored(signatures(docs), "minhash-rows")
     classes = stored(rows.where("node is not null").groupBy("node", "n_shingles", "sig", "bands")
-                     .agg(F.min("doc_id").alias("rep")), "minhash-classes")
+                     .agg(F.min("doc_id").alias("rep"),
+                          F.min(F.struct(row_id().alias(ROW_ID), F.col("row_key").alias(ROW_KEY))).alias("name")),
+                     "minhash-classes")
     # Candidates: band buckets with two classes or more.
     banded = classes.select("node", F.explode("bands").alias("band"))
     shared = banded.groupBy("band").agg(F.count(F.lit(1)).alias("m")).where("m > 1")
@@ -333,10 +335,11 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     placed = candidates.join(classes.drop("bands"), "node")
     sizes = placed.groupBy("component").agg(F.sum("n_shingles").alias("total"))
     placed = (placed.join(sizes, "component")
-              .select("node", "n_shingles", "sig", "rep", F.xxhash64("component").alias("part"),
+              .select("node", "n_shingles", "sig", "name.*", F.xxhash64("component").alias("part"),
                       F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
-    texts = docs.select(F.col("doc_id").alias("rep"), text_column().alias("text"))
-    sets = _full_sets(texts.join(placed, "rep").drop("rep"))
+    # One row of each class, by its name, as a row may lack an id; its repeats are dropped in the join's partitioning.
+    texts = with_row_name(docs).select(ROW_ID, ROW_KEY, text_column().alias("text"))
+    sets = _full_sets(texts.join(placed, [ROW_ID, ROW_KEY]).dropDuplicates([ROW_ID, ROW_KEY]).drop(ROW_ID, ROW_KEY))
     cells = _sorted_cells(_cells(sets, "blocks"), "part")
     cells = cells.select("part", "i", "j", "mine", "node", "n_shingles", "sig", "members")
     linked_nodes = components(_confirmed_edges(cells, percent))

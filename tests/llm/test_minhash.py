@@ -101,3 +101,12 @@ def test_long_sets_are_cut_for_minima(monkeypatch):
     whole = minhash.minima([np.sort(x), x[:3]])
     assert (whole[0] == [np.min(x * a) for a in minhash._seeds()]).all()
     assert (whole[1] == [np.min(x[:3] * a) for a in minhash._seeds()]).all()
+
+
+def test_near_copies_without_an_id(spark):
+    a, b, c, d = chain(np.random.default_rng(8), 4, 1)
+    rows = [(3, a), (None, b), (None, b), (8, c), (None, d), (None, "x " + " ".join(f"y{i}" for i in range(40)))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = minhash.near_duplicates(docs, 85).collect()
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == brute(rows, 85)
+    assert sorted(str(r.doc_id) for r in minhash.keep_one(docs).collect()) == ["3", "None"]
