@@ -7,13 +7,15 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from cartwheel.llm import bpe, decontam, lm, minhash, orc_tokens, pii, quality, sharding, suffix_dedup, topk
+from cartwheel.llm import (alignment, bpe, decontam, divergence, lm, minhash, orc_tokens, paragraph_sketch, pii, quality, sharding,
+                           suffix_dedup, topk)
 from cartwheel.llm.common import shared_path, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "word_bpe_49k.json"
 END_ID = 2
+BYTE_TOKENIZER, PIECE_TOKENIZER = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,6 +62,18 @@ def op10_spaced_seed_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row_key").distinct()
 
 
+def op11_count_cell_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op12_bloom_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraph_sketch.fingerprints(table(spark, sf_dir, "documents"))
+
+
+def op13_shared_cuts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), public_tokenizers.path(BYTE_TOKENIZER), public_tokenizers.path(PIECE_TOKENIZER))
+
+
 QUERIES: dict[str, Query] = {
     "op1_pu_quality": op1_pu_quality,
     "op2_bwt_suffix_dedup": op2_bwt_suffix_dedup,
@@ -71,6 +85,9 @@ QUERIES: dict[str, Query] = {
     "op8_pivot_top_k": op8_pivot_top_k,
     "op9_bbit_minhash": op9_bbit_minhash,
     "op10_spaced_seed_leaks": op10_spaced_seed_leaks,
+    "op11_count_cell_audit": op11_count_cell_audit,
+    "op12_bloom_sketch": op12_bloom_sketch,
+    "op13_shared_cuts": op13_shared_cuts,
 }
 SQL: dict[str, str] = {
     "op2_bwt_suffix_dedup": """
@@ -115,4 +132,29 @@ SQL: dict[str, str] = {
         least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
         SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
         FROM least LEFT JOIN n USING (doc_id)""",
+    "op11_count_cell_audit": """
+        WITH d AS (SELECT row_number() OVER () AS row, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS w
+                   FROM documents),
+        w AS (SELECT row, lang, source, unnest(w) AS term FROM d),
+        of_lang AS (SELECT lang, term, count(*) AS c FROM w GROUP BY ALL HAVING count(DISTINCT row) >= 3),
+        size AS (SELECT lang, count(*) AS v, sum(c) AS n FROM of_lang GROUP BY lang),
+        grp AS (SELECT DISTINCT lang, source FROM d),
+        held AS (SELECT lang, source, term, count(*) AS c FROM w GROUP BY ALL),
+        every AS (SELECT grp.lang, grp.source, of_lang.term, coalesce(held.c, 0) AS c, of_lang.c AS c_lang
+                  FROM grp JOIN of_lang USING (lang) LEFT JOIN held ON held.lang = grp.lang AND held.source = grp.source AND held.term = of_lang.term),
+        shares AS (SELECT e.*, CAST(1 + 1000000000::HUGEINT * (e.c + 1) // (sum(e.c) OVER (PARTITION BY e.lang, e.source) + size.v) AS HUGEINT) AS p,
+                          CAST(1 + 1000000000::HUGEINT * (e.c_lang + 1) // (size.n + size.v) AS HUGEINT) AS q
+                   FROM every AS e JOIN size USING (lang)),
+        pair AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // b.p) AS value
+                 FROM shares AS a JOIN shares AS b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(pair.value, 0) AS value
+                  FROM grp AS a JOIN grp AS b ON a.lang = b.lang AND a.source <> b.source
+                  LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source),
+        terms AS (SELECT lang, source, term AS item, (p - q) * (p - q) // q AS value FROM shares WHERE c > 0 AND p > q),
+        parts AS (SELECT lang, source, 'pair' AS part, item, value FROM pairs UNION ALL SELECT lang, source, 'term', item, value FROM terms),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, encode(item)) AS place FROM parts)
+        SELECT lang, source, part, item, CAST(value AS BIGINT) AS value, CAST(place AS INTEGER) AS rank
+        FROM ranked WHERE part = 'pair' OR place <= 200""",
 }
