@@ -39,6 +39,8 @@ KNOWN = 1 << 20
 PIECE = 1 << 18
 TOGETHER = 1 << 21  # characters of the texts that are aligned together
 _SAFE = re.compile(r"(?<=[A-Za-z]) (?=[A-Za-z])")
+#: Fixed value: how a byte-level pre-tokenizer cuts a text into words.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
 
 def _byte_of() -> dict[str, int]:
@@ -49,12 +51,36 @@ def _byte_of() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
 
 
+def _ranks(vocab: dict[str, int], merges: list, byte: dict[str, int]) -> dict[bytes, int] | None:
+    """Merge priorities by token bytes, if ids grow with the order of the merges (single bytes first); else None."""
+    raw = lambda s: bytes(byte[c] for c in s)
+    made = [vocab["".join(m if isinstance(m, list) else m.split(" "))] for m in merges]
+    if sorted(vocab[c] for c in byte) != list(range(256)) or made != list(range(256, 256 + len(made))):
+        return None
+    return {raw(s): k for s, k in vocab.items() if k < 256 + len(made)}
+
+
+def _as_written(model: bytes) -> bool:
+    """Whether a sentencepiece model changes nothing of a text but the space before it and U+2581."""
+    from sentencepiece import sentencepiece_model_pb2
+
+    m = sentencepiece_model_pb2.ModelProto()
+    m.ParseFromString(model)
+    n = m.normalizer_spec
+    return (m.trainer_spec.byte_fallback and n.name == "identity" and not n.precompiled_charsmap and n.add_dummy_prefix
+            and not n.remove_extra_whitespaces)
+
+
 class Tokenizers:
-    """Both tokenizers with the bytes of each id."""
+    """Both tokenizers with the bytes of each id.
+
+    A byte-level BPE whose ids grow with its merges is run by tiktoken from the vocabulary of the JSON file (both libraries
+    class every character alike; a test compares them); any other goes through the tokenizers library."""
 
     def __init__(self, a_path: str, b_path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task uses its own core only
         import sentencepiece
+        import tiktoken
         from tokenizers import Tokenizer
 
         self.a = Tokenizer.from_file(a_path)
@@ -62,20 +88,26 @@ class Tokenizers:
         self.a.no_padding()
         self.a.encode_special_tokens = True
         self.b = sentencepiece.SentencePieceProcessor(model_file=b_path)
-        vocab, byte = self.a.get_vocab(with_added_tokens=False), _byte_of()
-        added = {t["id"]: t["content"] for t in json.loads(self.a.to_str())["added_tokens"]}
+        spec, byte = json.loads(self.a.to_str()), _byte_of()
+        vocab = self.a.get_vocab(with_added_tokens=False)
+        added = {t["id"]: t["content"] for t in spec["added_tokens"]}
         a_bytes = [b""] * (1 + max([*vocab.values(), *added]))
         for token, k in vocab.items():
-            a_bytes[k] = bytes(byte[c] for c in token) if k not in added else token.encode()
+            a_bytes[k] = token.encode() if k in added else bytes(byte[c] for c in token)
         pieces = [self.b.id_to_piece(k) for k in range(self.b.get_piece_size())]
         b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(k) else p.replace("▁", " ").encode() for k, p in enumerate(pieces)]
-        self.a_bytes, self.b_bytes = np.array([*a_bytes, None], object)[:-1], np.array([*b_bytes, None], object)[:-1]
+        self.a_bytes, self.b_bytes = a_bytes, b_bytes
         self.a_len, self.b_len = (np.array([len(x) for x in y], np.int64) for y in (a_bytes, b_bytes))
+        ranks = _ranks({t: k for t, k in vocab.items() if k not in added}, spec["model"]["merges"], byte)
+        plain = spec["normalizer"] is None and spec["pre_tokenizer"] == {
+            "type": "ByteLevel", "add_prefix_space": False, "trim_offsets": spec["pre_tokenizer"].get("trim_offsets"), "use_regex": True}
+        self.fast = tiktoken.Encoding("a", pat_str=WORDS, mergeable_ranks=ranks, special_tokens={}) if ranks and plain else None
+        self.as_written = _as_written(self.b.serialized_model_proto())
         # A space inside a piece, after another character, would join what ``_cuts`` parts.
         self.parts = not any(re.search("[^▁]▁", p) for p in pieces)
-        # Ids as text: followed by a comma, or by what ends the tokenizer's side of a group.
-        self.a_text = np.array([[b"%d," % k, b"%d|" % k] for k in range(len(a_bytes))], object)
-        self.b_text = np.array([[b"%d," % k, b"%d;" % k] for k in range(len(b_bytes))], object)
+        # Ids as text, in 64 bits each: followed by a comma, or by what ends the tokenizer's side of a group.
+        self.a_text, self.b_text = (np.array([[int.from_bytes(b"%d%c" % (k, e), "little") for e in ends] for k in range(n)], "<u8")
+                                    for n, ends in ((len(a_bytes), b",|"), (len(b_bytes), b",;")))
 
     def _cuts(self, text: str) -> list[str]:
         """A long text in pieces, each without the space before it: cut at a space between two ASCII letters, where
@@ -91,19 +123,29 @@ class Tokenizers:
             start = at.end()
         return [*out, text[start:]]
 
+    def _encode_a(self, texts: list[str]) -> list[np.ndarray]:
+        if self.fast is None:
+            return [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        return [self.fast.encode_to_numpy(t, disallowed_special=()).astype(np.int64) for t in texts]
+
+    def _same(self, text: str, a: np.ndarray, b: np.ndarray) -> bool:
+        """Whether the tokens' bytes are those of a space and the text."""
+        want = b" " + text.encode()
+        if self.fast is not None and self.as_written:  # then only U+2581 is not given back
+            return "▁" not in text and int(self.a_len[a].sum()) == int(self.b_len[b].sum()) == len(want)
+        return b"".join([self.a_bytes[k] for k in a.tolist()]) == want == b"".join([self.b_bytes[k] for k in b.tolist()])
+
     def encode(self, texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
         """The ids of both tokenizers for each text, none where their bytes differ from the text's."""
         cut = [self._cuts(t) if t else [] for t in texts]
         flat = [p for c in cut for p in c]
-        a = [np.array(e.ids, np.int64) for e in self.a.encode_batch_fast([" " + p for p in flat], add_special_tokens=False)]
+        a = self._encode_a([" " + p for p in flat])
         b = [np.array(x, np.int64) for x in (self.b.encode(flat, num_threads=1) if flat else [])]
         out, k, none = [], 0, np.zeros(0, np.int64)
         for t, c in zip(texts, cut):
-            mine = [np.concatenate([none, *x[k:k + len(c)]]) for x in (a, b)]
+            mine = [x[k] if len(c) == 1 else np.concatenate([none, *x[k:k + len(c)]]) for x in (a, b)]
             k += len(c)
-            want = b" " + t.encode()
-            same = t and all(b"".join(y[x].tolist()) == want for x, y in zip(mine, (self.a_bytes, self.b_bytes)))
-            out.append((mine[0], mine[1]) if same else (none, none))
+            out.append((mine[0], mine[1]) if t and self._same(t, *mine) else (none, none))
         return out
 
 
@@ -145,19 +187,29 @@ def groups(a: np.ndarray, b: np.ndarray, a_of: np.ndarray, b_of: np.ndarray) ->
     lo, hi, b_lo, b_hi = a_of[:-1], a_of[1:], b_of[:-1], b_of[1:]
     some = hi > lo
     lo, hi, b_lo, b_hi = lo[some], hi[some], b_lo[some], b_hi[some]
-    leaves: list[tuple[np.ndarray, np.ndarray]] = []
+    a_ends, b_ends = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     while len(lo):
         single = (hi - lo == 1) | (b_hi - b_lo == 1)
-        cut = np.full(len(lo), -1)
-        cut[~single] = _common_near_middle(a, b, lo[~single], hi[~single])
-        leaf = cut < 0
-        leaves.append((hi[leaf], b_hi[leaf]))
-        lo, hi, b_lo, b_hi, cut = (x[~leaf] for x in (lo, hi, b_lo, b_hi, cut))
-        b_cut = np.searchsorted(b, a[cut]) + 1
-        lo, hi, b_lo, b_hi = (np.concatenate(x) for x in ((lo, cut + 1), (cut + 1, hi), (b_lo, b_cut), (b_cut, b_hi)))
-    if not leaves:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return tuple(np.sort(np.concatenate(x)) for x in zip(*leaves))
+        a_ends.append(hi[single])
+        b_ends.append(b_hi[single])
+        lo, hi, b_lo, b_hi = (x[~single] for x in (lo, hi, b_lo, b_hi))
+        if not len(lo):
+            break
+        # Most ends are common, so the middle itself is tried first.
+        cut = (lo + hi - 1) >> 1
+        b_cut = np.searchsorted(b, a[cut])
+        miss = np.flatnonzero(b[b_cut] != a[cut])
+        if len(miss):
+            cut[miss] = _common_near_middle(a, b, lo[miss], hi[miss])
+            b_cut[miss] = np.searchsorted(b, a[cut[miss]])
+            leaf = cut < 0
+            a_ends.append(hi[leaf])
+            b_ends.append(b_hi[leaf])
+            lo, hi, b_lo, b_hi, cut, b_cut = (x[~leaf] for x in (lo, hi, b_lo, b_hi, cut, b_cut))
+        # Left and right halves side by side, so that intervals stay in order.
+        cut, b_cut = cut + 1, b_cut + 1
+        lo, hi, b_lo, b_hi = (np.stack(x, 1).ravel() for x in ((lo, cut), (cut, hi), (b_lo, b_cut), (b_cut, b_hi)))
+    return np.sort(np.concatenate(a_ends)), np.sort(np.concatenate(b_ends))
 
 
 def _written(ids: np.ndarray, ends: np.ndarray, text: np.ndarray) -> np.ndarray:
@@ -166,6 +218,13 @@ def _written(ids: np.ndarray, ends: np.ndarray, text: np.ndarray) -> np.ndarray:
     return text[ids, last]
 
 
+def _bytes_of(line: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Texts of up to eight bytes end to end, and where each one starts."""
+    every = line.view(np.uint8)
+    full = every != 0
+    return every[full], np.concatenate([[0], np.cumsum(full.reshape(-1, 8).sum(axis=1))])
+
+
 def aligned(both: Tokenizers, texts: list[str]) -> dict[str, list]:
     """Columns for texts: numbers of tokens, groups and links, the groups' digest, distinct pairs and their links."""
     ids = both.encode(texts)
@@ -174,26 +233,27 @@ def aligned(both: Tokenizers, texts: list[str]) -> dict[str, list]:
     a, b = np.cumsum(both.a_len[a_ids]), np.cumsum(both.b_len[b_ids])
     a_end, b_end = groups(a, b, a_of, b_of)
     # Links: stretches between neighbouring ends; texts end at common ends, so none crosses texts.
-    stop = np.union1d(a, b)
+    stop = np.sort(np.concatenate([a, b]))
+    stop = stop[np.concatenate([stop[1:] != stop[:-1], np.ones(min(len(stop), 1), bool)])]
     link_a, link_b = np.searchsorted(a, stop), np.searchsorted(b, stop)
     pair = a_ids[link_a] * len(both.b_len) + b_ids[link_b] if len(stop) else np.zeros(0, np.int64)
     link_of = np.searchsorted(link_a, a_of)
     group_of = np.searchsorted(a_end, a_of, "right")
     # A group's A ids, then its B ids: a token's place is its number and that of the other side's tokens before it.
     a_size, b_size = np.diff(a_end, prepend=0), np.diff(b_end, prepend=0)
-    line = np.empty(len(a_ids) + len(b_ids), object)
+    line = np.empty(len(a_ids) + len(b_ids), "<u8")
     line[np.arange(len(a_ids)) + np.repeat(b_end - b_size, a_size)] = _written(a_ids, a_end, both.a_text)
     line[np.arange(len(b_ids)) + np.repeat(a_end, b_size)] = _written(b_ids, b_end, both.b_text)
-    line = line.tolist()
+    text, at = _bytes_of(line)
     out: dict[str, list] = {k: [] for k in ("n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times")}
     for k in range(len(texts)):
-        x, y = int(a_of[k] + b_of[k]), int(a_of[k + 1] + b_of[k + 1])
+        x, y = int(at[a_of[k] + b_of[k]]), int(at[a_of[k + 1] + b_of[k + 1]])
         code, times = np.unique(pair[link_of[k]:link_of[k + 1]], return_counts=True)
         out["n_a"].append(int(a_of[k + 1] - a_of[k]))
         out["n_b"].append(int(b_of[k + 1] - b_of[k]))
         out["n_groups"].append(int(group_of[k + 1] - group_of[k]))
         out["n_links"].append(int(link_of[k + 1] - link_of[k]))
-        out["groups_sha256"].append(hashlib.sha256(b"".join(line[x:y])[:-1]).hexdigest() if y > x else "")
+        out["groups_sha256"].append(hashlib.sha256(text[x:y - 1]).hexdigest() if y > x else "")
         out["pairs"].append(code)
         out["times"].append(times)
     return out

@@ -109,3 +109,37 @@ def test_a_long_interval_without_common_ends_is_one_group():
     a, b = np.arange(2, 2 * n + 1, 2), np.concatenate([np.arange(1, 2 * n, 2), [2 * n]])
     got = alignment.groups(a, b, np.array([0, len(a)]), np.array([0, len(b)]))
     assert got[0].tolist() == [len(a)] and got[1].tolist() == [len(b)]
+
+
+def test_both_libraries_class_and_encode_every_character_alike():
+    import random
+
+    from tokenizers import Tokenizer
+    both, library = alignment.Tokenizers(A, B), Tokenizer.from_file(A)
+    library.encode_special_tokens = True
+    assert both.fast is not None and both.as_written
+    every = [chr(c) for c in [*range(0xD800), *range(0xE000, 0x110000)]]
+    texts = ["a" + "a 1".join(every[k:k + 512]) for k in range(0, 0x30000, 512)]
+    rnd = random.Random(0)
+    pool = every[:0x3000] + every[0xFE00:0x10000] + list("abc 12'\n\t.,") * 400
+    texts += ["".join(rnd.choices(pool, k=80)) for _ in range(3000)]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert [x.tolist() for x in both._encode_a(texts)] == want
+    for t, (a, b) in zip(texts, both.encode(texts)):  # the short check of bytes agrees with the long one
+        x, y = both._encode_a([" " + t])[0], np.array(both.b.encode(t))
+        full = all(b"".join(table[k] for k in ids.tolist()) == b" " + t.encode() for ids, table in ((x, both.a_bytes), (y, both.b_bytes)))
+        assert bool(len(a)) == bool(len(b)) == full
+
+
+def test_the_tokenizers_library_gives_the_same(spark, monkeypatch):
+    rows = MORE[:8] + MORE[-6:]
+    made = alignment.Tokenizers.__init__
+
+    def slow(self, *paths):
+        made(self, *paths)
+        self.fast = None
+    both = alignment.Tokenizers(A, B)
+    want = both.encode([t or "" for _, t in rows])
+    monkeypatch.setattr(alignment.Tokenizers, "__init__", slow)
+    got = alignment.Tokenizers(A, B).encode([t or "" for _, t in rows])
+    assert [[x.tolist() for x in p] for p in got] == [[x.tolist() for x in p] for p in want]
