@@ -8,4 +8,12 @@ Layers:
   streaming/  the cleaning operator applied to a stream of raw invoice files
 """
 
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run inside tasks (the CLV model's numpy) are shipped by value: executors need the installed
+# public libraries but not this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 __version__ = "0.1.0"

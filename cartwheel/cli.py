@@ -19,7 +19,7 @@ import sys
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.operators import rfm as rfm_ops
-from cartwheel.operators.clean import clean_with_metrics
+from cartwheel.operators.clean import clean_with_metrics, write_split
 from cartwheel.plans import dashboard, models, questions
 from cartwheel.session import build_session
 from cartwheel.sources import read_raw_transactions, read_table, write_table
@@ -68,6 +68,8 @@ def main(argv: list[str] | None = None) -> None:
     e.add_argument("--input", required=True)
     e.add_argument("--format", default="parquet", choices=["parquet", "csv", "orc", "json"])
     e.add_argument("--output", required=True)
+    e.add_argument("--rejected", help="also write the rejected rows, with reasons and original cells, by the same job")
+    e.add_argument("--date-order", choices=["month", "day", "each"], help="which of two numbers in a text date comes first (default: found from the column)")
     e.add_argument("--keep-padding", action="store_true", help="do not strip descriptions")
 
     r = sub.add_parser("rfm", help="fact -> customer_rfm")
@@ -97,9 +99,12 @@ def main(argv: list[str] | None = None) -> None:
     spark = build_session(master=a.master, app=f"cartwheel-{a.cmd}")
 
     if a.cmd == "etl":
-        raw = read_raw_transactions(spark, a.input, fmt=a.format)
-        fact, obs = clean_with_metrics(raw, trim_description=not a.keep_padding)
-        write_table(fact, a.output)
+        raw = read_raw_transactions(spark, a.input, fmt=a.format, date_order=a.date_order, keep_cells=bool(a.rejected))
+        if a.rejected:
+            obs = write_split(raw, a.output, a.rejected, trim_description=not a.keep_padding)
+        else:
+            fact, obs = clean_with_metrics(raw, trim_description=not a.keep_padding)
+            write_table(fact, a.output)
         print(json.dumps(obs.get))
     elif a.cmd == "rfm":
         write_table(rfm_ops.customer_rfm(read_table(spark, a.fact)), a.output)

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from cartwheel.functions.calendar import calendar_days, elapsed_days
 from cartwheel.functions.numeric import ratio
-from cartwheel.operators.ranking import (
-    exact_quantiles, exact_quantiles_bounded, global_row_number, ntile, qcut_first, qcut_values,
+from cartwheel.operators.ranking import exact_quantiles_bounded, qcut_values
+from cartwheel.operators.selection import (
+    Ordering, bucket, positions_of, qcut_ends, quantile_positions, with_buckets,
 )
+from cartwheel.session import ensure_checkpoint_dir
 
 REV = "total_line_revenue"
 
@@ -53,17 +55,20 @@ def rfm_base(fact: DataFrame) -> DataFrame:
     return per.select("customer_id", calendar_days(max_all, "__last").alias("recency"), "frequency", "monetary")
 
 
-def add_ntile(df: DataFrame, order: list[Column], k: int, out: str) -> DataFrame:
-    ranked = global_row_number(df, order + [F.col("customer_id").asc()], rn="__rn", n="__n")
-    return ranked.withColumn(out, ntile(F.col("__rn"), F.col("__n"), k)).drop("__rn", "__n")
+def _stored(per_customer: DataFrame) -> DataFrame:
+    """The customers' figures in the reliable checkpoint folder: the bucket edges are found by a few scans of them."""
+    ensure_checkpoint_dir(per_customer.sparkSession)
+    return per_customer.checkpoint(eager=True)
 
 
 def rfm_scores(fact: DataFrame) -> DataFrame:
-    """The RFM view: base metrics, three NTILE(5) scores and the 'rfm' cell string."""
-    base = rfm_base(fact)
-    s = add_ntile(base, [F.col("recency").desc()], 5, "r_score")
-    s = add_ntile(s, [F.col("frequency").asc()], 5, "f_score")
-    s = add_ntile(s, [F.col("monetary").asc()], 5, "m_score")
+    """The RFM view: base metrics, three NTILE(5) scores and the 'rfm' cell string.
+
+    No ordering is sorted: the four edges of each of the three are selected together (``operators.selection``)."""
+    s = with_buckets(_stored(rfm_base(fact)), {
+        "r_score": (Ordering("recency", "customer_id", down=True), 5, "ntile"),
+        "f_score": (Ordering("frequency", "customer_id"), 5, "ntile"),
+        "m_score": (Ordering("monetary", "customer_id"), 5, "ntile")})
     return s.select(
         "customer_id", "recency", "frequency", "monetary", "r_score", "f_score", "m_score",
         F.concat(F.col("r_score").cast("string"), F.col("f_score").cast("string"),
@@ -114,13 +119,23 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
                       "frequency", "monetary",
                       ratio("monetary", "__lines").alias("avg_order_value"),
                       factor.alias("__factor"))
-
-    # F and M: qcut on first-ranks (ties by customer_id, the frame's order in the original).
-    # Each ranking reads the previous one's checkpoint, so the fact table is aggregated once.
-    scored = base
-    for value, out in (("frequency", "f_score"), ("monetary", "m_score")):
-        ranked = global_row_number(scored, [F.col(value).asc(), F.col("customer_id").asc()], "__rn", "__n")
-        scored = ranked.withColumn(out, qcut_first(F.col("__rn"), F.col("__n"), 5)).drop("__rn", "__n")
+    clv_raw = (F.col("avg_order_value") * F.col("frequency").cast("double")) * F.col("__factor")
+    base = _stored(base.withColumn("__clv", clv_raw).drop("__factor"))
+
+    # F and M: qcut on first-ranks (ties by customer_id, the frame's order in the original).  Their edges and
+    # the two customers around the CLV quantile are selected together, without a sort.
+    n = base.count()
+    orders = {c: Ordering(c, "customer_id") for c in ("frequency", "monetary", "__clv")}
+    ends = qcut_ends(n, 5)
+    caps = quantile_positions(n, [clv_cap_quantile]) if n else []
+    rows = positions_of(base, {"frequency": (orders["frequency"], ends), "monetary": (orders["monetary"], ends),
+                               "__clv": (orders["__clv"], [p for lo, hi, _ in caps for p in (lo, hi)])}, n)
+    scored = base.withColumns({"f_score": bucket(orders["frequency"], ends, rows["frequency"]),
+                               "m_score": bucket(orders["monetary"], ends, rows["monetary"])})
+    cap = F.lit(None).cast("double")
+    for lo, hi, weight in caps:
+        low, high = rows["__clv"][lo][0], rows["__clv"][hi][0]
+        cap = F.lit(low + (high - low) * weight)
     # R: qcut on the recency values (edges are exact quantiles), labels reversed.  Recency is
     # whole days inside the data's span, so its distinct values are bounded by the calendar.
     names = [f"e{i}" for i in range(6)]
@@ -134,9 +149,6 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
     rfm_score = (F.col("r_score") + F.col("f_score") + F.col("m_score")).cast("bigint")
     scored = scored.withColumn("rfm_score", rfm_score) \
                    .withColumn("segment", segment_expr(F.col("rfm_score"), F.col("r_score")))
-    clv_raw = (F.col("avg_order_value") * F.col("frequency").cast("double")) * F.col("__factor")
-    scored = scored.withColumn("__clv", clv_raw).drop("__factor")
-    cap = exact_quantiles(scored, "__clv", "customer_id", [clv_cap_quantile], ["cap"]).scalar()
     return scored.select("customer_id", "recency", "frequency", "monetary", "r_score", "f_score",
                          "m_score", "rfm_score", "segment", "avg_order_value",
                          F.least(F.col("__clv"), cap).alias("clv_12month"))

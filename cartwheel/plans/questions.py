@@ -18,9 +18,10 @@ from cartwheel.functions.calendar import day_name, month_key
 from cartwheel.functions.numeric import pct_of, ratio, round_half_up
 from cartwheel.operators.cohort import cohort_retention
 from cartwheel.operators.gaps import customer_gap_stats
-from cartwheel.operators.ranking import global_row_number, ntile
+from cartwheel.operators.selection import Ordering, with_buckets
 from cartwheel.operators.shares import rank_small, top_k_with_rank, with_share_of_total, with_share_small
 from cartwheel.plans.common import finalize, valid_lines
+from cartwheel.session import ensure_checkpoint_dir
 
 REV = "total_line_revenue"
 
@@ -182,11 +183,16 @@ def q07_purchase_gaps(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
     )).orderBy("avg_days_between_purchases", "rfm_segment")
 
 
+def _customer_revenue(fact: DataFrame, name: str) -> DataFrame:
+    """Revenue per customer in the reliable checkpoint folder: bucket edges are found by a few scans of it."""
+    ensure_checkpoint_dir(fact.sparkSession)
+    return valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias(name)).checkpoint(eager=True)
+
+
 def q09_revenue_deciles(fact: DataFrame) -> DataFrame:
     """Q9: NTILE(10) of customer revenue and the size/range/share of each decile."""
-    cust = valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias("total_revenue"))
-    ranked = global_row_number(cust, [F.col("total_revenue").asc(), F.col("customer_id").asc()])
-    dec = ranked.withColumn("revenue_decile", ntile(F.col("rn"), F.col("n"), 10))
+    dec = with_buckets(_customer_revenue(fact, "total_revenue"),
+                       {"revenue_decile": (Ordering("total_revenue", "customer_id"), 10, "ntile")})
     agg = dec.groupBy("revenue_decile").agg(
         F.count("customer_id").alias("num_customers"),
         F.min("total_revenue").alias("min_revenue"),
@@ -262,9 +268,8 @@ def pareto_share(fact: DataFrame, parts: int = 5) -> DataFrame:
     """Share of revenue from the top 1/parts of customers (top quintile by default):
     the customers in NTILE(parts) bucket 1 when ordered by revenue descending
     (ties by customer_id), i.e. the first ceil(n/parts) customers."""
-    cust = valid_lines(fact).groupBy("customer_id").agg(F.sum(REV).alias("rev"))
-    ranked = global_row_number(cust, [F.col("rev").desc(), F.col("customer_id").asc()])
-    top = ntile(F.col("rn"), F.col("n"), parts) == 1
+    ranked = with_buckets(_customer_revenue(fact, "rev"), {"part": (Ordering("rev", "customer_id", down=True), parts, "ntile")})
+    top = F.col("part") == 1
     k = ranked.agg(F.count(F.lit(1)).alias("total_customers"),
                    F.count_if(top).alias("top_customers"),
                    F.sum("rev").alias("total_revenue"),

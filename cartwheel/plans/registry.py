@@ -7,12 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.functions.numeric import round_half_up
-from cartwheel.operators.clean import clean_transactions, quality_counts
+from cartwheel.operators.clean import clean_transactions, quality_counts, rejected_rows, split_counts, split_transactions
 from cartwheel.operators import rfm
 from cartwheel.plans import dashboard as app
-from cartwheel.plans import models
+from cartwheel.plans import approximate, models
 from cartwheel.plans import questions as q
-from cartwheel.plans.common import dashboard_view, fact_from_testdata, fact_view, finalize
+from cartwheel.operators.sketches import distinct_cube
+from cartwheel.plans.common import dashboard_view, fact_from_testdata, fact_view, finalize, valid_lines
 from cartwheel.plans.tables import materialize
 from cartwheel.sources import testdata
 from cartwheel.sources.retail import conform_raw
@@ -63,12 +64,25 @@ def _clv_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     return models.to_cents(pred)
 
 
+def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Kept and rejected rows of the text cells, from one job."""
+    return materialize(spark, "etl_split", sf_dir, lambda: split_transactions(conform_raw(testdata.raw_text(spark, sf_dir), keep_cells=True)))
+
+
+def _cube(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored cube of sketches per day and country."""
+    return materialize(spark, "distinct_cube", sf_dir, lambda: distinct_cube(valid_lines(_fact(spark, sf_dir), require_customer=True)))
+
+
 # The explorer with a real filter: some segments, and a CLV that part of their customers reach.
 EXPLORED, EXPLORED_CLV = ["Champions", "At Risk", "Lost"], 1_000_000.0
 
 QUERIES: dict[str, Query] = {
     "clean_transactions": lambda s, d: finalize(_fact(s, d)),
     "clean_raw_text": lambda s, d: finalize(clean_transactions(conform_raw(testdata.raw_text(s, d)))),
+    "clean_export_text": lambda s, d: finalize(clean_transactions(conform_raw(testdata.export_text(s, d)))),
+    "etl_rejected_rows": lambda s, d: rejected_rows(_split(s, d)),
+    "etl_split_counts": lambda s, d: split_counts(_split(s, d)),
     "etl_quality_counts": lambda s, d: quality_counts(testdata.raw_transactions(s, d)),
     "etl_quality_counts_text": lambda s, d: quality_counts(conform_raw(testdata.raw_text(s, d))),
     "q01_monthly_revenue": lambda s, d: q.q01_monthly_revenue(_fact(s, d)),
@@ -92,6 +106,11 @@ QUERIES: dict[str, Query] = {
     "country_yoy_growth": lambda s, d: q.country_yoy_growth(_fact(s, d)),
     "segment_action": lambda s, d: q.segment_action(_customer_rfm(s, d)),
     "orders_per_year_by_segment": lambda s, d: q.orders_per_year_by_segment(_fact(s, d), _customer_rfm(s, d)),
+    "sketch_monthly": lambda s, d: approximate.monthly(_fact(s, d), _cube(s, d)),
+    "sketch_countries": lambda s, d: approximate.countries(_fact(s, d), _cube(s, d)),
+    "sketch_kpi": lambda s, d: approximate.kpis(_fact(s, d), _cube(s, d)),
+    "sketch_segments": lambda s, d: approximate.segments(_fact(s, d), _customer_rfm(s, d)),
+    "sketch_quantiles": lambda s, d: approximate.quantiles(_app_rfm(s, d)),
     "clv_summary": lambda s, d: models.clv_summary_table(_fact(s, d)),
     "clv_predict_fixed": lambda s, d: models.to_cents(_pred_fixed(s, d)),
     "clv_loglik_fixed": lambda s, d: models.loglik_fixed(_fact(s, d)),

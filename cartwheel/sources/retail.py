@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwheel.schema import PASCAL_TO_SNAKE, RAW_SCHEMA
+from cartwheel.sources.dates import find_order, timestamp_of
+from cartwheel.sources.replace import exists, recover, recover_table, replace_path, replace_table
 
 
 def to_canonical_names(df: DataFrame) -> DataFrame:
@@ -16,7 +18,7 @@ def to_canonical_names(df: DataFrame) -> DataFrame:
     return df
 
 
-def conform_raw(df: DataFrame) -> DataFrame:
+def conform_raw(df: DataFrame, date_order: str | None = None, keep_cells: bool = False) -> DataFrame:
     """Project a raw frame onto ``RAW_SCHEMA`` (names, order, types).
 
     Whole numbers may come as '6', '6.0', '1e3' or a DOUBLE column, as
@@ -24,32 +26,42 @@ def conform_raw(df: DataFrame) -> DataFrame:
     becomes NULL, and the cleaning rules reject and count the row
     (``bad_qty``, ``null_customer``, ``bad_price``, ``bad_date``) instead of
     failing the job or losing it.
+
+    Dates in text may be ISO, have the year last or a month's name (``sources.dates``).
+    Which of two numbers is the month is found from the whole column, by one aggregate over it,
+    unless ``date_order`` says so (a stream must, as its column is never whole: else only
+    forms that leave no doubt are read).  ``keep_cells`` adds the input row as it came, as struct ``cells``.
     """
-    df = to_canonical_names(df)
+    cells = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("cells")
+    df = to_canonical_names(df.select("*", cells) if keep_cells else df)
     types = dict(df.dtypes)
     out = []
     for f in RAW_SCHEMA.fields:
         c = F.col(f.name)
         if f.dataType.typeName() == "long":
             c = c if types[f.name] in ("bigint", "int", "smallint", "tinyint") else _whole(c)
+        elif f.name == "invoice_date" and types[f.name] == "string":
+            order = (date_order or "none") if df.isStreaming else find_order(df, f.name, date_order)
+            c = timestamp_of(c, order)
         elif types[f.name] == "string":
             c = F.trim(c).try_cast(f.dataType) if f.dataType.typeName() != "string" else c
         else:
             c = c.try_cast(f.dataType)
         out.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*out)
+    return df.select(*out, *(["cells"] if keep_cells else []))
 
 
 def _whole(c):
-    """A number without a fraction as BIGINT, else NULL."""
+    """A number without a fraction as BIGINT, else NULL.  The usual '6' and '6.0' take a test and a cast; all
+    other forms go through an exact decimal."""
     text = F.trim(c.cast("string"))
-    exact = text.try_cast("decimal(38,10)")
-    exact = F.coalesce(exact, text.try_cast("double").try_cast("decimal(38,10)"))
-    return F.when(exact == F.floor(exact), exact.try_cast("bigint"))
+    exact = F.coalesce(text.try_cast("decimal(38,10)"), text.try_cast("double").try_cast("decimal(38,10)"))
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,18}([.]0*)?$"), F.substring_index(text, ".", 1).try_cast("bigint")).otherwise(
+        F.when(exact == F.floor(exact), exact.try_cast("bigint")))
 
 
-def read_raw_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
-                          **options) -> DataFrame:
+def read_raw_transactions(spark: SparkSession, path: str, fmt: str = "parquet", date_order: str | None = None,
+                          keep_cells: bool = False, **options) -> DataFrame:
     """Scan raw invoice lines (S01); parquet/orc keep their types, CSV is read as text.
 
     No schema inference: CSV columns are read as strings and converted by
@@ -61,25 +73,32 @@ def read_raw_transactions(spark: SparkSession, path: str, fmt: str = "parquet",
         reader = reader.option("header", "true").option("inferSchema", "false")
     for k, v in options.items():
         reader = reader.option(k, v)
-    return conform_raw(reader.load(path))
+    return conform_raw(reader.load(path), date_order, keep_cells)
 
 
 def write_table(df: DataFrame, target: str, fmt: str = "parquet",
-                partition_by: list[str] | None = None) -> None:
-    """Replace-write a table (S04/S05): a path ('/...' or 'scheme://...') or a catalog name."""
-    w = df.write.mode("overwrite").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
+                partition_by: list[str] | None = None, only_partitions: bool = False) -> None:
+    """Replace-write a table (S04/S05): a path ('/...' or 'scheme://...') or a catalog name.
+
+    The new table is complete before the old one goes (``sources.replace``).  ``only_partitions`` replaces the
+    partitions that ``df`` holds and leaves the others (paths only).
+    """
     if "/" in target or "://" in target:
-        w.save(target)
+        replace_path(df, target, fmt, partition_by, only_partitions)
+    elif only_partitions:
+        raise ValueError("only_partitions is for tables at a path")
     else:
-        w.saveAsTable(target)
+        replace_table(df, target, fmt, partition_by)
 
 
 def read_table(spark: SparkSession, target: str, fmt: str = "parquet") -> DataFrame:
     """Scan a stored table (S03) by path or catalog name; downstream pruning keeps it narrow."""
     if "/" in target or "://" in target:
+        if not exists(spark, target):  # a writer may have died between its two moves
+            recover(spark, target)
         return spark.read.format(fmt).load(target)
+    if not spark.catalog.tableExists(target):
+        recover_table(spark, target)
     return spark.table(target)
 
 

@@ -36,6 +36,20 @@ def raw_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("country").alias("Country"))
 
 
+def export_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines as the public dataset's CSV form has them: dates like ``12/1/2010 8:26``, mixed here with ISO cells and with
+    a 12-hour clock; else as ``raw_text``."""
+    at = raw_transactions(spark, sf_dir).select("*", F.regexp_replace("invoice_no", "C", "").cast("bigint").alias("order"))
+    order, date = F.col("order"), F.col("invoice_date")
+    return at.select(
+        F.col("invoice_no").alias("InvoiceNo"), F.col("stock_code").alias("StockCode"), F.col("description").alias("Description"),
+        F.concat(F.col("quantity").cast("string"), F.when(order % 2 == 0, F.lit(".0")).otherwise("")).alias("Quantity"),
+        F.when(order % 83 == 0, F.lit("13/32/2010")).when(order % 3 == 0, date.cast("string"))
+        .when(order % 3 == 1, F.date_format(date, "M/d/yyyy H:mm")).otherwise(F.date_format(date, "M/d/yyyy h:mm:ss a")).alias("InvoiceDate"),
+        F.col("unit_price").cast("string").alias("UnitPrice"), F.concat(F.col("customer_id").cast("string"), F.lit(".0")).alias("CustomerID"),
+        F.col("country").alias("Country"))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 

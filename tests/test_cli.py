@@ -22,6 +22,10 @@ def test_cli_end_to_end(spark, capsys):
     fact, rfm, pred = (os.path.join(work, n) for n in ("fact", "rfm", "pred"))
     main(["etl", "--input", raw_path, "--output", fact])
     assert '"rows_kept": 5456' in capsys.readouterr().out
+    both, rejected = os.path.join(work, "fact2"), os.path.join(work, "rejected")
+    main(["etl", "--input", raw_path, "--output", both, "--rejected", rejected])
+    assert '"rows_kept": 5456' in capsys.readouterr().out
+    assert spark.read.parquet(both).count() == 5456 and spark.read.parquet(rejected).count() == 6000 - 5456
     main(["rfm", "--fact", fact, "--output", rfm])
     main(["predict", "--fact", fact, "--output", pred, "--fixed"])
     out = os.path.join(work, "q03")
