@@ -6,6 +6,8 @@ the estimate is within the stated error.  Money and line counts of the sketch ta
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,11 +24,13 @@ def near(estimate: Column, exact: Column) -> Column:
 
 
 def _beside(exact: DataFrame, rough: DataFrame, key: list[str], counts: list[str], money: list[str]) -> DataFrame:
-    """Exact counts, whether the estimates are near, and the money columns of the sketch table."""
-    other = rough.select(*key, *[F.col(c).alias(f"__{c}") for c in counts], *money)
-    base = exact.select(*key, *counts)
+    """Exact counts, whether the estimates are near, the money columns of the sketch table, and whether those equal the exact ones."""
+    other = finalize(rough.select(*key, *[F.col(c).alias(f"__{c}") for c in counts], *money))
+    base = finalize(exact.select(*key, *counts, *[F.col(c).alias(f"__exact_{c}") for c in money]))
     joined = base.join(other, key) if key else base.join(other)  # without a key both have one row
-    return finalize(joined.select(*key, *counts, *[near(F.col(f"__{c}"), F.col(c)).alias(f"{c}_near") for c in counts], *money))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__exact_{c}")) for c in money])
+    return joined.select(*key, *counts, *[near(F.col(f"__{c}"), F.col(c)).alias(f"{c}_near") for c in counts], *money,
+                         same.alias("money_same"))
 
 
 def monthly(fact: DataFrame, cube: DataFrame) -> DataFrame:
@@ -50,8 +54,9 @@ def kpis(fact: DataFrame, cube: DataFrame) -> DataFrame:
 def segments(fact: DataFrame, customer_rfm: DataFrame) -> DataFrame:
     """Customers, invoices and products per segment."""
     lines = valid_lines(fact)
-    joined = lines.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
-    exact = joined.groupBy("rfm_segment").agg(*[F.count_distinct(c).alias(k) for k, c in sketches.COUNTED.items()])
+    per = lines.groupBy("customer_id", "invoice_no", "stock_code").agg(F.sum(sketches.REV).alias("amount"))
+    joined = per.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
+    exact = joined.groupBy("rfm_segment").agg(*[F.count_distinct(c).alias(k) for k, c in sketches.COUNTED.items()], F.sum("amount").alias("revenue"))
     return _beside(exact, sketches.segment_sketches(lines, customer_rfm), ["rfm_segment"], list(sketches.COUNTED), ["revenue"])
 
 
