@@ -26,6 +26,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from tokenizers import Regex
+from tokenizers.normalizers import Lowercase
 from tokenizers.pre_tokenizers import Split
 
 from cartwheel.llm.common import map_batches, text_column, whitespace_pieces, worker_state
@@ -59,6 +60,19 @@ def _newer_unicode() -> tuple[str, str, str]:
     return found[0], found[1], "".join(found)
 
 
+def _lowered() -> dict[int, str]:
+    """What the library makes of code points that it lower-cases differently from Python (capitals newer than Python's
+    tables)."""
+    every = [*range(0x80, 0xD800), *range(0xE000, 0x110000)]
+    out = {}
+    for k in range(0, len(every), 1 << 16):
+        part = every[k:k + (1 << 16)]
+        for c, low in zip(part, Lowercase().normalize_str("\n".join(map(chr, part))).split("\n")):
+            if low != chr(c).lower():
+                out[c] = low
+    return out
+
+
 def _ranges(chars: list[str]) -> str:
     out, i = [], 0
     while i < len(chars):
@@ -111,6 +125,8 @@ class Codec:
         self.new = regex.compile(f"[{new}]").search
         self.words_new = regex.compile("(?V1)" + pattern.replace("[\\p{L}]", f"[\\p{{L}}--[{letters}]]").replace(
             "[\\p{N}]", f"[\\p{{N}}--[{numbers}]]").replace("\\p{L}\\p{N}]", f"[\\p{{L}}--[{letters}]][\\p{{N}}--[{numbers}]]]")).findall
+        self.lowered = _lowered()
+        self.capitals = regex.compile(f"[{_ranges([chr(c) for c in sorted(self.lowered)])}]").search
         self.special = {t["content"]: t["id"] for t in d.get("added_tokens", [])}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
         # Offset table: all token strings end to end, each led by the joining space.
@@ -205,6 +221,8 @@ class Codec:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text)
             # Lower-casing goes character by character (no final-sigma rule).
+            if self.capitals(text):
+                text = text.translate(self.lowered)
             text = "".join([c.lower() for c in text]) if "Σ" in text else text.lower()
         else:
             text = text.lower()

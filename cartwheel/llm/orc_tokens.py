@@ -1,7 +1,7 @@
 """Token ids in ORC files.
 
-One ORC row per document: ``part`` (file's place in the order), ``doc_id``, ``n_tokens`` (with the
-end id) and ``ids``.  Documents are range-partitioned and sorted by ``doc_id``, so every file, stripe
+One ORC row per document: ``part`` (file's place in the order), ``place`` (row's place in the file), ``doc_id``,
+``n_tokens`` (with the end id) and ``ids``.  Documents are range-partitioned and sorted by ``doc_id``, so every file, stripe
 and row group holds a narrow range of ids: readers skip them by their min/max statistics and by the
 Bloom filter on ``doc_id``, and stripes are read in parallel.  Integer run-length encoding is ORC's
 own for the id lists.
@@ -10,8 +10,8 @@ The encoder is the public tokenizers library.  A tokenizer that drops white spac
 it, so each distinct run of other characters is encoded once by the library and remembered (bounded
 caches), and a document's ids are those of its runs in order.
 
-Null and empty texts hold the end id alone; repeated rows are all kept (ties of ``doc_id`` are ordered
-by a hash); an empty table gives an empty result; other columns of the input are not read.
+Null and empty texts hold the end id alone; repeated rows are all kept (rows of one ``doc_id`` are ordered by their
+text's hash, and their starts follow the files' order); a very long text costs memory in proportion to its own length; an empty table gives an empty result; other columns of the input are not read.
 """
 
 from __future__ import annotations
@@ -32,7 +32,7 @@ from cartwheel.llm.common import text_column, whitespace_pieces, worker_state
 CACHED = 800_000  # runs and parts of runs that a Python worker remembers (about 160 MB); only speed depends on it
 STRIPE_BYTES = 64 << 20
 ROW_GROUP = 10_000
-FILE_SCHEMA = "part int, doc_id long, n_tokens long, ids array<int>"
+FILE_SCHEMA = "part int, place long, doc_id long, n_tokens long, ids array<int>"
 
 
 class Remembered(dict):
@@ -109,22 +109,25 @@ class RunEncoder:
 
 
 def encode(docs: DataFrame, spec_path: str, end_id: int) -> DataFrame:
-    """``doc_id long, n_tokens long, ids array<int>``, one row per input row."""
+    """``place long`` (of the row in its partition), ``doc_id long, n_tokens long, ids array<int>``, one row per input row."""
     with open(spec_path, encoding="utf-8") as f:
         spec = docs.sparkSession.sparkContext.broadcast(f.read())
 
     def run(batches):
         key = "runs-" + hashlib.md5(spec.value.encode()).hexdigest()
         enc = worker_state(key, lambda: RunEncoder(spec.value))
+        place = 0
         for b in batches:
             ids = [enc.encode(t, end_id) for t in b.column(1).to_pylist()]
             sizes = np.array([len(i) for i in ids], np.int64)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
                                              pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(sizes), lists], ["doc_id", "n_tokens", "ids"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(place, place + len(b))), b.column(0), pa.array(sizes), lists],
+                                             ["place", "doc_id", "n_tokens", "ids"])
+            place += len(b)
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_column().alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, ids array<int>")
+    return rows.mapInArrow(run, "place long, doc_id long, n_tokens long, ids array<int>")
 
 
 def write(docs: DataFrame, path: str, spec_path: str, end_id: int = 2) -> None:
@@ -133,7 +136,7 @@ def write(docs: DataFrame, path: str, spec_path: str, end_id: int = 2) -> None:
     # scan and no second encoding.  The second key lets many rows of one doc_id go to several files.
     rows = (docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"))
             .repartitionByRange("doc_id", "tie").sortWithinPartitions("doc_id", "tie"))
-    ordered = encode(rows, spec_path, end_id).select(F.spark_partition_id().alias("part"), "doc_id", "n_tokens", "ids")
+    ordered = encode(rows, spec_path, end_id).select(F.spark_partition_id().alias("part"), "place", "doc_id", "n_tokens", "ids")
     (ordered.write.option("orc.compress", "ZSTD").option("orc.stripe.size", STRIPE_BYTES)
      .option("orc.row.index.stride", ROW_GROUP).option("orc.create.index", "true")
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", 0.01)
@@ -153,18 +156,18 @@ def catalogue(spark: SparkSession, path: str) -> DataFrame:
 
     def digest(batches):
         for b in batches:
-            lists = b.column(3)
+            lists = b.column(4)
             flat, ends = lists.flatten().to_numpy(zero_copy_only=False).astype("<i4"), lists.offsets.to_numpy()
             ends = ends - ends[0]
             raw = memoryview(flat.tobytes())
             crc = [zlib.crc32(raw[4 * a:4 * z]) for a, z in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(crc, pa.int64())],
-                                             ["part", "doc_id", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(crc, pa.int64())],
+                                             ["part", "place", "doc_id", "n_tokens", "ids_crc32"])
 
-    rows = read(spark, path).mapInArrow(digest, "part int, doc_id long, n_tokens long, ids_crc32 long")
+    rows = read(spark, path).mapInArrow(digest, "part int, place long, doc_id long, n_tokens long, ids_crc32 long")
     totals = read(spark, path).groupBy("part").agg(F.sum("n_tokens").alias("total"))
     before = totals.select("part", (F.sum("total").over(Window.orderBy("part")) - F.col("total")).alias("before"))
-    inside = Window.partitionBy("part").orderBy("doc_id", "ids_crc32").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("part").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("inside", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(before, "part")
             .select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32"))

@@ -11,6 +11,12 @@ The features are coarse, so however many candidates there are, they fall in a bo
 (at most ``CELLS_BOUND``); Spark counts candidates and positives per cell, the trees are fitted on those
 counts, and scoring is a CASE expression, so nothing but the counts leaves the executors.
 
+A text is worked on in pieces of about ``PIECE`` characters, cut where no match of any pattern can lie across: at a
+character that none of them takes, or at a space between a letter and a letter or digit.  Matches, their contexts (taken from
+the piece and the end of the one before it) and their overlaps are therefore found piece by piece, and the time is linear
+in the length of the text; only a run of over ``PIECE`` characters without such a place, such as numbers
+with nothing but single spaces between them, is one long piece, whose time grows with the square of its matches.
+
 Offsets are code points, ends exclusive.  Null and empty texts have no spans; repeated rows give equal
 rows; an empty table gives an empty result; only ``doc_id`` and ``text`` are read.  Where the held-out
 documents have no candidate, nothing is added.
@@ -55,24 +61,51 @@ CELLS_BOUND = 10 * 7 * 2 * 6 * 4 * 4 * 2 * 4  # generators x the values of the o
 
 ROUNDS, DEPTH, RATE, RIDGE = 12, 3, 0.5, 1.0
 PRECISION = 0.9  # least calibrated share of base-like candidates among those added
-SPAN = "struct<s:int,e:int,m:string>"
+SPAN = "struct<s:int,e:int,m:string,before:string,next:string>"
+BEFORE = 24  # characters before a candidate that its cue is looked for in
+PIECE = 2048
+#: A cut lies before a character that no pattern takes, or before a space that none crosses.
+CUT = r"[^A-Za-z0-9._%+@()\[\]\x20-]|(?<=[A-Za-z])\x20(?=[A-Za-z0-9])"
+
+
+PIECES = "array<struct<t:string,o:int,c:string,n:string>>"
+
+
+def pieces(text: Column) -> Column:
+    """Array of (t, o, c, n): a text's pieces, where they start, the characters before them and the one after them."""
+    cut = F.regexp_extract_all(text, F.lit(rf"(?s).{{{PIECE}}}(?:(?!{CUT}).)*+|.+"), F.lit(0))
+    # Bound by a lambda, so that the text is cut once.
+    pairs = F.element_at(F.transform(F.array(cut), lambda c: F.zip_with(
+        c, F.slice(c, F.lit(2), F.size(c)), lambda t, after: F.struct(t.alias("t"), F.coalesce(F.left(after, F.lit(1)), F.lit("")).alias("n")))), 1)
+    begin = F.struct(F.lit(0).alias("o"), F.lit("").alias("c"), F.array().cast(PIECES).alias("out"))
+
+    def add(a: Column, x: Column) -> Column:
+        one = F.array(F.struct(x["t"].alias("t"), a["o"].alias("o"), a["c"].alias("c"), x["n"].alias("n")))
+        return F.struct((a["o"] + F.length(x["t"])).alias("o"), F.right(F.concat(a["c"], x["t"]), F.lit(BEFORE)).alias("c"),
+                        F.concat(a["out"], one).alias("out"))
+
+    # The usual text is one piece.
+    whole = F.array(F.struct(text.alias("t"), F.lit(0).alias("o"), F.lit("").alias("c"), F.lit("").alias("n")))
+    return F.when(F.length(text) <= PIECE, whole).otherwise(F.aggregate(pairs, begin, add, lambda a: a["out"]))
 
 
-def _find(text: Column, pattern: str) -> Column:
-    """Array of (s, e, m): all matches with their places.  ``split`` gives what lies between them, so
-    places are running lengths."""
+def _find(piece: Column, pattern: str) -> Column:
+    """Array of (s, e, m, before, next): all matches in a piece with their places in the text, the characters before and the
+    one after them.  ``split`` gives what lies between matches, so places are running lengths."""
+    text, none = piece["t"], F.array().cast(f"array<{SPAN}>")
     pairs = F.zip_with(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1),
                        lambda m, g: F.struct(m.alias("m"), F.length(g).alias("g")))
-    begin = F.struct(F.lit(0).alias("p"), F.lit(None).cast(f"array<{SPAN}>").alias("out"))
+    begin = F.struct(F.lit(0).alias("p"), none.alias("out"))
 
     def add(a: Column, x: Column) -> Column:
         s = a["p"] + x["g"]
         e = s + F.length(x["m"])
-        one = F.array(F.struct(s.alias("s"), e.alias("e"), x["m"].alias("m")))
-        return F.struct(e.alias("p"), F.concat(F.coalesce(a["out"], F.array().cast(f"array<{SPAN}>")), one).alias("out"))
+        before = F.right(F.concat(piece["c"], F.substring(text, F.lit(1), s)), F.lit(BEFORE))
+        one = F.struct((s + piece["o"]).alias("s"), (e + piece["o"]).alias("e"), x["m"].alias("m"), before.alias("before"),
+                       F.substring(F.concat(text, piece["n"]), e + 1, F.lit(1)).alias("next"))
+        return F.struct(e.alias("p"), F.concat(a["out"], F.array(one)).alias("out"))
 
-    found = F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), begin, add, lambda a: a["out"])
-    return F.coalesce(found, F.array().cast(f"array<{SPAN}>"))
+    return F.aggregate(F.filter(pairs, lambda x: x["m"].isNotNull()), begin, add, lambda a: a["out"])
 
 
 def _luhn(digits: Column) -> Column:
@@ -110,19 +143,25 @@ def _class(c: Column) -> Column:
             .when((c == "") | c.rlike(r"^\s"), 0).otherwise(3))
 
 
-def _candidate(kind: str, gen: int, text: Column, own: Column):
+def _base_of(kind: str):
+    return lambda found: _base(kind, found)
+
+
+def _candidates(kind: str, gen: int):
+    return lambda found, own: F.transform(found, _candidate(kind, gen, own))
+
+
+def _candidate(kind: str, gen: int, own: Column):
     def features(x: Column) -> Column:
         n = F.length(_digits(x["m"]))
         digits = reduce(lambda w, b: w + (n >= b).cast("int"), (8, 12, 13, 16, 17, 20), F.lit(0))
-        before = F.substring(text, F.greatest(x["s"] - 23, F.lit(1)), F.least(x["s"], F.lit(24)))
         size = reduce(lambda w, b: w + (x["e"] - x["s"] >= b).cast("int"), (12, 18, 25), F.lit(0))
         values = {
             "kind": F.lit(KINDS.index(kind)), "gen": F.lit(gen), "digits": digits,
             "valid": _valid(kind, x["m"]).cast("int"),
             "seps": F.least(F.length(F.regexp_replace(x["m"], "[0-9A-Za-z]", "")), F.lit(5)),
-            "prev": F.when(x["s"] > 0, _class(F.substring(text, x["s"], F.lit(1)))).otherwise(0),
-            "next": _class(F.substring(text, x["e"] + 1, F.lit(1))),
-            "cue": before.rlike(CUES[kind]).cast("int"), "size": size}
+            "prev": _class(F.right(x["before"], F.lit(1))), "next": _class(x["next"]),
+            "cue": x["before"].rlike(CUES[kind]).cast("int"), "size": size}
         label = F.exists(own, lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"]))
         return F.struct(x["s"].alias("s"), x["e"].alias("e"), label.cast("int").alias("y"),
                         *[values[f].cast("int").alias(f) for f in FEATURES])
@@ -130,27 +169,35 @@ def _candidate(kind: str, gen: int, text: Column, own: Column):
 
 
 def spans(docs: DataFrame) -> DataFrame:
-    """``docs`` with ``email, ip, card, phone`` (base spans) and ``candidates`` (spans with features)."""
+    """``docs`` with ``email, ip, card, phone`` (base spans) and ``candidates`` (spans with features), each an array
+    for every piece of the text, and ``pieces``."""
     text = text_column()
     some = {"email": F.contains(text, F.lit("@")) | text.rlike(r"\(at\)|\[at\]")}
     number = text.rlike("[0-9]")
-    none = F.array().cast(f"array<{SPAN}>")
-    out = docs
+    any_ = some["email"] | number
+    out = docs.withColumn("pieces", F.when(any_, pieces(text)).otherwise(F.array().cast(PIECES)))
+
+    def found(k: str, pattern: str) -> Column:
+        none = F.transform("pieces", lambda p: F.array().cast(f"array<{SPAN}>"))
+        return F.when(some.get(k, number), F.transform("pieces", lambda p: _find(p, pattern))).otherwise(none)
+
     for k in KINDS:
-        out = out.withColumn(f"raw_{k}", F.when(some.get(k, number), _find(text, BASE[k])).otherwise(none))
+        out = out.withColumn(f"raw_{k}", found(k, BASE[k]))
     for k in KINDS:
-        out = out.withColumn(k, _base(k, F.col(f"raw_{k}")))
+        out = out.withColumn(k, F.transform(f"raw_{k}", _base_of(k)))
     parts, gen = [], 0
     for k in KINDS:
-        out = out.withColumn(f"cand_{k}_0", F.transform(f"raw_{k}", _candidate(k, gen, text, F.col(k))))
-        parts.append(f"cand_{k}_0")
-        for j, pattern in enumerate(LOOSE[k], 1):
-            gen += 1
-            found = F.when(some.get(k, number), _find(text, pattern)).otherwise(none)
-            out = out.withColumn(f"cand_{k}_{j}", F.transform(found, _candidate(k, gen, text, F.col(k))))
+        for j, source in enumerate([f"raw_{k}", *LOOSE[k]]):
+            gen += bool(j)
+            if j:
+                out = out.withColumn(f"loose_{k}_{j}", found(k, source))
+                source = f"loose_{k}_{j}"
+            out = out.withColumn(f"cand_{k}_{j}", F.zip_with(source, k, _candidates(k, gen)))
             parts.append(f"cand_{k}_{j}")
         gen += 1
-    return out.withColumn("candidates", F.concat(*parts)).drop(*parts, *[f"raw_{k}" for k in KINDS])
+    joined = F.transform(F.arrays_zip(*parts), lambda z: F.concat(*[z[c] for c in parts]))
+    return out.withColumn("candidates", joined).drop(*parts, *[f"raw_{k}" for k in KINDS],
+                                                     *[f"loose_{k}_{j}" for k in KINDS for j in range(1, len(LOOSE[k]) + 1)])
 
 
 def _tree(cells, grad_hess, depth):
@@ -232,7 +279,7 @@ def train(found: DataFrame) -> tuple[tuple[float, list], float]:
     """Trees and threshold from the candidates of all documents (``found``: see ``spans``): four fifths
     of the documents, by a hash of ``doc_id``, fit the trees; the others calibrate."""
     part = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
-    counts = (found.where(F.size("candidates") > 0).select(part.alias("unseen"), F.explode("candidates").alias("c"))
+    counts = (found.where(F.size("candidates") > 0).select(part.alias("unseen"), F.explode(F.flatten("candidates")).alias("c"))
               .groupBy("unseen", *[F.col(f"c.{f}").alias(f) for f in FEATURES])
               .agg(F.count(F.lit(1)).alias("n"), F.sum("c.y").alias("y")).collect())
     cells = {u: sorted((tuple(r[f] for f in FEATURES), float(r.n), float(r.y)) for r in counts if r.unseen == u)
@@ -245,36 +292,41 @@ def _touches(a: Column, b: Column) -> Column:
     return (a["s"] < b["e"]) & (b["s"] < a["e"])
 
 
-def _apart(kind: str):
-    return lambda c: ~F.exists(F.col(kind), lambda b: _touches(b, c))
+def _clear_of(base: Column):
+    return lambda c: ~F.exists(base, lambda b: _touches(b, c))
 
 
 def _added(i: int) -> Column:
     """Places of the added spans of one kind."""
-    return F.transform(F.filter("added", lambda x: x["kind"] == i), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
+    return F.transform(F.filter(F.flatten("added"), lambda x: x["kind"] == i), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
 
 
-def _kinded(kind: str, i: int) -> Column:
-    return F.transform(F.col(kind), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(i).alias("kind")))
+def _kinded(base: Column, i: int) -> Column:
+    return F.transform(base, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), F.lit(i).alias("kind")))
 
 
 def select(found: DataFrame, model: tuple[float, list], least: float) -> DataFrame:
-    """Add ``added``: chosen candidates (kind, s, e) that touch no base span, the best of those that overlap."""
+    """Add ``added``: chosen candidates (kind, s, e) that touch no base span, the best of those that overlap; an array for
+    each piece."""
     if math.isinf(least):
-        return found.withColumn("added", F.array().cast("array<struct<kind:int,s:int,e:int,p:double>>"))
-    scored = F.transform("candidates", lambda c: F.struct(
-        c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), _score(model, c).alias("p")))
-    out = found.withColumn("scored", F.array_distinct(F.filter(
-        scored, lambda c: c["p"] >= least)))
-    clear = F.col("scored")
-    for k in KINDS:
-        clear = F.filter(clear, _apart(k))
-    out = out.withColumn("clear", clear)
+        none = F.array().cast("array<struct<kind:int,s:int,e:int,p:double>>")
+        return found.withColumn("added", F.transform("candidates", lambda c: none))
+    scored = lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), _score(model, c).alias("p"))
+    out = found.withColumn("scored", F.transform("candidates", lambda cs: F.array_distinct(F.filter(
+        F.transform(cs, scored), lambda c: c["p"] >= least))))
+
+    def apart(z: Column) -> Column:
+        clear = z["scored"]
+        for k in KINDS:
+            clear = F.filter(clear, _clear_of(z[k]))
+        return clear
+
+    out = out.withColumn("clear", F.transform(F.arrays_zip("scored", *KINDS), apart))
     better = lambda a, b: ((a["p"] > b["p"]) | ((a["p"] == b["p"]) & (
         ((a["e"] - a["s"]) > (b["e"] - b["s"])) | ((a["e"] - a["s"] == b["e"] - b["s"]) & (
             (a["s"] < b["s"]) | ((a["s"] == b["s"]) & (a["kind"] < b["kind"])))))))
-    return out.withColumn("added", F.filter("clear", lambda c: ~F.exists(
-        F.col("clear"), lambda d: _touches(d, c) & better(d, c)))).drop("scored", "clear")
+    return out.withColumn("added", F.transform("clear", lambda cs: F.filter(cs, lambda c: ~F.exists(
+        cs, lambda d: _touches(d, c) & better(d, c))))).drop("scored", "clear")
 
 
 def _text(kind: str, array: Column) -> Column:
@@ -284,9 +336,10 @@ def _text(kind: str, array: Column) -> Column:
 def digest(chosen: DataFrame) -> DataFrame:
     """Per document: ``n_email, n_ip, n_card, n_phone`` and ``base_sha256`` of the base spans, and ``spans``,
     all spans as ``kind:start:end`` by kind, then start."""
+    flat = chosen.withColumns({k: F.flatten(k) for k in KINDS})
     places = lambda k: F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e")))
     every = [_text(k, F.array_sort(F.concat(places(k), _added(i)))) for i, k in enumerate(KINDS)]
-    return chosen.select(
+    return flat.select(
         "doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in KINDS],
         F.sha2(F.array_join(F.concat(*[_text(k, F.col(k)) for k in KINDS]), ",").cast("binary"), 256).alias("base_sha256"),
         F.array_join(F.concat(*every), ",").alias("spans"))
@@ -294,7 +347,7 @@ def digest(chosen: DataFrame) -> DataFrame:
 
 def detect(docs: DataFrame) -> DataFrame:
     """Find, learn, choose and digest: one row per input row."""
-    found = stored(spans(docs.select("doc_id", "text")).drop("text"), "pii-candidates")
+    found = stored(spans(docs.select("doc_id", "text")).drop("text", "pieces"), "pii-candidates")
     model, least = train(found)
     return digest(select(found, model, least))
 
@@ -302,20 +355,28 @@ def detect(docs: DataFrame) -> DataFrame:
 def redact(docs: DataFrame) -> DataFrame:
     """``docs`` with every span of ``text`` replaced by its kind in brackets; other columns unchanged.
     Texts without personal data, null texts included, stay as they are."""
-    model, least = train(spans(docs.select("doc_id", "text")))
     names = docs.columns
-    inner = select(spans(docs.select("doc_id", "text", F.struct(*names).alias("row"))), model, least)
-    added = F.transform("added", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
-    every = F.array_sort(F.concat(*[_kinded(k, i) for i, k in enumerate(KINDS)], added))
-    begin = F.struct(F.lit(0).alias("p"), F.lit("").alias("t"))
-
-    def step(a: Column, x: Column) -> Column:
-        tag = F.element_at(F.array(*[F.lit(f"[{k}]") for k in KINDS]), x["kind"] + 1)
-        gap = F.when(x["s"] >= a["p"], F.concat(F.substring(F.col("text"), a["p"] + 1, x["s"] - a["p"]), tag)).otherwise("")
-        return F.struct(F.greatest(a["p"], x["e"]).alias("p"), F.concat(a["t"], gap).alias("t"))
-
-    clean = F.aggregate(F.col("every"), begin, step,
-                        lambda a: F.concat(a["t"], F.substring(F.col("text"), a["p"] + 1, F.length("text"))))
-    out = inner.withColumn("every", every).withColumn(
-        "clean", F.when(F.size("every") > 0, clean).otherwise(F.col("text")))
+    # A text is stored once: as its pieces where it has some, else in the row.
+    row = F.struct(*[F.when(F.size("pieces") == 0, F.col("text")).alias("text") if c == "text" else F.col(f"`row`.`{c}`") for c in names])
+    found = spans(docs.select("doc_id", "text", F.struct(*names).alias("row")))
+    found = stored(found.withColumn("row", row).drop("text"), "pii-candidates")
+    model, least = train(found)
+
+    def clean(z: Column) -> Column:
+        text, offset = z["pieces"]["t"], z["pieces"]["o"]
+        added = F.transform(z["added"], lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
+        every = F.array_sort(F.concat(*[_kinded(z[k], i) for i, k in enumerate(KINDS)], added))
+        begin = F.struct(F.lit(0).alias("p"), F.lit("").alias("t"))
+
+        def step(a: Column, x: Column) -> Column:
+            s, e = x["s"] - offset, x["e"] - offset
+            tag = F.element_at(F.array(*[F.lit(f"[{k}]") for k in KINDS]), x["kind"] + 1)
+            gap = F.when(s >= a["p"], F.concat(F.substring(text, a["p"] + 1, s - a["p"]), tag)).otherwise("")
+            return F.struct(F.greatest(a["p"], e).alias("p"), F.concat(a["t"], gap).alias("t"))
+
+        return F.aggregate(every, begin, step, lambda a: F.concat(a["t"], F.substring(text, a["p"] + 1, F.length(text))))
+
+    parts = F.transform(F.arrays_zip("pieces", *KINDS, "added"), clean)
+    text = F.when(F.size("pieces") > 0, F.array_join(parts, "")).otherwise(F.col("row.text"))
+    out = select(found, model, least).withColumn("clean", text)
     return out.select(*[(F.col("clean") if f == "text" else F.col("row")[f]).alias(f) for f in names])

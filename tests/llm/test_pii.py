@@ -2,6 +2,7 @@ import hashlib
 import re
 
 from hypothesis import given, settings
+from pyspark.sql import functions as F
 from hypothesis import strategies as st
 
 from cartwheel.llm import pii
@@ -102,3 +103,42 @@ def test_trees_and_threshold():
     score = lambda x: sum((pii._leaf(t, x) for t in model[1]), start=model[0])
     assert score(zero) < least <= score(one) + 1e-12
     assert pii.threshold(model, []) == float("inf")
+
+
+def test_pieces_change_nothing(spark, monkeypatch):
+    """Texts cut into pieces of a few characters give the same spans, candidates and contexts as whole ones."""
+    words = ["a.b@c.de", "mail", "x (at) y (dot) z", "10.0.0.1", "4111 1111 1111 1111", "4111-1111-1111-1111", "+1 (212) 555-0100", "call", "visa",
+             "(212) 555-0100", "12", "host:", "a@b-c.d,e@f.gh", "é😀", "\n", "tab\there", "555 0100", "x", ";", "1.2.3.4.5", "9", "[at]"]
+    import random
+    rnd = random.Random(5)
+    texts = {i: rnd.choice([" ", "", "  ", ", "]).join(rnd.choices(words, k=rnd.randrange(1, 40))) for i in range(300)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+
+    def found():
+        flat = pii.spans(docs).select("doc_id", *[F.flatten(k).alias(k) for k in (*pii.KINDS, "candidates")])
+        got = {r.doc_id: (*[[(x.s, x.e) for x in r[k]] for k in pii.KINDS], sorted(map(tuple, r.candidates))) for r in flat.collect()}
+        cut = {r.doc_id: r for r in pii.spans(docs).select("doc_id", F.size("pieces").alias("n"), "pieces.t").collect()}
+        assert all("".join(cut[i].t) == texts[i] for i in texts if cut[i].n)
+        return got, sum(cut[i].n for i in cut), {r.doc_id: r.text for r in pii.redact(docs).collect()}
+
+    want, n, clean = found()
+    monkeypatch.setattr(pii, "PIECE", 5)
+    got, more, clean2 = found()
+    assert more > 4 * n and got == want and clean2 == clean
+
+
+def test_time_is_linear_in_a_texts_matches(spark):
+    import time
+
+    def took(n):
+        text = " ".join(f"write to user{i}.name{i}@host{i}.example.org from 10.0.{i % 250}.{i % 99} now" for i in range(n))
+        docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+        a = time.time()
+        row = pii.detect(docs).first()
+        assert (row.n_email, row.n_ip) == (n, n)
+        assert pii.redact(docs).first().text.count("[email]") == n
+        return time.time() - a
+
+    took(200)
+    few, many = took(10_000), took(40_000)
+    assert many < 2.3 * 2 * few + 5, (few, many)

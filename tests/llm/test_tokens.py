@@ -110,3 +110,32 @@ def test_orc_files(spark, odd_docs, no_docs, tokenizer_path, library, tmp_path):
     empty = f"file://{tmp_path}/none"
     orc_tokens.write(no_docs, empty, tokenizer_path)
     assert orc_tokens.catalogue(spark, empty).count() == 0
+
+
+def test_every_code_point_is_lower_cased_and_cut_as_in_the_library(codec, library):
+    every = [*range(0xD800), *range(0xE000, 0x110000)]
+    for k in range(0, len(every), 4096):
+        texts = [f"a{chr(x)}b {chr(x)} {chr(x)}1" for x in every[k:k + 4096]]
+        want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+        assert [codec.encode(t).tolist() for t in texts] == want
+
+
+def test_capitals_newer_than_python(codec, library):
+    text = "\u1c89\ua7cb\ua7cc\ua7dc A\U00010d50\U00016ea0 Σ\ua7d2Σ x"
+    assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_starts_of_unequal_texts_under_one_id(spark, tokenizer_path, tmp_path):
+    """Rows of one id in several files: a start points at the row's own ids."""
+    rows = [(7, "word " * k) for k in (8, 3, 2, 4, 1, 30, 5, 9)] * 30 + [(i, "other words") for i in (1, 3, 9, 11)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    path = f"file://{tmp_path}/tokens"
+    orc_tokens.write(docs, path, tokenizer_path)
+    files = orc_tokens.read(spark, path).collect()
+    assert len({r.part for r in files if r.doc_id == 7}) > 1
+    flat = np.concatenate([np.array(r.ids, "<u4") for r in sorted(files, key=lambda r: (r.part, r.place))])
+    found = orc_tokens.catalogue(spark, path).collect()
+    assert len(found) == len(rows) and len({r.start for r in found}) == len(rows)
+    for r in found:
+        assert zlib.crc32(flat[r.start:r.start + r.n_tokens].tobytes()) == r.ids_crc32
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == sorted(i for i, _ in rows)
