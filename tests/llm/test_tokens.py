@@ -130,7 +130,11 @@ def test_starts_of_unequal_texts_under_one_id(spark, tokenizer_path, tmp_path):
     rows = [(7, "word " * k) for k in (8, 3, 2, 4, 1, 30, 5, 9)] * 30 + [(i, "other words") for i in (1, 3, 9, 11)]
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     path = f"file://{tmp_path}/tokens"
-    orc_tokens.write(docs, path, tokenizer_path)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        orc_tokens.write(docs, path, tokenizer_path)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     files = orc_tokens.read(spark, path).collect()
     assert len({r.part for r in files if r.doc_id == 7}) > 1
     flat = np.concatenate([np.array(r.ids, "<u4") for r in sorted(files, key=lambda r: (r.part, r.place))])
