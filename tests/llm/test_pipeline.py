@@ -86,6 +86,6 @@ def test_queries_equal_their_sql(spark, name):
 
 def test_all_are_registered():
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(QUERIES) | {"pipeline"} <= names
     assert set(SQL) <= set(__spark_entry__.oracle_sql())
