@@ -148,7 +148,11 @@ def expected_purchases(horizons: list[float], x: Column, t_x: Column, t_obs: Col
         S = sum_j (a+b-1-r)_j (1+e)_(j-1) / ((c)_j j!) z^j,  c = a+b+x-1,
 
     where u/e tends to log(1-z) as a tends to 1, so no parameter is singular.
-    S is summed until no term changes it.
+    S is summed until no term changes it.  Beyond z = 0.8, where that takes many
+    terms, and for a > 4, where they cancel, the numerator is integrated as a mean
+    over the drop-out probability at a fixed number of points
+    (``functions.special.purchases_integral``); a customer without a repeat
+    purchase stays with the series if b < 1.
     """
     return hyp_expectations(tuple(float(t) for t in horizons), float(r), float(alpha), float(a), float(b))(
         x.cast("double"), t_x.cast("double"), t_obs.cast("double"))

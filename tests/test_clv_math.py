@@ -81,6 +81,39 @@ def test_series_says_when_it_does_not_converge(monkeypatch):
         special.series_sum(2.0, 0.5, np.array([3.0]), np.array([0.999]))
 
 
+def test_integral_agrees_with_the_series_where_both_hold():
+    from cartwheel.functions import special
+    x = np.array([1.0, 2.0, 30.0, 1e4])
+    for a in (1e-9, 0.3, 0.793, 1.0, 1.0001, 3.0):
+        for b in (0.1, 2.426, 80.0):
+            for z in (0.5, 0.9, 0.999):
+                w = np.full(len(x), z / (1 - z))
+                want = special._numerator_series(x, w, np.ones(len(x)), 0.243, a, b)
+                assert np.allclose(special.purchases_integral(x, w, 0.243, a, b), want, rtol=1e-9, atol=0), (a, b, z)
+
+
+def test_integral_near_z_one(monkeypatch):
+    """A fixed number of points up to z = 1 - 1e-6, where the series takes millions of terms: ten times as
+    many points and a wider range give the same."""
+    from cartwheel.functions import special
+    x = np.array([1.0, 5.0, 300.0])
+    cases = [(a, b, w) for a in (1e-3, 0.793, 1.0, 30.0, 3000.0) for b in (0.5, 8000.0) for w in (1e2, 1e6)]
+    got = [special.purchases_integral(x, np.full(3, w), 0.3, a, b) for a, b, w in cases]
+    monkeypatch.setattr(special, "NODES", 2000)
+    monkeypatch.setattr(special, "DROP", 40.0)
+    for (a, b, w), g in zip(cases, got):
+        assert np.allclose(g, special.purchases_integral(x, np.full(3, w), 0.3, a, b), rtol=1e-9, atol=0), (a, b, w)
+
+
+def test_expected_purchases_never_need_many_terms(monkeypatch):
+    """T = 0 and a tiny alpha among usual customers: the series is cut at 250 terms and still ends."""
+    from cartwheel.functions import special
+    monkeypatch.setattr(special, "MAX_TERMS", 250)
+    out = special.expectations([1, 2, 50], [0.0, 3.0, 300.0], [0.0, 10.0, 700.0], [30.0 * k for k in range(1, 13)],
+                               0.25, 1e-4, 0.8, 2.4)
+    assert np.isfinite(out).all() and (np.diff(out, axis=1) > 0).all()
+
+
 def test_end_day_belongs_to_the_observation(spark):
     rows = [(1, "2011-01-01 09:00:00", 5.0), (1, "2011-02-01 12:00:00", 7.0), (1, "2011-02-02 00:00:00", 9.0)]
     fact = (spark.createDataFrame(rows, "customer_id long, t string, total_line_revenue double")
