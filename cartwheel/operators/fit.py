@@ -9,9 +9,12 @@ per parameter (5 for BG/NBD, 4 for Gamma-Gamma) go to the tasks, which return
 the summed objective and its analytic gradient at each; gradient differences
 give the Hessian.  Only parameters and those sums cross the driver.
 
-The result says how the search ended (``converged``, ``gradient_norm``,
-``at_bound``); a search that did not converge, stopped at a bound or gave an
-infinite population mean (q <= 1) also warns.
+The result says how the search ended (``converged``, ``at_bound``) and carries a
+certificate of the optimum, computed at the returned parameters by a job of its
+own: ``gradient_norm`` (zero at an optimum) and ``curvature``, the least
+eigenvalue of the Hessian (negative at a saddle), both over the parameters not
+at a bound.  A search that did not converge, stopped at a bound or at a point
+that the certificate refuses, or gave an infinite population mean (q <= 1) warns.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ Evaluate = Callable[[list[np.ndarray]], list[tuple[float, np.ndarray]]]
 
 LOG_BOUND = 30.0  # parameters stay within exp(+-30)
 ROWS_PER_PARTITION = 20_000
+GRADIENT_ZERO = 1e-5  # largest gradient of a certified optimum (objectives are means per customer)
+CURVATURE_ZERO = 1e-6  # a flat direction may be measured as falling by so much
 
 
 def batch_gradients(data: DataFrame, terms, names: list[str], penalizer: float = 0.0) -> Evaluate:
@@ -106,9 +111,24 @@ def minimize_newton(evaluate: Evaluate, theta0, max_iter: int = 100, h: float =
             if scale < 1e-6:  # no descent within rounding
                 converged = float(np.abs(g[free]).max()) < 1e3 * gtol
                 break
-    free = ~(((theta <= lo + 1e-9) & (g > 0)) | ((theta >= hi - 1e-9) & (g < 0)))
     return {"theta": theta, "objective": f, "iterations": it, "converged": converged,
-            "gradient_norm": float(np.abs(g[free]).max(initial=0.0)), "at_bound": (~free).tolist()}
+            **certificate(evaluate, theta, lo, hi)}
+
+
+def certificate(evaluate: Evaluate, theta: np.ndarray, lo: np.ndarray, hi: np.ndarray, h: float = 1e-4) -> dict:
+    """Gradient and least curvature at ``theta``, by one job and central differences of the gradient:
+    independent of the path that led there.  ``certified`` means that no free parameter can lower the
+    objective to second order, and that those at a bound are pushed against it."""
+    d = len(theta)
+    sides = [theta + s * h * np.eye(d)[i] for i in range(d) for s in (1.0, -1.0)]
+    (_, g), *beside = evaluate([theta, *sides])
+    free = ~(((theta <= lo + 1e-9) & (g > 0)) | ((theta >= hi - 1e-9) & (g < 0)))
+    hess = np.column_stack([(beside[2 * i][1] - beside[2 * i + 1][1]) / (2.0 * h) for i in range(d)])
+    part = (0.5 * (hess + hess.T))[np.ix_(free, free)]
+    slope = float(np.abs(g[free]).max(initial=0.0))
+    least = float(np.linalg.eigvalsh(part).min()) if free.any() else 0.0
+    return {"gradient_norm": slope, "curvature": least, "at_bound": (~free).tolist(),
+            "certified": slope < GRADIENT_ZERO and least > -CURVATURE_ZERO}
 
 
 def _stable(df: DataFrame) -> DataFrame:
@@ -127,7 +147,10 @@ def _report(model: str, names: list[str], res: dict, params: dict) -> dict:
         warnings.warn(f"{model}: not converged after {res['iterations']} steps, gradient {res['gradient_norm']:.3g}", stacklevel=3)
     if at_bound:
         warnings.warn(f"{model}: at the bound of {', '.join(at_bound)}", stacklevel=3)
-    return {**params, "at_bound": at_bound, **{k: res[k] for k in ("objective", "iterations", "converged", "gradient_norm")}}
+    if res["converged"] and not res["certified"]:
+        warnings.warn(f"{model}: no optimum, gradient {res['gradient_norm']:.3g}, curvature {res['curvature']:.3g}", stacklevel=3)
+    return {**params, "at_bound": at_bound,
+            **{k: res[k] for k in ("objective", "iterations", "converged", "gradient_norm", "curvature", "certified")}}
 
 
 def fit_bgnbd(summary: DataFrame, penalizer: float = 0.01, max_iter: int = 100) -> dict:

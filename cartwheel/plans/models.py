@@ -28,19 +28,49 @@ def to_cents(pred: DataFrame) -> DataFrame:
                        round_half_up(F.col("predicted_clv_12m")).alias("predicted_clv_12m"))
 
 
-def fit_and_predict(fact: DataFrame, penalizer: float = 0.01) -> tuple[DataFrame, dict, dict]:
-    """Fit BG/NBD and Gamma-Gamma on the repeat customers and score them.
-
-    The summary is checkpointed once; each fitter compresses and
-    checkpoints its own inputs, so every optimiser pass reads short lineage.
-    """
+def fit_models(fact: DataFrame, penalizer: float = 0.01) -> tuple[DataFrame, dict, dict]:
+    """The checkpointed summary of the repeat customers, and both models fitted on it; each fitter
+    compresses and checkpoints its own inputs, so every optimiser pass reads short lineage."""
     ensure_checkpoint_dir(fact.sparkSession)
     summary = clv_summary(fact).checkpoint(eager=True)
-    bg = fit_bgnbd(summary, penalizer)
-    gg = fit_gamma_gamma(summary, penalizer)
+    return summary, fit_bgnbd(summary, penalizer), fit_gamma_gamma(summary, penalizer)
+
+
+def fit_and_predict(fact: DataFrame, penalizer: float = 0.01) -> tuple[DataFrame, dict, dict]:
+    """Fit BG/NBD and Gamma-Gamma on the repeat customers and score them."""
+    summary, bg, gg = fit_models(fact, penalizer)
     return predict_clv(summary, bg, gg), bg, gg
 
 
+PARAMETERS = {"bg_nbd": ("r", "alpha", "a", "b"), "gamma_gamma": ("p", "q", "v")}
+
+
+def fitted_parameters(fact: DataFrame, penalizer: float = 0.01) -> DataFrame:
+    """One row per model: parameters, how the search ended and its certificate, to be stored as a table."""
+    spark = fact.sparkSession
+    summary, *fits = fit_models(fact, penalizer)
+    rows = [(model, summary.count(), {n: fit[n] for n in names}, fit["at_bound"], fit["objective"], fit["converged"],
+             fit["gradient_norm"], fit["curvature"], fit["certified"]) for (model, names), fit in zip(PARAMETERS.items(), fits)]
+    return spark.createDataFrame(rows, "model string, customers long, parameters map<string,double>, at_bound array<string>, "
+                                       "objective double, converged boolean, gradient_norm double, curvature double, certified boolean")
+
+
+def predict_fitted(fact: DataFrame, parameters: DataFrame) -> DataFrame:
+    """``pred_customer_clv`` from a table of ``fitted_parameters`` (two rows)."""
+    known = {r["model"]: r["parameters"] for r in parameters.select("model", "parameters").collect()}
+    return predict_clv(clv_summary(fact), known["bg_nbd"], known["gamma_gamma"])
+
+
+def fit_optimum(parameters: DataFrame) -> DataFrame:
+    """The fitted models and their certificates: penalised mean negative log-likelihood to four digits and the
+    parameters that the data determine (BG/NBD's a and b run along a flat direction when nobody drops out)."""
+    value = F.col("parameters")
+    return parameters.select(
+        "model", "customers", round_half_up(F.col("objective"), 4).alias("objective"),
+        *[round_half_up(value[n], d).alias(n) for n, d in (("r", 4), ("alpha", 1), ("p", 4), ("q", 4), ("v", 4))],
+        "converged", (F.col("certified") & (F.size("at_bound") == 0)).alias("optimal"))
+
+
 def loglik_fixed(fact: DataFrame) -> DataFrame:
     """Mean log-likelihood and gradient of both models at the published parameters, to six digits
     after the point (the engines' logarithms differ in the last bits)."""

@@ -59,9 +59,13 @@ def _app_rfm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialize(spark, "app_rfm", sf_dir, lambda: rfm.app_rfm(_app_fact(spark, sf_dir)))
 
 
+def _clv_parameters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parameters fitted on the data, with their certificates."""
+    return materialize(spark, "clv_parameters", sf_dir, lambda: models.fitted_parameters(_fact(spark, sf_dir)))
+
+
 def _clv_fit_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pred, _, _ = models.fit_and_predict(_fact(spark, sf_dir))
-    return models.to_cents(pred)
+    return models.to_cents(models.predict_fitted(_fact(spark, sf_dir), _clv_parameters(spark, sf_dir)))
 
 
 def _split(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +118,7 @@ QUERIES: dict[str, Query] = {
     "clv_summary": lambda s, d: models.clv_summary_table(_fact(s, d)),
     "clv_predict_fixed": lambda s, d: models.to_cents(_pred_fixed(s, d)),
     "clv_loglik_fixed": lambda s, d: models.loglik_fixed(_fact(s, d)),
+    "clv_fit_optimum": lambda s, d: models.fit_optimum(_clv_parameters(s, d)),
     "clv_fit_predict": _clv_fit_predict,
     "app_rfm": lambda s, d: finalize(_app_rfm(s, d)),
     "app_kpis": lambda s, d: app.app_kpis(_app_rfm(s, d)),

@@ -229,3 +229,39 @@ def test_fit_reports_bounds_and_missing_convergence(spark):
         assert not fit_gamma_gamma(df, penalizer=0.0, max_iter=1)["converged"]
     scaled = fit_gamma_gamma(df, penalizer=0.0, q_min=0.5, monetary_scale=1000.0)
     assert abs(held["v"] / scaled["v"] - 1) < 1e-4
+
+
+def test_certificate_tells_an_optimum_from_a_saddle_or_a_slope():
+    from cartwheel.operators.fit import certificate, minimize_newton
+
+    def surface(signs):
+        def evaluate(points):
+            return [(float((signs * t * t).sum()), 2.0 * signs * t) for t in points]
+        return evaluate
+
+    wide = np.full(2, -9.0), np.full(2, 9.0)
+    bowl, saddle = surface(np.array([1.0, 3.0])), surface(np.array([1.0, -1.0]))
+    here = certificate(bowl, np.zeros(2), *wide)
+    assert here["certified"] and abs(here["curvature"] - 2.0) < 1e-6 and here["gradient_norm"] == 0
+    assert not certificate(bowl, np.array([0.1, 0.0]), *wide)["certified"]
+    at_saddle = certificate(saddle, np.zeros(2), *wide)
+    assert at_saddle["gradient_norm"] == 0 and at_saddle["curvature"] < -1.9 and not at_saddle["certified"]
+    held = minimize_newton(bowl, [3.0, 3.0], lower=np.array([1.0, -9.0]), upper=wide[1])  # pushed against its bound
+    assert held["certified"] and held["at_bound"] == [True, False] and np.allclose(held["theta"], [1.0, 0.0], atol=1e-5)
+
+
+def test_fitted_parameters_as_a_table(spark):
+    from cartwheel.plans import models
+    rng = np.random.default_rng(11)
+    rows = [(c, f"2011-{m:02d}-{d:02d} 10:00:00", float(rng.gamma(6.0, 5.0)))
+            for c in range(150) for m, d in sorted({(int(m), int(d)) for m, d in rng.integers(1, 13, (1 + c % 6, 2))})]
+    fact = (spark.createDataFrame(rows, "customer_id long, t string, total_line_revenue double")
+            .withColumn("invoice_date", F.col("t").cast("timestamp_ntz")))
+    table = models.fitted_parameters(fact).cache()
+    found = {r.model: r for r in models.fit_optimum(table).collect()}
+    assert set(found) == {"bg_nbd", "gamma_gamma"} and found["gamma_gamma"].r is None and found["bg_nbd"].p is None
+    assert all(r.converged and r.optimal for r in found.values())
+    summary, bg, gg = models.fit_models(fact)
+    want = {r.customer_id: r.predicted_clv_12m for r in models.predict_clv(summary, bg, gg).collect()}
+    got = {r.customer_id: r.predicted_clv_12m for r in models.predict_fitted(fact, table).collect()}
+    assert got.keys() == want.keys() and all(math.isclose(got[c], want[c], rel_tol=1e-6) for c in want)
