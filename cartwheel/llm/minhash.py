@@ -43,6 +43,7 @@ MINIMA = BANDS * ROWS
 WORDS = 2  # 64-bit words of a bit plane
 BLOCK_MEMBERS = 256        # members of a bucket in one block
 BLOCK_SHINGLES = 100_000   # shingles of a component in one block
+SALTS = 64  # keys that the members of one component are dealt to
 CACHE_WORDS = 250_000
 
 _M1, _M2, _STEP = 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0x9E3779B97F4A7C15
@@ -316,6 +317,16 @@ def _full_sets(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _salted(members: DataFrame) -> DataFrame:
+    """Members with a salt, so that a component of any size is dealt to ``SALTS`` keys."""
+    return members.withColumn("salt", F.pmod(F.xxhash64("node", F.lit(13)), F.lit(SALTS)).cast("int"))
+
+
+def _every_salt(of_component: DataFrame) -> DataFrame:
+    """A row per component once for each salt."""
+    return of_component.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     """``doc_id, row_key, n_shingles, component_id, kept`` per row: documents are linked where
     ``100 * |intersection| >= percent * |union|``; a component is named by its smallest ``doc_id``."""
@@ -332,11 +343,13 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     cells = _sorted_cells(cells, "band").select("band", "i", "j", "mine", "node", "n_shingles", "sig")
     candidates = components(_candidate_edges(cells, percent))
     # Confirmation on full sets, brought together by candidate component.
-    placed = candidates.join(classes.drop("bands"), "node")
-    sizes = placed.groupBy("component").agg(F.sum("n_shingles").alias("total"))
-    placed = (placed.join(sizes, "component")
+    placed = stored(candidates.join(classes.drop("bands"), "node"), "minhash-placed")
+    # Only components of several blocks need their size; their members meet it by component and salt.
+    sizes = (placed.groupBy("component").agg(F.sum("n_shingles").alias("total")).where(F.col("total") > BLOCK_SHINGLES)
+             .select("component", F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
+    placed = (_salted(placed).join(_every_salt(sizes), ["component", "salt"], "left")
               .select("node", "n_shingles", "sig", "name.*", F.xxhash64("component").alias("part"),
-                      F.ceil(F.col("total") / BLOCK_SHINGLES).alias("blocks")))
+                      F.coalesce("blocks", F.lit(1)).cast("long").alias("blocks")))
     # One row of each class, by its name, as a row may lack an id; its repeats are dropped in the join's partitioning.
     texts = with_row_name(docs).select(ROW_ID, ROW_KEY, text_column().alias("text"))
     sets = _full_sets(texts.join(placed, [ROW_ID, ROW_KEY]).dropDuplicates([ROW_ID, ROW_KEY]).drop(ROW_ID, ROW_KEY))
@@ -344,9 +357,10 @@ def near_duplicates(docs: DataFrame, percent: int = 85) -> DataFrame:
     cells = cells.select("part", "i", "j", "mine", "node", "n_shingles", "sig", "members")
     linked_nodes = components(_confirmed_edges(cells, percent))
     # Name components by their smallest document.
-    named = classes.select("node", "rep").join(linked_nodes, "node", "left")
-    joint = named.where("component is not null").groupBy("component").agg(F.min("rep").alias("least"))
-    names = named.join(joint, "component", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
+    least = (linked_nodes.join(classes.select("node", "rep"), "node").groupBy("component").agg(F.min("rep").alias("least")))
+    # From a component to its members by salt; classes without a link take no part in that join.
+    of_node = (_salted(linked_nodes).join(_every_salt(least), ["component", "salt"]).select("node", "least"))
+    names = classes.select("node", "rep").join(of_node, "node", "left").select("node", F.coalesce("least", "rep").alias("component_id"))
     out = rows.select("doc_id", "row_key", "n_shingles", "node").join(names, "node", "left")
     component = F.coalesce("component_id", "doc_id")
     return out.select("doc_id", "row_key", "n_shingles", component.alias("component_id"),
