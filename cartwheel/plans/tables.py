@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from cartwheel.session import ensure_checkpoint_dir
 
-TABLE_VERSION = 2  # raise when a stored table's definition changes
+TABLE_VERSION = 3  # raise when a stored table's definition changes
 _LOCK = threading.RLock()  # one build per table even if queries run from several threads
 
 
