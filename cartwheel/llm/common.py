@@ -72,12 +72,12 @@ def _remove_made(jvm) -> None:
             p.getFileSystem(conf).delete(p, True)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written once to the shared folder and read back: cuts the lineage, survives
-    lost executors, and is computed once however often it is used afterwards."""
+def stored(df: DataFrame, name: str, options: dict | None = None) -> DataFrame:
+    """``df`` written once (with the writer's ``options``) to the shared folder and read back: cuts the lineage,
+    survives lost executors, and is computed once however often it is used afterwards."""
     spark = df.sparkSession
     path = shared_path(spark, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -17,6 +17,9 @@ the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover
 Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most
 ``KNOWN`` counts besides) goes to the tasks; counts of all rarer words are joined.
 
+Texts are tokenized once: rows of some hundred thousand tokens, each with its own list of words, are stored,
+and the counts, the rounds and the scoring read them.
+
 Null and empty texts are the end sign alone.  Repeated rows get equal results; an empty table gives an
 empty result; without training documents all counts are zero.  Texts are tokenized piecewise; only
 ``doc_id`` and ``text`` are read.
@@ -25,9 +28,10 @@ empty result; without training documents all counts are zero.  Texts are tokeniz
 from __future__ import annotations
 
 import heapq
+import itertools
 import math
 import pickle
-from collections import Counter
+from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +47,7 @@ CLASSES = HEAD // MEMBERS + TAIL
 ROUNDS = (0.03, 0.12, 0.35, 0.5)
 LANES, WINDOW, STEPS, SCORE_LANES = 256, 32, 128, 1024
 TOGETHER = 4_000_000  # tokens of the documents that are laid out in lanes at a time
+PACK = 1 << 19  # tokens of the documents that are stored in a row
 RATE, CLIP = 0.01, 1.0
 FAN_IN = 64
 END = b"\n"  # no word holds white space, so the end sign has a name of its own
@@ -94,23 +99,42 @@ def lanes(docs: list[np.ndarray], most: int):
     return ids.T.copy(), owner.T.copy(), start.T.copy()
 
 
-def _gates(p, before, h):
-    """One step: the new state, and what the backward pass needs."""
-    a = p["x"][before]
-    b = h @ p["u"]
-    zr = 0.5 + 0.5 * np.tanh(0.5 * (a[:, :2 * HIDDEN] + b[:, :2 * HIDDEN]))
-    z, r = zr[:, :HIDDEN], zr[:, HIDDEN:]
-    c = b[:, 2 * HIDDEN:]
-    g = np.tanh(a[:, 2 * HIDDEN:] + r * c)
-    return g + z * (h - g), (h, z, r, c, g)
-
-
-def _exp(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """exp(x) and its row sums; rows are shifted only where that is needed to keep them finite."""
-    if x.size and x.max() > 60:
-        x -= x.max(axis=1, keepdims=True)
-    e = np.exp(x)
-    return e, e @ np.ones(x.shape[1], x.dtype)
+def _gates(u, a, h):
+    """One step of all lanes (columns): the new state, and what the backward pass needs."""
+    b = u @ h
+    zr, c = b[:2 * HIDDEN], b[2 * HIDDEN:]
+    zr += a[:2 * HIDDEN]
+    zr *= 0.5
+    np.tanh(zr, out=zr)
+    zr *= 0.5
+    zr += 0.5
+    z, r = zr[:HIDDEN], zr[HIDDEN:]
+    g = r * c
+    g += a[2 * HIDDEN:]
+    np.tanh(g, out=g)
+    new = h - g
+    new *= z
+    new += g
+    return new, (h, z, r, c, g)
+
+
+def _columns(x: np.ndarray) -> np.ndarray:
+    """Steps x lanes x values as contiguous steps x values x lanes, and the other way round."""
+    return np.ascontiguousarray(x.transpose(0, 2, 1))
+
+
+def _run(p, before, start, begins, h, kept=None):
+    """States (rows, by step and lane) of one window, and the last one (columns)."""
+    u, a = np.ascontiguousarray(p["u"].T), _columns(p["x"][before])
+    states = np.empty((len(before), *h.shape), a.dtype)
+    for t in range(len(before)):
+        if begins[t]:
+            h = np.where(start[t], np.float32(0), h)
+        h, k = _gates(u, a[t], h)
+        states[t] = h
+        if kept is not None:
+            kept.append(k)
+    return _columns(states).reshape(-1, len(h)), h
 
 
 def _class_of(ids: np.ndarray) -> np.ndarray:
@@ -121,37 +145,49 @@ def output(p, h: np.ndarray, target: np.ndarray, grads=None):
     """Natural log-probabilities of ``target`` given the states; with ``grads``, adds the gradients of
     their sum and returns also that of the states."""
     cls = _class_of(target)
-    out, dh = _one_of(h, p["cw"], p["cb"], cls, grads and (grads["cw"], grads["cb"]))
+    most = float(np.abs(h).max(initial=0))
+    h = np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)  # the last row of the weights is the bias
+    cw = np.concatenate([p["cw"], p["cb"][None]])
+    mw = np.concatenate([p["mw"], p["mb"][:, None]], axis=1)
+    dc, dm = (np.zeros_like(cw), np.zeros_like(mw)) if grads is not None else (None, [None] * len(mw))
+    out, dh = _one_of(h, cw, cls, dc, most)
     head = np.flatnonzero(target < HEAD)
     order = head[np.argsort(cls[head].astype(np.int16), kind="stable")]
     edge = np.searchsorted(cls[order], np.arange(HEAD // MEMBERS + 1))
     hs, member = h[order], target[order] % MEMBERS
-    for c in np.flatnonzero(edge[1:] > edge[:-1]).tolist():
-        a, z = edge[c], edge[c + 1]
-        lp, d = _one_of(hs[a:z], p["mw"][c], p["mb"][c], member[a:z], grads and (grads["mw"][c], grads["mb"][c]))
-        out[order[a:z]] += lp
-        if grads is not None:
-            dh[order[a:z]] += d
+    parts = [_one_of(hs[a:z], mw[c], member[a:z], dm[c], most)
+             for c, (a, z) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if z > a]
+    if parts:
+        out[order] += np.concatenate([lp for lp, _ in parts])
+    if grads is not None:
+        if parts:
+            dh[order] += np.concatenate([d for _, d in parts])
+        for k, g in (("cw", dc[:-1]), ("cb", dc[-1]), ("mw", dm[:, :-1]), ("mb", dm[:, -1])):
+            grads[k] += g
     return out, dh
 
 
-def _one_of(h, w, b, which, grads):
-    """Log-softmax of h @ w + b at ``which``; with ``grads`` (of w and b) also the gradient of its sum by h."""
+def _one_of(h, w, which, grad, most):
+    """Log-softmax of h @ w at ``which``; with ``grad`` (of w) also the gradient of its sum by h.  No value of h
+    but the last column's ones exceeds ``most``, so rows are shifted only where exp could leave its range."""
     x = h @ w
-    x += b
-    at = np.arange(len(which))
-    chosen = x[at, which]
-    if x.size and x.max() > 60:
-        chosen = chosen - x.max(axis=1)
-    e, total = _exp(x)
+    if (np.abs(w[:-1]).sum(axis=0) * most + np.abs(w[-1])).max() > 60:
+        x -= x.max(axis=1, keepdims=True)
+    flat = x.reshape(-1)
+    at = np.arange(len(which)) * x.shape[1] + which
+    chosen = flat[at]
+    np.exp(x, out=x)
+    total = x @ np.ones(x.shape[1], x.dtype)
     lp = chosen - np.log(total)
-    if grads is None:
+    if grad is None:
         return lp, None
-    e /= -total[:, None]
-    e[at, which] += 1
-    grads[0][...] += h.T @ e
-    grads[1][...] += np.ones(len(e), e.dtype) @ e
-    return lp, e @ w.T
+    # The gradient by x is (one at ``which``) - x / total; the division is left to the narrower factors.
+    flat[at] -= total
+    share = (-1 / total)[:, None]
+    grad += (h * share).T @ x
+    d = x @ w[:-1].T
+    d *= share
+    return lp, d
 
 
 def _inputs(ids: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -170,17 +206,13 @@ def score_batch(p, docs: list[np.ndarray]) -> np.ndarray:
     ids, owner, start = lanes(docs, SCORE_LANES)
     before = _inputs(ids, start)
     begins = start.any(axis=1)
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, ids.shape[1]), np.float32)
     for s in range(0, len(ids), WINDOW):
-        states = []
-        for t in range(s, min(s + WINDOW, len(ids))):
-            if begins[t]:
-                h = np.where(start[t][:, None], np.float32(0), h)
-            h, _ = _gates(p, before[t], h)
-            states.append(h)
-        own = owner[s:s + WINDOW].ravel()
+        w = slice(s, s + WINDOW)
+        states, h = _run(p, before[w], start[w], begins[w], h)
+        own = owner[w].ravel()
         real = own >= 0
-        lp, _ = output(p, np.concatenate(states)[real], ids[s:s + WINDOW].ravel()[real])
+        lp, _ = output(p, states[real], ids[w].ravel()[real])
         total += np.bincount(own[real], weights=lp, minlength=len(docs))
     return total
 
@@ -198,46 +230,45 @@ def train_batch(p, docs: list[np.ndarray], state) -> int:
     ids, owner, start = lanes(docs, max(16, min(LANES, sum(map(len, docs)) // (WINDOW * STEPS))))
     before = _inputs(ids, start)
     begins = start.any(axis=1)
-    h = np.zeros((ids.shape[1], HIDDEN), np.float32)
+    h = np.zeros((HIDDEN, ids.shape[1]), np.float32)
     for s in range(0, len(ids), WINDOW):
-        steps, states, kept = range(s, min(s + WINDOW, len(ids))), [], []
-        for t in steps:
-            if begins[t]:
-                h = np.where(start[t][:, None], np.float32(0), h)
-            h, k = _gates(p, before[t], h)
-            states.append(h)
-            kept.append(k)
-        real = (owner[s:s + WINDOW] >= 0).ravel()
+        w, kept = slice(s, s + WINDOW), []
+        states, h = _run(p, before[w], start[w], begins[w], h, kept)
+        real = (owner[w] >= 0).ravel()
         n = int(real.sum())
         if not n:
             break
         grads = {k: np.zeros_like(v) for k, v in p.items()}
-        _, d_real = output(p, np.concatenate(states)[real], ids[s:s + WINDOW].ravel()[real], grads)
+        _, d_real = output(p, states[real], ids[w].ravel()[real], grads)
         d_out = np.zeros((len(real), HIDDEN), np.float32)
         d_out[real] = d_real
-        d_out = d_out.reshape(len(states), -1, HIDDEN)
-        dx = np.empty((len(states), ids.shape[1], 3 * HIDDEN), np.float32)
+        d_out = _columns(d_out.reshape(len(kept), -1, HIDDEN))
+        dx = np.empty((len(kept), 3 * HIDDEN, ids.shape[1]), np.float32)
         du = np.empty_like(dx)  # as dx, with the reset gate on the candidate's part
         dh = np.zeros_like(h)
-        for i in range(len(states) - 1, -1, -1):
+        for i in range(len(kept) - 1, -1, -1):
             was, z, r, c, g = kept[i]
-            dh = dh + d_out[i]
+            dz, dr, dg = dx[i, :HIDDEN], dx[i, HIDDEN:2 * HIDDEN], dx[i, 2 * HIDDEN:]
+            dh += d_out[i]
             rest = 1 - z
-            dg = dh * rest
+            np.multiply(dh, rest, out=dg)
             dg *= 1 - g * g
-            dx[i, :, 2 * HIDDEN:] = dg
             rest *= z
-            dx[i, :, :HIDDEN] = dh * (was - g) * rest
-            dr = dg * r
-            du[i, :, 2 * HIDDEN:] = dr
+            np.subtract(was, g, out=dz)
+            dz *= dh
+            dz *= rest
+            gated = du[i, 2 * HIDDEN:]
+            np.multiply(dg, r, out=gated)
+            np.subtract(1, r, out=dr)
+            dr *= gated
             dr *= c
-            dx[i, :, HIDDEN:2 * HIDDEN] = dr * (1 - r)
-            du[i, :, :2 * HIDDEN] = dx[i, :, :2 * HIDDEN]
-            dh = dh * z + du[i] @ p["u"].T
+            du[i, :2 * HIDDEN] = dx[i, :2 * HIDDEN]
+            dh *= z
+            dh += p["u"] @ du[i]
             if begins[s + i]:
-                dh[start[s + i]] = 0
-        grads["u"] += np.concatenate([k[0] for k in kept]).T @ du.reshape(-1, 3 * HIDDEN)
-        _scatter(before[s:s + WINDOW].ravel(), dx.reshape(-1, 3 * HIDDEN), grads["x"])
+                dh[:, start[s + i]] = 0
+            grads["u"] += was @ du[i].T
+        _scatter(before[w].ravel(), _columns(dx).reshape(-1, 3 * HIDDEN), grads["x"])
         _step(p, grads, n, state)
     return sum(map(len, docs))
 
@@ -259,26 +290,69 @@ def _step(p, grads, n: int, state) -> None:
 # Spark side.
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """``word binary, c long`` over all rows' tokens; tasks add up their batches first."""
+class _Pack:
+    """Documents of one round, as numbers into the pack's own list of words."""
+
+    def __init__(self):
+        self.docs, self.ids, self.size = [], [], 0
+        self.number = defaultdict(itertools.count().__next__)
+
+    def add(self, doc, text: str) -> None:
+        words = tokens(text)
+        self.docs.append(doc)
+        self.ids.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
+        self.size += len(words)
+
+    def row(self, place: int, id_type) -> pa.RecordBatch:
+        ids = np.concatenate(self.ids)
+        cols = {"round": ([place], pa.int32()), "docs": ([self.docs], pa.list_(id_type)),
+                "lens": ([[len(x) for x in self.ids]], pa.list_(pa.int64())),
+                "ids": ([ids.astype(_width(len(self.number))).tobytes()], pa.binary()),
+                "words": ([list(self.number)], pa.list_(pa.binary())), "n": ([np.bincount(ids)], pa.list_(pa.int64()))}
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols.values()], list(cols))
+
+
+def _width(words: int) -> str:
+    return "<u2" if words <= 1 << 16 else "<i4"
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """All documents, tokenized once and stored: a row per ``PACK`` tokens of one round (``len(ROUNDS)``: held out)
+    with the documents' ids and lengths, their tokens by number, and the words with their counts."""
+    kind, id_type = docs.schema["doc_id"].dataType.simpleString(), to_arrow_type(docs.schema["doc_id"].dataType)
+    rows = docs.select("doc_id", text_column().alias("text"))
+    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
+    which = F.lit(0)
+    for edge in itertools.accumulate(ROUNDS[:-1]):
+        which += (place >= edge).cast("int")
 
     def run(batches):
+        packs: dict[int, _Pack] = {}
         for b in batches:
-            count: Counter = Counter()
-            for t in b.column(0).to_pylist():
-                count.update(tokens(t))
-                if len(count) > 500_000:
-                    yield _counted(count)
-                    count = Counter()
-            yield _counted(count)
+            for doc, text, k in zip(*(c.to_pylist() for c in b.columns)):
+                pack = packs.setdefault(k, _Pack())
+                pack.add(doc, text)
+                if pack.size >= PACK:
+                    yield packs.pop(k).row(k, id_type)
+        for k, pack in packs.items():
+            yield pack.row(k, id_type)
+
+    found = rows.withColumn("round", F.when(held_out(), len(ROUNDS)).otherwise(which)).mapInArrow(
+        run, f"round int, docs array<{kind}>, lens array<long>, ids binary, words array<binary>, n array<long>")
+    # Rows are megabytes wide: the writer must look at its size after each, and a reader holds a whole row group.
+    return stored(found, "lm-packs", {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1})
+
 
-    found = rows.select(text_column().alias("text")).mapInArrow(run, "word binary, c long")
-    return found.groupBy("word").agg(F.sum("c").alias("c"))
+def _unpacked(batch: pa.RecordBatch):
+    """Lengths, tokens by number and words of each pack in a batch."""
+    for lens, ids, words in zip(*(batch.column(k).to_pylist() for k in ("lens", "ids", "words"))):
+        yield np.array(lens), np.frombuffer(ids, _width(len(words))), words
 
 
-def _counted(count: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())],
-                                      ["word", "c"])
+def word_counts(packs: DataFrame) -> DataFrame:
+    """``word binary, c long`` over the tokens of all training documents."""
+    each = packs.where(F.col("round") < len(ROUNDS)).select(F.explode(F.arrays_zip("words", "n")).alias("w"))
+    return each.groupBy(F.col("w.words").alias("word")).agg(F.sum("w.n").alias("c"))
 
 
 class Vocabulary:
@@ -305,8 +379,7 @@ class Vocabulary:
 
     def numbers(self, words: list[bytes]) -> np.ndarray:
         """Number of each word, -1 where it isn't known."""
-        get = self.number.get
-        return np.fromiter([get(w, -1) for w in words], np.int32, len(words))
+        return np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int32, len(words))
 
     def rows(self, words: list[bytes], numbers: np.ndarray) -> np.ndarray:
         """Input row of each word: its rank, or its tail class."""
@@ -372,8 +445,8 @@ def _averaged(batches):
         yield pa.RecordBatch.from_arrays([pa.array([_average(blobs)], pa.binary())], ["model"])
 
 
-def _train_round(rows: DataFrame, p, vocab) -> dict[str, np.ndarray]:
-    sc = rows.sparkSession.sparkContext
+def _train_round(packs: DataFrame, p, vocab) -> dict[str, np.ndarray]:
+    sc = packs.sparkSession.sparkContext
     held = sc.broadcast((p, vocab))
 
     def run(batches):
@@ -381,9 +454,9 @@ def _train_round(rows: DataFrame, p, vocab) -> dict[str, np.ndarray]:
         q = {k: v.copy() for k, v in q.items()}
         state = {"t": 0, "m": {k: np.zeros_like(v) for k, v in q.items()}, "v": {k: np.zeros_like(v) for k, v in q.items()}}
         n, docs, size = 0, [], 0
-        for b in batches:
-            docs += [words.rows(s, words.numbers(s)) for s in map(tokens, b.column(0).to_pylist())]
-            size += sum(map(len, docs[len(docs) - len(b):]))
+        for lens, ids, own in itertools.chain.from_iterable(map(_unpacked, batches)):
+            docs += np.split(words.rows(own, words.numbers(own))[ids], np.cumsum(lens)[:-1])
+            size += len(ids)
             if size > TOGETHER:
                 n += train_batch(q, docs, state)
                 docs, size = [], 0
@@ -392,66 +465,71 @@ def _train_round(rows: DataFrame, p, vocab) -> dict[str, np.ndarray]:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((n, q), 5)], pa.binary())], ["model"])
 
-    models = stored(rows.select("text").mapInArrow(run, "model binary"), "lm-models")
+    models = stored(packs.select("lens", "ids", "words").mapInArrow(run, "model binary"), "lm-models")
     while (n := models.count()) > FAN_IN:
         models = stored(models.repartition(-(-n // FAN_IN)).mapInArrow(_averaged, "model binary"), "lm-models")
     got = [bytes(r.model) for r in models.collect()]
     return pickle.loads(_average(got))[1] if got else p
 
 
-def _blank() -> dict[str, list]:
-    return {k: [] for k in ("doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n")}
+def _counted(words: Vocabulary, lens: np.ndarray, ids: np.ndarray, own: list[bytes]) -> dict[str, pa.Array]:
+    """What the counts alone say of the documents of a pack: columns by document, and the words left to a join."""
+    number = words.numbers(own)
+    known, first = number >= 0, np.concatenate([[0], np.cumsum(lens)[:-1]])  # no document is without its end sign
+
+    def total(table, kind):
+        by_word = np.zeros(len(own), kind)
+        by_word[known] = table[number[known]]
+        return pa.array(np.add.reduceat(by_word[ids], first))
+
+    left = np.flatnonzero(~known[ids])
+    doc = np.repeat(np.arange(len(lens)), lens)[left]
+    key, times = np.unique(doc * len(own) + ids[left], return_counts=True)
+    ends = pa.array(np.searchsorted(key, np.arange(len(lens) + 1) * len(own)), pa.int32())
+    return {"n_tokens": pa.array(lens, pa.int64()), "n_known": total(words.seen, np.int64),
+            "base": total(words.base_log, np.float64), "tail": total(words.tail_log, np.float64),
+            "rare": pa.ListArray.from_arrays(ends, pa.array(own, pa.binary()).take(pa.array(key % len(own)))),
+            "rare_n": pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))}
 
 
 def score(docs: DataFrame) -> DataFrame:
     """``doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score`` for each row of ``docs``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows = docs.select("doc_id", text_column().alias("text"))
-    learn = rows.where(~held_out())
-    counts = stored(word_counts(learn), "word-counts")
+    packs = packed(docs)
+    counts = stored(word_counts(packs), "word-counts")
     vocab = vocabulary(counts)
     p = _start(vocab)
-    place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
-    done = 0.0
-    for share in ROUNDS:
-        p = _train_round(learn.where((place >= done) & (place < done + share)), p, vocab)
-        done += share
+    for k in range(len(ROUNDS)):
+        p = _train_round(packs.where(F.col("round") == k), p, vocab)
     held = docs.sparkSession.sparkContext.broadcast((p, vocab))
     ten, id_type = 1 / math.log(10), to_arrow_type(docs.schema["doc_id"].dataType)
 
     def run(batches):
         q, words = held.value
-        out, ids, size = _blank(), [], 0
+        done, ids, size = [], [], 0
         for b in batches:
-            out["doc_id"] += b.column(0).to_pylist()
-            for s in map(tokens, b.column(1).to_pylist()):
-                k = words.numbers(s)
-                seen = k[k >= 0]
-                out["n_tokens"].append(len(s))
-                out["n_known"].append(int(words.seen[seen].sum()))
-                out["base"].append(float(words.base_log[seen].sum()))
-                out["model"].append(float(words.tail_log[seen].sum()))
-                left = Counter([s[j] for j in np.flatnonzero(k < 0).tolist()])
-                out["rare"].append(list(left))
-                out["rare_n"].append(list(left.values()))
-                ids.append(words.rows(s, k))
-                size += len(s)
-            if size > TOGETHER:
-                yield scored(q, out, ids)
-                out, ids, size = _blank(), [], 0
+            for names, (lens, local, own) in zip(b.column("docs").to_pylist(), _unpacked(b)):
+                done.append({"doc_id": pa.array(names, id_type)} | _counted(words, lens, local, own))
+                ids += np.split(words.rows(own, words.numbers(own))[local], np.cumsum(lens)[:-1])
+                size += len(local)
+                if size > TOGETHER:
+                    yield from scored(q, done, ids)
+                    done, ids, size = [], [], 0
         if ids:
-            yield scored(q, out, ids)
-
-    def scored(q, out, ids):
-        model = np.array(out.pop("model")) + score_batch(q, ids) * ten
-        kinds = {"n_tokens": pa.int64(), "n_known": pa.int64(), "base": pa.float64(), "rare": pa.list_(pa.binary()),
-                 "rare_n": pa.list_(pa.int64())}
-        cols = {k: pa.array(v, kinds.get(k, id_type)) for k, v in out.items()} | {"model": pa.array(model)}
-        names = ["doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n"]
-        return pa.RecordBatch.from_arrays([cols[k] for k in names], names)
-
-    part = stored(rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, model double, "
-                                       "rare array<binary>, rare_n array<long>")
+            yield from scored(q, done, ids)
+
+    def scored(q, done, ids):
+        model, at = score_batch(q, ids) * ten, 0
+        for cols in done:
+            n = len(cols["doc_id"])
+            cols["model"] = pa.array(cols.pop("tail").to_numpy() + model[at:at + n])
+            at += n
+            names = ["doc_id", "n_tokens", "n_known", "base", "model", "rare", "rare_n"]
+            yield pa.RecordBatch.from_arrays([cols[k] for k in names], names)
+
+    part = stored(packs.select("docs", "lens", "ids", "words")
+                  .mapInArrow(run, f"doc_id {kind}, n_tokens long, n_known long, base double, model double, "
+                                   "rare array<binary>, rare_n array<long>")
                   .withColumn("row", F.monotonically_increasing_id()), "lm-parts")
     # Words that not every task knows: their counts are joined, none meaning zero.
     seen = part.select("row", F.explode(F.arrays_zip("rare", "rare_n")).alias("w")).select(
