@@ -13,7 +13,8 @@ at the logarithms of the counted shares, so training starts from a unigram model
 Training reads every training document once, in ``ROUNDS`` rounds of growing share (by a hash of the
 row).  In a round each task runs truncated back-propagation over windows of ``WINDOW`` steps on its documents,
 starting from the shared parameters, with the state carried from window to window through the whole document;
-the tasks' parameters are averaged, weighted by tokens, in a tree.  Counts cover all training documents.
+tasks are joined until each has tokens for ``STEPS`` steps of all lanes.  The tasks' parameters are averaged,
+weighted by tokens, in a tree.  Counts cover all training documents.
 Scoring carries the state through the whole document.  Only a bounded vocabulary (``HEAD``, and at most
 ``KNOWN`` counts besides) goes to the tasks; counts of all rarer words are joined.
 
@@ -445,7 +446,7 @@ def _averaged(batches):
         yield pa.RecordBatch.from_arrays([pa.array([_average(blobs)], pa.binary())], ["model"])
 
 
-def _train_round(packs: DataFrame, p, vocab) -> dict[str, np.ndarray]:
+def _train_round(packs: DataFrame, p, vocab, tokens: float) -> dict[str, np.ndarray]:
     sc = packs.sparkSession.sparkContext
     held = sc.broadcast((p, vocab))
 
@@ -465,7 +466,9 @@ def _train_round(packs: DataFrame, p, vocab) -> dict[str, np.ndarray]:
         if n:
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps((n, q), 5)], pa.binary())], ["model"])
 
-    models = stored(packs.select("lens", "ids", "words").mapInArrow(run, "model binary"), "lm-models")
+    # Tasks of fewer tokens would fill only some lanes, and pay a step's fixed cost for few tokens.
+    tasks = max(1, int(tokens) // (LANES * WINDOW * STEPS))
+    models = stored(packs.select("lens", "ids", "words").coalesce(tasks).mapInArrow(run, "model binary"), "lm-models")
     while (n := models.count()) > FAN_IN:
         models = stored(models.repartition(-(-n // FAN_IN)).mapInArrow(_averaged, "model binary"), "lm-models")
     got = [bytes(r.model) for r in models.collect()]
@@ -499,8 +502,8 @@ def score(docs: DataFrame) -> DataFrame:
     counts = stored(word_counts(packs), "word-counts")
     vocab = vocabulary(counts)
     p = _start(vocab)
-    for k in range(len(ROUNDS)):
-        p = _train_round(packs.where(F.col("round") == k), p, vocab)
+    for k, share in enumerate(ROUNDS):
+        p = _train_round(packs.where(F.col("round") == k), p, vocab, share * vocab.n)
     held = docs.sparkSession.sparkContext.broadcast((p, vocab))
     ten, id_type = 1 / math.log(10), to_arrow_type(docs.schema["doc_id"].dataType)
 
