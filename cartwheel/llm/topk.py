@@ -10,7 +10,9 @@ Work is cut into cells of a block of queries and a block of candidates, each of
 ``BLOCK_ROWS`` rows, so memory is bounded; blocks are formed by a hash and no key can be hot.
 
 Vectors that are null or hold a null or non-finite component take no part.  Rows that share ``vec_id``
-count as one (the smallest vector).  Vectors of unequal length are compared with zeros added.  With
+count as one (the smallest vector), or each for itself (``each_row``): then every row with a query's id is a query, and
+all other rows are its candidates, also those of its own id.  Equal rows are searched once, with their number beside
+them.  Vectors of unequal length are compared with zeros added.  With
 fewer than k candidates all are returned; an empty table gives an empty result; ties go to the smaller
 ``vec_id``.  Scores must fit a 64-bit integer (components beyond 2^21 are evaluated with big integers).
 """
@@ -28,40 +30,49 @@ from cartwheel.llm.common import stored
 PIVOTS = 16
 BLOCK_ROWS = 1024
 FIRST = 32  # candidates that a query evaluates before its first stopping test
+LARGE = 1 << 21  # components beyond it: float64 sums may round
 
 
-def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
-    """``id long, v array<long>``: usable vectors, one row per id."""
+def integer_vectors(rows: DataFrame, id_col: str = "vec_id", vec_col: str = "embedding", each_row: bool = False) -> DataFrame:
+    """``id long, v array<long>, copies long``: usable vectors, one row per id, or per id and vector with the number of such rows."""
     x = F.col(vec_col)
     usable = x.isNotNull() & F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c.cast("double"))
                                       & (F.abs(c.cast("double")) < float("inf")))
-    return (rows.where(usable & F.col(id_col).isNotNull())
-            .select(F.col(id_col).cast("long").alias("id"),
-                    F.transform(x, lambda c: F.floor(c.cast("double") * 256.0)).alias("v"))
-            .groupBy("id").agg(F.min("v").alias("v")))
+    found = (rows.where(usable & F.col(id_col).isNotNull())
+             .select(F.col(id_col).cast("long").alias("id"),
+                     F.transform(x, lambda c: F.floor(c.cast("double") * 256.0)).alias("v")))
+    if each_row:
+        return found.groupBy("id", "v").agg(F.count(F.lit(1)).alias("copies"))
+    return found.groupBy("id").agg(F.min("v").alias("v")).withColumn("copies", F.lit(1).cast("long"))
 
 
 def _pivot_table(vectors: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
-    """``id``, ``vec`` (float64 components) and ``dist`` (distances to the pivots), packed."""
+    """``id``, ``row`` and ``copies``, and packed ``vec`` (float64 components) and ``dist`` (distances to the pivots)."""
     norms = (pivots * pivots).sum(1)
 
     def run(batches):
         for b in batches:
-            ids, lists = b.column(0), b.column(1).to_pylist()
+            lists = b.column(3).to_pylist()
             m = np.zeros((len(lists), width))
             for i, v in enumerate(lists):
                 m[i, :len(v)] = v
             far = np.sqrt(np.maximum((m * m).sum(1)[:, None] + norms - 2 * (m @ pivots.T), 0))
             yield pa.RecordBatch.from_arrays(
-                [ids, pa.array([r.tobytes() for r in m], pa.binary()), pa.array([r.tobytes() for r in far], pa.binary())],
-                ["id", "vec", "dist"])
+                [*b.columns[:3], pa.array([r.tobytes() for r in m], pa.binary()), pa.array([r.tobytes() for r in far], pa.binary())],
+                ["id", "row", "copies", "vec", "dist"])
 
-    return vectors.mapInArrow(run, "id long, vec binary, dist binary")
+    return vectors.select("id", "row", "copies", "v").mapInArrow(run, "id long, row long, copies long, vec binary, dist binary")
 
 
 def search_block(qid, q, qd, cid, c, cd, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best ``k`` candidates of each query in one cell: query ids, candidate ids, scores."""
-    big = max(np.abs(q).max(initial=0), np.abs(c).max(initial=0)) > 2.0 ** 21
+    i, j, s = best_pairs(q, qd, cid, c, cd, k, qid[:, None] == cid[None, :])
+    return qid[i], cid[j], s
+
+
+def best_pairs(q, qd, cid, c, cd, k: int, own: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``search_block``, by places in the cell; pairs that ``own`` marks are left out."""
+    big = max(np.abs(q).max(initial=0), np.abs(c).max(initial=0)) > LARGE
     qn, cn = (q * q).sum(1), (c * c).sum(1)
     low = np.zeros((len(q), len(c)))
     for p in range(qd.shape[1]):
@@ -70,7 +81,7 @@ def search_block(qid, q, qd, cid, c, cd, k: int) -> tuple[np.ndarray, np.ndarray
     bound = (total - low * low) / 2 + 1e-9 * total + 1  # rounding never hides a candidate
     if big:
         bound[:] = np.inf
-    bound[qid[:, None] == cid[None, :]] = -np.inf  # the query's own row
+    bound[own] = -np.inf  # the query's own row
 
     def scores(rows, cols):
         if big:
@@ -102,37 +113,41 @@ def search_block(qid, q, qd, cid, c, cd, k: int) -> tuple[np.ndarray, np.ndarray
         step *= 4
     out_q, out_c, out_s = [], [], []
     for i in range(len(q)):
-        own = np.flatnonzero(reached[i] & (bound[i] > -np.inf))
-        if len(own) > 8 * k and not big:
-            least = -np.partition(-done[i, own], k - 1)[k - 1]
-            own = own[done[i, own] >= least]
-        best = sorted(own.tolist(), key=lambda j: (-done[i, j], cid[j]))[:k]
-        out_q += [qid[i]] * len(best)
-        out_c += [cid[j] for j in best]
+        seen = np.flatnonzero(reached[i] & (bound[i] > -np.inf))
+        if len(seen) > 8 * k and not big:
+            least = -np.partition(-done[i, seen], k - 1)[k - 1]
+            seen = seen[done[i, seen] >= least]
+        best = sorted(seen.tolist(), key=lambda j: (-done[i, j], cid[j]))[:k]
+        out_q += [i] * len(best)
+        out_c += best
         out_s += [int(done[i, j]) for j in best]
     return np.array(out_q, np.int64), np.array(out_c, np.int64), np.array(out_s, np.int64)
 
 
-def top_k(rows: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
+def top_k(rows: DataFrame, every: int = 50, k: int = 5, each_row: bool = False) -> DataFrame:
     """``query_id, rank, vec_id, score``: for each row whose id is divisible by ``every``, the ``k``
-    best other rows."""
+    best other rows.  ``each_row``: rows that share an id do not count as one."""
     spark = rows.sparkSession
-    vectors = stored(integer_vectors(rows), "vectors")
+    vectors = stored(integer_vectors(rows, each_row=each_row).withColumn("row", F.monotonically_increasing_id()), "vectors")
     n, width, n_q = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")),
                                 F.count(F.when(F.col("id") % every == 0, 1))).first()
     schema = "query_id long, rank int, vec_id long, score long"
     if not n_q:
         return spark.createDataFrame([], schema)
-    chosen = vectors.orderBy(F.xxhash64("id"), "id").limit(PIVOTS).collect()
+    # Distances to a pivot of large components would round by more than the bounds allow for.
+    chosen = (vectors.where(F.forall("v", lambda c: c.between(-LARGE, LARGE)))
+              .orderBy(F.xxhash64("id"), "id", "v").limit(PIVOTS).collect())
     pivots = np.zeros((len(chosen), width))
     for i, r in enumerate(chosen):
         pivots[i, :len(r.v)] = r.v
     base = stored(_pivot_table(vectors, pivots, width), "pivot-table")
     c_blocks, q_blocks = -(-n // BLOCK_ROWS), -(-n_q // BLOCK_ROWS)
-    block = lambda m: F.pmod(F.xxhash64("id"), F.lit(m))
+    # Both sides' block numbers must be of one type: equal numbers of two types are dealt to different tasks.
+    block = lambda m: F.pmod(F.xxhash64("id", "row"), F.lit(m)).cast("int")
     span = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     queries = base.where(F.col("id") % every == 0).withColumn("qb", block(q_blocks)).withColumn("cb", span(c_blocks))
-    against = base.withColumn("cb", block(c_blocks)).withColumn("qb", span(q_blocks))
+    # New names for the other side's columns: Spark may take them for those of the queries.
+    against = base.select(*[F.col(c).alias(f"c_{c}") for c in base.columns], block(c_blocks).alias("cb")).withColumn("qb", span(q_blocks))
 
     def unpack(col, w):
         return np.frombuffer(b"".join(col), np.float64).reshape(len(col), w)
@@ -140,13 +155,22 @@ def top_k(rows: DataFrame, every: int = 50, k: int = 5) -> DataFrame:
     n_pivots = len(chosen)
 
     def cell(q: pd.DataFrame, c: pd.DataFrame) -> pd.DataFrame:
+        names = ["query", "query_id", "repeats", "vec_id", "times", "score"]
         if not len(q) or not len(c):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []}, dtype="int64")
-        a, b, s = search_block(q["id"].to_numpy(), unpack(q["vec"], width), unpack(q["dist"], n_pivots),
-                               c["id"].to_numpy(), unpack(c["vec"], width), unpack(c["dist"], n_pivots), k)
-        return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
+            return pd.DataFrame({n: [] for n in names}, dtype="int64")
+        same, copies = q["row"].to_numpy()[:, None] == c["c_row"].to_numpy()[None, :], c["c_copies"].to_numpy()
+        i, j, s = best_pairs(unpack(q["vec"], width), unpack(q["dist"], n_pivots), c["c_id"].to_numpy(),
+                             unpack(c["c_vec"], width), unpack(c["c_dist"], n_pivots), k, same & (copies == 1))
+        at = [q[n].to_numpy()[i] for n in ("row", "id", "copies")]
+        return pd.DataFrame(dict(zip(names, [*at, c["c_id"].to_numpy()[j], copies[j] - same[i, j], s])))
 
     hits = (queries.groupBy("qb", "cb").cogroup(against.groupBy("qb", "cb"))
-            .applyInPandas(cell, "query_id long, vec_id long, score long"))
-    rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+            .applyInPandas(cell, "query long, query_id long, repeats long, vec_id long, times long, score long"))
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "vec_id"))
+    if not each_row:
+        return hits.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # k different rows are enough; then each stands for its copies, and a query's list for those of the query.
+    copies = lambda n: F.explode(F.sequence(F.lit(1).cast("long"), n))
+    best = hits.withColumn("rank", rank).where(F.col("rank") <= k).withColumn("copy", copies(F.least("times", F.lit(k).cast("long"))))
+    return (best.withColumn("rank", rank).where(F.col("rank") <= k).withColumn("copy", copies(F.col("repeats")))
+            .select("query_id", "rank", "vec_id", "score"))

@@ -63,3 +63,54 @@ def test_bounds_do_prune():
     exact[np.arange(4), np.arange(4)] = -np.inf
     assert sorted(s[q == 0].tolist(), reverse=True) == np.sort(exact[0])[::-1][:5].tolist()
     assert sum(seen) < 4 * len(c)
+
+
+@pytest.mark.parametrize("block", [16, 1024])
+def test_rows_that_share_an_id(spark, monkeypatch, tmp_path, block):
+    """The query's contract: every row but the query's own is a candidate, whatever its id."""
+    from cartwheel.llm.queries import QUERIES
+
+    monkeypatch.setattr(topk, "BLOCK_ROWS", block)
+    rng = np.random.default_rng(5)
+    rows = [(i, [float(x) for x in rng.normal(size=6)]) for i in range(0, 400, 5)]
+    rows += [(i, [3 * x for x in v]) for i, v in rows[:20]]  # other vectors under the same ids, of queries too
+    rows += rows[3:6] + [rows[10], rows[85]] * 7             # equal rows: more than k, of queries too
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = [tuple(r) for r in QUERIES["op8_pivot_top_k"](spark, str(tmp_path)).collect()]
+    vec = [(i, [int(np.floor(float(np.float32(x)) * 256)) for x in v]) for i, v in rows]
+    wanted = []
+    for a, (q, v) in enumerate(vec):
+        if q % 50 == 0:
+            s = sorted((-sum(x * y for x, y in zip(v, w)), c) for b, (c, w) in enumerate(vec) if a != b)
+            wanted += [(q, r, c, -x) for r, (x, c) in enumerate(s[:5], 1)]
+    assert sorted(got) == sorted(wanted)
+
+
+def test_far_pivots_do_not_hide_candidates(spark, monkeypatch):
+    """Rows of huge components are no pivots; cells without them are searched by bounds."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 64)
+    monkeypatch.setattr(topk, "FIRST", 4)
+    monkeypatch.setattr(topk, "PIVOTS", 1000)
+    rng = np.random.default_rng(2)
+    rows = [(i, [2 * float(rng.normal()) if i % 50 else 0.0, *(float(x) for x in rng.normal(size=3))]) for i in range(600)]
+    rows += [(1001, [3e38, 0.0, 0.0, 0.0])]  # its score with any query is 0
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, 50, 5).collect())
+    assert got == brute(rows, 50, 5)
+
+
+def test_cells_meet_in_many_tasks(spark, monkeypatch):
+    """Every cell's two sides are dealt to one task, also where small tasks are not joined to one."""
+    monkeypatch.setattr(topk, "BLOCK_ROWS", 16)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    rng = np.random.default_rng(7)
+    rows = [(i, [float(x) for x in rng.normal(size=4)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "5")
+        got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in topk.top_k(df, 10, 5).collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == brute(rows, 10, 5)
