@@ -108,3 +108,31 @@ def test_round_of_large_values(spark):
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
     got = [r[0] for r in df.orderBy("i").select(round_half_up("v")).collect()]
     assert got[:6] == [1e17, 5e18, 9.3e250, 0.13, -0.12, 4503599627370497.5] and abs(got[6] - 123456789012.35) < 1e-4
+
+
+def test_cells_are_read_once(spark):
+    """Filters and reasons use the parsed columns; they do not read the cells again (clean_export_text, etl_split_counts)."""
+    from cartwheel.operators.clean import clean_transactions, split_counts, split_transactions
+    from cartwheel.sources.retail import conform_raw
+
+    cells = spark.createDataFrame(
+        [("1", "a", "x", "6.0", "12/1/2010 8:26", "2.5", "7.0", "F"), ("C2", "b", "y", "1e1", "no date", "1", None, "F")],
+        "InvoiceNo string, StockCode string, Description string, Quantity string, InvoiceDate string, UnitPrice string, "
+        "CustomerID string, Country string")
+    raw = conform_raw(cells.repartition(2), "month", keep_cells=True)
+    once = raw._jdf.queryExecution().optimizedPlan().toString()
+    marks = ("[AaPp]", "[+-]?[0-9]{1,18}")  # of the patterns of dates and whole numbers
+    for df in (clean_transactions(raw), split_counts(split_transactions(raw))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert [plan.count(m) for m in marks] == [once.count(m) for m in marks]
+    assert clean_transactions(raw).select("quantity", "customer_id").collect() == [(6, 7)]
+    assert split_counts(split_transactions(raw)).first().several_reasons == 1
+
+
+def test_no_cast_of_what_is_no_number(spark):
+    """Cells that are no dates of numbers cost no failing cast in the evidence."""
+    from cartwheel.sources.dates import evidence
+
+    df = spark.createDataFrame([("2010-12-01 08:26:00",), ("13/1/2010",), (None,), ("x",), ("1/2/2010",)], "d string")
+    e = evidence(df, "d")
+    assert (e.cells, e.year_last, e.first_over_12, e.second_over_12, e.open) == (4, 2, 1, 0, 1)
