@@ -93,10 +93,11 @@ def kpi(cube: DataFrame) -> DataFrame:
 def segment_sketches(lines: DataFrame, customer_rfm: DataFrame) -> DataFrame:
     """Distinct invoices, customers and products per customer segment, estimated: a cube by customer segment.
 
-    The join is at the grain of (customer, sketch): lines are reduced to customers first."""
-    per = distinct_cube(lines, {"customer_id": F.col("customer_id")})
-    joined = per.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
-    return roll_up(joined, {"rfm_segment": F.col("rfm_segment")}).select(
+    Lines meet their customer's segment before they are sketched, so a task holds a few sketches for each segment; a
+    sketch per customer would be kilobytes wide for some bytes of lines, and most of a task's memory."""
+    joined = lines.join(customer_rfm.select("customer_id", "rfm_segment"), "customer_id")
+    cube = distinct_cube(joined, {"rfm_segment": F.col("rfm_segment")})
+    return roll_up(cube, {"rfm_segment": F.col("rfm_segment")}).select(
         "rfm_segment", *[estimate(k).alias(k) for k in COUNTED], F.col("revenue").cast("double").alias("revenue"))
 
 

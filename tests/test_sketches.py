@@ -70,3 +70,19 @@ def test_quantiles_within_the_rank_error(spark, shape):
     assert "Sort " not in plan and "rangepartitioning" not in plan
     for r, (num, den) in zip(sorted(sketches.rank_share(df, "v", points, names).collect()), probs):
         assert r.below - sketches.RANK_ERROR <= num / den <= r.upto + sketches.RANK_ERROR
+
+
+def test_segments_keep_no_sketch_per_customer(spark):
+    """sketch_segments: sketches are made per segment; those of customers filled a task's memory."""
+    lines = spark.createDataFrame([(c, f"i{c}-{k}", f"s{k}", k + 1) for c in range(300) for k in range(3)],
+                                  "customer_id long, invoice_no string, stock_code string, total_line_revenue long")
+    lines = lines.withColumn("invoice_date", F.lit("2010-12-01").cast("timestamp_ntz")).withColumn("country", F.lit("F"))
+    rfm = spark.createDataFrame([(c, "Lost" if c % 3 else "Champions") for c in range(300)], "customer_id long, rfm_segment string")
+    out = sketches.segment_sketches(lines, rfm)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line.split("[")[1] for line in plan.splitlines() if "Aggregate [" in line]
+    assert keys and all(k.startswith("rfm_segment") for k in keys)
+    for r in out.collect():
+        n = 200 if r.rfm_segment == "Lost" else 100
+        assert abs(r.customers - n) <= sketches.DISTINCT_ERROR * n and abs(r.orders - 3 * n) <= sketches.DISTINCT_ERROR * 3 * n
+        assert (r.products, r.revenue) == (3, 6.0 * n)
