@@ -32,6 +32,7 @@ from tokenizers.pre_tokenizers import Split
 from cartwheel.llm.common import map_batches, text_column, whitespace_pieces, worker_state
 
 CACHE_WORDS = 300_000  # words, and pairs, that a Python worker remembers; only speed depends on it
+RUN = 1 << 14  # code points looked at together
 
 
 def _byte_alphabet() -> list[str]:
@@ -47,13 +48,20 @@ def _byte_alphabet() -> list[str]:
     return out
 
 
+def _code_points(first: int = 0):
+    """All characters from ``first`` on, some at a time: a list of all would be most of a worker's memory."""
+    for begin, end in ((first, 0xD800), (0xE000, 0x110000)):
+        for k in range(begin, end, RUN):
+            yield "".join(map(chr, range(k, min(k + RUN, end))))
+
+
 def _newer_unicode() -> tuple[str, str, str]:
     """Character classes: code points that the regex module counts as letters and as numbers but
     the library, built on an older Unicode, does not; and both."""
-    every = "".join(map(chr, [*range(0xD800), *range(0xE000, 0x110000)]))
     found = []
     for kind in (r"\p{L}", r"\p{N}"):
-        new = [c for run in regex.finditer(kind + "+", every) for c in run.group() if unicodedata.category(c) == "Cn"]
+        new = [c for part in _code_points() for run in regex.finditer(kind + "+", part) for c in run.group()
+               if unicodedata.category(c) == "Cn"]
         cut = Split(Regex(kind), "isolated").pre_tokenize_str(" " + " ".join(new) + " ")
         known = {c for c, _ in cut if len(c) == 1}
         found.append(_ranges([c for c in new if c not in known]))
@@ -63,13 +71,11 @@ def _newer_unicode() -> tuple[str, str, str]:
 def _lowered() -> dict[int, str]:
     """What the library makes of code points that it lower-cases differently from Python (capitals newer than Python's
     tables)."""
-    every = [*range(0x80, 0xD800), *range(0xE000, 0x110000)]
     out = {}
-    for k in range(0, len(every), 1 << 16):
-        part = every[k:k + (1 << 16)]
-        for c, low in zip(part, Lowercase().normalize_str("\n".join(map(chr, part))).split("\n")):
-            if low != chr(c).lower():
-                out[c] = low
+    for part in _code_points(0x80):
+        for c, low in zip(part, Lowercase().normalize_str("\n".join(part)).split("\n")):
+            if low != c.lower():
+                out[ord(c)] = low
     return out
 
 

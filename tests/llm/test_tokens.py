@@ -1,6 +1,7 @@
 """BPE codec (5) and ORC token files (4) against the tokenizers library."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -143,3 +144,14 @@ def test_starts_of_unequal_texts_under_one_id(spark, tokenizer_path, tmp_path):
     for r in found:
         assert zlib.crc32(flat[r.start:r.start + r.n_tokens].tobytes()) == r.ids_crc32
     assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == sorted(i for i, _ in rows)
+
+
+def test_character_tables_are_built_without_a_list_of_all_characters():
+    """Each worker builds them, so their memory counts once for every core."""
+    tracemalloc.start()
+    try:
+        bpe._newer_unicode()
+        bpe._lowered()
+        assert tracemalloc.get_traced_memory()[1] < 16 << 20
+    finally:
+        tracemalloc.stop()
