@@ -22,8 +22,8 @@ Texts are tokenized once: rows of some hundred thousand tokens, each with its ow
 and the counts, the rounds and the scoring read them.
 
 Null and empty texts are the end sign alone.  Repeated rows get equal results; an empty table gives an
-empty result; without training documents all counts are zero.  Texts are tokenized piecewise; only
-``doc_id`` and ``text`` are read.
+empty result; without training documents all counts are zero.  Texts are cut, numbered and looked up as Arrow
+columns, a batch at a time; only ``doc_id`` and ``text`` are read.
 """
 
 from __future__ import annotations
@@ -32,15 +32,14 @@ import heapq
 import itertools
 import math
 import pickle
-from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.pandas.types import to_arrow_type
 
-from cartwheel.llm.common import stored, text_column, whitespace_pieces
+from cartwheel.llm.common import gathered, stored, text_column
 
 HEAD, MEMBERS, TAIL, HIDDEN = 2048, 64, 32, 16
 KNOWN = 200_000
@@ -48,20 +47,22 @@ CLASSES = HEAD // MEMBERS + TAIL
 ROUNDS = (0.03, 0.12, 0.35, 0.5)
 LANES, WINDOW, STEPS, SCORE_LANES = 256, 32, 128, 1024
 TOGETHER = 4_000_000  # tokens of the documents that are laid out in lanes at a time
+TOGETHER_BYTES = 12 << 20  # stored bytes of the packs whose words are looked up at a time
 PACK = 1 << 19  # tokens of the documents that are stored in a row
+PACK_BYTES = 64 << 20  # of their texts, where words are very long
 RATE, CLIP = 0.01, 1.0
 FAN_IN = 64
 END = b"\n"  # no word holds white space, so the end sign has a name of its own
 SMOOTH = 0.1
 
 
-def tokens(text: str) -> list[bytes]:
-    """Words of a text and the end sign."""
-    out: list[bytes] = []
-    for piece in whitespace_pieces(text):
-        out += piece.encode().lower().split()
-    out.append(END)
-    return out
+def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words (binary) of all texts one after the other, and how many each text has."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, ends = lists.flatten(), lists.offsets.to_numpy()
+    some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves empty words there
+    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
+    return words.filter(some).cast(pa.binary()), np.diff(upto[ends - ends[0]])
 
 
 def held_out() -> Column:
@@ -126,7 +127,7 @@ def _columns(x: np.ndarray) -> np.ndarray:
 
 def _run(p, before, start, begins, h, kept=None):
     """States (rows, by step and lane) of one window, and the last one (columns)."""
-    u, a = np.ascontiguousarray(p["u"].T), _columns(p["x"][before])
+    u, a = np.ascontiguousarray(p["u"].T), _columns(p["x"].take(before, axis=0))
     states = np.empty((len(before), *h.shape), a.dtype)
     for t in range(len(before)):
         if begins[t]:
@@ -155,7 +156,7 @@ def output(p, h: np.ndarray, target: np.ndarray, grads=None):
     head = np.flatnonzero(target < HEAD)
     order = head[np.argsort(cls[head].astype(np.int16), kind="stable")]
     edge = np.searchsorted(cls[order], np.arange(HEAD // MEMBERS + 1))
-    hs, member = h[order], target[order] % MEMBERS
+    hs, member = h.take(order, axis=0), target[order] % MEMBERS
     parts = [_one_of(hs[a:z], mw[c], member[a:z], dm[c], most)
              for c, (a, z) in enumerate(zip(edge[:-1].tolist(), edge[1:].tolist())) if z > a]
     if parts:
@@ -212,17 +213,17 @@ def score_batch(p, docs: list[np.ndarray]) -> np.ndarray:
         w = slice(s, s + WINDOW)
         states, h = _run(p, before[w], start[w], begins[w], h)
         own = owner[w].ravel()
-        real = own >= 0
-        lp, _ = output(p, states[real], ids[w].ravel()[real])
+        real = np.flatnonzero(own >= 0)
+        lp, _ = output(p, states.take(real, axis=0), ids[w].ravel()[real])
         total += np.bincount(own[real], weights=lp, minlength=len(docs))
     return total
 
 
 def _scatter(rows: np.ndarray, values: np.ndarray, out: np.ndarray) -> None:
-    order = np.argsort(rows, kind="stable")
+    order = np.argsort(rows.astype(np.int16), kind="stable")  # a radix sort
     r = rows[order]
     first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-    out[r[first]] += np.add.reduceat(values[order], first, axis=0)
+    out[r[first]] += np.add.reduceat(values.take(order, axis=0), first, axis=0)
 
 
 def train_batch(p, docs: list[np.ndarray], state) -> int:
@@ -235,13 +236,13 @@ def train_batch(p, docs: list[np.ndarray], state) -> int:
     for s in range(0, len(ids), WINDOW):
         w, kept = slice(s, s + WINDOW), []
         states, h = _run(p, before[w], start[w], begins[w], h, kept)
-        real = (owner[w] >= 0).ravel()
-        n = int(real.sum())
+        real = np.flatnonzero(owner[w] >= 0)
+        n = len(real)
         if not n:
             break
         grads = {k: np.zeros_like(v) for k, v in p.items()}
-        _, d_real = output(p, states[real], ids[w].ravel()[real], grads)
-        d_out = np.zeros((len(real), HIDDEN), np.float32)
+        _, d_real = output(p, states.take(real, axis=0), ids[w].ravel()[real], grads)
+        d_out = np.zeros((len(states), HIDDEN), np.float32)
         d_out[real] = d_real
         d_out = _columns(d_out.reshape(len(kept), -1, HIDDEN))
         dx = np.empty((len(kept), 3 * HIDDEN, ids.shape[1]), np.float32)
@@ -295,22 +296,36 @@ class _Pack:
     """Documents of one round, as numbers into the pack's own list of words."""
 
     def __init__(self):
-        self.docs, self.ids, self.size = [], [], 0
-        self.number = defaultdict(itertools.count().__next__)
-
-    def add(self, doc, text: str) -> None:
-        words = tokens(text)
-        self.docs.append(doc)
-        self.ids.append(np.fromiter(map(self.number.__getitem__, words), np.int32, len(words)))
-        self.size += len(words)
-
-    def row(self, place: int, id_type) -> pa.RecordBatch:
-        ids = np.concatenate(self.ids)
-        cols = {"round": ([place], pa.int32()), "docs": ([self.docs], pa.list_(id_type)),
-                "lens": ([[len(x) for x in self.ids]], pa.list_(pa.int64())),
-                "ids": ([ids.astype(_width(len(self.number))).tobytes()], pa.binary()),
-                "words": ([list(self.number)], pa.list_(pa.binary())), "n": ([np.bincount(ids)], pa.list_(pa.int64()))}
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in cols.values()], list(cols))
+        self.docs, self.lens, self.words, self.size, self.n_bytes = [], [], [], 0, 0
+
+    def add(self, docs: pa.Array, texts: pa.Array) -> None:
+        words, n = cut(texts)
+        self.docs.append(docs)
+        self.lens.append(n + 1)
+        self.words.append(words)
+        self.size += len(words) + len(docs)
+        self.n_bytes += words.nbytes
+
+    def full(self) -> bool:
+        return self.size >= PACK or self.n_bytes >= PACK_BYTES
+
+    def row(self, place: int) -> pa.RecordBatch:
+        found, lens = pa.concat_arrays(self.words).dictionary_encode(), np.concatenate(self.lens)
+        words = pa.concat_arrays([found.dictionary, pa.array([END], pa.binary())])
+        ids, ends = np.empty(self.size, np.int32), np.zeros(self.size, bool)
+        ends[np.cumsum(lens) - 1] = True
+        ids[ends] = len(words) - 1
+        ids[~ends] = found.indices.to_numpy()
+        cols = {"round": pa.array([place], pa.int32()), "docs": _listed(pa.concat_arrays(self.docs)),
+                "lens": _listed(pa.array(lens, pa.int64())),
+                "ids": pa.array([ids.astype(_width(len(words))).tobytes()], pa.binary()),
+                "words": _listed(words), "n": _listed(pa.array(np.bincount(ids, minlength=len(words)), pa.int64()))}
+        return pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
+
+
+def _listed(values: pa.Array) -> pa.Array:
+    """One row that holds all the values."""
+    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
 
 
 def _width(words: int) -> str:
@@ -320,7 +335,7 @@ def _width(words: int) -> str:
 def packed(docs: DataFrame) -> DataFrame:
     """All documents, tokenized once and stored: a row per ``PACK`` tokens of one round (``len(ROUNDS)``: held out)
     with the documents' ids and lengths, their tokens by number, and the words with their counts."""
-    kind, id_type = docs.schema["doc_id"].dataType.simpleString(), to_arrow_type(docs.schema["doc_id"].dataType)
+    kind = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", text_column().alias("text"))
     place = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20)) / float(1 << 20)
     which = F.lit(0)
@@ -330,13 +345,15 @@ def packed(docs: DataFrame) -> DataFrame:
     def run(batches):
         packs: dict[int, _Pack] = {}
         for b in batches:
-            for doc, text, k in zip(*(c.to_pylist() for c in b.columns)):
+            rounds = b.column(2).to_numpy()
+            for k in np.unique(rounds).tolist():
+                part = b.filter(pa.array(rounds == k))
                 pack = packs.setdefault(k, _Pack())
-                pack.add(doc, text)
-                if pack.size >= PACK:
-                    yield packs.pop(k).row(k, id_type)
+                pack.add(part.column(0), part.column(1))
+                if pack.full():
+                    yield packs.pop(k).row(k)
         for k, pack in packs.items():
-            yield pack.row(k, id_type)
+            yield pack.row(k)
 
     found = rows.withColumn("round", F.when(held_out(), len(ROUNDS)).otherwise(which)).mapInArrow(
         run, f"round int, docs array<{kind}>, lens array<long>, ids binary, words array<binary>, n array<long>")
@@ -344,10 +361,16 @@ def packed(docs: DataFrame) -> DataFrame:
     return stored(found, "lm-packs", {"parquet.block.size": 32 << 20, "parquet.page.size.row.check.min": 1})
 
 
-def _unpacked(batch: pa.RecordBatch):
-    """Lengths, tokens by number and words of each pack in a batch."""
-    for lens, ids, words in zip(*(batch.column(k).to_pylist() for k in ("lens", "ids", "words"))):
-        yield np.array(lens), np.frombuffer(ids, _width(len(words))), words
+def _unpacked(batches, vocab):
+    """Of each pack: its documents, their lengths, its tokens by number, its words and the words' numbers in ``vocab``."""
+    for b in gathered(batches, TOGETHER_BYTES):  # one look-up for the words of several packs
+        words, at = b.column("words"), 0
+        numbers = vocab.numbers(words.flatten())
+        for docs, lens, ids, own in zip(*(b.column(k) for k in ("docs", "lens", "ids", "words"))):
+            n = len(own.values)
+            yield (docs.values, lens.values.to_numpy(), np.frombuffer(ids.as_buffer(), _width(n)), own.values,
+                   numbers[at:at + n])
+            at += n
 
 
 def word_counts(packs: DataFrame) -> DataFrame:
@@ -369,7 +392,7 @@ class Vocabulary:
     def finish(self) -> None:
         """Tables by a known word's number: input row, base and tail log-probabilities (base 10)."""
         names = list(self.known)
-        self.number = {w: i for i, w in enumerate(names)}
+        self.names = pa.array(names, pa.binary())
         count = np.fromiter(self.known.values(), np.float64, len(names))
         last = np.array([w[-1] % TAIL for w in names], np.int64).reshape(-1)
         self.row = np.array([self.head.get(w, HEAD + k) for w, k in zip(names, last.tolist())], np.int32).reshape(-1)
@@ -378,18 +401,19 @@ class Vocabulary:
         self.tail_log = np.where(self.row < HEAD, 0.0,
                                  np.log10((count + SMOOTH) / (self.tail_n[last] + SMOOTH * (self.tail_v[last] + 1))))
 
-    def numbers(self, words: list[bytes]) -> np.ndarray:
+    def __getstate__(self):
+        """The tasks need the tables only."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("known", "head")}
+
+    def numbers(self, words: pa.Array) -> np.ndarray:
         """Number of each word, -1 where it isn't known."""
-        return np.fromiter(map(self.number.get, words, itertools.repeat(-1)), np.int32, len(words))
+        return pc.fill_null(pc.index_in(words, value_set=self.names), -1).to_numpy()
 
-    def rows(self, words: list[bytes], numbers: np.ndarray) -> np.ndarray:
-        """Input row of each word: its rank, or its tail class."""
-        out = np.empty(len(words), np.int32)
-        seen = numbers >= 0
-        out[seen] = self.row[numbers[seen]]
-        rare = np.flatnonzero(~seen)
-        out[rare] = [HEAD + words[k][-1] % TAIL for k in rare.tolist()]
-        return out
+    def rows(self, words: pa.Array, numbers: np.ndarray) -> np.ndarray:
+        """Input row of each word: its rank, or its tail class by its last byte."""
+        ends = np.frombuffer(words.buffers()[1], np.int32)[words.offset + 1:words.offset + len(words) + 1]
+        last = np.frombuffer(words.buffers()[2], np.uint8)[ends - 1]  # no word is empty
+        return np.where(numbers >= 0, self.row[numbers], HEAD + last.astype(np.int32) % TAIL)
 
 
 def vocabulary(counts: DataFrame) -> Vocabulary:
@@ -455,8 +479,8 @@ def _train_round(packs: DataFrame, p, vocab, tokens: float) -> dict[str, np.ndar
         q = {k: v.copy() for k, v in q.items()}
         state = {"t": 0, "m": {k: np.zeros_like(v) for k, v in q.items()}, "v": {k: np.zeros_like(v) for k, v in q.items()}}
         n, docs, size = 0, [], 0
-        for lens, ids, own in itertools.chain.from_iterable(map(_unpacked, batches)):
-            docs += np.split(words.rows(own, words.numbers(own))[ids], np.cumsum(lens)[:-1])
+        for _, lens, ids, own, numbers in _unpacked(batches, words):
+            docs += np.split(words.rows(own, numbers)[ids], np.cumsum(lens)[:-1])
             size += len(ids)
             if size > TOGETHER:
                 n += train_batch(q, docs, state)
@@ -468,21 +492,20 @@ def _train_round(packs: DataFrame, p, vocab, tokens: float) -> dict[str, np.ndar
 
     # Tasks of fewer tokens would fill only some lanes, and pay a step's fixed cost for few tokens.
     tasks = max(1, int(tokens) // (LANES * WINDOW * STEPS))
-    models = stored(packs.select("lens", "ids", "words").coalesce(tasks).mapInArrow(run, "model binary"), "lm-models")
+    models = stored(packs.select("docs", "lens", "ids", "words").coalesce(tasks).mapInArrow(run, "model binary"), "lm-models")
     while (n := models.count()) > FAN_IN:
         models = stored(models.repartition(-(-n // FAN_IN)).mapInArrow(_averaged, "model binary"), "lm-models")
     got = [bytes(r.model) for r in models.collect()]
     return pickle.loads(_average(got))[1] if got else p
 
 
-def _counted(words: Vocabulary, lens: np.ndarray, ids: np.ndarray, own: list[bytes]) -> dict[str, pa.Array]:
+def _counted(words: Vocabulary, numbers: np.ndarray, lens: np.ndarray, ids: np.ndarray, own: pa.Array) -> dict[str, pa.Array]:
     """What the counts alone say of the documents of a pack: columns by document, and the words left to a join."""
-    number = words.numbers(own)
-    known, first = number >= 0, np.concatenate([[0], np.cumsum(lens)[:-1]])  # no document is without its end sign
+    known, first = numbers >= 0, np.concatenate([[0], np.cumsum(lens)[:-1]])  # no document is without its end sign
 
     def total(table, kind):
         by_word = np.zeros(len(own), kind)
-        by_word[known] = table[number[known]]
+        by_word[known] = table[numbers[known]]
         return pa.array(np.add.reduceat(by_word[ids], first))
 
     left = np.flatnonzero(~known[ids])
@@ -491,7 +514,7 @@ def _counted(words: Vocabulary, lens: np.ndarray, ids: np.ndarray, own: list[byt
     ends = pa.array(np.searchsorted(key, np.arange(len(lens) + 1) * len(own)), pa.int32())
     return {"n_tokens": pa.array(lens, pa.int64()), "n_known": total(words.seen, np.int64),
             "base": total(words.base_log, np.float64), "tail": total(words.tail_log, np.float64),
-            "rare": pa.ListArray.from_arrays(ends, pa.array(own, pa.binary()).take(pa.array(key % len(own)))),
+            "rare": pa.ListArray.from_arrays(ends, own.take(pa.array(key % len(own)))),
             "rare_n": pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))}
 
 
@@ -505,19 +528,18 @@ def score(docs: DataFrame) -> DataFrame:
     for k, share in enumerate(ROUNDS):
         p = _train_round(packs.where(F.col("round") == k), p, vocab, share * vocab.n)
     held = docs.sparkSession.sparkContext.broadcast((p, vocab))
-    ten, id_type = 1 / math.log(10), to_arrow_type(docs.schema["doc_id"].dataType)
+    ten = 1 / math.log(10)
 
     def run(batches):
         q, words = held.value
         done, ids, size = [], [], 0
-        for b in batches:
-            for names, (lens, local, own) in zip(b.column("docs").to_pylist(), _unpacked(b)):
-                done.append({"doc_id": pa.array(names, id_type)} | _counted(words, lens, local, own))
-                ids += np.split(words.rows(own, words.numbers(own))[local], np.cumsum(lens)[:-1])
-                size += len(local)
-                if size > TOGETHER:
-                    yield from scored(q, done, ids)
-                    done, ids, size = [], [], 0
+        for names, lens, local, own, numbers in _unpacked(batches, words):
+            done.append({"doc_id": names} | _counted(words, numbers, lens, local, own))
+            ids += np.split(words.rows(own, numbers)[local], np.cumsum(lens)[:-1])
+            size += len(local)
+            if size > TOGETHER:
+                yield from scored(q, done, ids)
+                done, ids, size = [], [], 0
         if ids:
             yield from scored(q, done, ids)
 

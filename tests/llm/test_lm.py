@@ -1,8 +1,10 @@
 import math
+import pickle
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartwheel.llm import lm
@@ -150,3 +152,31 @@ def test_without_training_documents_the_end_sign_is_scored_once(spark):
     rows = lm.score(spark.createDataFrame([(held_out, "")], "doc_id long, text string")).collect()
     assert [(r.n_tokens, r.n_known, r.base_score) for r in rows] == [(1, 0, 0.0)]
     assert rows[0].score == pytest.approx(-math.log10(lm.HEAD + lm.TAIL), rel=1e-5)
+
+
+def test_words_are_cut_and_packed_as_columns(spark, odd_docs):
+    """As by the plain split, also in a slice; a pack's tokens are its words by number, each text with its end sign."""
+    texts = [" a\x1cb  C\tD\n", "", " \t", "x\x0bÄ É\x85z\x1f İ " + "".join(map(chr, range(1, 300))), "A"]
+    for part in (pa.array(texts), pa.array(["gone", *texts])[1:], pa.array(texts, pa.large_string())):
+        got, n = lm.cut(part)
+        want = [t.encode().lower().split() for t in texts]
+        assert (got.to_pylist(), n.tolist()) == ([w for x in want for w in x], [len(x) for x in want])
+    found = []
+    for r in lm.packed(odd_docs).collect():
+        ids = np.frombuffer(r.ids, lm._width(len(r.words)))
+        assert np.bincount(ids, minlength=len(r.words)).tolist() == r.n
+        of = np.split([bytes(r.words[i]) for i in ids], np.cumsum(r.lens)[:-1])
+        found += [(str(d), x.tolist()) for d, x in zip(r.docs, of, strict=True)]
+    assert sorted(found) == sorted((str(i), [*(t or "").encode().lower().split(), lm.END]) for i, t in ODD)
+
+
+def test_tasks_get_tables_without_a_dict_of_words():
+    known = {lm.END: 9} | {b"w%d" % i: 5 for i in range(3000)}
+    vocab = lm.Vocabulary(known, sum(known.values()), len(known))
+    vocab.finish()
+    sent = pickle.loads(pickle.dumps(vocab))
+    assert not any(isinstance(v, dict) for v in vars(sent).values())
+    own = pa.array([b"none", b"w0", lm.END, b"w2999", "zä".encode()], pa.binary())[1:]
+    assert sent.numbers(own).tolist() == [1, 0, 3000, -1]
+    want = [vocab.head[b"w0"], 0, lm.HEAD + ord("9") % lm.TAIL, lm.HEAD + "zä".encode()[-1] % lm.TAIL]
+    assert sent.rows(own, sent.numbers(own)).tolist() == want
