@@ -39,7 +39,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwheel.llm.common import gathered, stored, text_column
+from cartwheel.llm.common import cut_words, ended, gathered, stored, text_column
 
 HEAD, MEMBERS, TAIL, HIDDEN = 2048, 64, 32, 16
 KNOWN = 200_000
@@ -58,11 +58,8 @@ SMOOTH = 0.1
 
 def cut(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     """Words (binary) of all texts one after the other, and how many each text has."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-    words, ends = lists.flatten(), lists.offsets.to_numpy()
-    some = pc.greater(pc.binary_length(words), 0)  # white space at an end of a text leaves empty words there
-    upto = np.concatenate([[0], np.cumsum(some.to_numpy(zero_copy_only=False))])
-    return words.filter(some).cast(pa.binary()), np.diff(upto[ends - ends[0]])
+    words, n = cut_words(pc.ascii_lower(texts))
+    return words.cast(pa.binary()), n
 
 
 def held_out() -> Column:
@@ -312,10 +309,7 @@ class _Pack:
     def row(self, place: int) -> pa.RecordBatch:
         found, lens = pa.concat_arrays(self.words).dictionary_encode(), np.concatenate(self.lens)
         words = pa.concat_arrays([found.dictionary, pa.array([END], pa.binary())])
-        ids, ends = np.empty(self.size, np.int32), np.zeros(self.size, bool)
-        ends[np.cumsum(lens) - 1] = True
-        ids[ends] = len(words) - 1
-        ids[~ends] = found.indices.to_numpy()
+        ids = ended(found.indices.to_numpy(), lens - 1, len(words) - 1)
         cols = {"round": pa.array([place], pa.int32()), "docs": _listed(pa.concat_arrays(self.docs)),
                 "lens": _listed(pa.array(lens, pa.int64())),
                 "ids": pa.array([ids.astype(_width(len(words))).tobytes()], pa.binary()),

@@ -8,7 +8,8 @@ own for the id lists.
 
 The encoder is the public tokenizers library.  A tokenizer that drops white space never looks across
 it, so each distinct run of other characters is encoded once by the library and remembered (bounded
-caches), and a document's ids are those of its runs in order.
+caches), and a document's ids are those of its runs in order.  The texts of a batch are cut and their distinct runs found as Arrow
+columns; ids are then taken by run number.
 
 Null and empty texts hold the end id alone; repeated rows are all kept (rows of one ``doc_id`` are ordered by their
 text's hash, and their starts follow the files' order); a very long text costs memory in proportion to its own length; an empty table gives an empty result; other columns of the input are not read.
@@ -23,11 +24,12 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cartwheel.llm.common import text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import cut_words, ended, text_column, worker_state
 
 CACHED = 800_000  # runs and parts of runs that a Python worker remembers (about 160 MB); only speed depends on it
 STRIPE_BYTES = 64 << 20
@@ -35,6 +37,11 @@ ROW_GROUP = 10_000
 FILE_SCHEMA = "part int, place long, doc_id long, n_tokens long, ids array<int>"
 
 
+#: A byte's letter in the tokenizer's vocabulary: itself if it can be seen in Latin-1, else the next from U+0100 on.
+SEEN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_LETTERS = dict(zip((b for b in range(256) if b not in SEEN), range(0x100, 0x200)))
+
+
 class Remembered(dict):
     """A bounded cache: once full it keeps what it has, and starts afresh after four times as many misses."""
 
@@ -56,15 +63,18 @@ class RunEncoder:
     A run of other characters that is not remembered is first cut into words, an apostrophe with the
     letters after it, and other signs, as the tokenizer itself cuts it, if it has only characters up to
     U+024F (and not U+0130, which lower-cases to two) and no special-token string.  Parts that are
-    remembered need no further work; plain small letters, which the normaliser and the pre-tokenizer
-    leave as they are, go straight to the library's model, all others through its whole pipeline."""
+    remembered need no further work; small letters up to U+00FF, which the normaliser and the pre-tokenizer
+    leave as they are, go straight to the library's model (bytes as its byte-level letters), all others through its
+    whole pipeline."""
 
     def __init__(self, spec: str):
         self.library = Tokenizer.from_str(spec)
         self.library.no_truncation()
         self.library.no_padding()
+        self.model = self.library.model
         self.parts = re.compile(r"'[^\W_]+|[^\W_]+|(?:[^\w\s]|[_\x1c-\x1f])+").findall
-        self.plain = re.compile("[a-z]+").fullmatch
+        self.plain = re.compile("[a-zß-öø-ÿ]+").fullmatch
+        self.latin = re.compile("[\x00-\xff]+").fullmatch
         self.beyond = re.compile("[\u0130\u0250-\U0010ffff]|<\\|").search
         self.runs = Remembered()
         self.stops = {}
@@ -75,7 +85,7 @@ class RunEncoder:
         out = self.runs.get(raw)
         if out is None:
             if self.plain(part):
-                ids = [t.id for t in self.library.model.tokenize(part)]
+                ids = [t.id for t in self.model.tokenize(part if part.isascii() else raw.decode("latin-1").translate(BYTE_LETTERS))]
             else:
                 ids = self.library.encode(part, add_special_tokens=False).ids
             out = array("I", ids).tobytes()
@@ -87,7 +97,9 @@ class RunEncoder:
             word = raw[:-1]
             return (self.runs.get(word) or self._run(word)) + self.stops[raw[-1:]]
         run = raw.decode()
-        parts = [run] if self.beyond(run) else self.parts(run.lower() if run.isascii() else run)
+        if self.plain(run):
+            return self._part(run)
+        parts = [run] if self.beyond(run) else self.parts(run.lower() if self.latin(run) else run)
         if len(parts) == 1:
             return self._part(parts[0])
         out = b"".join([self._part(p) for p in parts])
@@ -95,17 +107,34 @@ class RunEncoder:
         return out
 
     def encode(self, text: str, end_id: int) -> np.ndarray:
+        return self.encode_all(pa.array([text], pa.string()), end_id)[0]
+
+    def encode_all(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts one after the other, and how many each text has.  A run that they hold many times is looked
+        up once."""
+        runs, n = cut_words(texts)
+        found = runs.dictionary_encode()
         get, make = self.runs.get, self._run
-        found: list[bytes] = []
-        for piece in whitespace_pieces(text):
-            raw = piece.encode()
-            # The tokenizer lower-cases all but special-token strings.  Done beforehand it saves runs; not where a
-            # combining mark (U+0300 on, first byte 0xCC) could join a small letter but not its capital.
-            if b"<|" not in raw and np.frombuffer(raw or b" ", np.uint8).max() < 0xCC:
-                raw = raw.lower()
-            found += [get(r) or make(r) for r in raw.split()]  # bytes: ASCII white space only
-        found.append(array("I", [end_id]).tobytes())
-        return np.frombuffer(b"".join(found), "<i4")
+        ids = [get(r) or make(r) for r in _lowered(found.dictionary).to_pylist()]
+        ids.append(array("I", [end_id]).tobytes())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        flat, first = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(sizes) - sizes
+        which = ended(found.indices.to_numpy(), n, len(ids) - 1)
+        size = sizes[which]
+        upto = np.cumsum(size)
+        at = np.repeat(first[which] - (upto - size), size)
+        at += np.arange(len(at))
+        last = upto[np.cumsum(n + 1) - 1]
+        return flat.take(at), np.diff(last, prepend=0)
+
+
+def _lowered(runs: pa.Array) -> pa.Array:
+    """Runs as bytes.  The tokenizer lower-cases all but special-token strings.  Done beforehand it saves runs; not where a
+    combining mark (U+0300 on, first byte 0xCC) could join a small letter but not its capital."""
+    ends = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset:runs.offset + len(runs) + 1]
+    beyond = np.concatenate([[0], np.cumsum(np.frombuffer(runs.buffers()[2] or b"", np.uint8) >= 0xCC)])[ends]
+    kept = pc.or_(pa.array(np.diff(beyond) > 0), pc.match_substring(runs, "<|"))
+    return pc.if_else(kept, runs, pc.ascii_lower(runs)).cast(pa.binary())
 
 
 def encode(docs: DataFrame, spec_path: str, end_id: int) -> DataFrame:
@@ -118,10 +147,8 @@ def encode(docs: DataFrame, spec_path: str, end_id: int) -> DataFrame:
         enc = worker_state(key, lambda: RunEncoder(spec.value))
         place = 0
         for b in batches:
-            ids = [enc.encode(t, end_id) for t in b.column(1).to_pylist()]
-            sizes = np.array([len(i) for i in ids], np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)),
-                                             pa.array(np.concatenate([np.empty(0, np.int32), *ids])))
+            ids, sizes = enc.encode_all(b.column(1), end_id)
+            lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)), pa.array(ids))
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(place, place + len(b))), b.column(0), pa.array(sizes), lists],
                                              ["place", "doc_id", "n_tokens", "ids"])
             place += len(b)

@@ -5,6 +5,7 @@ import tracemalloc
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -155,3 +156,20 @@ def test_character_tables_are_built_without_a_list_of_all_characters():
         assert tracemalloc.get_traced_memory()[1] < 16 << 20
     finally:
         tracemalloc.stop()
+
+
+def test_texts_of_a_batch_are_encoded_together(tokenizer_path, library):
+    """Each distinct run is looked up once for all texts; words of Latin-1 letters never take the whole pipeline."""
+    enc = orc_tokens.RunEncoder(bpe.read_spec(tokenizer_path))
+    texts = [t or "" for _, t in ODD] + [f"a{chr(x)}b {chr(x)} {chr(x)}1\x1c\x85é́." for x in range(0x3000)]
+    ids, sizes = enc.encode_all(pa.array(["gone", *texts])[1:], 2)
+    want = [[*e.ids, 2] for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    assert np.split(ids, np.cumsum(sizes)[:-1])[5].tolist() == want[5]
+    assert sizes.tolist() == [len(x) for x in want] and ids.tolist() == [i for x in want for i in x]
+    words = ["ñandúes", "ÀÉÞ", "straße", "plain", "Øre"]
+    want = [library.encode(w, add_special_tokens=False).ids for w in words]
+    enc.library = None
+    ids, sizes = enc.encode_all(pa.array([" ".join(words) + " ñandúes. plain"] * 3), 2)
+    line = [i for x in [*want, want[0], enc.encode(".", 2).tolist()[:-1], want[3], [2]] for i in x]
+    assert ids.tolist() == line * 3 and sizes.tolist() == [len(line)] * 3
+    assert [len(x) for x in enc.encode_all(pa.array([], pa.string()), 2)] == [0, 0]
