@@ -10,6 +10,9 @@ them apart.  A sequence whose neighbours are all compatible is the sequence that
 the merge rules give, so the result is exact, and a bit for each position keeps any
 position from being tried twice, so the time is linear in the word's length.
 
+White space never enters a word, so the runs of other characters of many texts are cut as Arrow columns and each
+distinct run is encoded once; ids, and the strings of ids, are then taken by number.
+
 Texts of any length are handled piecewise; null reads as the empty text (no tokens);
 special-token strings in a text become their single id, as in the library.
 """
@@ -18,10 +21,14 @@ from __future__ import annotations
 
 import hashlib
 import json
+import re
 import unicodedata
+from array import array
+from collections import Counter
 
 import ahocorasick
 import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +36,11 @@ from tokenizers import Regex
 from tokenizers.normalizers import Lowercase
 from tokenizers.pre_tokenizers import Split
 
-from cartwheel.llm.common import map_batches, text_column, whitespace_pieces, worker_state
+from cartwheel.llm.common import cut_words, lowered_runs, map_batches, text_column, whitespace_pieces, worker_state
 
-CACHE_WORDS = 300_000  # words, and pairs, that a Python worker remembers; only speed depends on it
+CACHE_WORDS = 600_000  # runs, words, and pairs, that a Python worker remembers; only speed depends on it
+LONGEST_KEPT = 64  # characters of a remembered run or word
+GROUP = 4 << 20  # characters of texts encoded together
 RUN = 1 << 14  # code points looked at together
 
 
@@ -90,6 +99,17 @@ def _ranges(chars: list[str]) -> str:
     return "".join(out) or "\\U0010ffff"
 
 
+def _joined(table: pa.LargeBinaryArray, which: pa.Array) -> tuple[memoryview, np.ndarray]:
+    """The entries of ``table`` with these numbers end to end, and where each begins (and the last one's end)."""
+    out = table.take(which)
+    ends = np.frombuffer(out.buffers()[1], np.int64)[out.offset:out.offset + len(out) + 1] if len(out) else np.zeros(1, np.int64)
+    return memoryview(out.buffers()[2] or b"")[ends[0]:ends[-1]], ends - ends[0]
+
+
+#: The symbols of a byte inside a word and at its end.
+INNER, LAST = [chr(0x100 + b) for b in range(256)], [chr(0x200 + b) for b in range(256)]
+
+
 class Codec:
     def __init__(self, spec: str):
         d = json.loads(spec)
@@ -101,7 +121,7 @@ class Codec:
         # Internal tokens: 0..511 base symbols (byte, byte at a word's end), then merges by rank.
         names = alphabet + [a + suffix for a in alphabet]
         number = {s: i for i, s in enumerate(names)}
-        symbols: list[str] = [chr(0x100 + i) for i in range(512)]
+        symbols: list[str] = INNER + LAST
         self.parts: list[tuple[int, int] | None] = [None] * 512
         self.pair: dict[tuple[int, int], int] = {}
         for a, b in merges:
@@ -117,8 +137,10 @@ class Codec:
         self.size = [len(s) for s in symbols]
         self.of_symbols = {s: i for i, s in enumerate(symbols)}
         self.scan = ahocorasick.Automaton()
-        for i, s in enumerate(symbols):
-            self.scan.add_word(s, i)
+        # The automaton looks through a node's letters in the order in which they came: common ones first.
+        often = Counter("".join(symbols))
+        for i in sorted(range(len(symbols)), key=lambda i: (len(symbols[i]) > 1, -often[symbols[i]], i)):
+            self.scan.add_word(symbols[i], i)
         self.scan.make_automaton()
         self.shorter = self._shorter(symbols)
         self.compatible_cache: dict[int, bool] = {}
@@ -133,14 +155,19 @@ class Codec:
             "[\\p{N}]", f"[\\p{{N}}--[{numbers}]]").replace("\\p{L}\\p{N}]", f"[\\p{{L}}--[{letters}]][\\p{{N}}--[{numbers}]]]")).findall
         self.lowered = _lowered()
         self.capitals = regex.compile(f"[{_ranges([chr(c) for c in sorted(self.lowered)])}]").search
+        self.small = re.compile("[a-zß-öø-ÿ]+").fullmatch  # letters that are one word as they are
         self.special = {t["content"]: t["id"] for t in d.get("added_tokens", [])}
         self.special_cut = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if self.special else None
-        # Offset table: all token strings end to end, each led by the joining space.
+        # Offset tables (an Arrow column each): all token strings, and all ids in decimal, end to end, each led by the
+        # joining space.
         table = {i: s for s, i in vocab.items()} | {i: s for s, i in self.special.items()}
-        blobs = [(" " + table.get(i, "")).encode() for i in range(max(table) + 1)]
-        self.offsets = np.concatenate([[0], np.cumsum([len(b) for b in blobs])]).astype(np.int64)
-        self.blob = np.frombuffer(b"".join(blobs), np.uint8)
+        self.names = pa.array([(" " + table.get(i, "")).encode() for i in range(max(table) + 1)], pa.large_binary())
+        self.numbers = pa.array([f" {i}".encode() for i in range(max(table) + 1)], pa.large_binary())
         self.cache: dict[str, bytes] = {}
+        self.runs: dict[bytes, bytes] = {}
+        self.missed = 0
+        self.stops: dict[bytes, bytes] = {}
+        self.stops = {s.encode(): self._run(s.encode()) for s in ".,;:!?"}
 
     def _shorter(self, symbols: list[str]) -> list[int]:
         """For each token, the longest token that is a proper prefix of it (-1: none)."""
@@ -186,7 +213,7 @@ class Codec:
         """Internal tokens of a string of base symbols."""
         n = len(word)
         longest = [-1] * n
-        size = self.size
+        size, known = self.size, self.compatible_cache.get
         for end, t in self.scan.iter(word):
             i = end - size[t] + 1
             if longest[i] < 0 or size[longest[i]] < size[t]:
@@ -197,8 +224,12 @@ class Codec:
         while pos < n:
             while t >= 0:
                 end = pos + size[t]
-                if open_[end] and (not out or self.compatible(out[-1], t)):
-                    break
+                if open_[end]:
+                    if not out:
+                        break
+                    ok = known(out[-1] << 20 | t)
+                    if ok or ok is None and self.compatible(out[-1], t):
+                        break
                 t = self.shorter[t]
             if t >= 0:
                 out.append(t)
@@ -212,15 +243,45 @@ class Codec:
                 t = self.shorter[t]
         return out
 
+    def _ids(self, word: bytes) -> bytes:
+        symbols = "".join(map(INNER.__getitem__, word[:-1])) + LAST[word[-1]]
+        return array("I", map(self.ids.__getitem__, self.tokens(symbols))).tobytes()
+
     def _word(self, word: str) -> bytes:
-        raw = word.encode()
-        s = "".join([chr(0x100 + b) for b in raw[:-1]]) + chr(0x200 + raw[-1])
-        ids = self.ids
-        out = np.array([ids[t] for t in self.tokens(s)], "<u4").tobytes()
-        if len(self.cache) >= CACHE_WORDS:
-            self.cache.clear()
-        if len(word) <= 64:
-            self.cache[word] = out
+        out = self._ids(word.encode())
+        self._keep(self.cache, word, out)
+        return out
+
+    def _keep(self, cache: dict, key, out: bytes) -> None:
+        """A full cache keeps what it has, mostly common words; all start afresh after four times as many misses."""
+        if len(key) > LONGEST_KEPT:
+            return
+        if len(cache) < CACHE_WORDS:
+            cache[key] = out
+        else:
+            self.missed += 1
+            if self.missed > 4 * CACHE_WORDS:
+                self.cache.clear()
+                self.runs.clear()
+                self.missed = 0
+
+    def _run(self, raw: bytes) -> bytes:
+        """Ids of a run without ASCII white space."""
+        if raw[-1:] in self.stops and raw[-2:-1].isalpha() and b"<|" not in raw:  # a sign after a letter is a word of its own
+            word = raw[:-1]
+            return (self.runs.get(word) or self._run(word)) + self.stops[raw[-1:]]
+        text = raw.decode()
+        if self.small(text):
+            out = self._ids(raw)
+        elif self.special_cut is not None and "<|" in text:
+            found: list[bytes] = []
+            for part in self.special_cut.split(text):
+                i = self.special.get(part)
+                found += self._plain(part) if i is None else [int(i).to_bytes(4, "little")]
+            out = b"".join(found)
+        else:
+            out = b"".join(self._plain(text))
+        self._keep(self.runs, raw, out)
         return out
 
     def _plain(self, text: str) -> list[bytes]:
@@ -236,29 +297,40 @@ class Codec:
         get, make = self.cache.get, self._word
         return [get(w) or make(w) for w in words(text)]
 
-    def encode_pieces(self, text: str):
-        """Arrays of ids that joined are the ids of ``text``."""
-        for piece in whitespace_pieces(text):
-            found: list[bytes] = []
-            if self.special_cut is not None and "<|" in piece:
-                for part in self.special_cut.split(piece):
-                    i = self.special.get(part)
-                    found += self._plain(part) if i is None else [int(i).to_bytes(4, "little")]
-            else:
-                found = self._plain(piece)
-            yield np.frombuffer(b"".join(found), "<u4")
+    def encode_texts(self, texts: list[str]):
+        """For some texts, or pieces of long ones, at a time: the number of each one's text, the ids of all one after the
+        other, and where each one's ids begin (and the last ones' end)."""
+        rows, held, size = [], [], 0
+        for row, text in enumerate(texts):
+            for piece in whitespace_pieces(text):
+                rows.append(row)
+                held.append(piece)
+                size += len(piece)
+                if size >= GROUP:
+                    yield rows, *self._encode_group(held)
+                    rows, held, size = [], [], 0
+        if held:
+            yield rows, *self._encode_group(held)
+
+    def _encode_group(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        runs, n = cut_words(pa.array(texts, pa.string()))
+        found = runs.dictionary_encode()
+        get, make = self.runs.get, self._run
+        ids = [get(r) or make(r) for r in lowered_runs(found.dictionary).to_numpy(zero_copy_only=False)]
+        raw, ends = _joined(pa.array(ids, pa.large_binary()), found.indices)
+        return np.frombuffer(raw, "<u4"), ends[np.concatenate([[0], np.cumsum(n)])] // 4
 
     def encode(self, text: str) -> np.ndarray:
-        return np.concatenate([np.empty(0, "<u4"), *self.encode_pieces(text)])
+        out: list[bytes] = []
+        for piece in whitespace_pieces(text):
+            runs = piece.encode().split()
+            ids = {r: self.runs.get(r) or self._run(r) for r in set(runs)}
+            out += map(ids.__getitem__, runs)
+        return np.frombuffer(b"".join(out), "<u4")
 
     def decode_bytes(self, ids: np.ndarray) -> bytes:
         """UTF-8 of the token strings, each with a space before it."""
-        if not len(ids):
-            return b""
-        start, stop = self.offsets[ids], self.offsets[ids.astype(np.int64) + 1]
-        size = stop - start
-        ends = np.cumsum(size)
-        return self.blob[np.arange(ends[-1]) + np.repeat(start - (ends - size), size)].tobytes()
+        return bytes(_joined(self.names, pa.array(ids))[0])
 
     def decode(self, ids: np.ndarray) -> str:
         return self.decode_bytes(np.asarray(ids, "<u4"))[1:].decode()
@@ -269,6 +341,14 @@ def codec(spec: str) -> Codec:
     return worker_state("bpe-" + hashlib.md5(spec.encode()).hexdigest(), lambda: Codec(spec))
 
 
+def _bounds(ends: np.ndarray) -> tuple[list[int], list[int]]:
+    return ends[:-1].tolist(), ends[1:].tolist()
+
+
+def _whole(parts: list[np.ndarray]) -> np.ndarray:
+    return (parts[0] if len(parts) == 1 else np.concatenate([np.empty(0, "<u4"), *parts])).astype(np.int32)
+
+
 def read_spec(path: str) -> str:
     with open(path, encoding="utf-8") as f:
         return f.read()
@@ -280,7 +360,11 @@ def encode(docs: DataFrame, spec_path: str, id_col: str = "doc_id", text_col: st
 
     def run(c):
         k = codec(spec.value)
-        return {id_col: c["id"], "ids": [k.encode(t).astype(np.int32) for t in c["text"]]}
+        kept = [[] for _ in c["id"]]
+        for rows, ids, ends in k.encode_texts(c["text"]):
+            for row, a, z in zip(rows, *_bounds(ends)):
+                kept[row].append(ids[a:z])
+        return {id_col: c["id"], "ids": [_whole(i) for i in kept]}
 
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     return map_batches(rows, run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, ids array<int>")
@@ -306,25 +390,23 @@ def round_trip(docs: DataFrame, spec_path: str, id_col: str = "doc_id", text_col
     the empty string) included."""
     spec = docs.sparkSession.sparkContext.broadcast(read_spec(spec_path))
 
-    def digest(k: Codec, text: str):
-        n, a, b, kept = 0, hashlib.sha256(), hashlib.sha256(), []
-        for ids in k.encode_pieces(text):
-            if not len(ids):
-                continue
-            shown = " ".join(map(str, ids.tolist())).encode()
-            back = k.decode_bytes(ids)
-            a.update(b" " + shown if n else shown)
-            b.update(back if n else back[1:])
-            n += len(ids)
-            if keep_ids:
-                kept.append(ids.astype(np.int32))
-        return n, a.hexdigest(), b.hexdigest(), np.concatenate([np.empty(0, np.int32), *kept])
-
     def run(c):
         k = codec(spec.value)
-        out = [digest(k, t) for t in c["text"]]
-        return {id_col: c["id"], "n_tokens": [o[0] for o in out], "ids_sha256": [o[1] for o in out],
-                "decoded_sha256": [o[2] for o in out], "ids": [o[3] for o in out]}
+        size, m = [0] * len(c["id"]), range(len(c["id"]))
+        shown, back, kept = [hashlib.sha256() for _ in m], [hashlib.sha256() for _ in m], [[] for _ in m]
+        for rows, ids, ends in k.encode_texts(c["text"]):
+            column = pa.array(ids)
+            (decimal, decimal_ends), (string, string_ends) = _joined(k.numbers, column), _joined(k.names, column)
+            for row, a, z, p, q, u, v in zip(rows, *_bounds(ends), *_bounds(decimal_ends[ends]), *_bounds(string_ends[ends])):
+                if z > a:
+                    first = not size[row]  # nothing comes before the first token
+                    shown[row].update(decimal[p + first:q])
+                    back[row].update(string[u + first:v])
+                    size[row] += z - a
+                if keep_ids:
+                    kept[row].append(ids[a:z])
+        return {id_col: c["id"], "n_tokens": size, "ids_sha256": [h.hexdigest() for h in shown],
+                "decoded_sha256": [h.hexdigest() for h in back], "ids": [_whole(i) for i in kept] if keep_ids else None}
 
     rows = docs.select(F.col(id_col).alias("id"), text_column(text_col).alias("text"))
     return map_batches(rows, run, f"{id_col} {docs.schema[id_col].dataType.simpleString()}, n_tokens long, "

@@ -24,12 +24,11 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from cartwheel.llm.common import cut_words, ended, text_column, worker_state
+from cartwheel.llm.common import cut_words, ended, lowered_runs, text_column, worker_state
 
 CACHED = 800_000  # runs and parts of runs that a Python worker remembers (about 160 MB); only speed depends on it
 STRIPE_BYTES = 64 << 20
@@ -115,7 +114,7 @@ class RunEncoder:
         runs, n = cut_words(texts)
         found = runs.dictionary_encode()
         get, make = self.runs.get, self._run
-        ids = [get(r) or make(r) for r in _lowered(found.dictionary).to_pylist()]
+        ids = [get(r) or make(r) for r in lowered_runs(found.dictionary).to_pylist()]
         ids.append(array("I", [end_id]).tobytes())
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
         flat, first = np.frombuffer(b"".join(ids), "<i4"), np.cumsum(sizes) - sizes
@@ -128,15 +127,6 @@ class RunEncoder:
         return flat.take(at), np.diff(last, prepend=0)
 
 
-def _lowered(runs: pa.Array) -> pa.Array:
-    """Runs as bytes.  The tokenizer lower-cases all but special-token strings.  Done beforehand it saves runs; not where a
-    combining mark (U+0300 on, first byte 0xCC) could join a small letter but not its capital."""
-    ends = np.frombuffer(runs.buffers()[1], np.int32)[runs.offset:runs.offset + len(runs) + 1]
-    beyond = np.concatenate([[0], np.cumsum(np.frombuffer(runs.buffers()[2] or b"", np.uint8) >= 0xCC)])[ends]
-    kept = pc.or_(pa.array(np.diff(beyond) > 0), pc.match_substring(runs, "<|"))
-    return pc.if_else(kept, runs, pc.ascii_lower(runs)).cast(pa.binary())
-
-
 def encode(docs: DataFrame, spec_path: str, end_id: int) -> DataFrame:
     """``place long`` (of the row in its partition), ``doc_id long, n_tokens long, ids array<int>``, one row per input row."""
     with open(spec_path, encoding="utf-8") as f:

@@ -12,6 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from cartwheel.llm import bpe, orc_tokens
+from cartwheel.llm.common import whitespace_pieces
 from tests.llm.conftest import ODD
 
 
@@ -173,3 +174,36 @@ def test_texts_of_a_batch_are_encoded_together(tokenizer_path, library):
     line = [i for x in [*want, want[0], enc.encode(".", 2).tolist()[:-1], want[3], [2]] for i in x]
     assert ids.tolist() == line * 3 and sizes.tolist() == [len(line)] * 3
     assert [len(x) for x in enc.encode_all(pa.array([], pa.string()), 2)] == [0, 0]
+
+
+def test_distinct_runs_are_encoded_once(tokenizer_path, library, monkeypatch):
+    """Backtracking runs once for each distinct run of some texts, however little is remembered."""
+    codec = bpe.Codec(bpe.read_spec(tokenizer_path))
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 2)
+    seen, tokens = [], codec.tokens
+    monkeypatch.setattr(codec, "tokens", lambda word: seen.append(word) or tokens(word))
+    words = [f"unusual{a}{b}ñ" for a in "abcdefgh" for b in "ijklmnop"]
+    text = " ".join(words * 20)
+    assert codec.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(seen) == len(words)
+
+
+def test_pieces_of_texts_encoded_together(spark, tokenizer_path, codec, library, monkeypatch):
+    texts = [t or "" for _, t in ODD] + [f" a{chr(x)}b {chr(x)}, it's{chr(x)}. Á x<|endoftext|>, <|A." for x in range(0, 0x3000, 7)]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    with monkeypatch.context() as m:
+        m.setattr(bpe, "whitespace_pieces", lambda text: whitespace_pieces(text, 5))
+        m.setattr(bpe, "GROUP", 100)
+        got = [[] for _ in texts]
+        for rows, ids, ends in codec.encode_texts([t[:1000] for t in texts[:9]] + texts[11:]):
+            for row, a, z in zip(rows, ends, ends[1:]):
+                got[row] += ids[a:z].tolist()
+    kept = [library.encode(t[:1000], add_special_tokens=False).ids for t in texts[:9]]
+    assert got[:len(texts) - 2] == kept + want[11:]
+    long = "  " + "long text, " * 150_000  # of several pieces
+    ids = library.encode(long, add_special_tokens=False).ids
+    docs = spark.createDataFrame([(1, long), (2, long)], "doc_id long, text string").coalesce(1)
+    for r in bpe.round_trip(docs, tokenizer_path, keep_ids=True).collect():
+        assert r.ids == ids and r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(library.decode(ids, skip_special_tokens=False).encode()).hexdigest()
