@@ -103,14 +103,15 @@ def app_rfm(app_fact: DataFrame, clv_cap_quantile: tuple[int, int] = (97, 100))
     clv_12month   avg_order_value * frequency * 12 / max(1, span_days/30),
                   capped at its exact 97th percentile
     """
-    per = app_fact.groupBy("customer_id").agg(
+    # The lines are read once: they may be the cleaning's output, not yet a table.
+    per = _stored(app_fact.groupBy("customer_id").agg(
         F.max("invoice_date").alias("__last"),
         F.min("invoice_date").alias("__first"),
         F.count_distinct("invoice_no").alias("frequency"),
         F.sum(REV).alias("monetary"),
-        F.count(F.lit(1)).alias("__lines"))
-    # Dataset-wide scalars: one scalar subquery (a one-row global aggregate), evaluated once.
-    span = app_fact.agg(F.struct(F.max("invoice_date").alias("hi"), F.min("invoice_date").alias("lo"))).scalar()
+        F.count(F.lit(1)).alias("__lines")))
+    # Dataset-wide scalars: one scalar subquery (a one-row aggregate of the customers), evaluated once.
+    span = per.agg(F.struct(F.max("__last").alias("hi"), F.min("__first").alias("lo"))).scalar()
     span_days = elapsed_days(span["hi"], span["lo"]).cast("double")
     factor = F.lit(12.0) / F.greatest(F.lit(1.0), span_days / F.lit(30.0))
     snapshot = span["hi"] + F.expr("INTERVAL 1 DAY")

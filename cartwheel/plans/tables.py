@@ -57,10 +57,21 @@ def tables_root(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/cartwheel-tables"
 
 
+def _table_path(spark: SparkSession, name: str, sf_dir: str) -> str:
+    key = repr((TABLE_VERSION, name, input_signature(spark, sf_dir)))
+    return f"{tables_root(spark)}/{name}-{hashlib.sha256(key.encode()).hexdigest()[:24]}"
+
+
+def stored_or(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """A scan of the table if it is stored, else ``build()`` unstored: for one pass that needs few of its columns."""
+    path = _table_path(spark, name, sf_dir)
+    fs, done = _fs(spark, path)
+    return spark.read.parquet(path) if fs.exists(done) else build()
+
+
 def materialize(spark: SparkSession, name: str, sf_dir: str, build: Callable[[], DataFrame]) -> DataFrame:
     """Write ``build()`` once per name and input, and return a scan of it."""
-    key = repr((TABLE_VERSION, name, input_signature(spark, sf_dir)))
-    path = f"{tables_root(spark)}/{name}-{hashlib.sha256(key.encode()).hexdigest()[:24]}"
+    path = _table_path(spark, name, sf_dir)
     with _LOCK:
         fs, done = _fs(spark, path)
         if not fs.exists(done):
