@@ -38,9 +38,9 @@ from tokenizers.pre_tokenizers import Split
 
 from cartwheel.llm.common import cut_words, lowered_runs, map_batches, text_column, whitespace_pieces, worker_state
 
-CACHE_WORDS = 600_000  # runs, words, and pairs, that a Python worker remembers; only speed depends on it
+CACHE_WORDS = 300_000  # runs, words, and pairs, that a Python worker remembers; only speed depends on it
 LONGEST_KEPT = 64  # characters of a remembered run or word
-GROUP = 4 << 20  # characters of texts encoded together
+GROUP = 1 << 20  # characters of texts encoded together
 RUN = 1 << 14  # code points looked at together
 
 
